@@ -109,3 +109,11 @@ def nullif_blank(c) -> Column:
     """'' and all-whitespace values become null (the input convention of §1.2)."""
     col = _c(c)
     return F.when(F.trim(col) == "", F.lit(None).cast("string")).otherwise(col)
+
+
+def xml_escape(c) -> Column:
+    """Escape text for an XML element body or attribute value."""
+    col = _c(c)
+    for k, v in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        col = F.replace(col, F.lit(k), F.lit(v))
+    return col

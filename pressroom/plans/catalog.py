@@ -348,3 +348,162 @@ QUERIES = {
     "meta_paths": meta_paths,
     "run_report": run_report,
 }
+
+
+# ------------------------------------------------------------------ authors (rows-only: Unicode \b)
+def _author_candidates(spark, sf_dir):
+    """Author-like strings built from the documents' leading words: per line, the first two
+    words (punctuation removed), initcapped."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = F.split(F.col("text"), "\n")
+    cand = F.transform(lines, lambda ln: F.initcap(F.array_join(F.slice(
+        F.filter(F.split(F.regexp_replace(ln, "(?U)[^\\w\\s]", ""), "(?U)\\s+"), lambda w: w != ""), 1, 2), " ")))
+    return docs.select("doc_id", cand.alias("cands"))
+
+
+def _authors(rule):
+    def q(spark, sf_dir):
+        from ..functions.authors import clean_authors
+        c = _author_candidates(spark, sf_dir)
+        a = clean_authors(F.col("cands"), rule=rule)
+        return c.select("doc_id", F.array_join(a, "|").alias("authors"), F.size(a).cast("bigint").alias("n_authors"))
+    q.__name__ = f"authors_{rule}"
+    return q
+
+
+authors_strict = _authors("strict")
+authors_strip = _authors("strip")
+authors_cut = _authors("cut")
+authors_okd = _authors("okd")
+
+
+# ------------------------------------------------------------------ XML and CSV round trips
+RSS_CHUNK = 8
+SITEMAP_CHUNK = 16
+
+
+def rss_round_trip(spark, sf_dir):
+    """events -> RSS documents of at most RSS_CHUNK items (consecutive event ids of one type)
+    -> SRC3 parse (order kept) -> DAT1 RFC 822 parse."""
+    from ..sources.feeds import parse_feed
+    ev = table(spark, sf_dir, "events")
+    t = D.to_instant("ts")
+    item = F.concat(
+        F.lit("<item><title>"), X.xml_escape(F.concat(F.col("event_type"), F.lit(" & user "),
+                                                       F.col("user_id").cast("string"))),
+        F.lit("</title><link>https://news.example/"), F.col("event_type"), F.lit("/"),
+        F.col("event_id").cast("string"), F.lit(".html</link><pubDate>"),
+        F.date_format(t, "EEE, dd MMM yyyy HH:mm:ss Z"), F.lit("</pubDate><guid>"),
+        F.col("event_id").cast("string"), F.lit("</guid></item>"))
+    chunk = F.floor(F.col("event_id") / RSS_CHUNK)
+    docs = (ev.select("event_type", chunk.alias("chunk"), "event_id", item.alias("item"))
+            .groupBy("event_type", "chunk")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "item"))),
+                                          lambda s: s["item"]), "").alias("items")))
+    docs = docs.select("event_type", "chunk", F.concat(
+        F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>'), F.col("event_type"),
+        F.lit("</title>"), F.col("items"), F.lit("</channel></rss>")).alias("content"))
+    items = parse_feed(docs, keep=["event_type", "chunk"])
+    return items.select(F.col("guid").cast("bigint").alias("event_id"), "event_type",
+                        F.col("item_ord").cast("bigint").alias("item_ord"), "title", "link",
+                        _ts_text(D.parse_rfc822("published")).alias("published"))
+
+
+def sitemap_round_trip(spark, sf_dir):
+    """pages -> news sitemaps of at most SITEMAP_CHUNK URLs per domain -> SRC4 parse
+    -> DAT2 ISO parse -> FLT6 recency (lastmod, else URL date)."""
+    from ..sources.feeds import parse_sitemap
+    pages = table(spark, sf_dir, "pages")
+    lastmod = F.date_format(F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(
+        F.lit(0), F.col("page_id").cast("int")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    entry = F.concat(
+        F.lit("<url><loc>"), X.xml_escape(F.col("url")), F.lit("</loc><lastmod>"), lastmod,
+        F.lit("</lastmod><news:news><news:title>"), X.xml_escape(X.clean_text(H.page_title("html"))),
+        F.lit("</news:title></news:news></url>"))
+    dom = U.domain("url")
+    chunk = F.floor(F.col("page_id") / SITEMAP_CHUNK)
+    docs = (pages.select(dom.alias("domain"), chunk.alias("chunk"), "page_id", entry.alias("e"))
+            .groupBy("domain", "chunk")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "e"))),
+                                          lambda s: s["e"]), "").alias("entries")))
+    docs = docs.select("domain", "chunk", F.concat(
+        F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" '
+              'xmlns:news="http://www.google.com/schemas/sitemap-news/0.9">'),
+        F.col("entries"), F.lit("</urlset>")).alias("content"))
+    ent = parse_sitemap(docs, keep=["domain", "chunk"])
+    return ent.select("domain", F.col("item_ord").cast("bigint").alias("item_ord"), "loc",
+                      _ts_text(D.parse_iso_any("lastmod")).alias("lastmod"),
+                      F.coalesce("news_title", F.lit("")).alias("news_title"),
+                      recency.is_recent(F.col("lastmod"), AS_OF, DAYS, "lastmod_or_url", url=F.col("loc"))
+                      .alias("recent"))
+
+
+def csv_round_trip(spark, sf_dir):
+    """documents -> export records -> SNK4 '^' CSV per (source, day) -> SRC12 read back."""
+    from ..session import scratch_path
+    from ..sinks.writers import write_export
+    from ..sources.tables import read_export
+    docs = table(spark, sf_dir, "documents")
+    first_line = X.clean_text(F.split(F.col("text"), "\n").getItem(0))
+    recs = docs.select(
+        first_line.alias("title"),
+        F.concat(F.lit("https://docs.example/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
+        F.lit(AS_OF).alias("publish_date"),
+        F.array(F.col("source"), F.lit(""), F.concat(F.lit("Autor "), F.col("lang"))).alias("authors"),
+        "source", F.lit("docs.example").alias("domain"),
+        F.substring(X.clean_text("text"), 1, 200).alias("summary"),
+        F.col("lang").alias("section"), F.lit("").alias("subsection"))
+    out = scratch_path(spark, "export")
+    write_export(recs, out, AS_OF, dialect="default", site="source")
+    back = read_export(spark, out)
+    return back.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in
+                         ["title", "url", "publish_date", "authors", "source", "domain", "summary",
+                          "section", "subsection"]], "source_key", F.col("dt").cast("string").alias("dt"))
+
+
+# ------------------------------------------------------------------ streaming
+STREAM_DELAY = "6 hours"
+
+
+def _event_stream(spark, sf_dir):
+    from ..streaming.streams import read_stream_files, with_event_time
+    schema = table(spark, sf_dir, "events").schema
+    s = read_stream_files(spark, sf_dir, schema, glob="events.parquet")
+    return with_event_time(s, "ts")
+
+
+def stream_dedupe(spark, sf_dir):
+    """STM2: links of events deduplicated within the watermark (one micro-batch: exact distinct)."""
+    from ..session import scratch_path
+    from ..streaming.streams import run_to_parquet, stream_curated
+    s = _event_stream(spark, sf_dir).select(
+        F.concat(F.lit("https://news.example/"), F.col("event_type"), F.lit("/"),
+                 F.col("user_id").cast("string")).alias("link"), "event_time")
+    out, chk = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "stream-dedupe-chk")
+    run_to_parquet(stream_curated(s, "link", "event_time", STREAM_DELAY).select("link"), out, chk, "append")
+    return spark.read.parquet(out)
+
+
+def stream_hourly(spark, sf_dir):
+    """STM4: events per hour and type, late rows accepted up to the delay (complete mode)."""
+    from ..session import scratch_path
+    from ..streaming.streams import run_to_parquet
+    from ..streaming.streams import stream_hourly as hourly
+    s = _event_stream(spark, sf_dir)
+    out, chk = scratch_path(spark, "stream-hourly"), scratch_path(spark, "stream-hourly-chk")
+    run_to_parquet(hourly(s, "event_time", STREAM_DELAY, "event_type"), out, chk, "complete")
+    r = spark.read.parquet(out)
+    return r.select(_ts_text("window_start").alias("window_start"), "event_type", "n")
+
+
+QUERIES.update({
+    "authors_strict": authors_strict,
+    "authors_strip": authors_strip,
+    "authors_cut": authors_cut,
+    "authors_okd": authors_okd,
+    "rss_round_trip": rss_round_trip,
+    "sitemap_round_trip": sitemap_round_trip,
+    "csv_round_trip": csv_round_trip,
+    "stream_dedupe": stream_dedupe,
+    "stream_hourly": stream_hourly,
+})

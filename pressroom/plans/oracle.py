@@ -271,6 +271,44 @@ SELECT domain, count(*) AS n_found, least(count(*), {C.DOMAIN_CAP}) AS n_exporte
 FROM p GROUP BY domain
 """
 
+RSS_ROUND_TRIP = f"""
+SELECT event_id, event_type,
+  CAST(row_number() OVER (PARTITION BY event_type, floor(event_id / {C.RSS_CHUNK}) ORDER BY event_id) - 1 AS BIGINT)
+    AS item_ord,
+  event_type || ' & user ' || CAST(user_id AS VARCHAR) AS title,
+  'https://news.example/' || event_type || '/' || CAST(event_id AS VARCHAR) || '.html' AS link,
+  {fmt_ts('ts')} AS published
+FROM events
+"""
+
+_LASTMOD = "(TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id))"
+SITEMAP_ROUND_TRIP = f"""
+SELECT {domain('url')} AS domain,
+  CAST(row_number() OVER (PARTITION BY {domain('url')}, floor(page_id / {C.SITEMAP_CHUNK}) ORDER BY page_id) - 1
+       AS BIGINT) AS item_ord,
+  trim(url) AS loc, {fmt_ts(_LASTMOD)} AS lastmod,
+  coalesce({clean_ws(_page_title('html'))}, '') AS news_title,
+  {_LASTMOD} >= {AS_OF} - INTERVAL {C.DAYS} DAY AS recent
+FROM pages
+"""
+
+CSV_ROUND_TRIP = f"""
+SELECT coalesce({clean_ws("split_part(text, chr(10), 1)")}, '') AS title,
+  'https://docs.example/' || source || '/' || CAST(doc_id AS VARCHAR) AS url,
+  {q(C.AS_OF)} AS publish_date, source || ', Autor ' || lang AS authors, source,
+  'docs.example' AS domain, substr(coalesce({clean_ws('text')}, ''), 1, 200) AS summary,
+  lang AS section, '' AS subsection,
+  regexp_replace(lower(source), '[^\\p{{L}}\\p{{N}}]', '_', 'g') AS source_key, {q(C.AS_OF[:10])} AS dt
+FROM documents
+"""
+
+STREAM_DEDUPE = f"SELECT DISTINCT {_OG} AS link FROM events"
+
+STREAM_HOURLY = f"""
+SELECT {fmt_ts("date_trunc('hour', ts)")} AS window_start, event_type, count(*) AS n
+FROM events GROUP BY ALL
+"""
+
 ORACLE = {
     "site_digest": SITE_DIGEST,
     "canonical_first_seen": CANONICAL_FIRST_SEEN,
@@ -302,4 +340,9 @@ ORACLE = {
     "section_lookup": SECTION_LOOKUP,
     "meta_paths": META_PATHS,
     "run_report": RUN_REPORT,
+    "rss_round_trip": RSS_ROUND_TRIP,
+    "sitemap_round_trip": SITEMAP_ROUND_TRIP,
+    "csv_round_trip": CSV_ROUND_TRIP,
+    "stream_dedupe": STREAM_DEDUPE,
+    "stream_hourly": STREAM_HOURLY,
 }
