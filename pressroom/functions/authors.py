@@ -44,7 +44,10 @@ def _cap_words(x: Column) -> Column:
 
 
 def ci_distinct(arr) -> Column:
-    """AGG4: case-insensitive distinct, first spelling and order kept."""
+    """AGG4: case-insensitive distinct, first spelling and order kept.
+
+    Quadratic in the list length (meant for a record's author list); long
+    lists are cleaned row-wise with ``clean_rows`` instead."""
     a = _c(arr)
     low = F.transform(a, lambda y: F.lower(y))
     return F.filter(a, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
@@ -97,14 +100,18 @@ _EXCLUDE_RE = "(?iU)" + "|".join(f"(?:{p})" for p in STRICT_EXCLUDE)
 _INCLUDE_RE = "(?U)" + "|".join(f"(?:{p})" for p in STRICT_INCLUDE)
 
 
+def clean_name_strict(x: Column, max_len: int = STRICT_MAX_LEN) -> Column:
+    """AUT1 on one name: the cleaned name, or null when the name is rejected."""
+    y = _py_strip(x)
+    ok = (y != "") & (F.length(y) <= max_len) & y.rlike(_INCLUDE_RE) & ~y.rlike(_EXCLUDE_RE)
+    z = _strip_chars(F.regexp_replace(y, "(?U)\\s+", " "), " ,.-_|")
+    return F.when(x.isNotNull() & ok & (F.length(z) >= 3) & (_words(z) >= 2), z)
+
+
 def clean_strict(arr, max_len: int = STRICT_MAX_LEN) -> Column:
     """AUT1: length cap, exclusions, name shapes, edge clean-up, >=3 chars and >=2 words, ci-distinct."""
-    a = F.transform(_nonblank(_c(arr)), _py_strip)
-    a = F.filter(a, lambda x: (x != "") & (F.length(x) <= max_len)
-                 & ~x.rlike(_EXCLUDE_RE) & x.rlike(_INCLUDE_RE))
-    a = F.transform(a, lambda x: _strip_chars(F.regexp_replace(x, "(?U)\\s+", " "), " ,.-_|"))
-    a = F.filter(a, lambda x: (F.length(x) >= 3) & (_words(x) >= 2))
-    return ci_distinct(a)
+    a = F.transform(_nonblank(_c(arr)), lambda x: clean_name_strict(x, max_len))
+    return ci_distinct(F.filter(a, lambda x: x.isNotNull()))
 
 
 # ----------------------------------------------------------------- AUT2/AUT3 strip
@@ -268,6 +275,33 @@ def byline_names(c) -> Column:
     return F.when(F.length(m) > 3, F.array(m)).otherwise(F.array().cast("array<string>"))
 
 
+ONE_NAME = {"strict": lambda x: clean_name_strict(x), "strip": lambda x: clean_name_strip(x),
+            "strip50": lambda x: clean_name_strip50(x),
+            "cut": lambda x: F.nullif(clean_name_cut(x), F.lit("")), "okd": lambda x: clean_name_okd(x)}
+
+
+def clean_rows(df, key: str, pos: str, name: str, rule: str = "strict"):
+    """Row-wise form of a rule for long lists: one (key, pos, name) row per candidate.
+
+    The per-name clean-up is a plain Column expression (whole-stage codegen);
+    the case-insensitive first-kept distinct is an aggregation (partial,
+    map-side) and the list is rebuilt in ``pos`` order per key.  Returns
+    (key, authors array) for keys with at least one accepted name.
+    """
+    fn = ONE_NAME[rule]
+    x = F.col(name)
+    if rule == "strip":
+        parts = df.select(key, pos, F.posexplode(split_authors(x)).alias("_sub", "_n"))
+        cleaned = parts.select(key, (F.col(pos) * 1000 + F.col("_sub")).alias(pos), fn(F.col("_n")).alias("_a"))
+    else:
+        cleaned = df.select(key, pos, fn(x).alias("_a"))
+    cleaned = cleaned.filter(F.col("_a").isNotNull())
+    firsts = cleaned.groupBy(key, F.lower("_a").alias("_k")).agg(F.min_by("_a", F.col(pos)).alias("_a"),
+                                                                  F.min(pos).alias(pos))
+    return firsts.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(pos, "_a"))),
+                                               lambda s: s["_a"]).alias("authors"))
+
+
 def clean_authors(arr, rule: str = "strict", site: str | None = None) -> Column:
     """Dispatch on the per-site author rule name."""
     if rule == "strict":

@@ -54,8 +54,8 @@ def overlay(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str],
     mode='nonnull' only non-null right values replace left ones
     """
     if right_order:
-        right = first_seen(right.select(key, *cols, *[o for o in right_order if isinstance(o, str)]),
-                           key, list(right_order))
+        extra = [o for o in right_order if isinstance(o, str) and o not in cols and o != key]
+        right = first_seen(right.select(key, *cols, *extra), key, list(right_order))
     else:
         right = right.dropDuplicates([key])
     r = right.select(F.col(key), *[F.col(c).alias(f"_r_{c}") for c in cols], F.lit(True).alias("_r_hit"))

@@ -130,7 +130,9 @@ def split_rejects(df: DataFrame, col: str = "data") -> tuple[DataFrame, DataFram
 def has_identity_and_time(url="og.url", times=("article.published_time", "og.published_time",
                                                 "og.modified_time", "article.modified_time")) -> Column:
     """FLT12: identity URL present and at least one of the four times present."""
-    return _c(url).isNotNull() & F.coalesce(*[_c(t) for t in times]).isNotNull()
+    def q(c):
+        return F.col(f"`{c}`") if isinstance(c, str) else c
+    return q(url).isNotNull() & F.coalesce(*[q(t) for t in times]).isNotNull()
 
 
 def split_null_lastmod(df: DataFrame, as_of, lastmod="lastmod",

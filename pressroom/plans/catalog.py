@@ -352,21 +352,27 @@ QUERIES = {
 
 # ------------------------------------------------------------------ authors (rows-only: Unicode \b)
 def _author_candidates(spark, sf_dir):
-    """Author-like strings built from the documents' leading words: per line, the first two
-    words (punctuation removed), initcapped."""
+    """Author-like strings built from the documents' leading words: one row per line of
+    every document (all lines), candidate = the line's first two whitespace tokens with
+    non-word characters removed, initcapped."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = F.split(F.col("text"), "\n")
-    cand = F.transform(lines, lambda ln: F.initcap(F.array_join(F.slice(
-        F.filter(F.split(F.regexp_replace(ln, "(?U)[^\\w\\s]", ""), "(?U)\\s+"), lambda w: w != ""), 1, 2), " ")))
-    return docs.select("doc_id", cand.alias("cands"))
+    lines = docs.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("pos", "line"))
+    toks = F.split(F.regexp_replace(F.col("line"), "^[\\s\\x{A0}]+", ""), "(?U)\\s+", 3)
+
+    def word(i):
+        return F.nullif(F.regexp_replace(F.get(toks, i), "(?U)\\W", ""), F.lit(""))
+    return lines.select("doc_id", "pos", F.initcap(F.concat_ws(" ", word(0), word(1))).alias("cand"))
 
 
 def _authors(rule):
     def q(spark, sf_dir):
-        from ..functions.authors import clean_authors
-        c = _author_candidates(spark, sf_dir)
-        a = clean_authors(F.col("cands"), rule=rule)
-        return c.select("doc_id", F.array_join(a, "|").alias("authors"), F.size(a).cast("bigint").alias("n_authors"))
+        from ..functions.authors import clean_rows
+        rows = _author_candidates(spark, sf_dir)
+        got = clean_rows(rows, "doc_id", "pos", "cand", rule=rule)
+        out = table(spark, sf_dir, "documents").select("doc_id").join(got, "doc_id", "left")
+        default = F.array(F.lit("20minutos")) if rule == "strip" else F.array().cast("array<string>")
+        a = F.coalesce(F.col("authors"), default)
+        return out.select("doc_id", F.array_join(a, "|").alias("authors"), F.size(a).cast("bigint").alias("n_authors"))
     q.__name__ = f"authors_{rule}"
     return q
 

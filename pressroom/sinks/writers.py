@@ -103,6 +103,7 @@ def outputs_on(spark: SparkSession, base: str, date: str) -> DataFrame:
     """SNK7: rows and files written per source on a day (partition filter on ``dt``)."""
     df = spark.read.option("header", True).option("sep", "^").option("quote", '"').option("escape", '"') \
         .option("multiLine", True).csv(base)
-    day = df.filter(F.col("dt").cast("string") == F.lit(date))
+    day = df.filter(F.col("dt").cast("string") == F.lit(date)) \
+        .select("source_key", F.col("_metadata.file_path").alias("_file"))
     return day.groupBy("source_key").agg(F.count(F.lit(1)).alias("n_rows"),
-                                         F.count_distinct(F.input_file_name()).alias("n_files"))
+                                         F.count_distinct("_file").alias("n_files"))

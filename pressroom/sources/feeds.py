@@ -33,7 +33,8 @@ url array<struct<loc:string, lastmod:string, `news:news`: struct<`news:publicati
 sitemap array<struct<loc:string, lastmod:string>>
 """
 
-_EMPTY = F.array().cast("array<string>")
+def _empty():
+    return F.array().cast("array<string>")
 
 
 def _parsed(content: Column) -> Column:
@@ -72,7 +73,7 @@ def parse_feed(docs: DataFrame, content: str = "content", keep: Sequence[str] |
         i["dc:date"].alias("dc_date"),
         strip_cdata(i["description"]).alias("summary"),
         F.filter(F.array(i["author"], i["dc:creator"]), lambda a: a.isNotNull()).alias("authors"),
-        F.coalesce(i["category"], _EMPTY).alias("categories"),
+        F.coalesce(i["category"], _empty()).alias("categories"),
         i["guid"].alias("guid"),
     ))
     atom = F.transform(x["entry"], lambda e: F.struct(
@@ -88,7 +89,7 @@ def parse_feed(docs: DataFrame, content: str = "content", keep: Sequence[str] |
         F.coalesce(e["summary"], e["content"]).alias("summary"),
         F.filter(F.transform(e["author"], lambda a: F.coalesce(a["name"], name_from_email(a["email"]))),
                  lambda a: a.isNotNull()).alias("authors"),
-        F.coalesce(F.transform(e["category"], lambda c: c["_term"]), _EMPTY).alias("categories"),
+        F.coalesce(F.transform(e["category"], lambda c: c["_term"]), _empty()).alias("categories"),
         e["id"].alias("guid"),
     ))
     items = F.concat(F.coalesce(rss, F.array()), F.coalesce(atom, F.array()))
