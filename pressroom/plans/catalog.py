@@ -513,3 +513,15 @@ QUERIES.update({
     "stream_dedupe": stream_dedupe,
     "stream_hourly": stream_hourly,
 })
+
+
+def page_tree(spark, sf_dir):
+    """HTM3/HTM4/HTM8 tree pass over every page (rows-only check: tree semantics have no SQL form)."""
+    from ..operators.pages import extract_pages
+    out = extract_pages(table(spark, sf_dir, "pages"), "page_id", "html", rule="el_pais")
+    return out.select("page_id", F.size("paragraphs").cast("bigint").alias("n_paragraphs"),
+                      F.array_join("selector_authors", "|").alias("selector_authors"),
+                      F.array_join("header_authors", "|").alias("header_authors"), "main_text")
+
+
+QUERIES["page_tree"] = page_tree

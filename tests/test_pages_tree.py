@@ -1,0 +1,29 @@
+"""Tree-aware extraction (selectors, header links, content paragraphs) on fixture pages."""
+from pressroom.operators.pages import extract_pages, parse, select
+
+PAGE = """<html><head><meta name="author" content="Meta Autor"></head><body>
+<header class="article-header"><a href="/autor/ana">Ana Pérez</a><a href="https://x">@x</a></header>
+<div class="firma"><a>Luis Gil</a></div><span class="author-box">By Marta Ruiz</span>
+<time class="byline-time">hoy</time><span>Pedro Sol</span>
+<nav><p>Este párrafo de navegación es largo de sobra, fuera</p></nav>
+<div class="article-body"><p>corto</p><p class="ad">Publicidad de más de treinta caracteres aquí</p>
+<p>Primer párrafo real con más de treinta caracteres<p>Segundo párrafo sin cierre, también largo de verdad</div>
+<footer><p>Pie con más de treinta caracteres, no debe entrar</p></footer></body></html>"""
+
+
+def test_css_subset():
+    root = parse(PAGE)
+    assert [n.text() for n in select(root, ".firma a")] == ["Luis Gil"]
+    assert [n.text() for n in select(root, 'time[class*="byline"] + span')] == ["Pedro Sol"]
+    assert len(select(root, 'span[class*="author"]')) == 1
+
+
+def test_extract_pages(spark):
+    df = spark.createDataFrame([(1, PAGE), (2, "<p>broken <b>"), (3, None)], "page_id long, html string")
+    rows = {r.page_id: r for r in extract_pages(df, rule="el_pais").collect()}
+    r = rows[1]
+    assert r.selector_authors == ["Luis Gil", "Meta Autor", "Marta Ruiz", "Pedro Sol"]
+    assert r.header_authors == ["Ana Pérez"]
+    assert [p.text for p in r.paragraphs] == ["Primer párrafo real con más de treinta caracteres",
+                                              "Segundo párrafo sin cierre, también largo de verdad"]
+    assert r.main_text.startswith("Primer párrafo") and rows[2].main_text == "" and rows[3].paragraphs == []
