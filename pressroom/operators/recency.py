@@ -104,6 +104,19 @@ def in_hour_window(as_of, delay_hours: int, **cols) -> Column:
     return p.between(F.lit(lo), F.lit(hi))
 
 
+def instant_bounds(ts, as_of, delay_hours: int, slack_hours: int = 14) -> Column:
+    """A coarse, pushable superset of FLT9 on the raw event time: the local-hour window
+    widened by ``slack_hours`` (larger than any zone offset) on both sides.  Used next to
+    the exact local-hour predicate so the scan can skip row groups."""
+    if isinstance(as_of, str):
+        as_of = _dt.datetime.fromisoformat(as_of)
+    lo = as_of - _dt.timedelta(hours=int(delay_hours) + slack_hours)
+    hi = as_of + _dt.timedelta(hours=1 + slack_hours)
+    t = _c(ts)     # raw event time as stored (timestamp_ntz, UTC wall clock)
+    return (t >= F.lit(lo.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")) & \
+        (t < F.lit(hi.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
+
+
 def hour_window(df: DataFrame, as_of, delay_hours: int) -> DataFrame:
     """FLT9 as a DataFrame filter; on a partitioned table it becomes a PartitionFilter."""
     return df.filter(in_hour_window(as_of, delay_hours))

@@ -174,8 +174,9 @@ def recent_today(spark, sf_dir):
 
 
 def hour_window(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").select("event_id", D.to_instant("ts").alias("t"))
-    ev = records.hour_columns(ev, "t", "Europe/Rome")
+    ev = table(spark, sf_dir, "events")
+    ev = ev.filter(recency.instant_bounds("ts", HOUR_AS_OF, HOUR_DELAY))     # pushed to the scan
+    ev = records.hour_columns(ev.select("event_id", D.to_instant("ts").alias("t")), "t", "Europe/Rome")
     return recency.hour_window(ev, HOUR_AS_OF, HOUR_DELAY).select("event_id", "year", "month", "day", "hour")
 
 
