@@ -526,3 +526,61 @@ def page_tree(spark, sf_dir):
 
 
 QUERIES["page_tree"] = page_tree
+
+
+# ------------------------------------------------------------------ more operators over the tables
+FIRST_USERS = 20
+
+
+def _event_entries(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.concat(F.lit("https://news.example/"), F.col("event_type"), F.lit("/"),
+                 F.col("user_id").cast("string")).alias("url"),
+        F.dayofmonth("ts").alias("feed_ord"), F.col("event_id").alias("item_ord"),
+        F.concat(F.lit("ev "), F.col("event_id").cast("string")).alias("title"),
+        _ts_text("ts").alias("publish_date"), F.col("event_type").alias("summary"), "value")
+
+
+def feed_enrich(spark, sf_dir):
+    """JON1: URL records (high-value events) enriched from the first matching feed entry."""
+    e = _event_entries(spark, sf_dir)
+    urls = e.filter(F.col("value") > 50).select("url").distinct().select(
+        "url", U.title_from_slug("url").alias("title"), F.lit(AS_OF).alias("publish_date"),
+        F.lit("").alias("summary"))
+    return enrich.enrich_from_feed(urls, e.drop("value"))
+
+
+def first_distinct_users(spark, sf_dir):
+    """LIM6: per event type, the first FIRST_USERS distinct users in (ts, event_id) order."""
+    ev = table(spark, sf_dir, "events").select("event_type", "user_id", "ts", "event_id")
+    out = limits.first_distinct(ev, "user_id", "event_type", FIRST_USERS, ["ts", "event_id"])
+    return out.select("event_type", "user_id", "event_id")
+
+
+def doc_snippets(spark, sf_dir):
+    """PRJ5: summary (text[:200]+'...', cleaned, default) and html-style snippet of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("html"))
+    out = records.snippets(docs, meta_description=None)
+    return out.select("doc_id", "summary", F.col("html").alias("snippet"))
+
+
+def iso_dates(spark, sf_dir):
+    """DAT6: ISO re-format of every event time (Python isoformat of a UTC instant)."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", D.iso_format(D.to_instant("ts")).alias("iso"),
+                     D.iso_or_default(F.col("props"), AS_OF).alias("props_date"))
+
+
+def distinct_sources(spark, sf_dir):
+    """AGG3: the unordered set of sources."""
+    return dedupe.distinct_values(table(spark, sf_dir, "documents"), "source")
+
+
+QUERIES.update({
+    "feed_enrich": feed_enrich,
+    "first_distinct_users": first_distinct_users,
+    "doc_snippets": doc_snippets,
+    "iso_dates": iso_dates,
+    "distinct_sources": distinct_sources,
+})

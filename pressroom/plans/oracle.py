@@ -309,6 +309,48 @@ SELECT {fmt_ts("date_trunc('hour', ts)")} AS window_start, event_type, count(*)
 FROM events GROUP BY ALL
 """
 
+_ENTRIES = f"""
+SELECT {_OG} AS url, dayofmonth(ts) AS feed_ord, event_id AS item_ord, 'ev ' || CAST(event_id AS VARCHAR) AS title,
+       {fmt_ts('ts')} AS publish_date, event_type AS summary, value FROM events
+"""
+_SLUG = (f"array_to_string(list_transform(list_filter(string_split("
+         f"(string_split(regexp_replace(url, '^/+|/+$', '', 'g'), '/'))[-1], '-'), lambda w: w <> ''), "
+         f"lambda w: {title('w')}), ' ')")
+FEED_ENRICH = f"""
+WITH e AS ({_ENTRIES}),
+u AS (SELECT DISTINCT url FROM e WHERE value > 50),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY feed_ord, item_ord) AS rn FROM e) WHERE rn = 1)
+SELECT u.url, CASE WHEN f.url IS NOT NULL THEN f.title ELSE {_SLUG.replace('url', 'u.url')} END AS title,
+       CASE WHEN f.url IS NOT NULL THEN f.publish_date ELSE {q(C.AS_OF)} END AS publish_date,
+       CASE WHEN f.url IS NOT NULL THEN f.summary ELSE '' END AS summary
+FROM u LEFT JOIN f ON u.url = f.url
+"""
+
+FIRST_DISTINCT_USERS = f"""
+WITH f AS (SELECT * FROM (SELECT event_type, user_id, ts, event_id,
+             row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1)
+SELECT event_type, user_id, event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS r FROM f) WHERE r <= {C.FIRST_USERS}
+"""
+
+DOC_SNIPPETS = f"""
+SELECT doc_id,
+  coalesce(nullif(coalesce({clean_ws("substr(coalesce(text, ''), 1, 200) || '...'")}, ''), ''), 'Sin resumen disponible')
+    AS summary,
+  CASE WHEN text IS NOT NULL AND text <> '' THEN substr(text, 1, 500) || '...' ELSE '' END AS snippet
+FROM documents
+"""
+
+ISO_DATES = f"""
+SELECT event_id,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(ts, '%f') <> '000000' THEN '.' || strftime(ts, '%f') ELSE '' END
+    || '+00:00' AS iso,
+  strftime(TIMESTAMP {q(C.AS_OF)}, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS props_date
+FROM events
+"""
+
+DISTINCT_SOURCES = "SELECT DISTINCT source FROM documents WHERE source IS NOT NULL"
+
 ORACLE = {
     "site_digest": SITE_DIGEST,
     "canonical_first_seen": CANONICAL_FIRST_SEEN,
@@ -345,4 +387,9 @@ ORACLE = {
     "csv_round_trip": CSV_ROUND_TRIP,
     "stream_dedupe": STREAM_DEDUPE,
     "stream_hourly": STREAM_HOURLY,
+    "feed_enrich": FEED_ENRICH,
+    "first_distinct_users": FIRST_DISTINCT_USERS,
+    "doc_snippets": DOC_SNIPPETS,
+    "iso_dates": ISO_DATES,
+    "distinct_sources": DISTINCT_SOURCES,
 }
