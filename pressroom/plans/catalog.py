@@ -66,10 +66,10 @@ def site_digest(spark, sf_dir):
 
 
 def canonical_first_seen(spark, sf_dir):
+    """STR5 + AGG2: first page per canonical URL and the number of versions, in one aggregation."""
     pages = table(spark, sf_dir, "pages").select("page_id", U.canonical_url("url").alias("canonical_url"))
-    counts = pages.groupBy("canonical_url").agg(F.count(F.lit(1)).alias("n_versions"))
-    firsts = dedupe.first_seen(pages, "canonical_url", ["page_id"])
-    return firsts.join(counts, "canonical_url").select("canonical_url", "page_id", "n_versions")
+    return pages.groupBy("canonical_url").agg(F.min_by("page_id", "page_id").alias("page_id"),
+                                              F.count(F.lit(1)).alias("n_versions"))
 
 
 def url_sections_base(spark, sf_dir):

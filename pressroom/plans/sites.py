@@ -89,9 +89,13 @@ def run_sites(sites: DataFrame, docs: DataFrame, as_of, days: int = 1, pages: Da
                                                F.count_if(~F.col("recent")).alias("n_skipped"))
     kept = dedupe.first_seen(e.filter("recent"), ["site", "url"], ["feed_ord", "item_ord"])     # AGG2
     cap = F.coalesce(F.col("max_articles"), F.lit(default_cap))
+    # the largest cap of the registry (one row per site: a bounded, tiny read) as a literal bound,
+    # so the window is planned with a WindowGroupLimit below the shuffle; the per-site cap follows
+    max_cap = sites.agg(F.max(F.coalesce("max_articles", F.lit(default_cap)))).first()[0] or default_cap
     from pyspark.sql import Window
     w = Window.partitionBy("site").orderBy("feed_ord", "item_ord")
-    kept = kept.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cap)      # LIM1/LIM5
+    kept = kept.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(int(max_cap)))
+    kept = kept.filter(F.col("rank") <= cap)                                                  # LIM1/LIM5
     if pages is not None:
         p = pages.select(F.col("url"), H.page_title("html").alias("page_title"),
                          H.meta_authors("html").alias("meta_authors"))

@@ -24,8 +24,14 @@ HOUR_PARTS = ["year", "month", "day", "hour"]
 
 
 def _clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
-    # hash-cluster on the partition columns: every partition value is written by few tasks
-    return df.repartition(*[F.col(p) for p in parts])
+    """Cluster rows by the output partition columns before writing.
+
+    ``rebalance`` (not ``repartition``): rows of one partition value go to the
+    same task so few files are written per partition, and AQE splits a
+    partition value that holds a large share of the rows (a hot source or hour)
+    across several tasks instead of writing it from one.
+    """
+    return df.hint("rebalance", *parts)
 
 
 def write_hours(df: DataFrame, base: str, parts: Sequence[str] = HOUR_PARTS) -> None:
