@@ -46,11 +46,14 @@ def _cap_words(x: Column) -> Column:
 def ci_distinct(arr) -> Column:
     """AGG4: case-insensitive distinct, first spelling and order kept.
 
-    Quadratic in the list length (meant for a record's author list); long
-    lists are cleaned row-wise with ``clean_rows`` instead."""
+    A fold over the list (the input array is evaluated once); membership tests
+    make it quadratic in the list length, which suits a record's author list --
+    long lists are cleaned row-wise with ``clean_rows`` instead."""
     a = _c(arr)
-    low = F.transform(a, lambda y: F.lower(y))
-    return F.filter(a, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
+    init = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast("array<string>").alias("out"))
+    step = lambda acc, x: F.when(F.array_contains(acc["seen"], F.lower(x)), acc).otherwise(
+        F.struct(F.array_append(acc["seen"], F.lower(x)).alias("seen"), F.array_append(acc["out"], x).alias("out")))
+    return F.aggregate(a, init, step, lambda acc: acc["out"])
 
 
 def _nonblank(a: Column) -> Column:

@@ -72,19 +72,18 @@ def url_date(url) -> Column:
     from .urls import path_pieces
 
     p = path_pieces(url)
-    n = F.size(p)
-    idx = F.sequence(F.lit(0), F.greatest(n - 3, F.lit(-1)))
-    idx = F.when(n >= 3, idx).otherwise(F.array().cast("array<int>"))
+    # windows of three consecutive pieces, as one zipped array (no outer array inside a lambda)
+    z = F.arrays_zip(p.alias("y"), F.slice(p, 2, 1 << 30).alias("m"), F.slice(p, 3, 1 << 30).alias("d"))
 
-    def at(i):
-        y, m, d = F.get(p, i), F.get(p, i + 1), F.get(p, i + 2)
+    def at(w):
+        y, m, d = w["y"], w["m"], w["d"]
         ok = y.rlike("^[0-9]{4}$") & m.rlike("^[0-9]+$") & d.rlike("^[0-9]+$")
         yi, mi, di = y.try_cast("int"), m.try_cast("int"), d.try_cast("int")
         txt = F.format_string("%04d-%02d-%02d", yi, mi, di)
         return F.when(ok & (yi >= 1) & (mi <= 12) & (di <= 31),
                       F.try_to_timestamp(txt, F.lit("yyyy-MM-dd")))
 
-    cands = F.filter(F.transform(idx, at), lambda x: x.isNotNull())
+    cands = F.filter(F.transform(z, at), lambda x: x.isNotNull())
     return F.get(cands, 0)
 
 

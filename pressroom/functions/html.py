@@ -78,10 +78,11 @@ def meta_map(html) -> Column:
         F.lower(F.regexp_extract(t, _META_KEY, 1)).alias("k"),
         unescape(F.regexp_extract(t, _META_VAL, 1)).alias("v")))
     good = F.filter(entries, lambda e: (e["k"] != "") & (e["v"] != ""))
-    # first occurrence of a key wins: keep entries whose key is not seen before
-    keys = F.transform(good, lambda e: e["k"])
-    uniq = F.filter(good, lambda e, i: F.array_position(keys, e["k"]) == i + 1)
-    return F.map_from_entries(uniq)
+    # first occurrence of a key wins; folded with ``aggregate`` so the tag list is computed once
+    # (an outer array referenced inside a lambda would be re-evaluated for every element)
+    empty = F.create_map().cast("map<string,string>")
+    return F.aggregate(good, empty, lambda acc, e: F.when(F.map_contains_key(acc, e["k"]), acc)
+                       .otherwise(F.map_concat(acc, F.create_map(e["k"], e["v"]))))
 
 
 def meta_json(html) -> Column:
@@ -168,11 +169,12 @@ def jsonld_field(html, path: str) -> Column:
     return F.get(F.filter(vals, lambda x: x.isNotNull()), 0)
 
 
-def time_datetime(html) -> Column:
-    """HTM7: ``<time datetime=...>`` (itemprop=datePublished first), else the published meta."""
+def time_datetime(html, meta: Column | None = None) -> Column:
+    """HTM7: ``<time datetime=...>`` (itemprop=datePublished first), else the published meta.
+    Pass an already computed ``meta_map`` column as ``meta`` to avoid parsing the tags again."""
     dp = F.regexp_extract(_c(html), "(?is)<time\\b[^>]*itemprop=\"datePublished\"[^>]*datetime=\"([^\"]*)\"", 1)
     anyt = F.regexp_extract(_c(html), "(?is)<time\\b[^>]*datetime=\"([^\"]*)\"", 1)
-    m = meta_map(html)
+    m = meta if meta is not None else meta_map(html)
     return F.coalesce(F.nullif(dp, F.lit("")), F.nullif(anyt, F.lit("")),
                       F.element_at(m, F.lit("article:published_time")),
                       F.element_at(m, F.lit("pubdate")))

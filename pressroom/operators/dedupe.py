@@ -64,9 +64,8 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 def ci_distinct(arr) -> Column:
     """AGG4: case-insensitive distinct inside an array, first spelling kept, order kept."""
-    a = F.col(arr) if isinstance(arr, str) else arr
-    low = F.transform(a, lambda y: F.lower(y))
-    return F.filter(a, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
+    from ..functions.authors import ci_distinct as _ci
+    return _ci(F.col(arr) if isinstance(arr, str) else arr)
 
 
 def distinct_authors(*arrays) -> Column:

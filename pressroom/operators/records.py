@@ -152,25 +152,6 @@ def feed_summary(c, n: int = 500) -> Column:
 
 
 # --------------------------------------------------------------------- PRJ6-8
-def _paths_struct(paths: Sequence[str]) -> T.StructType:
-    """A nested StructType covering the dotted ``paths`` (all leaves strings)."""
-    tree: dict = {}
-    for p in paths:
-        node = tree
-        parts = p.split(".")
-        for part in parts[:-1]:
-            node = node.setdefault(part, {})
-            if node is None:
-                break
-        else:
-            node.setdefault(parts[-1], None)
-
-    def build(node: dict) -> T.StructType:
-        return T.StructType([T.StructField(k, T.StringType() if v is None else build(v))
-                             for k, v in node.items()])
-    return build(tree)
-
-
 def project_paths(df: DataFrame, data: str, paths: Sequence[str], prefix: str = "") -> DataFrame:
     """PRJ6: one column per dotted path of a JSON payload, parsed once.
 
@@ -312,3 +293,60 @@ def record_from_entry(entries: DataFrame, as_of, url: str = "url", news_title: s
         "publish_date": F.coalesce(iso_format(parse_any(p)), iso_format(as_of_lit(as_of))),
         "summary": F.coalesce(s, F.lit("")),
     })
+
+
+# --------------------------------------------------------------------- PRJ18
+def assemble_article(pages: DataFrame, as_of, url: str = "url", html: str = "html",
+                     source=None, section_rule: str = "base", author_rule: str = "strict",
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """PRJ18: one article record per page, by field precedence, with the required defaults.
+
+    title        h1 selectors -> <title> -> og:title; 'Sin título'
+    publish_date <time datetime> / published meta -> JSON-LD datePublished; else as_of (ISO)
+    authors      AUT10: JSON-LD authors, then meta author tags, then the byline meta
+                 (each cleaned by ``author_rule``); else ['Redacción']
+    text         paragraphs of the first <article> longer than 30 characters
+    summary      description meta, else text[:200] + '...'; cleaned; 'Sin resumen disponible'
+    section      by ``section_rule`` (base / nodate / mapped / first)
+    """
+    from ..functions import html as H
+    from ..functions import urls as U
+    from ..functions.authors import author_precedence
+
+    # stage 1: every expensive per-page value once (fresh lambdas defeat common-subexpression
+    # elimination, and CollapseProject keeps an expensive column that is referenced twice)
+    h = F.col(html)
+    m = H.meta_map(h)
+    stage = pages.select(*keep, F.col(url), h, m.alias("_m"), H.main_text(h).alias("_text"),
+                         H.jsonld_authors(h).alias("_ld_authors"),
+                         H.jsonld_field(h, "$.datePublished").alias("_ld_date"),
+                         *([source.alias("_source")] if source is not None else []))
+    m = F.col("_m")
+    t = F.coalesce(H.page_title(F.col(html)), H.head_title(F.col(html)),
+                   F.nullif(F.element_at(m, F.lit("og:title")), F.lit("")))
+    date_txt = F.coalesce(H.time_datetime(F.col(html), meta=m), F.col("_ld_date"))
+    text = F.col("_text")
+    desc = F.nullif(F.element_at(m, F.lit("description")), F.lit(""))
+    summary = F.coalesce(desc, F.concat(F.substring(text, 1, 200), F.lit("...")))
+    u = F.col(url)
+    if section_rule == "nodate":
+        sec = U.sections_nodate(u)
+    elif section_rule == "mapped":
+        sec = U.sections_mapped(u)
+    elif section_rule == "first":
+        sec = F.struct(U.section_first(u).alias("section"), F.lit("").alias("subsection"))
+    else:
+        sec = U.sections_base(u)
+    authors = author_precedence(F.col("_ld_authors"), H.meta_authors(m, is_map=True),
+                                H.meta_byline(m, is_map=True), rule=author_rule)
+    return stage.select(
+        *keep, u.alias("url"),
+        F.coalesce(F.nullif(clean_text(t), F.lit("")), F.lit("Sin título")).alias("title"),
+        text.alias("text"),
+        F.coalesce(iso_format(parse_any(date_txt)), iso_format(as_of_lit(as_of))).alias("publish_date"),
+        authors.alias("authors"),
+        (F.col("_source") if source is not None else F.lit("")).alias("source"),
+        U.domain(u).alias("domain"),
+        F.coalesce(F.nullif(clean_text(summary), F.lit("")), F.lit("Sin resumen disponible")).alias("summary"),
+        sec["section"].alias("section"), sec["subsection"].alias("subsection"),
+    )

@@ -11,7 +11,7 @@ from ..operators.recency import hour_bounds
 from ..operators.records import WEEKDAY_IT
 from . import catalog as C
 from .sqlparts import (canonical, clean_ws, domain, fmt_ts, q, section_name, sections_base,
-                       slug_title, tag_text, title, to_rome, url_path)
+                       slug_title, tag_text, title, to_rome, unescape, url_path)
 
 AS_OF = f"TIMESTAMP {q(C.AS_OF)}"
 
@@ -351,6 +351,58 @@ FROM events
 
 DISTINCT_SOURCES = "SELECT DISTINCT source FROM documents WHERE source IS NOT NULL"
 
+_META_KEY = "(?is)\\b(?:name|property|itemprop)\\s*=\\s*[\"']([^\"']*)[\"']"
+_META_VAL = "(?is)\\bcontent\\s*=\\s*[\"']([^\"']*)[\"']"
+
+
+def _meta(h: str, key: str) -> str:
+    entries = (f"list_transform(regexp_extract_all({h}, '(?is)<meta\\b[^>]*>'), lambda t: "
+               f"{{'k': lower(regexp_extract(t, {q(_META_KEY)}, 1)), 'v': {unescape('regexp_extract(t, ' + q(_META_VAL) + ', 1)')}}})")
+    return f"(list_filter({entries}, lambda e: e.k = {q(key)} AND e.v <> ''))[1].v"
+
+
+def _jsonld_field(h: str, path: str) -> str:
+    blocks = f"list_filter(regexp_extract_all({h}, '(?is)<script[^>]*application/ld\\+json[^>]*>(.*?)</script>', 1), lambda b: json_valid(b))"
+    items = (f"flatten(list_transform({blocks}, lambda b: CASE WHEN json_type(CAST(b AS JSON)) = 'ARRAY' "
+             f"THEN CAST(json_extract(b, '$[*]') AS JSON[]) ELSE [CAST(b AS JSON)] END))")
+    return f"(list_filter(list_transform({items}, lambda i: json_extract_string(i, {q(path)})), lambda x: x IS NOT NULL))[1]"
+
+
+def _parse_any(s: str) -> str:
+    t = f"trim({s})"
+    return (f"(CASE WHEN regexp_matches({t}, '(Z|[+-][0-9][0-9]:?[0-9][0-9])$') "
+            f"THEN timezone('UTC', TRY_CAST({t} AS TIMESTAMPTZ)) ELSE TRY_CAST({t} AS TIMESTAMP) END)")
+
+
+def _iso(ts: str) -> str:
+    return (f"(strftime({ts}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime({ts}, '%f') <> '000000' "
+            f"THEN '.' || strftime({ts}, '%f') ELSE '' END || '+00:00')")
+
+
+_TIME_DP = "nullif(regexp_extract(html, '(?is)<time\\b[^>]*itemprop=\"datePublished\"[^>]*datetime=\"([^\"]*)\"', 1), '')"
+_TIME_ANY = "nullif(regexp_extract(html, '(?is)<time\\b[^>]*datetime=\"([^\"]*)\"', 1), '')"
+_DATE_TXT = (f"coalesce({_TIME_DP}, {_TIME_ANY}, {_meta('html', 'article:published_time')}, {_meta('html', 'pubdate')}, "
+             f"{_jsonld_field('html', '$.datePublished')})")
+_TITLE_TAG = "regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1)"
+_HEAD_TITLE = f"nullif({tag_text(_TITLE_TAG)}, '')"
+ASSEMBLED_PAGES = f"""
+WITH p AS (
+  SELECT page_id, url, html,
+    coalesce({_page_title('html')}, {_HEAD_TITLE}, nullif({_meta('html', 'og:title')}, '')) AS t,
+    array_to_string(list_filter({_PS}, lambda x: length(x) > 30), ' ') AS text,
+    {_DATE_TXT} AS date_txt,
+    nullif({_meta('html', 'description')}, '') AS descr
+  FROM pages)
+SELECT page_id,
+  coalesce(nullif(coalesce({clean_ws('t')}, ''), ''), 'Sin título') AS title,
+  coalesce({_iso(_parse_any('date_txt'))}, {q(C.AS_OF.replace(' ', 'T') + '+00:00')}) AS publish_date,
+  '' AS source, {domain('url')} AS domain,
+  coalesce(nullif(coalesce({clean_ws("coalesce(descr, substr(text, 1, 200) || '...')")}, ''), ''),
+           'Sin resumen disponible') AS summary,
+  {_SEC} AS section, {_SUB} AS subsection, CAST(length(text) AS BIGINT) AS text_chars
+FROM p
+"""
+
 ORACLE = {
     "site_digest": SITE_DIGEST,
     "canonical_first_seen": CANONICAL_FIRST_SEEN,
@@ -392,4 +444,5 @@ ORACLE = {
     "doc_snippets": DOC_SNIPPETS,
     "iso_dates": ISO_DATES,
     "distinct_sources": DISTINCT_SOURCES,
+    "assembled_pages": ASSEMBLED_PAGES,
 }

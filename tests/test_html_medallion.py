@@ -81,3 +81,16 @@ def test_hourly_job_idempotent(spark, tmp_dir):
     assert spark.read.parquet(paths["published"]).count() == 2
     assert spark.read.parquet(paths["feed_rss"]).count() == 2
     assert spark.read.parquet(paths["published_html"]).count() == 2
+
+
+def test_assemble_article(spark):
+    df = spark.createDataFrame([("https://s.es/deportes/futbol/gol.html", PAGE), ("https://s.es/x", "<html></html>")],
+                               "url string, html string")
+    rows = {r.url: r for r in records.assemble_article(df, "2024-01-28 10:00:00").collect()}
+    a = rows["https://s.es/deportes/futbol/gol.html"]
+    assert (a.title, a.section, a.subsection, a.domain) == ("Gran gol", "Deportes", "Futbol", "s.es")
+    assert a.publish_date == "2024-01-28T08:00:00+00:00" and a.summary == "Desc & más"
+    assert a.authors == ["Ana Pérez", "Luis Gil", "Solo Autor"]     # JSON-LD wins over the meta author
+    b = rows["https://s.es/x"]
+    assert (b.title, b.authors, b.summary, b.publish_date) == ("Sin título", ["Redacción"], "...",
+                                                              "2024-01-28T10:00:00+00:00")
