@@ -35,8 +35,16 @@ MERGE_DELAY = 120
 META_PATHS = ["k", "k.x", "missing.path"]
 
 
+TEXT_TABLES = {"pages", "documents", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; text tables (per-row regex/parse work) are spread when under-split."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        from ..session import spread_if_undersplit
+        df = spread_if_undersplit(df)
+    return df
 
 
 def _ts_text(c):

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on for repeatable results (UTC session clock,
 # dynamic partition overwrite, no partition type inference) and for scale
@@ -82,3 +82,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
+
+
+def spread_if_undersplit(df: DataFrame) -> DataFrame:
+    """Round-robin a CPU-heavy input only when its scan has fewer splits than the cluster has cores.
+
+    Spark cannot split a Parquet row group, so a small table written as one row
+    group runs its regex/parse work in one task.  On a large input (many files
+    and row groups) the split count is far above the parallelism and this is a
+    no-op, so no shuffle is added where the scan already spreads the work.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
