@@ -401,23 +401,7 @@ def rss_round_trip(spark, sf_dir):
     """events -> RSS documents of at most RSS_CHUNK items (consecutive event ids of one type)
     -> SRC3 parse (order kept) -> DAT1 RFC 822 parse."""
     from ..sources.feeds import parse_feed
-    ev = table(spark, sf_dir, "events")
-    t = D.to_instant("ts")
-    item = F.concat(
-        F.lit("<item><title>"), X.xml_escape(F.concat(F.col("event_type"), F.lit(" & user "),
-                                                       F.col("user_id").cast("string"))),
-        F.lit("</title><link>https://news.example/"), F.col("event_type"), F.lit("/"),
-        F.col("event_id").cast("string"), F.lit(".html</link><pubDate>"),
-        F.date_format(t, "EEE, dd MMM yyyy HH:mm:ss Z"), F.lit("</pubDate><guid>"),
-        F.col("event_id").cast("string"), F.lit("</guid></item>"))
-    chunk = F.floor(F.col("event_id") / RSS_CHUNK)
-    docs = (ev.select("event_type", chunk.alias("chunk"), "event_id", item.alias("item"))
-            .groupBy("event_type", "chunk")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "item"))),
-                                          lambda s: s["item"]), "").alias("items")))
-    docs = docs.select("event_type", "chunk", F.concat(
-        F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>'), F.col("event_type"),
-        F.lit("</title>"), F.col("items"), F.lit("</channel></rss>")).alias("content"))
+    docs = _rss_docs(spark, sf_dir)
     items = parse_feed(docs, keep=["event_type", "chunk"])
     return items.select(F.col("guid").cast("bigint").alias("event_id"), "event_type",
                         F.col("item_ord").cast("bigint").alias("item_ord"), "title", "link",
@@ -605,3 +589,104 @@ def assembled_pages(spark, sf_dir):
 
 
 QUERIES["assembled_pages"] = assembled_pages
+
+
+# ------------------------------------------------------------------ file sources, Atom
+def _rss_docs(spark, sf_dir):
+    """events -> RSS documents of at most RSS_CHUNK items (shared by the RSS queries)."""
+    ev = table(spark, sf_dir, "events")
+    t = D.to_instant("ts")
+    item = F.concat(
+        F.lit("<item><title>"), X.xml_escape(F.concat(F.col("event_type"), F.lit(" & user "),
+                                                       F.col("user_id").cast("string"))),
+        F.lit("</title><link>https://news.example/"), F.col("event_type"), F.lit("/"),
+        F.col("event_id").cast("string"), F.lit(".html</link><pubDate>"),
+        F.date_format(t, "EEE, dd MMM yyyy HH:mm:ss Z"), F.lit("</pubDate><guid>"),
+        F.col("event_id").cast("string"), F.lit("</guid></item>"))
+    chunk = F.floor(F.col("event_id") / RSS_CHUNK)
+    docs = (ev.select("event_type", chunk.alias("chunk"), "event_id", item.alias("item"))
+            .groupBy("event_type", "chunk")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "item"))),
+                                          lambda s: s["item"]), "").alias("items")))
+    return docs.select("event_type", "chunk", F.concat(
+        F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>'), F.col("event_type"),
+        F.lit("</title>"), F.col("items"), F.lit("</channel></rss>")).alias("content"))
+
+
+def rss_file_scan(spark, sf_dir):
+    """SRC1: events written as RSS files with Spark's XML sink (each output file is one
+    <channel> of <item>s) and scanned back with rowTag=item."""
+    from ..session import scratch_path
+    from ..sources.feeds import read_rss_items
+    ev = table(spark, sf_dir, "events")
+    items = ev.select(
+        F.concat(F.col("event_type"), F.lit(" & user "), F.col("user_id").cast("string")).alias("title"),
+        F.concat(F.lit("https://news.example/"), F.col("event_type"), F.lit("/"),
+                 F.col("event_id").cast("string"), F.lit(".html")).alias("link"),
+        F.date_format(D.to_instant("ts"), "EEE, dd MMM yyyy HH:mm:ss Z").alias("pubDate"),
+        F.col("event_id").cast("string").alias("guid"))
+    out = scratch_path(spark, "rss-files")
+    items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(out)
+    back = read_rss_items(spark, out)
+    return back.select(F.col("guid").cast("bigint").alias("event_id"), "title", "link",
+                       _ts_text(D.parse_rfc822("pubDate")).alias("published"))
+
+
+_URLSET_ROOT = 'urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
+
+
+def sitemap_file_scan(spark, sf_dir):
+    """SRC2: pages written as gzip-compressed news sitemaps with Spark's XML sink and scanned
+    back with rowTag=url (.gz decoded by extension)."""
+    from ..session import scratch_path
+    from ..sources.feeds import read_sitemap
+    pages = table(spark, sf_dir, "pages")
+    lastmod = F.date_format(F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(
+        F.lit(0), F.col("page_id").cast("int")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    # Spark's XML writer cannot emit prefixed names, so these are plain sitemaps (loc, lastmod);
+    # news:* fields are read by parse_sitemap (sitemap_round_trip) and the file reader's schema
+    urls = pages.select(F.col("url").alias("loc"), lastmod.alias("lastmod"))
+    out = scratch_path(spark, "sitemap-files")
+    urls.write.format("xml").option("rootTag", _URLSET_ROOT).option("rowTag", "url") \
+        .option("compression", "gzip").save(out)
+    sm = read_sitemap(spark, out)
+    return sm.select("loc", _ts_text(D.parse_iso_any("lastmod")).alias("lastmod"),
+                     F.col("`news:news`").isNull().alias("no_news"))
+
+
+ATOM_CHUNK = 8
+
+
+def atom_round_trip(spark, sf_dir):
+    """conversations -> Atom documents (at most ATOM_CHUNK entries, author e-mail only)
+    -> SRC3 Atom path -> AUT8 name from e-mail -> DAT4 date precedence (published, updated)."""
+    from ..sources.feeds import parse_feed
+    cv = table(spark, sf_dir, "conversations")
+    upd = F.date_format(F.lit("2024-01-01 00:00:00").cast("timestamp")
+                        + F.make_dt_interval(F.lit(0), F.col("conv_id").cast("int"), F.col("turn").cast("int")),
+                        "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    entry = F.concat(
+        F.lit("<entry><title>"), X.xml_escape(F.concat(F.col("role"), F.lit(" turn "), F.col("turn").cast("string"))),
+        F.lit('</title><link rel="alternate" href="https://chat.example/'), F.col("conv_id").cast("string"),
+        F.lit("/"), F.col("turn").cast("string"), F.lit('"/><updated>'), upd,
+        F.lit("</updated><author><email>"), F.col("role"), F.lit(".conv"), F.col("conv_id").cast("string"),
+        F.lit("@chat.example</email></author><id>"), F.col("conv_id").cast("string"), F.lit(":"),
+        F.col("turn").cast("string"), F.lit("</id></entry>"))
+    chunk = F.floor(F.col("turn") / ATOM_CHUNK)
+    docs = (cv.select("conv_id", chunk.alias("chunk"), "turn", entry.alias("e"))
+            .groupBy("conv_id", "chunk")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "e"))),
+                                          lambda s: s["e"]), "").alias("entries")))
+    docs = docs.select("conv_id", "chunk", F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'),
+                                                    "entries", F.lit("</feed>")).alias("content"))
+    items = parse_feed(docs, keep=["conv_id", "chunk"])
+    return items.select("conv_id", F.col("item_ord").cast("bigint").alias("item_ord"), "guid", "title", "link",
+                        F.array_join("authors", "|").alias("authors"),
+                        _ts_text(D.feed_date("published", "updated")).alias("published"))
+
+
+QUERIES.update({
+    "rss_file_scan": rss_file_scan,
+    "sitemap_file_scan": sitemap_file_scan,
+    "atom_round_trip": atom_round_trip,
+})

@@ -403,6 +403,30 @@ SELECT page_id,
 FROM p
 """
 
+RSS_FILE_SCAN = f"""
+SELECT event_id, event_type || ' & user ' || CAST(user_id AS VARCHAR) AS title,
+  'https://news.example/' || event_type || '/' || CAST(event_id AS VARCHAR) || '.html' AS link,
+  {fmt_ts('ts')} AS published
+FROM events
+"""
+
+SITEMAP_FILE_SCAN = f"""
+SELECT trim(url) AS loc, {fmt_ts(_LASTMOD)} AS lastmod, true AS no_news
+FROM pages
+"""
+
+_EMAIL_NAME = title("replace(role || '.conv' || CAST(conv_id AS VARCHAR), '.', ' ')")
+ATOM_ROUND_TRIP = f"""
+SELECT conv_id,
+  CAST(row_number() OVER (PARTITION BY conv_id, floor(turn / {C.ATOM_CHUNK}) ORDER BY turn) - 1 AS BIGINT) AS item_ord,
+  CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS guid,
+  role || ' turn ' || CAST(turn AS VARCHAR) AS title,
+  'https://chat.example/' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS link,
+  {_EMAIL_NAME} AS authors,
+  {fmt_ts("TIMESTAMP '2024-01-01 00:00:00' + to_hours(conv_id) + to_minutes(turn)")} AS published
+FROM conversations
+"""
+
 ORACLE = {
     "site_digest": SITE_DIGEST,
     "canonical_first_seen": CANONICAL_FIRST_SEEN,
@@ -445,4 +469,7 @@ ORACLE = {
     "iso_dates": ISO_DATES,
     "distinct_sources": DISTINCT_SOURCES,
     "assembled_pages": ASSEMBLED_PAGES,
+    "rss_file_scan": RSS_FILE_SCAN,
+    "sitemap_file_scan": SITEMAP_FILE_SCAN,
+    "atom_round_trip": ATOM_ROUND_TRIP,
 }
