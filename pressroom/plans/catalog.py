@@ -690,3 +690,124 @@ QUERIES.update({
     "sitemap_file_scan": sitemap_file_scan,
     "atom_round_trip": atom_round_trip,
 })
+
+
+# ------------------------------------------------------------------ indexes, robots, partitioned history
+INDEX_FANOUT = 16
+INDEX_CHILDREN = 5
+
+
+def _child_url(dom, chunk):
+    kind = F.when(dom.startswith("blog."), F.lit("google-news-")).otherwise(F.lit("sitemap-"))
+    return F.concat(F.lit("https://"), dom, F.lit("/"), kind, chunk.cast("string"), F.lit(".xml"))
+
+
+def sitemap_index_expand(spark, sf_dir):
+    """SRC5 + LIM3 + LIM7: per domain, sitemap indexes of at most INDEX_FANOUT child sitemaps
+    (each child: the domain's pages of one SITEMAP_CHUNK); children named 'google-news' go first
+    (later ones ahead), the first INDEX_CHILDREN are joined to their documents and parsed."""
+    from ..sources.feeds import expand_sitemap_index
+    pages = table(spark, sf_dir, "pages")
+    dom = U.domain("url")
+    chunk = F.floor(F.col("page_id") / SITEMAP_CHUNK)
+    entry = F.concat(F.lit("<url><loc>"), X.xml_escape(F.col("url")), F.lit("</loc></url>"))
+    child_docs = (pages.select(dom.alias("domain"), chunk.alias("chunk"), "page_id", entry.alias("e"))
+                  .groupBy("domain", "chunk")
+                  .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "e"))),
+                                                lambda s: s["e"]), "").alias("entries"))
+                  .select(_child_url(F.col("domain"), F.col("chunk")).alias("url"),
+                          F.concat(F.lit(f"<{_URLSET_ROOT}>"), "entries", F.lit("</urlset>")).alias("content")))
+    children = pages.select(dom.alias("domain"), chunk.alias("chunk")).distinct()
+    ichunk = F.floor(F.col("chunk") / INDEX_FANOUT)
+    index_docs = (children.select("domain", ichunk.alias("ichunk"), "chunk",
+                                  F.concat(F.lit("<sitemap><loc>"), _child_url(F.col("domain"), F.col("chunk")),
+                                           F.lit("</loc></sitemap>")).alias("s"))
+                  .groupBy("domain", "ichunk")
+                  .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "s"))),
+                                                lambda z: z["s"]), "").alias("items"))
+                  .select(F.col("domain").alias("site"),
+                          F.concat(F.lit("https://"), "domain", F.lit("/index-"), F.col("ichunk").cast("string"),
+                                   F.lit(".xml")).alias("url"),
+                          F.concat(F.lit('<sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'),
+                                   "items", F.lit("</sitemapindex>")).alias("content")))
+    ex = expand_sitemap_index(index_docs, child_docs, max_children=INDEX_CHILDREN, keep=("site",),
+                              priority_marker="google-news")
+    return ex.select(F.col("site").alias("domain"), "index_url", F.col("child_ord").cast("bigint").alias("child_ord"),
+                     "child_url", F.col("item_ord").cast("bigint").alias("item_ord"), "loc")
+
+
+def robots_candidates(spark, sf_dir):
+    """SRC6 + SRC7: robots.txt documents per domain chunk (directives in mixed case and
+    indentation) -> Sitemap: entries -> candidates = common paths of every domain ∪ entries."""
+    from ..sources.feeds import robots_sitemaps, sitemap_candidates
+    pages = table(spark, sf_dir, "pages")
+    dom = U.domain("url")
+    chunk = F.floor(F.col("page_id") / SITEMAP_CHUNK)
+    directive = F.when(dom.startswith("blog."), F.lit("  sitemap:  ")).otherwise(F.lit("Sitemap: "))
+    line = F.concat(directive, F.lit("https://"), dom, F.lit("/sitemap-"), F.col("page_id").cast("string"), F.lit(".xml"))
+    robots = (pages.select(dom.alias("site"), chunk.alias("chunk"), "page_id", line.alias("l"))
+              .groupBy("site", "chunk")
+              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "l"))),
+                                            lambda s: s["l"]), "\n").alias("lines"))
+              .select("site", "chunk", F.concat(F.lit("User-agent: *\nDisallow: /private\n"), "lines").alias("content")))
+    entries = robots_sitemaps(robots, keep=["site", "chunk"])
+    sites = pages.select(dom.alias("name")).distinct().select("name", F.concat(F.lit("https://"), "name", F.lit("/"))
+                                                              .alias("url"))
+    return sitemap_candidates(sites, entries.select("site", "sitemap_url"))
+
+
+def hours_round_trip(spark, sf_dir):
+    """SNK1 + SRC10 + FLT9: two overlapping batches written hour-partitioned with dynamic
+    overwrite (the second replaces the hours it touches), then the run window read back."""
+    from ..session import scratch_path
+    from ..sinks.writers import write_hours
+    from ..sources.tables import read_hours
+    ev = table(spark, sf_dir, "events")
+
+    def batch(df, name):
+        df = df.select("event_id", F.lit(name).alias("batch"), D.to_instant("ts").alias("t"))
+        return records.hour_columns(df, "t", "Europe/Rome").drop("t")
+    base = scratch_path(spark, "hours")
+    write_hours(batch(ev.filter(F.col("ts") < F.lit(MERGE_SPLIT).cast("timestamp_ntz")), "b1"), base)
+    write_hours(batch(ev.filter(F.col("ts") >= F.lit(MERGE_NEW_FROM).cast("timestamp_ntz")), "b2"), base)
+    schema = spark.createDataFrame([], "event_id bigint, batch string").schema
+    return read_hours(spark, base, MERGE_SPLIT, MERGE_DELAY, schema)
+
+
+def page_attach(spark, sf_dir):
+    """JON4: canonical URLs with the page snapshot stored under that exact URL, if any."""
+    pages = table(spark, sf_dir, "pages")
+    urls = pages.select(U.canonical_url("url").alias("url")).distinct()
+    j = enrich.attach_pages(urls, pages.select("url", "html"))
+    return j.select("url", "has_page", F.length("html").cast("bigint").alias("html_chars"))
+
+
+def url_sections_capitalized(spark, sf_dir):
+    """URL5 with the HTM9 breadcrumb of the page as fallback."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", U.section_capitalized(F.col("url"), H.breadcrumb_second("html")).alias("section"))
+
+
+def url_sections_breadcrumb(spark, sf_dir):
+    """URL6: breadcrumb label first, then the first path piece, then 'General'."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", U.section_breadcrumb(F.col("url"), H.breadcrumb_second("html")).alias("section"))
+
+
+def run_hours(spark, sf_dir):
+    """DAT8: the hour list of the run window with the events of each hour (zero when none)."""
+    hours = spark.range(1).select(F.explode(D.window_hours(AS_OF, HOUR_DELAY)).alias("h"))
+    ev = table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", D.to_instant("ts")).alias("h")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    return hours.join(ev, "h", "left").select(_ts_text("h").alias("hour"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+QUERIES.update({
+    "sitemap_index_expand": sitemap_index_expand,
+    "robots_candidates": robots_candidates,
+    "hours_round_trip": hours_round_trip,
+    "page_attach": page_attach,
+    "url_sections_capitalized": url_sections_capitalized,
+    "url_sections_breadcrumb": url_sections_breadcrumb,
+    "run_hours": run_hours,
+})

@@ -8,9 +8,10 @@ from __future__ import annotations
 from ..functions.html import TITLE_H1_CLASSES
 from ..functions.text import CONTROL_CHARS, WS_AFTER_CONTROL
 from ..operators.recency import hour_bounds
+from ..sources.feeds import COMMON_SITEMAP_PATHS
 from ..operators.records import WEEKDAY_IT
 from . import catalog as C
-from .sqlparts import (canonical, clean_ws, domain, fmt_ts, q, section_name, sections_base,
+from .sqlparts import (canonical, capitalize, clean_ws, domain, fmt_ts, q, section_name, sections_base,
                        slug_title, tag_text, title, to_rome, unescape, url_path)
 
 AS_OF = f"TIMESTAMP {q(C.AS_OF)}"
@@ -427,6 +428,73 @@ SELECT conv_id,
 FROM conversations
 """
 
+_DOM = domain('url')
+_KIND = "CASE WHEN starts_with(domain, 'blog.') THEN 'google-news-' ELSE 'sitemap-' END"
+SITEMAP_INDEX_EXPAND = f"""
+WITH p AS (SELECT page_id, url, {_DOM} AS domain, CAST(floor(page_id / {C.SITEMAP_CHUNK}) AS BIGINT) AS chunk FROM pages),
+c AS (SELECT DISTINCT domain, chunk FROM p),
+c2 AS (SELECT domain, chunk, CAST(floor(chunk / {C.INDEX_FANOUT}) AS BIGINT) AS ichunk,
+         'https://' || domain || '/' || {_KIND} || CAST(chunk AS VARCHAR) || '.xml' AS child_url,
+         CAST(row_number() OVER (PARTITION BY domain, floor(chunk / {C.INDEX_FANOUT})
+              ORDER BY CASE WHEN starts_with(domain, 'blog.') THEN -chunk ELSE chunk END) - 1 AS BIGINT) AS child_ord
+       FROM c),
+e AS (SELECT domain, chunk, trim(url) AS loc,
+        CAST(row_number() OVER (PARTITION BY domain, chunk ORDER BY page_id) - 1 AS BIGINT) AS item_ord FROM p)
+SELECT c2.domain, 'https://' || c2.domain || '/index-' || CAST(c2.ichunk AS VARCHAR) || '.xml' AS index_url,
+       c2.child_ord, c2.child_url, e.item_ord, e.loc
+FROM c2 JOIN e ON e.domain = c2.domain AND e.chunk = c2.chunk
+WHERE c2.child_ord < {C.INDEX_CHILDREN}
+"""
+
+_COMMON = "[" + ", ".join(q(x) for x in COMMON_SITEMAP_PATHS) + "]"
+ROBOTS_CANDIDATES = f"""
+WITH d AS (SELECT DISTINCT {_DOM} AS site FROM pages)
+SELECT site, 'https://' || site || unnest({_COMMON}) AS sitemap_url FROM d
+UNION
+SELECT {_DOM} AS site, 'https://' || {_DOM} || '/sitemap-' || CAST(page_id AS VARCHAR) || '.xml' AS sitemap_url FROM pages
+"""
+
+_H_LO, _H_HI = hour_bounds(C.MERGE_SPLIT, C.MERGE_DELAY)
+HOURS_ROUND_TRIP = f"""
+WITH b1 AS (SELECT event_id, 'b1' AS batch, {_parts('ts')} FROM events WHERE ts < TIMESTAMP {q(C.MERGE_SPLIT)}),
+b2 AS (SELECT event_id, 'b2' AS batch, {_parts('ts')} FROM events WHERE ts >= TIMESTAMP {q(C.MERGE_NEW_FROM)}),
+h2 AS (SELECT DISTINCT year, month, day, hour FROM b2),
+f AS (SELECT * FROM b2 UNION ALL
+      SELECT b1.* FROM b1 WHERE NOT EXISTS (SELECT 1 FROM h2 WHERE h2.year = b1.year AND h2.month = b1.month
+                                            AND h2.day = b1.day AND h2.hour = b1.hour))
+SELECT * FROM f WHERE TRY_CAST(year || month || day || hour AS INTEGER) BETWEEN {_H_LO} AND {_H_HI}
+"""
+
+PAGE_ATTACH = f"""
+WITH u AS (SELECT DISTINCT {canonical('url')} AS url FROM pages)
+SELECT u.url, p.url IS NOT NULL AS has_page, CAST(length(p.html) AS BIGINT) AS html_chars
+FROM u LEFT JOIN (SELECT url, html FROM pages) p ON u.url = p.url
+"""
+
+_OL = "regexp_extract(html, '(?is)<ol\\b[^>]*class=\"[^\"]*\\bbreadcrumb\\b[^\"]*\"[^>]*>(.*?)</ol>', 1)"
+_CRUMB = f"nullif({tag_text('(regexp_extract_all(' + _OL + ', ' + q('(?is)<li\\b[^>]*>(.*?)</li>') + ', 1))[2]')}, '')"
+_FIRST = f"split_part(regexp_replace({url_path('url')}, '^/+|/+$', '', 'g'), '/', 1)"
+URL_SECTIONS_CAPITALIZED = f"""
+WITH p AS (SELECT page_id, {_FIRST} AS first, {_CRUMB} AS crumb FROM pages)
+SELECT page_id, CASE WHEN first NOT IN ('es', 'america', 'america-latina') THEN {capitalize('first')}
+                     ELSE coalesce(crumb, 'General') END AS section FROM p
+"""
+URL_SECTIONS_BREADCRUMB = f"""
+WITH p AS (SELECT page_id, {_FIRST} AS first, {_CRUMB} AS crumb FROM pages)
+SELECT page_id, CASE WHEN crumb IS NOT NULL AND crumb <> '' AND lower(crumb) NOT IN ('inicio', 'portada') THEN crumb
+                     WHEN first <> '' AND lower(first) NOT IN ('noticias', 'actualidad', 'ultima-hora')
+                       THEN {capitalize('first')}
+                     ELSE 'General' END AS section FROM p
+"""
+
+_RUN_END = f"date_trunc('hour', {AS_OF})"
+RUN_HOURS = f"""
+WITH h AS (SELECT unnest(generate_series({_RUN_END} - INTERVAL {C.HOUR_DELAY} HOUR, {_RUN_END} - INTERVAL 1 HOUR,
+                                         INTERVAL 1 HOUR)) AS h),
+c AS (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1)
+SELECT {fmt_ts('h.h')} AS hour, coalesce(c.n, 0) AS n FROM h LEFT JOIN c ON h.h = c.h
+"""
+
 ORACLE = {
     "site_digest": SITE_DIGEST,
     "canonical_first_seen": CANONICAL_FIRST_SEEN,
@@ -472,4 +540,11 @@ ORACLE = {
     "rss_file_scan": RSS_FILE_SCAN,
     "sitemap_file_scan": SITEMAP_FILE_SCAN,
     "atom_round_trip": ATOM_ROUND_TRIP,
+    "sitemap_index_expand": SITEMAP_INDEX_EXPAND,
+    "robots_candidates": ROBOTS_CANDIDATES,
+    "hours_round_trip": HOURS_ROUND_TRIP,
+    "page_attach": PAGE_ATTACH,
+    "url_sections_capitalized": URL_SECTIONS_CAPITALIZED,
+    "url_sections_breadcrumb": URL_SECTIONS_BREADCRUMB,
+    "run_hours": RUN_HOURS,
 }
