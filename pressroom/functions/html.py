@@ -86,9 +86,10 @@ def meta_map(html) -> Column:
 
 
 def meta_json(html) -> Column:
-    """HTM2: meta tags nested on ':' (og:title -> {"og": {"title": ...}}) as a JSON string.
+    """HTM2: the meta map as a JSON object keyed by the full tag name ('og:title').
 
-    Flat keys stay flat; the nesting is what dotted paths (PRJ6) read.
+    The reference nests these on ':' ({"og": {"title": ...}}); here the payload stays
+    flat and a dotted path 'og.title' is read as the key 'og:title' (see the hourly job).
     """
     m = meta_map(html)
     return F.to_json(m)

@@ -54,8 +54,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="pressroom-chk-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:          # no SparkContext on this client (Spark Connect): the conf is enough
+        pass
     return current
 
 
@@ -92,7 +95,9 @@ def spread_if_undersplit(df: DataFrame) -> DataFrame:
     and row groups) the split count is far above the parallelism and this is a
     no-op, so no shuffle is added where the scan already spreads the work.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:          # e.g. a Spark Connect session: no RDD view, leave the plan as is
+        return df
+    return df.repartition(par) if n < par else df
