@@ -125,9 +125,9 @@ def slug_title(c) -> Column:
 
 
 def capitalize(c) -> Column:
-    """STR9: first character upper, the rest lower (Python ``str.capitalize``)."""
+    """STR9: Python ``str.capitalize``: first character title-cased ('ß' -> 'Ss'), the rest lower."""
     col = _c(c)
-    return F.concat(F.upper(F.substring(col, 1, 1)), F.lower(F.substring(col, 2, 1 << 30)))
+    return F.concat(F.initcap(F.substring(col, 1, 1)), F.lower(F.substring(col, 2, 1 << 30)))
 
 
 def nullif_blank(c) -> Column:

@@ -390,6 +390,7 @@ authors_strict = _authors("strict")
 authors_strip = _authors("strip")
 authors_cut = _authors("cut")
 authors_okd = _authors("okd")
+authors_strip50 = _authors("strip50")
 
 
 # ------------------------------------------------------------------ XML and CSV round trips
@@ -500,6 +501,7 @@ QUERIES.update({
     "authors_strip": authors_strip,
     "authors_cut": authors_cut,
     "authors_okd": authors_okd,
+    "authors_strip50": authors_strip50,
     "rss_round_trip": rss_round_trip,
     "sitemap_round_trip": sitemap_round_trip,
     "csv_round_trip": csv_round_trip,

@@ -48,3 +48,26 @@ def test_window_hours_and_retention(spark):
                               records.category_from_url(F.lit("https://s.es/pwa/deportes/x")).alias("c")).first()
     assert r.h == [dt.datetime(2024, 1, 28, 0), dt.datetime(2024, 1, 28, 1), dt.datetime(2024, 1, 28, 2)]
     assert r.k and r.c == "deportes"
+
+
+def test_small_date_author_rules(spark):
+    from pressroom.functions import authors as A
+    from pressroom.functions import dates as D
+    from pressroom.functions import html as H
+    from pressroom.operators import enrich, limits
+    df = spark.createDataFrame([("2024-01-02T10:00:00Z", "2024-01-02 10:00:00", '<meta name="author" content="Ana Ruiz">')],
+                               "z string, nz string, html string")
+    r = df.select(D.strict_z("z", "2024-01-28 00:00:00").alias("a"), D.strict_z("nz", "2024-01-28 00:00:00").alias("b"),
+                  D.relative_bound("2024-01-28 00:00:00", 1).alias("c"), H.meta_author_single("html").alias("d"),
+                  A.author_precedence(F.array().cast("array<string>"), H.meta_authors("html"), F.lit(None)).alias("e"),
+                  A.author_precedence(F.array().cast("array<string>"), F.array(F.lit("staff")),
+                                      F.lit("Por Luis Gil")).alias("f")).first()
+    assert r.a == dt.datetime(2024, 1, 2, 10) and r.b == dt.datetime(2024, 1, 28) and r.c == dt.datetime(2024, 1, 27)
+    assert r.d == ["Ana Ruiz"] and r.e == ["Ana Ruiz"] and r.f == ["Redacción"]
+    pos = spark.createDataFrame([(i, u) for i, u in enumerate(["a", "gn-1", "b", "gn-2"])], "pos int, u string")
+    order = limits.priority_rank(F.col("u").startswith("gn"), F.col("pos"))
+    assert [x.u for x in pos.orderBy(*order).collect()] == ["gn-2", "gn-1", "a", "b"]
+    recs = spark.createDataFrame([("r1", "El País")], "id string, site string")
+    sites = spark.createDataFrame([("El País", "elpais.com", 50)], "site string, domain string, max_articles int")
+    j = enrich.attach_site(recs, sites, cols=("domain", "max_articles")).first()
+    assert (j.domain, j.max_articles) == ("elpais.com", 50)

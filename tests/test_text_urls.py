@@ -27,7 +27,7 @@ def test_title_matches_python(spark, words):
 
 
 def test_slug_title_and_capitalize(spark):
-    vals = ["el-país-hoy", "ÚLTIMA-hora", "x"]
+    vals = ["el-país-hoy", "ÚLTIMA-hora", "x", "ßtraße", "ǆungla"]
     assert one_col(spark, vals, X.slug_title) == [v.replace("-", " ").title() for v in vals]
     assert one_col(spark, vals, X.capitalize) == [v.capitalize() for v in vals]
 
