@@ -138,3 +138,33 @@ def window_hours(as_of, delay_hours: int) -> Column:
 def relative_bound(as_of, days: int) -> Column:
     """DAT9: 'now-Nd' style bound."""
     return as_of_lit(as_of) - F.make_dt_interval(F.lit(days))
+
+
+def parse_sitemap_lastmod(c, keep_zone: bool = True) -> Column:
+    """The lastmod parse of the 'midnight' rule (FLT1).
+
+    'T' and ('+' or 'Z')  -> ISO 8601 with its zone; with ``keep_zone=False`` the zone is
+                             dropped and the wall clock kept, as the reference does (B16)
+    'T' only              -> strictly yyyy-MM-ddTHH:mm:ss, read as UTC
+    otherwise             -> yyyy-MM-dd
+    Anything else (a '-05:00' offset, fractions without a zone, ...) is unknown (null).
+    """
+    s = F.trim(_c(c))
+    has_t = s.contains("T")
+    zoned = s.contains("+") | s.contains("Z")
+    if keep_zone:
+        with_zone = s.try_cast("timestamp")
+    else:
+        wall = F.regexp_extract(s, "^([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\\.[0-9]+)?)?)", 1)
+        with_zone = F.nullif(wall, F.lit("")).try_cast("timestamp")
+    return (F.when(has_t & zoned, with_zone)
+            .when(has_t, F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss")))
+            .otherwise(F.try_to_timestamp(s, F.lit("yyyy-MM-dd"))))
+
+
+def parse_20min_date(c) -> Column:
+    """The two formats of the 20minutos rule (FLT5): '%Y-%m-%d %H:%M:%S%z', else '%Y-%m-%d'."""
+    s = _c(c)
+    return F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ssXXX")),
+                      F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ssXX")),
+                      F.try_to_timestamp(s, F.lit("yyyy-MM-dd")))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import authors as A
 from ..functions import html as H
 from ..functions import urls as U
-from ..functions.dates import iso_format, parse_any, to_instant
+from ..functions.dates import iso_format, parse_any, parse_sitemap_lastmod, to_instant
 from ..operators import dedupe, enrich, recency
 from ..sources.feeds import parse_feed, parse_sitemap
 from ..sources.registry import feed_plan
@@ -82,7 +82,9 @@ def run_sites(sites: DataFrame, docs: DataFrame, as_of, days: int = 1, pages: Da
     feed_cap = F.coalesce(F.col("max_articles_per_feed"), F.lit(DEFAULT_FEED_CAP))
     e = e.filter((F.col("kind") == "sitemap") | (F.col("item_ord") < feed_cap))     # LIM4 per feed
     e = e.withColumn("url", U.canonical_url("entry_url")).filter(recency.http_only("url"))
-    ts = parse_any(F.col("published"))
+    # sitemap lastmods follow the 'midnight' rule's own formats; feed dates are RFC 822 / ISO
+    ts = F.when((F.col("kind") == "sitemap") & (F.col("recency_rule") == "midnight"),
+                parse_sitemap_lastmod(F.col("published"))).otherwise(parse_any(F.col("published")))
     e = e.withColumn("recent", _recent_by_rule(F.col("recency_rule"), ts, as_of, days, F.col("url")))
     report = e.groupBy("site", "feed_ord").agg(F.count(F.lit(1)).alias("n_found"),
                                                F.count_if("recent").alias("n_recent"),

@@ -127,3 +127,16 @@ def test_merge_cases(spark):
     assert got[("w", None)] == "nullmod-new"                            # null times form one group
     assert got[("t", m)] == "tie-b"                                     # tie on audit: explicit tie-break
     assert dedupe.merge_latest(new, None, ["modified_time_tz", "og_url"], ["audit_time", "v"]).count() == 4
+
+
+def test_rule_specific_parsers(spark):
+    vals = ["2024-01-28T10:00:00+01:00", "2024-01-28T10:00:00Z", "2024-01-28T10:00:00", "2024-01-28",
+            "2024-01-28T10:00:00-05:00", "2024-01-28T10:00:00.5", "28/01/2024"]
+    conv = one_col(spark, vals, D.parse_sitemap_lastmod)
+    wall = one_col(spark, vals, lambda c: D.parse_sitemap_lastmod(c, keep_zone=False))
+    ten = dt.datetime(2024, 1, 28, 10)
+    assert conv == [dt.datetime(2024, 1, 28, 9), ten, ten, dt.datetime(2024, 1, 28), None, None, None]
+    assert wall[:2] == [ten, ten]                                        # B16 compat: zone dropped
+    got = one_col(spark, ["2024-01-28 12:00:00+02:00", "2024-01-28 12:00:00+0200", "2024-01-28", "x"],
+                  D.parse_20min_date)
+    assert got == [dt.datetime(2024, 1, 28, 10)] * 2 + [dt.datetime(2024, 1, 28), None]
