@@ -6,6 +6,10 @@ datasets.  Each step is one declarative plan; merges that read and then
 overwrite the same dataset first stage their result under the shared
 checkpoint folder (B3), so the overwrite never reads what it is replacing and
 a lost executor only re-runs the staged stage.
+
+UDF1: the reference's five row-at-a-time Python UDFs become plan operators here --
+last-modified lookup = JON5 join, article download = JON4 page attach, dotted path =
+PRJ6 projection of a parsed payload, category = PRJ13 expression, edition = a literal.
 """
 
 from __future__ import annotations

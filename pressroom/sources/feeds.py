@@ -167,7 +167,7 @@ COMMON_SITEMAP_PATHS = ["/robots.txt", "/sitemap.xml", "/sitemap_index.xml", "/s
 
 def sitemap_candidates(sites: DataFrame, robots: DataFrame | None = None, site: str = "name",
                        url: str = "url") -> DataFrame:
-    """SRC7: per site, the common paths under its base URL ∪ robots.txt entries, distinct."""
+    """SRC7/SET5: per site, the common paths under its base URL ∪ robots.txt entries, distinct."""
     base = F.regexp_replace(F.col(url), "/+$", "")
     common = sites.select(F.col(site).alias("site"),
                           F.explode(F.array(*[F.concat(base, F.lit(p)) for p in COMMON_SITEMAP_PATHS]))

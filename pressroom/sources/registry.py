@@ -38,7 +38,7 @@ def site_by_name(sites: DataFrame, name: str) -> DataFrame:
 
 
 def feed_plan(sites: DataFrame) -> DataFrame:
-    """SRC9: one row per (site, kind, url, feed_ord).
+    """SRC9/SET6: one row per (site, kind, url, feed_ord); a site's feeds stay in order via ``feed_ord``.
 
     RSS feeds when the site uses RSS and has feeds (configured RSS wins even if
     it later yields nothing); otherwise ``sitemap`` followed by ``sitemaps``.

@@ -27,3 +27,17 @@ def test_extract_pages(spark):
     assert [p.text for p in r.paragraphs] == ["Primer párrafo real con más de treinta caracteres",
                                               "Segundo párrafo sin cierre, también largo de verdad"]
     assert r.main_text.startswith("Primer párrafo") and rows[2].main_text == "" and rows[3].paragraphs == []
+
+
+def test_el_pais_author_precedence(spark):
+    from pyspark.sql import functions as F
+
+    from pressroom.operators.pages import feed_or_page_authors, page_authors_el_pais
+    ld = '<script type="application/ld+json">{"author": [{"name": "Ana Pérez"}]}</script><div class="firma">Luis Gil</div>'
+    no_ld = '<meta name="byl" content="https://elpais.com/@Marta Ruiz"><div class="firma">Luis Gil, Madrid</div>'
+    df = spark.createDataFrame([(1, ld), (2, no_ld), (3, "<p>nothing</p>")], "page_id long, html string")
+    got = {r.page_id: r.authors for r in page_authors_el_pais(df).collect()}
+    assert got == {1: ["Ana Pérez"], 2: ["Luis Gil", "Marta Ruiz"], 3: []}
+    r = spark.range(1).select(feed_or_page_authors(F.array(F.lit("Feed")), F.array(F.lit("Page"))).alias("a"),
+                              feed_or_page_authors(F.array().cast("array<string>"), F.array(F.lit("Page"))).alias("b")).first()
+    assert r.a == ["Feed"] and r.b == ["Page"]
