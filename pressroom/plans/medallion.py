@@ -131,7 +131,8 @@ def page_payload(links: DataFrame, pages: DataFrame, as_of=None) -> DataFrame:
     """
     j = enrich.attach_pages(links.withColumnRenamed("link", "url"), pages, as_of, url="url",
                             page_cols=("html",))
-    m = H.meta_map("html")
+    # a page's own <meta name="html"/"testo"> must not collide with the payload keys
+    m = F.map_filter(H.meta_map("html"), lambda k, v: ~k.isin("html", "testo"))
     data = F.when(F.col("has_page"), F.to_json(F.map_concat(
         m, F.create_map(F.lit("html"), F.col("html"), F.lit("testo"), H.main_text("html")))))
     err = F.to_json(F.struct(F.col("url").alias("error_url_report"),

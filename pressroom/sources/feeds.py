@@ -33,6 +33,7 @@ url array<struct<loc:string, lastmod:string, `news:news`: struct<`news:publicati
 sitemap array<struct<loc:string, lastmod:string>>
 """
 
+
 def _empty():
     return F.array().cast("array<string>")
 

@@ -94,3 +94,13 @@ def test_assemble_article(spark):
     b = rows["https://s.es/x"]
     assert (b.title, b.authors, b.summary, b.publish_date) == ("Sin título", ["Redacción"], "...",
                                                               "2024-01-28T10:00:00+00:00")
+
+
+def test_payload_key_collision(spark):
+    from pressroom.plans.medallion import page_payload
+    links = spark.createDataFrame([("https://s.es/a", "2024", "01", "28", "09")],
+                                  "link string, year string, month string, day string, hour string")
+    pages = spark.createDataFrame([("https://s.es/a", '<meta name="html" content="x"><meta name="og:url" content="u">')],
+                                  "url string, html string")
+    row = page_payload(links, pages).first()
+    assert '"og:url":"u"' in row.data and row.data.count('"html"') == 1
