@@ -93,15 +93,24 @@ def fill_missing(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str
     return j.select(*out)
 
 
+def pages_for(urls: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
+    """The pages whose URL is wanted, found without shuffling the page table when the
+    wanted set is small: a ``left_semi`` join against the distinct wanted URLs, broadcast
+    only behind ``broadcast_if_small``.  (A left outer join cannot broadcast its left
+    side, so joining small URL sets to a large page table directly would shuffle every page.)"""
+    keys = urls.select(url).distinct()
+    return pages.join(broadcast_if_small(keys), on=url, how="left_semi")
+
+
 def attach_pages(urls: DataFrame, pages: DataFrame, as_of=None, url: str = "url",
                  fetched_at: str = "fetched_at", page_cols: Sequence[str] = ("html",)) -> DataFrame:
     """JON4: attach the newest page snapshot (fetched at or before as_of) to each URL.
 
     Adds ``has_page``; URLs without a page are kept (flagged) so callers can
-    route them to rejects.
+    route them to rejects.  Pages are first reduced to the wanted URLs (``pages_for``).
     """
     from ..functions.dates import as_of_lit
-    p = pages
+    p = pages_for(urls, pages, url)
     if fetched_at in pages.columns:
         if as_of is not None:
             p = p.filter(F.col(fetched_at) <= as_of_lit(as_of))

@@ -82,7 +82,8 @@ def curated_sitemap_rows(sitemap_docs: DataFrame, as_of, delay: int, pages: Data
     e = parse_sitemap(sitemap_docs, keep=["site"])
     has, missing = recency.split_null_lastmod(e, as_of, "lastmod", "news_publication_date")
     if pages is not None:
-        m = pages.select(F.col("url").alias("loc"), H.meta_map("html").alias("_m"))
+        wanted = enrich.pages_for(missing.select(F.col("loc").alias("url")), pages.select("url", "html"))
+        m = wanted.select(F.col("url").alias("loc"), H.meta_map("html").alias("_m"))
         art = F.map_filter("_m", lambda k, v: k.startswith("article:"))
         resolved = enrich.resolve_lastmod(F.element_at("_m", F.lit("article:modified_time")),
                                           F.size(art) > 0, F.element_at("_m", F.lit("og:modified_time")))
