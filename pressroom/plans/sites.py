@@ -124,3 +124,42 @@ def run_report(sites: DataFrame, exported: DataFrame) -> DataFrame:
     per = exported.groupBy(F.col("source").alias("name")).agg(F.count(F.lit(1)).alias("n_exported"))
     rep = sites.select("name").join(per, "name", "left").fillna(0, ["n_exported"])
     return rep.withColumn("ok", F.col("n_exported") > 0)
+
+
+# ------------------------------------------------------------------ site-specific flows
+def okdiario_urls(index_docs: DataFrame, docs: DataFrame, rss_entries: DataFrame, as_of, days: int = 1,
+                  max_articles: int = 10) -> DataFrame:
+    """OKDiario discovery (the intended flow of §2.15, B10 decided).
+
+    Sitemap index -> children with 'google-news' ones first, a later one ahead of an earlier
+    one (LIM7) -> their entries in order, dropping only entries whose lastmod parses to before
+    as_of - days (unknown kept; zoned dates compared as instants, B15) -> the first
+    ``max_articles`` (LIM5) -> topped up from recent RSS entries whose URL is not already
+    there (JON6).  ``rss_entries``: site, feed_ord, item_ord, url, published.
+    """
+    from ..sources.feeds import index_children
+    ch = index_children(index_docs, keep=["site"], max_children=1 << 30, priority_marker="google-news")
+    entries = parse_sitemap(ch.join(docs.select(F.col("url").alias("child_url"), "content"), "child_url"),
+                            keep=["site", "child_ord"])
+    t = parse_any(F.col("lastmod"))
+    fresh = F.coalesce(t >= to_instant(F.lit(str(as_of))) - F.make_dt_interval(F.lit(days)), F.lit(True))
+    primary = entries.filter(fresh).select("site", F.col("loc").alias("url"),
+                                           F.col("child_ord").alias("o1"), F.col("item_ord").alias("o2"))
+    rss = rss_entries.filter(recency.is_recent(parse_any(F.col("published")), as_of, days, "calendar"))
+    fallback = rss.select("site", "url", F.col("feed_ord").alias("o1"), F.col("item_ord").alias("o2"))
+    return enrich.top_up(primary, fallback, "url", "site", max_articles, ["o1", "o2"])
+
+
+def el_mundo_enrich(records: DataFrame, pages: DataFrame) -> DataFrame:
+    """El Mundo export (JON3): only empty fields of the URL records are filled from the page --
+    title (HTM1), authors from the byline selectors (HTM3, joined ', ', sorted: the reference
+    keeps a set), publication date (HTM7) and mapped section/subsection (URL4)."""
+    from ..operators.pages import extract_pages
+    wanted = enrich.pages_for(records, pages.select("url", "html"))
+    tree = extract_pages(wanted, key="url", html="html", rule="el_mundo", keep=["html"])
+    sec = U.sections_mapped(F.col("url"))
+    meta = tree.select("url", H.page_title("html").alias("title"),
+                       F.array_sort("selector_authors").alias("authors"),
+                       H.time_datetime("html").alias("publish_date"),
+                       sec["section"].alias("section"), sec["subsection"].alias("subsection"))
+    return enrich.fill_missing(records, meta, "url", ["title", "authors", "publish_date", "section", "subsection"])

@@ -35,3 +35,39 @@ def test_run_sites(spark):
     assert rep[("El País", 0)] == (3, 2)
     rr = {r.name: r.ok for r in run_report(sites, out).collect()}
     assert rr["El País"] and not rr["ABC"]
+
+
+def test_okdiario_flow(spark):
+    from pressroom.plans.sites import okdiario_urls
+    idx = spark.createDataFrame([("OKDiario", "https://okdiario.com/sitemap_index.xml",
+        '<sitemapindex><sitemap><loc>https://okdiario.com/s1.xml</loc></sitemap>'
+        '<sitemap><loc>https://okdiario.com/google-news.xml</loc></sitemap></sitemapindex>')],
+        "site string, url string, content string")
+    docs = spark.createDataFrame([
+        ("https://okdiario.com/google-news.xml", '<urlset><url><loc>https://okdiario.com/n1</loc>'
+         '<lastmod>2024-01-28T08:00:00+01:00</lastmod></url><url><loc>https://okdiario.com/old</loc>'
+         '<lastmod>2024-01-20T08:00:00Z</lastmod></url><url><loc>https://okdiario.com/nodate</loc></url></urlset>'),
+        ("https://okdiario.com/s1.xml", '<urlset><url><loc>https://okdiario.com/s1a</loc></url></urlset>')],
+        "url string, content string")
+    rss = spark.createDataFrame([("OKDiario", 0, 0, "https://okdiario.com/n1", "Sun, 28 Jan 2024 08:00:00 GMT"),
+                                 ("OKDiario", 0, 1, "https://okdiario.com/r1", "Sun, 28 Jan 2024 09:00:00 GMT"),
+                                 ("OKDiario", 0, 2, "https://okdiario.com/r2", "Sun, 28 Jan 2024 10:00:00 GMT")],
+                                "site string, feed_ord int, item_ord int, url string, published string")
+    got = okdiario_urls(idx, docs, rss, "2024-01-28 12:00:00", days=1, max_articles=4).collect()
+    # google-news sitemap first (old entry dropped, undated kept), then s1, then the RSS top-up
+    assert {r.url for r in got} == {"https://okdiario.com/n1", "https://okdiario.com/nodate",
+                                    "https://okdiario.com/s1a", "https://okdiario.com/r1"}
+    two = okdiario_urls(idx, docs, rss, "2024-01-28 12:00:00", days=1, max_articles=2).collect()
+    assert {r.url for r in two} == {"https://okdiario.com/n1", "https://okdiario.com/nodate"}
+
+
+def test_el_mundo_fill(spark):
+    from pressroom.plans.sites import el_mundo_enrich
+    recs = spark.createDataFrame([("https://www.elmundo.es/espana/2024/01/28/x.html", "Slug Title", "", "2024-01-28", "", "")],
+                                 "url string, title string, authors string, publish_date string, section string, subsection string")
+    pages = spark.createDataFrame([("https://www.elmundo.es/espana/2024/01/28/x.html",
+        '<h1>Titular</h1><a class="ue-c-article__byline-name">Luis Gil</a><span itemprop="author">Ana Ruiz</span>'
+        '<time datetime="2024-01-28T08:00:00Z">hoy</time>')], "url string, html string")
+    r = el_mundo_enrich(recs, pages).first()
+    assert (r.title, r.authors, r.publish_date, r.section, r.subsection) == (
+        "Slug Title", "Ana Ruiz, Luis Gil", "2024-01-28", "España", "01")    # year second -> piece 3
