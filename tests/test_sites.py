@@ -71,3 +71,31 @@ def test_el_mundo_fill(spark):
     r = el_mundo_enrich(recs, pages).first()
     assert (r.title, r.authors, r.publish_date, r.section, r.subsection) == (
         "Slug Title", "Ana Ruiz, Luis Gil", "2024-01-28", "España", "01")    # year second -> piece 3
+
+
+def test_el_pais_flow(spark):
+    from pressroom.plans.sites import el_pais_records
+
+    def feed(items):
+        return "<rss><channel>" + "".join(
+            f"<item><title>{t}</title><link>{u}</link><pubDate>{d}</pubDate>{a}{c}</item>" for t, u, d, a, c in items
+        ) + "</channel></rss>"
+    f0 = feed([("Uno", "https://elpais.com/espana/2024-01-28/uno.html?utm=x", "Sun, 28 Jan 2024 10:00:00 GMT",
+                "<author>Por Ana Pérez, Madrid</author>", ""),
+               ("Viejo", "https://elpais.com/espana/2024-01-20/viejo.html", "Sat, 20 Jan 2024 10:00:00 GMT", "", ""),
+               ("Sin fecha", "https://elpais.com/espana/x.html", "", "", ""),
+               ("Tag", "https://elpais.com/2024-01-28/solo.html", "Sun, 28 Jan 2024 11:00:00 GMT", "",
+                "<category>Cultura</category>")])
+    f1 = feed([("Dup", "https://elpais.com/espana/2024-01-28/uno.html", "Sun, 28 Jan 2024 10:00:00 GMT", "", ""),
+               ("Página", "https://elpais.com/deportes/2024-01-28/p.html", "Sun, 28 Jan 2024 09:00:00 GMT", "", "")])
+    docs = spark.createDataFrame([(0, f0), (1, f1)], "feed_ord int, content string")
+    pages = spark.createDataFrame([("https://elpais.com/deportes/2024-01-28/p.html",
+                                    '<div class="firma">Luis Gil</div>')], "url string, html string")
+    rows = {r.url: r for r in el_pais_records(docs, "2024-01-28 12:00:00", 1, pages=pages).collect()}
+    assert set(rows) == {"https://elpais.com/espana/2024-01-28/uno.html", "https://elpais.com/2024-01-28/solo.html",
+                         "https://elpais.com/deportes/2024-01-28/p.html"}
+    uno = rows["https://elpais.com/espana/2024-01-28/uno.html"]
+    assert (uno.title, uno.authors, uno.section, uno.publish_date) == ("Uno", "Ana Pérez", "Espana",
+                                                                       "2024-01-28T10:00:00+00:00")
+    assert rows["https://elpais.com/2024-01-28/solo.html"].section == "Solo.Html"
+    assert rows["https://elpais.com/deportes/2024-01-28/p.html"].authors == "Luis Gil"
