@@ -209,3 +209,33 @@ def el_pais_records(feed_docs: DataFrame, as_of, days: int = 1, pages: DataFrame
         F.coalesce(collapse_ws(F.col("summary")), F.lit("")).alias("summary"),
         U.section_or_tag(sec["section"], F.col("categories")).alias("section"),
         sec["subsection"].alias("subsection"))
+
+
+def sitemap_overlay_records(pages: DataFrame, sitemap_docs: DataFrame, as_of, mode: str, source: str) -> DataFrame:
+    """Público ('all') / El Español ('nonnull'): page-assembled records (PRJ18) overlaid with the
+    facts of their news-sitemap entry (JON2), then required fields filled (PRJ3) and cleaned (PRJ19).
+
+    all      title, publication date and URL sections of the entry replace the page's, nulls
+             included (a missing sitemap title becomes the default title)
+    nonnull  only present facts replace: title, publication date, publication name (source)
+             and language ('es' when the entry has news data but no language)
+    """
+    from ..operators import records
+    recs = records.assemble_article(pages, as_of, source=F.lit(source))
+    e = parse_sitemap(sitemap_docs, keep=[]).filter("has_news")
+    e = dedupe.first_seen(e, "loc", ["item_ord"]).withColumnRenamed("loc", "url")
+    if mode == "all":
+        sec = U.sections_base(F.col("url"))
+        facts = e.select("url", F.col("news_title").alias("title"),
+                         F.col("news_publication_date").alias("publish_date"),
+                         sec["section"].alias("section"), sec["subsection"].alias("subsection"))
+        cols = ["title", "publish_date", "section", "subsection"]
+    else:
+        facts = e.select("url", F.col("news_title").alias("title"),
+                         F.col("news_publication_date").alias("publish_date"),
+                         F.col("news_name").alias("source"),
+                         F.coalesce("news_language", F.lit("es")).alias("language"))
+        cols = ["title", "publish_date", "source", "language"]
+    out = enrich.overlay(recs, facts, "url", cols, mode=mode)
+    out = records.fill_required(out, as_of)
+    return records.clean_record(out, as_of) if mode == "all" else out

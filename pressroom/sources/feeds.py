@@ -113,6 +113,7 @@ def parse_sitemap(docs: DataFrame, content: str = "content", keep: Sequence[str]
         news["news:title"].alias("news_title"),
         news["news:publication"]["news:name"].alias("news_name"),
         news["news:publication"]["news:language"].alias("news_language"),
+        news.isNotNull().alias("has_news"),
     )
 
 

@@ -99,3 +99,27 @@ def test_el_pais_flow(spark):
                                                                        "2024-01-28T10:00:00+00:00")
     assert rows["https://elpais.com/2024-01-28/solo.html"].section == "Solo.Html"
     assert rows["https://elpais.com/deportes/2024-01-28/p.html"].authors == "Luis Gil"
+
+
+def test_sitemap_overlay_modes(spark):
+    from pressroom.plans.sites import sitemap_overlay_records
+    page = '<h1>Titular de página</h1><meta name="author" content="Ana Pérez">'
+    pages = spark.createDataFrame([("https://x.es/politica/congreso/a.html", page),
+                                   ("https://x.es/economia/b.html", page)], "url string, html string")
+    sm = spark.createDataFrame([(
+        '<urlset xmlns:news="n"><url><loc>https://x.es/politica/congreso/a.html</loc><news:news>'
+        '<news:publication><news:name>Diario X</news:name></news:publication>'
+        '<news:publication_date>2024-01-28T09:00:00Z</news:publication_date></news:news></url>'
+        '<url><loc>https://x.es/economia/b.html</loc><news:news><news:title>Del sitemap</news:title>'
+        '<news:publication><news:language>ca</news:language></news:publication></news:news></url></urlset>',)],
+        "content string")
+    allm = {r.url: r for r in sitemap_overlay_records(pages, sm, "2024-01-28 12:00:00", "all", "Público").collect()}
+    a = allm["https://x.es/politica/congreso/a.html"]
+    assert (a.title, a.publish_date, a.section, a.authors) == ("Sin título", "2024-01-28T09:00:00+00:00",
+                                                               "Politica", ["Ana Pérez"])
+    assert allm["https://x.es/economia/b.html"].title == "Del sitemap"
+    nn = {r.url: r for r in sitemap_overlay_records(pages, sm, "2024-01-28 12:00:00", "nonnull", "El Español").collect()}
+    a = nn["https://x.es/politica/congreso/a.html"]
+    assert (a.title, a.source, a.language) == ("Titular de página", "Diario X", "es")
+    b = nn["https://x.es/economia/b.html"]
+    assert (b.title, b.source, b.language) == ("Del sitemap", "El Español", "ca")
