@@ -26,8 +26,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """Broadcast ``df`` only when its row count is proven to be at most ``max_rows``.
 
     The check is a ``limit(max_rows + 1).count()``: it reads at most
-    ``max_rows + 1`` rows, whatever the table size.  Bigger sides are left to
-    the optimizer (sort-merge or shuffled hash join, AQE at runtime).
+    ``max_rows + 1`` rows of a table, whatever its size (for a derived side the
+    plan up to the limit runs once more -- callers use it on registry-sized or
+    run-window data).  Bigger sides are left to the optimizer (sort-merge or
+    shuffled hash join, AQE at runtime).
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
