@@ -154,14 +154,24 @@ def _author_names(v: Column) -> Column:
     return F.filter(names, lambda x: x.isNotNull() & (F.trim(x) != ""))
 
 
+def _first_item(v: Column) -> Column:
+    """A block's object: item 0 when the block is a list, else the block itself."""
+    return F.coalesce(F.try_variant_get(v, "$[0]", "variant"), v)
+
+
 def jsonld_authors(html, every_item: bool = True) -> Column:
-    """HTM5 authors: all items (El País style) or item 0 of the last block (other sites)."""
+    """HTM5 authors: every item of every block (El País), or item 0 of each block, appended
+    across blocks (Infobae / Vozpópuli)."""
     if every_item:
         return F.flatten(F.transform(_ld_items(html), _author_names))
-    blocks = jsonld_blocks(html)
-    last = F.element_at(blocks, -1)
-    first_item = F.coalesce(F.try_variant_get(last, "$[0]", "variant"), last)
-    return F.when(F.size(blocks) > 0, _author_names(first_item)).otherwise(F.array().cast("array<string>"))
+    return F.flatten(F.transform(jsonld_blocks(html), lambda b: _author_names(_first_item(b))))
+
+
+def jsonld_field_last(html, path: str) -> Column:
+    """HTM5 scalar fields of the Infobae / Vozpópuli rule: item 0 of each block, the last
+    block that has the field wins."""
+    vals = F.transform(jsonld_blocks(html), lambda b: F.try_variant_get(_first_item(b), path, "string"))
+    return F.try_element_at(F.filter(vals, lambda x: x.isNotNull()), F.lit(-1))
 
 
 def jsonld_field(html, path: str) -> Column:

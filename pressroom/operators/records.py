@@ -47,8 +47,8 @@ def record_from_url(df: DataFrame, as_of, url: str = "url", site_url=None, sourc
         (_c(source) if source is not None else F.lit("")).alias("source"),
         strip_scheme_host(site).alias("domain"),
         F.lit("").alias("summary"),
-        F.when(n > 1, slug_title(F.element_at(parts, -2))).otherwise(F.lit("")).alias("section"),
-        F.when(n > 2, slug_title(F.element_at(parts, -3))).otherwise(F.lit("")).alias("subsection"),
+        F.when(n > 1, slug_title(F.try_element_at(parts, F.lit(-2)))).otherwise(F.lit("")).alias("section"),
+        F.when(n > 2, slug_title(F.try_element_at(parts, F.lit(-3)))).otherwise(F.lit("")).alias("subsection"),
     )
 
 

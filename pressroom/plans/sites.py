@@ -57,7 +57,7 @@ def _section_by_rule(rule: Column, url: Column, categories: Column) -> Column:
     return (F.when(rule == "base", base).when(rule == "nodate", nodate)
             .when(rule == "first", U.section_first(url)).when(rule == "mapped", U.sections_mapped(url)["section"])
             .when(rule == "capitalized", U.section_capitalized(url)).when(rule == "breadcrumb", U.section_breadcrumb(url))
-            .when(rule == "from_url", U.slug_title(F.element_at(F.split(F.regexp_replace(url, "^/+|/+$", ""), "/"), -2)))
+            .when(rule == "from_url", U.slug_title(F.try_element_at(F.split(F.regexp_replace(url, "^/+|/+$", ""), "/"), F.lit(-2))))
             .otherwise(F.lit("")))
 
 
@@ -239,3 +239,45 @@ def sitemap_overlay_records(pages: DataFrame, sitemap_docs: DataFrame, as_of, mo
     out = enrich.overlay(recs, facts, "url", cols, mode=mode)
     out = records.fill_required(out, as_of)
     return records.clean_record(out, as_of) if mode == "all" else out
+
+
+def capped_site_urls(sitemap_entries: DataFrame, front_links: DataFrame | None, n: int = 10) -> DataFrame:
+    """Infobae / Vozpópuli URL discovery (LIM6 + FLT14 + STR7).
+
+    Sitemap locations, distinct, in first-seen order; when fewer than ``n``, article links of
+    the front page (``/noticias/`` ... ``.html``, made absolute) are added; the first ``n``
+    per site are kept.  (The reference picks from a set; here the ordinal decides.)
+    ``sitemap_entries``: site, feed_ord, item_ord, loc;  ``front_links``: site, base_url, pos, href.
+    """
+    from ..operators import limits
+    sm = sitemap_entries.select("site", F.col("loc").alias("url"), F.lit(0).alias("tier"),
+                                "feed_ord", "item_ord")
+    if front_links is not None:
+        fl = front_links.filter(U.is_article_link("href")).select(
+            "site", U.absolute_url("base_url", "href").alias("url"), F.lit(1).alias("tier"),
+            F.lit(0).alias("feed_ord"), F.col("pos").alias("item_ord"))
+        sm = sm.unionByName(fl)
+    return limits.first_distinct(sm, "url", "site", n, ["tier", "feed_ord", "item_ord"])
+
+
+def jsonld_site_records(pages: DataFrame, as_of, site: str) -> DataFrame:
+    """Infobae / Vozpópuli records from pages: title from the page (else JSON-LD headline),
+    ISO publication date (null when invalid, DAT6), JSON-LD authors through the site's stop
+    list (AUT6), description as summary, section by URL5 (Infobae) or URL6 (Vozpópuli)
+    with the page breadcrumb."""
+    from ..functions.authors import STOPLISTS, clean_stoplist
+    from ..functions.dates import iso_or_default
+    key = "infobae" if site.lower().startswith("infobae") else "voz_populi"
+    stop, default, por = STOPLISTS[key]
+    h = F.col("html")
+    stage = pages.select("url", h, H.jsonld_authors(h, every_item=False).alias("_a"),
+                         H.breadcrumb_second(h).alias("_crumb"))
+    section = (U.section_capitalized(F.col("url"), F.col("_crumb")) if key == "infobae"
+               else U.section_breadcrumb(F.col("url"), F.col("_crumb")))
+    return stage.select(
+        "url",
+        F.coalesce(H.page_title(h), H.head_title(h), H.jsonld_field_last(h, "$.headline"), F.lit("")).alias("title"),
+        iso_or_default(H.jsonld_field_last(h, "$.datePublished")).alias("publish_date"),
+        clean_stoplist(F.col("_a"), stop, default, strip_por=por).alias("authors"),
+        section.alias("section"), F.lit(site).alias("source"), U.domain(F.col("url")).alias("domain"),
+        F.coalesce(H.jsonld_field_last(h, "$.description"), F.lit("")).alias("summary"))

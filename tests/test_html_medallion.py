@@ -28,7 +28,8 @@ def test_column_extractors(spark):
                   H.meta_authors("html").alias("ma")).first()
     assert r.t == "Gran gol"
     assert r.m["og:url"] == "https://s.es/deportes/futbol/gol.html" and r.m["description"] == "Desc & más"
-    assert r.a == ["Ana Pérez", "Luis Gil", "Solo Autor"] and r.a1 == ["Solo Autor"]
+    assert r.a == ["Ana Pérez", "Luis Gil", "Solo Autor"]
+    assert r.a1 == ["Ana Pérez", "Luis Gil", "Solo Autor"]      # item 0 of each block, appended
     assert r.hl == "H1" and r.tm == "2024-01-28T08:00:00Z" and r.bc == "Deportes"
     assert r.l == ["/noticias/a.html", "https://o.es/b"] and r.p == "LOCKED"
     assert r.txt == ("Este párrafo tiene bastante más de treinta caracteres. "

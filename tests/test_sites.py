@@ -123,3 +123,26 @@ def test_sitemap_overlay_modes(spark):
     assert (a.title, a.source, a.language) == ("Titular de página", "Diario X", "es")
     b = nn["https://x.es/economia/b.html"]
     assert (b.title, b.source, b.language) == ("Del sitemap", "El Español", "ca")
+
+
+def test_jsonld_sites(spark):
+    from pressroom.plans.sites import capped_site_urls, jsonld_site_records
+    sm = spark.createDataFrame([("Infobae", 0, i, u) for i, u in enumerate(
+        ["https://i.com/a", "https://i.com/b", "https://i.com/a"])], "site string, feed_ord int, item_ord int, loc string")
+    front = spark.createDataFrame([("Infobae", "https://i.com/espana", 0, "/noticias/x.html"),
+                                   ("Infobae", "https://i.com/espana", 1, "/otra/y.html")],
+                                  "site string, base_url string, pos int, href string")
+    urls = [r.url for r in capped_site_urls(sm, front, 3).orderBy("tier", "item_ord").collect()]
+    assert urls == ["https://i.com/a", "https://i.com/b", "https://i.com/noticias/x.html"]
+    page = ('<script type="application/ld+json">[{"author": [{"name": "Redacción"}, "Ana Ruiz"], '
+            '"datePublished": "2024-01-28T09:00:00Z", "description": "uno"}]</script>'
+            '<script type="application/ld+json">{"author": {"name": "Luis Gil"}, "description": "dos"}</script>'
+            '<ol class="breadcrumb"><li>Inicio</li><li>Mundo</li></ol><title>T</title>')
+    pages = spark.createDataFrame([("https://i.com/america/x", page), ("https://i.com/deportes/y", "<p>x</p>")],
+                                  "url string, html string")
+    rows = {r.url: r for r in jsonld_site_records(pages, "2024-01-28 12:00:00", "Infobae").collect()}
+    a = rows["https://i.com/america/x"]
+    assert (a.authors, a.summary, a.section, a.publish_date, a.title) == (
+        ["Ana Ruiz", "Luis Gil"], "dos", "Mundo", "2024-01-28T09:00:00+00:00", "T")
+    b = rows["https://i.com/deportes/y"]
+    assert (b.authors, b.section, b.publish_date) == (["Redacción Infobae"], "Deportes", None)
