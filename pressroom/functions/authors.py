@@ -310,7 +310,7 @@ def clean_authors(arr, rule: str = "strict", site: str | None = None) -> Column:
     if rule == "strict":
         return clean_strict(arr)
     if rule == "strip":
-        return clean_strip(arr)
+        return clean_strip(arr, default=None)      # defaults belong to the caller (AUT10)
     if rule == "strip50":
         return clean_strip50(arr)
     if rule == "cut":

@@ -298,7 +298,7 @@ def record_from_entry(entries: DataFrame, as_of, url: str = "url", news_title: s
 # --------------------------------------------------------------------- PRJ18
 def assemble_article(pages: DataFrame, as_of, url: str = "url", html: str = "html",
                      source=None, section_rule: str = "base", author_rule: str = "strict",
-                     keep: Sequence[str] = ()) -> DataFrame:
+                     keep: Sequence[str] = (), default_author: str = "Redacción") -> DataFrame:
     """PRJ18: one article record per page, by field precedence, with the required defaults.
 
     title        h1 selectors -> <title> -> og:title; 'Sin título'
@@ -317,7 +317,7 @@ def assemble_article(pages: DataFrame, as_of, url: str = "url", html: str = "htm
     # elimination, and CollapseProject keeps an expensive column that is referenced twice)
     h = F.col(html)
     m = H.meta_map(h)
-    stage = pages.select(*keep, F.col(url), h, m.alias("_m"), H.main_text(h).alias("_text"),
+    stage = pages.select(*[k for k in keep if k not in (url, html)], F.col(url), h, m.alias("_m"), H.main_text(h).alias("_text"),
                          H.jsonld_authors(h).alias("_ld_authors"),
                          H.jsonld_field(h, "$.datePublished").alias("_ld_date"),
                          *([source.alias("_source")] if source is not None else []))
@@ -338,7 +338,7 @@ def assemble_article(pages: DataFrame, as_of, url: str = "url", html: str = "htm
     else:
         sec = U.sections_base(u)
     authors = author_precedence(F.col("_ld_authors"), H.meta_authors(m, is_map=True),
-                                H.meta_byline(m, is_map=True), rule=author_rule)
+                                H.meta_byline(m, is_map=True), rule=author_rule, default=default_author)
     return stage.select(
         *keep, u.alias("url"),
         F.coalesce(F.nullif(clean_text(t), F.lit("")), F.lit("Sin título")).alias("title"),

@@ -281,3 +281,34 @@ def jsonld_site_records(pages: DataFrame, as_of, site: str) -> DataFrame:
         clean_stoplist(F.col("_a"), stop, default, strip_por=por).alias("authors"),
         section.alias("section"), F.lit(site).alias("source"), U.domain(F.col("url")).alias("domain"),
         F.coalesce(H.jsonld_field_last(h, "$.description"), F.lit("")).alias("summary"))
+
+
+def feed_page_records(entries: DataFrame, pages: DataFrame, as_of, days: int = 1, rule: str = "el_confidencial",
+                      max_articles: int = 100, source: str = "") -> DataFrame:
+    """Feed entries -> page-assembled records.
+
+    el_confidencial  FLT4 on the entry date (unknown = as_of, kept); entries of all feeds in
+                     order, not deduplicated; first ``max_articles`` (LIM1); PRJ18 with the
+                     strict author rule, PRJ3 defaults, PRJ19 clean-up
+    20minutos        every item; PRJ18 with the strip/split author rule (AUT2, AUT7); FLT5 on
+                     the page date in its two formats, unknown kept; PRJ17 record shape
+    ``entries``: site, feed_ord, item_ord, url, published.
+    """
+    from ..functions.dates import parse_20min_date
+    from ..operators import limits, records
+    e = entries
+    if rule == "el_confidencial":
+        e = e.filter(recency.is_recent(parse_any(F.col("published")), as_of, days, "age_or_now"))
+        e = limits.cap_per(e, "site", max_articles, ["feed_ord", "item_ord"], rank_col="rank")
+    wanted = enrich.pages_for(e, pages.select("url", "html"))
+    author_rule = "strict" if rule == "el_confidencial" else "strip"
+    recs = records.assemble_article(wanted, as_of, source=F.lit(source), author_rule=author_rule,
+                                    keep=["html"], default_author="Redacción" if rule == "el_confidencial"
+                                    else "20minutos")
+    if rule == "el_confidencial":
+        out = recs.join(e.select("url", "rank"), "url")
+        out = records.clean_record(records.fill_required(out, as_of), as_of)
+        return out.drop("html")
+    page_ts = parse_20min_date(H.time_datetime(F.col("html")))
+    recs = recs.filter(recency.is_recent(page_ts, as_of, days, "days_floor", keep_unknown=True))
+    return records.reshape_20min(recs)

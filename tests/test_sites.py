@@ -146,3 +146,28 @@ def test_jsonld_sites(spark):
         ["Ana Ruiz", "Luis Gil"], "dos", "Mundo", "2024-01-28T09:00:00+00:00", "T")
     b = rows["https://i.com/deportes/y"]
     assert (b.authors, b.section, b.publish_date) == (["Redacción Infobae"], "Deportes", None)
+
+
+def test_feed_page_records(spark):
+    from pressroom.plans.sites import feed_page_records
+    entries = spark.createDataFrame([
+        ("EC", 0, 0, "https://ec.com/espana/a.html", "Sun, 28 Jan 2024 10:00:00 GMT"),
+        ("EC", 0, 1, "https://ec.com/espana/old.html", "Sat, 20 Jan 2024 10:00:00 GMT"),
+        ("EC", 1, 0, "https://ec.com/mundo/b.html", None),
+        ("EC", 1, 1, "https://ec.com/espana/a.html", "Sun, 28 Jan 2024 10:00:00 GMT")],
+        "site string, feed_ord int, item_ord int, url string, published string")
+    pages = spark.createDataFrame([
+        ("https://ec.com/espana/a.html", '<h1> Uno </h1><meta name="author" content="Ana Pérez, redactora">'
+                                         '<time datetime="2024-01-28 10:00:00+01:00">x</time>'),
+        ("https://ec.com/mundo/b.html", '<h1>Dos</h1><meta name="author" content="Laura Martín y Pablo Ruiz">'
+                                        '<time datetime="2024-01-10">x</time>')], "url string, html string")
+    ec = feed_page_records(entries, pages, "2024-01-28 12:00:00", 1, "el_confidencial", max_articles=3,
+                           source="El Confidencial").collect()
+    # this path does not dedupe across feeds: the repeated URL is exported twice (ranks 1 and 3)
+    assert sorted((r.url, r.rank) for r in ec) == [("https://ec.com/espana/a.html", 1), ("https://ec.com/espana/a.html", 3),
+                                                   ("https://ec.com/mundo/b.html", 2)]
+    a = [r for r in ec if r.url.endswith("a.html")][0]
+    assert (a.title, a.authors, a.section) == ("Uno", ["Redacción"], "Espana")
+    tm = feed_page_records(entries, pages, "2024-01-28 12:00:00", 1, "20minutos").collect()
+    assert [(r.url, r.authors) for r in tm] == [("https://ec.com/espana/a.html", ["Ana Pérez"])]
+    assert tm[0].publish_date == "2024-01-28T09:00:00+00:00" and "text" in tm[0].asDict()
