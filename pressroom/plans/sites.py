@@ -312,3 +312,54 @@ def feed_page_records(entries: DataFrame, pages: DataFrame, as_of, days: int = 1
     page_ts = parse_20min_date(H.time_datetime(F.col("html")))
     recs = recs.filter(recency.is_recent(page_ts, as_of, days, "days_floor", keep_unknown=True))
     return records.reshape_20min(recs)
+
+
+def sitemap_then_rss_records(docs: DataFrame, pages: DataFrame, max_articles: int = 10,
+                             source: str = "") -> DataFrame:
+    """Libertad Digital / eldiario.es: sitemap documents first, then RSS feeds, consumed in
+    order under one quota (LIM5); every <loc> of a sitemap (index locations included), every
+    item link of a feed; no recency filter (the days argument is unused there, B17); records
+    from the page: title, ISO date or null, the single author meta (HTM11), section =
+    ``urlparse(url).path.split('/')[1]`` (URL3), description as summary.
+    ``docs``: site, src_ord, kind ('sitemap' / 'rss'), content.
+    """
+    from ..functions.dates import iso_or_default
+    from ..operators import limits
+    from ..sources.feeds import index_children
+    sm = docs.filter(F.col("kind") == "sitemap")
+    locs = parse_sitemap(sm, keep=["site", "src_ord"]).select("site", "src_ord", "item_ord", F.col("loc").alias("url"))
+    idx = index_children(sm, keep=["site", "src_ord"], max_children=1 << 30).select(
+        "site", "src_ord", F.col("child_ord").alias("item_ord"), F.col("child_url").alias("url"))
+    rss = parse_feed(docs.filter(F.col("kind") == "rss"), keep=["site", "src_ord"]).select(
+        "site", "src_ord", "item_ord", F.col("link").alias("url"))
+    seq = locs.unionByName(idx).unionByName(rss).filter(F.col("url").isNotNull())
+    picked = limits.cap_sequential(seq, "site", max_articles, "src_ord", "item_ord", rank_col="rank")
+    wanted = enrich.pages_for(picked, pages.select("url", "html"))
+    h = F.col("html")
+    m = H.meta_map(h)
+    recs = wanted.select("url", F.coalesce(H.page_title(h), H.head_title(h)).alias("title"),
+                         iso_or_default(H.time_datetime(h, meta=m)).alias("publish_date"),
+                         H.meta_author_single(m, is_map=True).alias("authors"),
+                         F.coalesce(F.element_at(m, F.lit("description")), F.lit("")).alias("summary"))
+    first_piece = F.coalesce(F.get(F.split(U.url_path(F.col("url")), "/"), 1), F.lit(""))
+    out = picked.join(recs, "url", "left")
+    return out.select("site", "rank", "url", "title", "publish_date", "authors", first_piece.alias("section"),
+                      F.lit(source).alias("source"), U.domain(F.col("url")).alias("domain"), "summary")
+
+
+# UDF2: the registry's sites mapped to their flow (a dict of DataFrame -> DataFrame builders).
+# Sites not listed use the generic one-plan export ``run_sites``.
+SITE_FLOWS = {
+    "El País": el_pais_records,
+    "OKDiario": okdiario_urls,
+    "El Mundo": el_mundo_enrich,
+    "Público": lambda pages, docs, as_of: sitemap_overlay_records(pages, docs, as_of, "all", "Público"),
+    "El Español": lambda pages, docs, as_of: sitemap_overlay_records(pages, docs, as_of, "nonnull", "El Español"),
+    "Infobae": lambda pages, as_of: jsonld_site_records(pages, as_of, "Infobae"),
+    "Vozpópuli": lambda pages, as_of: jsonld_site_records(pages, as_of, "Vozpópuli"),
+    "El Confidencial": lambda entries, pages, as_of, days=1: feed_page_records(
+        entries, pages, as_of, days, "el_confidencial", 100, "El Confidencial"),
+    "20minutos": lambda entries, pages, as_of, days=1: feed_page_records(entries, pages, as_of, days, "20minutos"),
+    "Libertad Digital": lambda docs, pages: sitemap_then_rss_records(docs, pages, 10, "Libertad Digital"),
+    "eldiario.es": lambda docs, pages: sitemap_then_rss_records(docs, pages, 10, "eldiario.es"),
+}

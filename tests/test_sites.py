@@ -171,3 +171,23 @@ def test_feed_page_records(spark):
     tm = feed_page_records(entries, pages, "2024-01-28 12:00:00", 1, "20minutos").collect()
     assert [(r.url, r.authors) for r in tm] == [("https://ec.com/espana/a.html", ["Ana Pérez"])]
     assert tm[0].publish_date == "2024-01-28T09:00:00+00:00" and "text" in tm[0].asDict()
+
+
+def test_sitemap_then_rss(spark):
+    from pressroom.plans.sites import sitemap_then_rss_records
+    docs = spark.createDataFrame([
+        ("LD", 0, "sitemap", "<urlset><url><loc>https://ld.com/espana/a.html</loc></url>"
+                             "<url><loc>https://ld.com/b.html</loc></url></urlset>"),
+        ("LD", 1, "rss", "<rss><channel><item><link>https://ld.com/espana/a.html</link></item>"
+                         "<item><link>https://ld.com/c.html</link></item><item><link>https://ld.com/d</link></item>"
+                         "</channel></rss>")], "site string, src_ord int, kind string, content string")
+    pages = spark.createDataFrame([("https://ld.com/espana/a.html", '<h1>A</h1><meta name="author" content="Ana">'
+                                    '<meta name="description" content="resumen"><time datetime="2024-01-28T10:00:00Z">')],
+                                  "url string, html string")
+    rows = sitemap_then_rss_records(docs, pages, max_articles=4, source="Libertad Digital").orderBy("rank").collect()
+    assert [r.url for r in rows] == ["https://ld.com/espana/a.html", "https://ld.com/b.html",
+                                     "https://ld.com/espana/a.html", "https://ld.com/c.html"]
+    a = rows[0]
+    assert (a.title, a.authors, a.section, a.summary, a.publish_date) == (
+        "A", ["Ana"], "espana", "resumen", "2024-01-28T10:00:00+00:00")
+    assert rows[1].section == "b.html" and rows[1].title is None
