@@ -42,6 +42,24 @@ def pick_per_key(df: DataFrame, keys, order: Sequence, how: str = "first") -> Da
                         for c in df.columns])
 
 
+def full_order(df: DataFrame, first: Sequence[str], exclude: Sequence[str] = ()) -> list:
+    """``first`` then every other orderable column (sorted by name) as the tie-break, so the
+    row picked for a key depends only on the data, never on arrival order."""
+    from pyspark.sql import types as T
+
+    def orderable(dt):
+        if isinstance(dt, (T.MapType, T.VariantType)):
+            return False
+        if isinstance(dt, T.ArrayType):
+            return orderable(dt.elementType)
+        if isinstance(dt, T.StructType):
+            return all(orderable(f.dataType) for f in dt.fields)
+        return True
+    rest = sorted(f.name for f in df.schema.fields
+                  if f.name not in first and f.name not in exclude and orderable(f.dataType))
+    return [*first, *[F.col(f"`{c}`") for c in rest]]
+
+
 def first_seen(df: DataFrame, key, order: Sequence) -> DataFrame:
     """AGG2: the first row per key in discovery order (ordinal columns, ascending)."""
     return pick_per_key(df, key, order, how="first")

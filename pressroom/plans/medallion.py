@@ -171,9 +171,8 @@ def merge_published_into(new: DataFrame, base: str, as_of, delay: int) -> DataFr
     spark = new.sparkSession
     old = _read_history(spark, base, new.schema, as_of, delay)
     both = new if old is None else old.select(*new.columns).unionByName(new)
-    order = [F.col("audit_time"), F.col("published_time_tz"), F.col("og_title")] \
-        if "og_title" in new.columns else [F.col("audit_time")]
-    merged = _stage(dedupe.latest_by(both, ["modified_time_tz", "og_url"], order), "published")
+    keys = ["modified_time_tz", "og_url"]
+    merged = _stage(dedupe.latest_by(both, keys, dedupe.full_order(both, ["audit_time"], exclude=keys)), "published")
     write_hours(merged, base)
     return merged
 

@@ -98,3 +98,12 @@ def test_joins(spark):
     sites = spark.createDataFrame([("El País",), ("ABC",)], "name string")
     found, unknown = enrich.select_sites(sites, spark.createDataFrame([("el país",), ("nope",)], "name string"))
     assert [r.name for r in found.collect()] == ["El País"] and [r.name for r in unknown.collect()] == ["nope"]
+
+
+def test_full_order_tie_break(spark):
+    df = spark.createDataFrame([("k", "a1", "x", {"m": "1"}), ("k", "a1", "y", {"m": "2"})],
+                               "k string, audit string, v string, props map<string,string>")
+    order = dedupe.full_order(df, ["audit"], exclude=["k"])
+    assert [str(o) for o in order[1:]] == [str(F.col("`v`"))]          # map column is not orderable
+    for _ in range(3):
+        assert dedupe.latest_by(df.repartition(2), "k", order).first().v == "y"
