@@ -813,3 +813,36 @@ QUERIES.update({
     "url_sections_breadcrumb": url_sections_breadcrumb,
     "run_hours": run_hours,
 })
+
+
+# ------------------------------------------------------------------ site flow and streaming upsert
+EP_PER_FEED = 5
+
+
+def el_pais_feed_export(spark, sf_dir):
+    """El País flow (LIM4, STR5, FLT10, DAT4, FLT5 + FLT2, AGG2, URL2/URL7, AUT4) over RSS
+    documents built from the events (each document one feed)."""
+    from .sites import el_pais_records
+    docs = _rss_docs(spark, sf_dir).select(F.col("chunk").alias("feed_ord"), "content")
+    return el_pais_records(docs, AS_OF, DAYS, max_per_feed=EP_PER_FEED)
+
+
+def stream_upsert(spark, sf_dir):
+    """STM3: events streamed through foreachBatch into the hour-partitioned latest-version
+    merge (WIN3; deterministic tie-break), then the merged dataset read back."""
+    from ..session import scratch_path
+    from ..streaming.streams import stream_published
+    s = _event_stream(spark, sf_dir)
+    rows = s.select(
+        F.concat(F.lit("https://news.example/"), F.col("event_type"), F.lit("/"),
+                 F.col("user_id").cast("string")).alias("og_url"),
+        F.date_trunc("hour", F.col("event_time")).alias("modified_time_tz"),
+        F.lit(MERGE_AUDIT_NEW).alias("audit_time"), "event_id", "value")
+    rows = records.hour_columns(rows, "modified_time_tz", "Europe/Rome")
+    base, chk = scratch_path(spark, "stream-upsert"), scratch_path(spark, "stream-upsert-chk")
+    stream_published(rows, base, chk, HOUR_AS_OF, HOUR_DELAY)
+    out = spark.read.parquet(base)
+    return out.select("og_url", _ts_text("modified_time_tz").alias("modified_time"), "event_id", "value")
+
+
+QUERIES.update({"el_pais_feed_export": el_pais_feed_export, "stream_upsert": stream_upsert})

@@ -495,6 +495,32 @@ c AS (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1)
 SELECT {fmt_ts('h.h')} AS hour, coalesce(c.n, 0) AS n FROM h LEFT JOIN c ON h.h = c.h
 """
 
+_EP_PIECES = (f"list_filter(string_split(substr(replace(replace(url, 'https://', ''), 'http://', ''), "
+              f"strpos(replace(replace(url, 'https://', ''), 'http://', ''), '/') + 1), '/'), "
+              f"lambda p: p <> '' AND NOT starts_with(p, '20'))")
+EL_PAIS_FEED_EXPORT = f"""
+WITH e AS (
+  SELECT *, date_trunc('second', ts) AS t,
+    'https://news.example/' || event_type || '/' || CAST(event_id AS VARCHAR) || '.html' AS url,
+    row_number() OVER (PARTITION BY event_type, floor(event_id / {C.RSS_CHUNK}) ORDER BY event_id) - 1 AS item_ord
+  FROM events)
+SELECT url, event_type || ' & user ' || CAST(user_id AS VARCHAR) AS title,
+  strftime(t, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS publish_date, 'Unknown' AS authors,
+  'El País' AS source, 'elpais.com' AS domain, '' AS summary,
+  {slug_title(f"coalesce(({_EP_PIECES})[1], '')")} AS section,
+  {slug_title(f"coalesce(({_EP_PIECES})[2], '')")} AS subsection
+FROM e
+WHERE item_ord < {C.EP_PER_FEED} AND t >= {AS_OF} - INTERVAL {C.DAYS} DAY
+  AND floor((epoch_us({AS_OF}) - epoch_us(t)) / 86400000000.0) <= {C.DAYS}
+"""
+
+STREAM_UPSERT = f"""
+SELECT og_url, {fmt_ts('m')} AS modified_time, event_id, value FROM (
+  SELECT {_OG} AS og_url, date_trunc('hour', ts) AS m, event_id, value,
+         row_number() OVER (PARTITION BY {_OG}, date_trunc('hour', ts) ORDER BY event_id DESC, value DESC) AS rn
+  FROM events) WHERE rn = 1
+"""
+
 ORACLE = {
     "site_digest": SITE_DIGEST,
     "canonical_first_seen": CANONICAL_FIRST_SEEN,
@@ -547,4 +573,6 @@ ORACLE = {
     "url_sections_capitalized": URL_SECTIONS_CAPITALIZED,
     "url_sections_breadcrumb": URL_SECTIONS_BREADCRUMB,
     "run_hours": RUN_HOURS,
+    "el_pais_feed_export": EL_PAIS_FEED_EXPORT,
+    "stream_upsert": STREAM_UPSERT,
 }
