@@ -360,28 +360,29 @@ QUERIES = {
 
 
 # ------------------------------------------------------------------ authors (rows-only: Unicode \b)
-def _author_candidates(spark, sf_dir):
-    """Author-like strings built from the documents' leading words: one row per line of
-    every document (all lines), candidate = the line's first two whitespace tokens with
+def _line_candidate(line):
+    """An author-like string from a line's leading words: its first two whitespace tokens with
     non-word characters removed, initcapped."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = docs.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("pos", "line"))
-    toks = F.split(F.regexp_replace(F.col("line"), "^[\\s\\x{A0}]+", ""), "(?U)\\s+", 3)
+    toks = F.split(F.regexp_replace(line, "^[\\s\\x{A0}]+", ""), "(?U)\\s+", 3)
 
     def word(i):
         return F.nullif(F.regexp_replace(F.get(toks, i), "(?U)\\W", ""), F.lit(""))
-    return lines.select("doc_id", "pos", F.initcap(F.concat_ws(" ", word(0), word(1))).alias("cand"))
+    return F.initcap(F.concat_ws(" ", word(0), word(1)))
 
 
 def _authors(rule):
     def q(spark, sf_dir):
-        from ..functions.authors import clean_rows
-        rows = _author_candidates(spark, sf_dir)
-        got = clean_rows(rows, "doc_id", "pos", "cand", rule=rule)
-        out = table(spark, sf_dir, "documents").select("doc_id").join(got, "doc_id", "left")
-        default = F.array(F.lit("20minutos")) if rule == "strip" else F.array().cast("array<string>")
-        a = F.coalesce(F.col("authors"), default)
-        return out.select("doc_id", F.array_join(a, "|").alias("authors"), F.size(a).cast("bigint").alias("n_authors"))
+        """Author rule over candidates from every line of every document.  A document's list
+        is built and cleaned inside its own row (array functions; the ci-distinct is a fold),
+        so no shuffle is needed: the list is bounded by the document's lines."""
+        from ..functions.authors import clean_authors
+        docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+        cands = F.transform(F.coalesce(F.split(F.col("text"), "\n"), F.array().cast("array<string>")),
+                            _line_candidate)
+        a = clean_authors(cands, rule=rule)
+        if rule == "strip":
+            a = F.when(F.size(a) > 0, a).otherwise(F.array(F.lit("20minutos")))
+        return docs.select("doc_id", F.array_join(a, "|").alias("authors"), F.size(a).cast("bigint").alias("n_authors"))
     q.__name__ = f"authors_{rule}"
     return q
 
