@@ -122,11 +122,6 @@ def local_part(ts, pattern: str, tz: str = "Europe/Rome") -> Column:
     return F.date_format(F.from_utc_timestamp(_c(ts), tz), pattern)
 
 
-def packed_hour(ts, tz: str = "Europe/Rome") -> Column:
-    """yyyyMMddHH as an int, in zone ``tz`` (10 digits starting 20 fit an int)."""
-    return local_part(ts, "yyyyMMddHH", tz).cast("int")
-
-
 def window_hours(as_of, delay_hours: int) -> Column:
     """DAT8: the hour starts (as_of - delay) ... (as_of - 1h), as an array."""
     end = F.date_trunc("hour", as_of_lit(as_of))

@@ -15,7 +15,6 @@ PRJ6 projection of a parsed payload, category = PRJ13 expression, edition = a li
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,7 +196,3 @@ def run_hour(spark: SparkSession, feed_docs: DataFrame | None, sitemap_docs: Dat
     write_latest_html(html_rows, paths["published_html"])
     merge_published_into(pub, paths["published"], as_of, delay)
     return paths
-
-
-def columns_in_order(df: DataFrame, first: Sequence[str]) -> DataFrame:
-    return df.select(*first, *[c for c in df.columns if c not in first])

@@ -87,10 +87,6 @@ def tag_text(e: str) -> str:
     return clean_ws(unescape(f"regexp_replace({e}, '<[^>]*>', '', 'g')"))
 
 
-def first_h1(h: str) -> str:
-    return f"regexp_extract({h}, '(?is)<h1\\b[^>]*>(.*?)</h1>', 1)"
-
-
 def to_rome(ts: str) -> str:
     return f"timezone('Europe/Rome', ({ts}) AT TIME ZONE 'UTC')"
 

@@ -71,3 +71,27 @@ def test_small_date_author_rules(spark):
     sites = spark.createDataFrame([("El País", "elpais.com", 50)], "site string, domain string, max_articles int")
     j = enrich.attach_site(recs, sites, cols=("domain", "max_articles")).first()
     assert (j.domain, j.max_articles) == ("elpais.com", 50)
+
+
+def test_library_surface(spark, tmp_path):
+    from pressroom.functions import html as H
+    from pressroom.functions import text as X
+    from pressroom.operators import dedupe
+    from pressroom.sources.tables import read_pages
+    e = spark.createDataFrame([("https://x.es/a/2024/01/28/gran-gol.html", None, "2024-01-28T09:00:00Z", "s" * 600),
+                               ("https://x.es/b", "Título", None, None)],
+                              "url string, news_title string, published string, summary string")
+    r = records.record_from_entry(e, "2024-01-28 12:00:00").orderBy("url").collect()
+    assert (r[0].title, r[0].publish_date) == ("Gran Gol.Html", "2024-01-28T09:00:00+00:00")
+    assert (r[1].title, r[1].publish_date, r[1].summary) == ("Título", "2024-01-28T12:00:00+00:00", "")
+    one = spark.createDataFrame([(["  a ", None, "b\n"], " ", '<meta name="og:title" content="T">')],
+                                "l array<string>, s string, h string").select(
+        X.clean_text_list("l").alias("l"), X.nullif_blank("s").alias("s"), H.meta_json("h").alias("j"),
+        records.feed_summary(F.lit("x" * 600)).alias("f")).first()
+    assert (one.l, one.s, one.j, len(one.f)) == ("a b", None, '{"og:title":"T"}', 500)
+    dup = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "i int, v string")
+    assert dedupe.distinct_rows(dup).count() == 2
+    path = str(tmp_path / "pages")
+    spark.createDataFrame([(1, "u", "<p>x</p>", "extra")], "page_id long, url string, html string, other string") \
+        .write.parquet(path)
+    assert read_pages(spark, path).columns == ["page_id", "url", "html"]
