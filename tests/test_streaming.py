@@ -48,3 +48,23 @@ def test_stream_published_upsert(spark, tmp_dir):
     hist = read_hours(spark, base, "2024-01-28 12:00:00", 6, first.drop("year", "month", "day", "hour").schema)
     assert hist.count() == 1
     assert read_hours(spark, base, "2024-01-29 12:00:00", 6, first.drop("year", "month", "day", "hour").schema).count() == 0
+
+
+def test_late_rows_and_append_mode(spark, tmp_dir):
+    """STM4: in append mode only windows closed by the watermark are emitted; a row later than
+    the delay is not counted once its window is closed (complete mode would keep every group)."""
+    first = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 0, 10), "a"), (2, dt.datetime(2024, 1, 1, 5, 0), "a")],
+                                  "id int, ts timestamp_ntz, k string")
+    src = os.path.join(tmp_dir, "late")
+    first.write.parquet(src + "/b1")
+    s = S.with_event_time(S.read_stream_files(spark, src + "/*", first.schema, max_files=1), "ts")
+    out, chk = scratch_path(spark, "late-h"), scratch_path(spark, "late-h-chk")
+    agg = S.stream_hourly(s, "event_time", "1 hour", "k")
+    S.run_to_parquet(agg, out, chk, "append")
+    late = spark.createDataFrame([(3, dt.datetime(2024, 1, 1, 0, 20), "a"), (4, dt.datetime(2024, 1, 1, 6, 30), "a")],
+                                 "id int, ts timestamp_ntz, k string")
+    late.write.parquet(src + "/b2")
+    S.run_to_parquet(agg, out, chk, "append")
+    got = {(str(r.window_start), r.n) for r in spark.read.parquet(out).collect()}
+    assert ("2024-01-01 00:00:00", 1) in got                     # the 00:20 row arrived after 00:00 closed
+    assert all(not w.startswith("2024-01-01 06") for w, _ in got)  # 06:00 is still open
