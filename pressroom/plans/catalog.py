@@ -40,6 +40,8 @@ TEXT_TABLES = {"pages", "documents", "conversations"}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; text tables (per-row regex/parse work) are spread when under-split."""
+    from ..session import ensure_semantics
+    ensure_semantics(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name in TEXT_TABLES:
         from ..session import spread_if_undersplit

@@ -27,6 +27,20 @@ REQUIRED_CONF = {
 }
 
 
+# The subset of REQUIRED_CONF that results depend on (the rest is performance).
+SEMANTIC_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def ensure_semantics(spark: SparkSession) -> None:
+    """Apply the settings results depend on to a session created elsewhere (e.g. by a driver)."""
+    for k, v in SEMANTIC_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "pressroom") -> SparkSession:
     """Build (or reuse) a session with the package's required settings."""
