@@ -48,6 +48,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the executor; its heap is fixed at JVM start
+        builder = builder.config("spark.driver.memory", os.environ.get("PRESSROOM_DRIVER_MEMORY", "8g"))
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
