@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_lit
-from ..functions.text import clean_text
 from ..functions.urls import source_key
 from ..schemas import EXPORT_COLUMNS
 
@@ -57,28 +56,60 @@ def write_latest_html(df: DataFrame, base: str, key: str = "og_url",
     write_hours(latest, base)
 
 
-# Export dialects (SNK4).  quote/escape as in the CSV module of each variant.
+# Export dialects (SNK4): columns, list joining, quoting and escaping of each variant.
+FLAT_PREFERRED = ["title", "url", "publish_date", "authors", "summary", "text", "keywords", "images", "html"]
+SEMICOLON_COLUMNS = ["title", "url", "publish_date", "authors", "section", "subsection", "text"]
 DIALECTS = {
-    "default": dict(list_sep=", ", escape='"', quote='"'),
-    "bom": dict(list_sep=", ", escape='"', quote='"'),          # a byte-order mark is not written
-    "append": dict(list_sep=", ", escape="\\", quote='"'),
-    "flat": dict(list_sep=", ", escape="\\", quote="\u0000", html_cut=1000),
-    "semicolon": dict(list_sep="; ", escape='"', quote='"', text=True),
+    "default": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape='"', quote='"'),
+    "bom": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape='"', quote='"', defaults=True),  # no BOM written
+    "append": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape="\\", quote='"'),
+    "flat": dict(columns=None, list_sep=", ", escape="\\", quote="", html_cut=1000),
+    "semicolon": dict(columns=SEMICOLON_COLUMNS, list_sep="; ", escape='"', quote='"'),
 }
 
 
+def _flat_value(c: Column, dtype, name: str, cut: int) -> Column:
+    """flat: lists joined ', ' of cleaned items, scalars cleaned (STR2), html cut, then no
+    newline, carriage return or '^' left."""
+    from pyspark.sql import types as T
+    from ..functions.text import csv_flat
+    if isinstance(dtype, T.ArrayType):
+        v = F.array_join(F.transform(c.cast("array<string>"), lambda x: csv_flat(x)), ", ")
+    else:
+        v = csv_flat(c.cast("string"))
+    if name == "html":
+        v = F.when(F.length(v) > cut, F.concat(F.substring(v, 1, cut), F.lit("... [TRUNCATED]"))).otherwise(v)
+    v = F.replace(F.replace(F.replace(v, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit("")), F.lit("^"), F.lit(" "))
+    return F.coalesce(v, F.lit(""))
+
+
 def export_frame(df: DataFrame, as_of, dialect: str = "default", site: str = "source") -> DataFrame:
-    """SNK4/SNK5 projection: 9 string columns (+ text for 'semicolon') and partition keys."""
+    """SNK4/SNK5 projection of one dialect plus the partition keys (source_key, dt)."""
+    from ..functions.text import clean_text
     from ..operators.records import to_export
     d = DIALECTS[dialect]
-    keep = ["text"] if d.get("text") and "text" in df.columns else []
-    out = to_export(df, list_sep=d["list_sep"], keep=keep)
-    out = out.withColumns({"source_key": source_key(F.col(site) if site in out.columns else F.lit("")),
-                           "dt": F.to_date(as_of_lit(as_of))})
+    keys = {"source_key": source_key(F.col(site) if site in df.columns else F.lit("")),
+            "dt": F.to_date(as_of_lit(as_of))}
     if dialect == "flat":
-        out = out.select(*[F.replace(clean_text(F.col(c)), F.lit("^"), F.lit(" ")).alias(c)
-                           if c in EXPORT_COLUMNS else F.col(c) for c in out.columns])
-    return out
+        cols = [c for c in FLAT_PREFERRED if c in df.columns] + sorted(c for c in df.columns if c not in FLAT_PREFERRED)
+        vals = [_flat_value(F.col(c), df.schema[c].dataType, c, d["html_cut"]).alias(c) for c in cols]
+        return df.select(*vals, *[v.alias(k) for k, v in keys.items()])
+    if dialect == "semicolon":
+        out = []
+        for c in d["columns"]:
+            if c == "authors" and c in df.columns:
+                a = F.col(c)
+                v = F.array_join(a, "; ") if df.schema[c].dataType.simpleString().startswith("array") else a
+            elif c in df.columns:
+                v = clean_text(F.col(c).cast("string"))
+            else:
+                v = F.lit("")
+            out.append(F.coalesce(v, F.lit("")).alias(c))
+        return df.select(*out, *[v.alias(k) for k, v in keys.items()])
+    defaults = dict(as_of=as_of, default_authors="Redacción") if d.get("defaults") else {}
+    with_site = df.withColumn("_site", F.col(site) if site in df.columns else F.lit(""))
+    out = to_export(with_site, list_sep=d["list_sep"], keep=["_site"], **defaults)
+    return out.withColumns({"source_key": source_key(F.col("_site")), "dt": keys["dt"]}).drop("_site")
 
 
 def write_export(df: DataFrame, base: str, as_of, dialect: str = "default", site: str = "source") -> None:
@@ -89,6 +120,7 @@ def write_export(df: DataFrame, base: str, as_of, dialect: str = "default", site
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (_clustered(out, ["source_key", "dt"]).write.mode("overwrite").partitionBy("source_key", "dt")
      .option("sep", "^").option("header", True).option("quote", d["quote"]).option("escape", d["escape"])
+     .option("quoteAll", False).option("escapeQuotes", d["quote"] != "")
      .option("emptyValue", "").option("encoding", "UTF-8")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(base))
 

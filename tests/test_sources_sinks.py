@@ -122,3 +122,27 @@ def test_read_hours_missing_and_window(spark, tmp_dir):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("v", T.StringType())])
     assert tables.read_hours(spark, os.path.join(tmp_dir, "none"), "2024-01-01 05:00:00", 3, schema).count() == 0
+
+
+def test_export_dialects(spark, tmp_dir):
+    from pressroom.sinks.writers import export_frame, write_export
+    df = spark.createDataFrame([('Un "título"\ncon^salto', "https://x/1", None, ["Ana", "Luis"], "El País", "<p>" + "h" * 1200,
+                                 "texto  largo", "deportes")],
+                               "title string, url string, publish_date string, authors array<string>, source string, "
+                               "html string, text string, section string")
+    flat = export_frame(df, "2024-01-28 10:00:00", "flat").first()
+    assert flat.title == 'Un ""título"" con salto' and flat.authors == "Ana, Luis"
+    assert flat.html.endswith("... [TRUNCATED]") and len(flat.html) == 1000 + len("... [TRUNCATED]")
+    assert export_frame(df, "2024-01-28 10:00:00", "flat").columns[:6] == \
+        ["title", "url", "publish_date", "authors", "text", "html"]
+    semi = export_frame(df, "2024-01-28 10:00:00", "semicolon")
+    assert semi.columns[:7] == ["title", "url", "publish_date", "authors", "section", "subsection", "text"]
+    r = semi.first()
+    assert (r.authors, r.text, r.subsection) == ("Ana; Luis", "texto largo", "")
+    bom = export_frame(df.withColumn("authors", F.lit(None).cast("array<string>")), "2024-01-28 10:00:00", "bom").first()
+    assert (bom.authors, bom.publish_date, bom.source_key) == ("Redacción", "2024-01-28T10:00:00+00:00", "el_país")
+    for dialect in ("flat", "semicolon", "bom"):
+        write_export(df, os.path.join(tmp_dir, dialect), "2024-01-28 10:00:00", dialect=dialect)
+    raw = "".join(open(os.path.join(dp, f), encoding="utf-8").read()
+                  for dp, _, fs in os.walk(os.path.join(tmp_dir, "flat")) for f in fs if f.endswith(".csv"))
+    assert 'Un ""título"" con salto^https://x/1' in raw
