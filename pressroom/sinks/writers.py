@@ -62,7 +62,7 @@ SEMICOLON_COLUMNS = ["title", "url", "publish_date", "authors", "section", "subs
 DIALECTS = {
     "default": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape='"', quote='"'),
     "bom": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape='"', quote='"', defaults=True),  # no BOM written
-    "append": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape="\\", quote='"'),
+    "append": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape="\\", quote='"', normalize=True),  # B13
     "flat": dict(columns=None, list_sep=", ", escape="\\", quote="", html_cut=1000),
     "semicolon": dict(columns=SEMICOLON_COLUMNS, list_sep="; ", escape='"', quote='"'),
 }
@@ -107,6 +107,17 @@ def export_frame(df: DataFrame, as_of, dialect: str = "default", site: str = "so
             out.append(F.coalesce(v, F.lit("")).alias(c))
         return df.select(*out, *[v.alias(k) for k, v in keys.items()])
     defaults = dict(as_of=as_of, default_authors="Redacción") if d.get("defaults") else {}
+    if d.get("normalize"):
+        # B13: the normalised record (STR3 on every string and every list item) is what is written
+        from pyspark.sql import types as T
+        from ..functions.text import normalize_text
+        norm = {}
+        for f in df.schema.fields:
+            if f.name in EXPORT_COLUMNS and isinstance(f.dataType, T.StringType):
+                norm[f.name] = F.when(F.col(f.name).isNotNull(), normalize_text(F.col(f.name)))
+            elif f.name in EXPORT_COLUMNS and f.dataType.simpleString() == "array<string>":
+                norm[f.name] = F.transform(f.name, lambda x: F.when(x.isNotNull(), normalize_text(x)))
+        df = df.withColumns(norm)
     with_site = df.withColumn("_site", F.col(site) if site in df.columns else F.lit(""))
     out = to_export(with_site, list_sep=d["list_sep"], keep=["_site"], **defaults)
     return out.withColumns({"source_key": source_key(F.col("_site")), "dt": keys["dt"]}).drop("_site")

@@ -146,3 +146,10 @@ def test_export_dialects(spark, tmp_dir):
     raw = "".join(open(os.path.join(dp, f), encoding="utf-8").read()
                   for dp, _, fs in os.walk(os.path.join(tmp_dir, "flat")) for f in fs if f.endswith(".csv"))
     assert 'Un ""título"" con salto^https://x/1' in raw
+
+
+def test_append_dialect_normalises(spark):
+    from pressroom.sinks.writers import export_frame
+    df = spark.createDataFrame([("Café\r\n  hoy\x07", ["  Ana\tPérez "], "S")], "title string, authors array<string>, source string")
+    r = export_frame(df, "2024-01-28 10:00:00", "append").first()
+    assert (r.title, r.authors) == ("Café hoy", "Ana Pérez")
