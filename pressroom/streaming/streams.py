@@ -16,6 +16,19 @@ from pyspark.sql.types import StructType
 from ..functions.dates import to_instant
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (off-heap, incremental checkpoints) instead of the JVM heap.
+
+    Deduplication and window state grow with the number of keys; at cluster scale this is the
+    provider to use.  It must be set before a query first starts on a checkpoint.  It is not the
+    default here because its native start-up dominates the small local runs.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
 def read_stream_files(spark: SparkSession, folder: str, schema: StructType, glob: str | None = None,
                       fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
     """File source with an explicit schema; ``glob`` picks files of a folder (e.g. one table)."""
