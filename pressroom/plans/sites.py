@@ -99,8 +99,8 @@ def run_sites(sites: DataFrame, docs: DataFrame, as_of, days: int = 1, pages: Da
     kept = kept.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(int(max_cap)))
     kept = kept.filter(F.col("rank") <= cap)                                                  # LIM1/LIM5
     if pages is not None:
-        p = pages.select(F.col("url"), H.page_title("html").alias("page_title"),
-                         H.meta_authors("html").alias("meta_authors"))
+        p = enrich.pages_for(kept, pages.select("url", "html")).select(
+            F.col("url"), H.page_title("html").alias("page_title"), H.meta_authors("html").alias("meta_authors"))
         kept = kept.join(p, "url", "left")
     else:
         kept = kept.withColumns({"page_title": F.lit(None).cast("string"),

@@ -73,7 +73,7 @@ def parse_feed(docs: DataFrame, content: str = "content", keep: Sequence[str] |
         F.lit(None).cast("string").alias("created"),
         i["dc:date"].alias("dc_date"),
         strip_cdata(i["description"]).alias("summary"),
-        F.filter(F.array(i["author"], i["dc:creator"]), lambda a: a.isNotNull()).alias("authors"),
+        F.filter(F.array(i["author"], i["dc:creator"]), lambda a: a.isNotNull() & (F.trim(a) != "")).alias("authors"),
         F.coalesce(i["category"], _empty()).alias("categories"),
         i["guid"].alias("guid"),
     ))
@@ -89,7 +89,7 @@ def parse_feed(docs: DataFrame, content: str = "content", keep: Sequence[str] |
         F.lit(None).cast("string").alias("dc_date"),
         F.coalesce(e["summary"], e["content"]).alias("summary"),
         F.filter(F.transform(e["author"], lambda a: F.coalesce(a["name"], name_from_email(a["email"]))),
-                 lambda a: a.isNotNull()).alias("authors"),
+                 lambda a: a.isNotNull() & (F.trim(a) != "")).alias("authors"),
         F.coalesce(F.transform(e["category"], lambda c: c["_term"]), _empty()).alias("categories"),
         e["id"].alias("guid"),
     ))

@@ -191,3 +191,16 @@ def test_sitemap_then_rss(spark):
     assert (a.title, a.authors, a.section, a.summary, a.publish_date) == (
         "A", ["Ana"], "espana", "resumen", "2024-01-28T10:00:00+00:00")
     assert rows[1].section == "b.html" and rows[1].title is None
+
+
+def test_run_sites_with_pages(spark):
+    sites = load_sites(spark)
+    feed = "https://rss.elconfidencial.com/espana/"
+    docs = spark.createDataFrame([(feed, _rss([("Feed title", "https://www.elconfidencial.com/espana/2024-01-28/n_1/",
+                                                "Sun, 28 Jan 2024 08:00:00 GMT", "")]))], "url string, content string")
+    pages = spark.createDataFrame([("https://www.elconfidencial.com/espana/2024-01-28/n_1/",
+                                    '<h1>Page title</h1><meta name="author" content="Ana Pérez">'),
+                                   ("https://other/x", "<h1>unrelated</h1>")], "url string, html string")
+    out, _ = run_sites(sites, docs, "2024-01-28 12:00:00", days=1, pages=pages)
+    r = out.collect()
+    assert len(r) == 1 and (r[0].title, r[0].authors, r[0].source) == ("Page title", "Ana Pérez", "El Confidencial")
