@@ -105,3 +105,33 @@ def test_payload_key_collision(spark):
                                   "url string, html string")
     row = page_payload(links, pages).first()
     assert '"og:url":"u"' in row.data and row.data.count('"html"') == 1
+
+
+def test_curated_sitemap_lastmod_resolution(spark):
+    from pressroom.plans.medallion import curated_sitemap_rows
+    sm = ('<urlset xmlns:news="n">'
+          '<url><loc>https://s.es/a</loc><lastmod>2024-01-28T08:00:00Z</lastmod></url>'
+          '<url><loc>https://s.es/b</loc><news:news><news:publication_date>2024-01-28T07:00:00Z'
+          '</news:publication_date></news:news></url>'
+          '<url><loc>https://s.es/c</loc><news:news><news:publication_date>2024-01-28T07:30:00Z'
+          '</news:publication_date></news:news></url>'
+          '<url><loc>https://s.es/d</loc><news:news><news:publication_date>2024-01-28T06:00:00Z'
+          '</news:publication_date></news:news></url>'
+          '<url><loc>https://s.es/late</loc><news:news><news:publication_date>2024-01-28T12:30:00Z'
+          '</news:publication_date></news:news></url></urlset>')
+    docs = spark.createDataFrame([("s", sm)], "site string, content string")
+    pages = spark.createDataFrame([
+        ("https://s.es/b", '<meta property="article:modified_time" content="2024-01-28T09:00:00Z">'
+                           '<meta property="og:modified_time" content="2024-01-28T05:00:00Z">'),
+        ("https://s.es/c", '<meta property="og:modified_time" content="2024-01-28T09:30:00Z">'),
+        ("https://s.es/d", '<meta property="article:section" content="x">'
+                           '<meta property="og:modified_time" content="2024-01-28T05:00:00Z">')],
+        "url string, html string")
+    rows = {r.loc: r for r in curated_sitemap_rows(docs, "2024-01-28 11:00:00", 6, pages).collect()}
+    assert rows["https://s.es/a"].lastmod == "2024-01-28T08:00:00Z"
+    assert rows["https://s.es/b"].lastmod == "2024-01-28T09:00:00Z"      # article:modified_time wins
+    assert rows["https://s.es/c"].lastmod == "2024-01-28T09:30:00Z"      # no article meta: og
+    # article meta present but no modified time: null, then the publication date is used
+    assert rows["https://s.es/d"].lastmod == "2024-01-28T06:00:00Z"
+    assert "https://s.es/late" not in rows                                 # published after the run hour
+    assert (rows["https://s.es/b"].day, rows["https://s.es/b"].hour) == ("28", "10")   # Rome
