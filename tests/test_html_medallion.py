@@ -135,3 +135,18 @@ def test_curated_sitemap_lastmod_resolution(spark):
     assert rows["https://s.es/d"].lastmod == "2024-01-28T06:00:00Z"
     assert "https://s.es/late" not in rows                                 # published after the run hour
     assert (rows["https://s.es/b"].day, rows["https://s.es/b"].hour) == ("28", "10")   # Rome
+
+
+def test_hourly_job_rejects(spark, tmp_dir):
+    from pressroom.plans.medallion import run_hour
+    feed = spark.createDataFrame([("s", 0, _feed([
+        ("A", "https://s.es/a/1.html", "Sun, 28 Jan 2024 08:10:00 +0000"),
+        ("Missing", "https://s.es/m/9.html", "Sun, 28 Jan 2024 09:10:00 +0000")]))],
+        "site string, feed_ord int, content string")
+    pages = spark.createDataFrame([
+        ("https://s.es/a/1.html", _page("https://s.es/a/1.html", "2024-01-28T08:10:00Z", "2024-01-28T08:30:00Z", "A"))],
+        "url string, html string")
+    paths = run_hour(spark, feed, None, pages, tmp_dir + "/out", dt.datetime(2024, 1, 28, 11), 6)
+    errors = spark.read.parquet(paths["errors"]).collect()
+    assert [r.link for r in errors] == ["https://s.es/m/9.html"] and "error_url_report" in errors[0].data
+    assert [r.og_url for r in spark.read.parquet(paths["published"]).collect()] == ["https://s.es/a/1.html"]
