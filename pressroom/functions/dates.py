@@ -32,11 +32,23 @@ def to_instant(c) -> Column:
     return _c(c).cast("timestamp")
 
 
+# The zone names RFC 822 defines, as offsets.
+RFC822_ZONES = {"GMT": "+0000", "UT": "+0000", "UTC": "+0000", "Z": "+0000",
+                "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
+                "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
+
+
 def parse_rfc822(c) -> Column:
-    """DAT1: RFC 822 ('Tue, 02 Jan 2024 10:00:00 +0100' / 'GMT'), else a plain cast."""
+    """DAT1: RFC 822 ('Tue, 02 Jan 2024 10:00:00 +0100', 'GMT', 'EST', ...), else a plain cast.
+
+    Zone names RFC 822 defines become offsets; any other trailing alphabetic zone name is
+    ignored and the time read as UTC, as feed parsers do with names they do not know."""
     s = F.trim(_c(c))
     s = F.regexp_replace(s, "^[A-Za-z]{3},\\s*", "")
-    s = F.regexp_replace(s, "\\s+(GMT|UTC|UT|Z)$", " +0000")
+    zone = F.regexp_extract(s, "\\s([A-Za-z]{1,5})$", 1)
+    zones = F.create_map(*[x for k, v in RFC822_ZONES.items() for x in (F.lit(k), F.lit(v))])
+    offset = F.coalesce(F.element_at(zones, F.upper(zone)), F.lit("+0000"))
+    s = F.when(zone != "", F.concat(F.regexp_replace(s, "\\s[A-Za-z]{1,5}$", ""), F.lit(" "), offset)).otherwise(s)
     rfc = F.coalesce(
         F.try_to_timestamp(s, F.lit("d MMM yyyy HH:mm:ss Z")),
         F.try_to_timestamp(s, F.lit("d MMM yyyy HH:mm Z")),

@@ -140,3 +140,9 @@ def test_rule_specific_parsers(spark):
     got = one_col(spark, ["2024-01-28 12:00:00+02:00", "2024-01-28 12:00:00+0200", "2024-01-28", "x"],
                   D.parse_20min_date)
     assert got == [dt.datetime(2024, 1, 28, 10)] * 2 + [dt.datetime(2024, 1, 28), None]
+
+
+def test_rfc822_zone_names(spark):
+    vals = ["Sun, 28 Jan 2024 07:00:00 EST", "Sun, 28 Jan 2024 05:00:00 PDT", "Sun, 28 Jan 2024 12:00:00 CET",
+            "Sun, 28 Jan 2024 12:00:00 UT"]
+    assert one_col(spark, vals, D.parse_rfc822) == [dt.datetime(2024, 1, 28, 12)] * 4
