@@ -48,12 +48,25 @@ def first_tag_inner(html, tag: str, attr_pattern: str = "") -> Column:
     return F.regexp_extract(_c(html), pat, 1)
 
 
-# Ordered title selectors (class of an h1, then any h1).
+# Ordered title selectors (class of an h1, then any h1), per site rule.
 TITLE_H1_CLASSES = ["ue-c-article__headline", "ue-c-article__title", "article-header-title"]
+OKDIARIO_H1_CLASSES = ["title", "entry-title", "article-title"]
 
 
-def page_title(html) -> Column:
-    """HTM1: first non-empty of: h1 with a known class, h1[itemprop=headline], any h1."""
+def page_title(html, rule: str = "el_mundo") -> Column:
+    """HTM1: the page title by ordered h1 selectors.
+
+    el_mundo  first selector whose text is non-empty: h1 with a known class,
+              h1[itemprop=headline], any h1
+    okdiario  the first selector that finds an element (its text may be empty): h1.title,
+              h1.entry-title, h1.article-title, any h1
+    """
+    if rule == "okdiario":
+        pats = [f'(?is)<h1\\b[^>]*class="[^"]*\\b{k}\\b[^"]*"[^>]*>' for k in OKDIARIO_H1_CLASSES]
+        out = F.when(F.lit(False), F.lit(None).cast("string"))
+        for k, p in zip(OKDIARIO_H1_CLASSES, pats):
+            out = out.when(_c(html).rlike(p), tag_text(first_tag_inner(html, "h1", f'class="[^"]*\\b{k}\\b[^"]*"')))
+        return out.when(_c(html).rlike("(?is)<h1\\b"), tag_text(first_tag_inner(html, "h1")))
     cands = [first_tag_inner(html, "h1", f'class="[^"]*\\b{k}\\b[^"]*"') for k in TITLE_H1_CLASSES]
     cands.append(first_tag_inner(html, "h1", 'itemprop="headline"'))
     cands.append(first_tag_inner(html, "h1"))

@@ -146,3 +146,10 @@ def test_rfc822_zone_names(spark):
     vals = ["Sun, 28 Jan 2024 07:00:00 EST", "Sun, 28 Jan 2024 05:00:00 PDT", "Sun, 28 Jan 2024 12:00:00 CET",
             "Sun, 28 Jan 2024 12:00:00 UT"]
     assert one_col(spark, vals, D.parse_rfc822) == [dt.datetime(2024, 1, 28, 12)] * 4
+
+
+def test_title_rules(spark):
+    pages = ['<h1 class="title"></h1><h1>Otro</h1>', '<h1>Uno</h1><h1 class="entry-title">Dos</h1>',
+             '<h1 class="ue-c-article__title"> </h1><h1>Fallback</h1>']
+    assert one_col(spark, pages, lambda c: H.page_title(c, rule="okdiario")) == ["", "Dos", ""]   # first h1 found
+    assert one_col(spark, pages, H.page_title) == ["Otro", "Uno", "Fallback"]
