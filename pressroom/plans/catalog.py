@@ -563,10 +563,14 @@ def doc_snippets(spark, sf_dir):
 
 
 def iso_dates(spark, sf_dir):
-    """DAT6: ISO re-format of every event time (Python isoformat of a UTC instant)."""
+    """DAT6: ISO re-format of every event time (Python isoformat of a UTC instant); DAT5: the
+    strict '...Z' parse of each time written that way, and of an unparseable value (-> as_of)."""
     ev = table(spark, sf_dir, "events")
+    zulu = F.date_format(D.to_instant("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return ev.select("event_id", D.iso_format(D.to_instant("ts")).alias("iso"),
-                     D.iso_or_default(F.col("props"), AS_OF).alias("props_date"))
+                     D.iso_or_default(F.col("props"), AS_OF).alias("props_date"),
+                     _ts_text(D.strict_z(zulu, AS_OF)).alias("strict_z"),                 # DAT5
+                     _ts_text(D.strict_z(F.col("props"), AS_OF)).alias("strict_z_default"))
 
 
 def distinct_sources(spark, sf_dir):

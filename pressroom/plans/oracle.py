@@ -346,7 +346,8 @@ ISO_DATES = f"""
 SELECT event_id,
   strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(ts, '%f') <> '000000' THEN '.' || strftime(ts, '%f') ELSE '' END
     || '+00:00' AS iso,
-  strftime(TIMESTAMP {q(C.AS_OF)}, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS props_date
+  strftime(TIMESTAMP {q(C.AS_OF)}, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS props_date,
+  {fmt_ts('ts')} AS strict_z, {q(C.AS_OF)} AS strict_z_default
 FROM events
 """
 
