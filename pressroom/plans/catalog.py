@@ -853,3 +853,18 @@ def stream_upsert(spark, sf_dir):
 
 
 QUERIES.update({"el_pais_feed_export": el_pais_feed_export, "stream_upsert": stream_upsert})
+
+
+def select_sources(spark, sf_dir):
+    """JON7: configured sources (of the es/fr documents) selected by requested names (the
+    upper-cased sources of the de documents), case-insensitively; requested names that match
+    nothing are reported as unknown."""
+    docs = table(spark, sf_dir, "documents")
+    sites = docs.filter(F.col("lang").isin("es", "fr")).select(F.col("source").alias("name")).distinct()
+    wanted = docs.filter(F.col("lang") == "de").select(F.upper("source").alias("name")).distinct()
+    found, unknown = enrich.select_sites(sites, wanted)
+    return found.select("name", F.lit("found").alias("status")).unionByName(
+        unknown.select("name", F.lit("unknown").alias("status")))
+
+
+QUERIES["select_sources"] = select_sources

@@ -522,6 +522,16 @@ SELECT og_url, {fmt_ts('m')} AS modified_time, event_id, value FROM (
   FROM events) WHERE rn = 1
 """
 
+SELECT_SOURCES = """
+WITH sites AS (SELECT DISTINCT source AS name FROM documents WHERE lang IN ('es', 'fr')),
+wanted AS (SELECT DISTINCT upper(source) AS name FROM documents WHERE lang = 'de')
+SELECT name, 'found' AS status FROM sites s
+WHERE EXISTS (SELECT 1 FROM wanted w WHERE lower(w.name) = lower(s.name))
+UNION ALL
+SELECT name, 'unknown' AS status FROM wanted w
+WHERE NOT EXISTS (SELECT 1 FROM sites s WHERE lower(s.name) = lower(w.name))
+"""
+
 ORACLE = {
     "site_digest": SITE_DIGEST,
     "canonical_first_seen": CANONICAL_FIRST_SEEN,
@@ -576,4 +586,5 @@ ORACLE = {
     "run_hours": RUN_HOURS,
     "el_pais_feed_export": EL_PAIS_FEED_EXPORT,
     "stream_upsert": STREAM_UPSERT,
+    "select_sources": SELECT_SOURCES,
 }
