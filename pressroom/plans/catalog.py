@@ -868,3 +868,29 @@ def select_sources(spark, sf_dir):
 
 
 QUERIES["select_sources"] = select_sources
+
+
+def page_categories(spark, sf_dir):
+    """PRJ13: category from the URL ('video' for the video host; piece 4 after 'pwa'), edition."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", records.category_from_url(F.col("url")).alias("category"),
+                    records.edition(F.col("url")).alias("edition"))
+
+
+def event_time_parts(spark, sf_dir):
+    """PRJ8 + PRJ9: effective published/modified times (purchases get a modification an hour
+    later) and the partition parts taken from the modified time, else the published one, in Rome."""
+    ev = table(spark, sf_dir, "events")
+    t = D.to_instant("ts")
+    df = ev.select("event_id", F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("article.published_time"),
+                   F.when(F.col("event_type") == "purchase",
+                          F.date_format(t + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+                   .alias("og.modified_time"),
+                   F.lit(None).cast("string").alias("og.published_time"),
+                   F.lit(None).cast("string").alias("article.modified_time"))
+    df = records.partition_from_times(records.effective_times(df), "Europe/Rome")
+    return df.select("event_id", "year", "month", "day", "hour",
+                     F.coalesce("modified_time_tz_rome_YM", "published_time_tz_rome_YM").alias("ym"))
+
+
+QUERIES.update({"page_categories": page_categories, "event_time_parts": event_time_parts})

@@ -532,6 +532,23 @@ SELECT name, 'unknown' AS status FROM wanted w
 WHERE NOT EXISTS (SELECT 1 FROM sites s WHERE lower(s.name) = lower(w.name))
 """
 
+PAGE_CATEGORIES = """
+SELECT page_id,
+  CASE WHEN contains(url, 'https://video.') THEN 'video'
+       WHEN (string_split(url, '/'))[4] = 'pwa' THEN (string_split(url, '/'))[5]
+       ELSE (string_split(url, '/'))[4] END AS category,
+  'Undefined' AS edition
+FROM pages
+"""
+
+_EFF = "CASE WHEN event_type = 'purchase' THEN date_trunc('second', ts) + INTERVAL 1 HOUR ELSE date_trunc('second', ts) END"
+EVENT_TIME_PARTS = f"""
+SELECT event_id, strftime({to_rome(_EFF)}, '%Y') AS year, strftime({to_rome(_EFF)}, '%m') AS month,
+  strftime({to_rome(_EFF)}, '%d') AS day, strftime({to_rome(_EFF)}, '%H') AS hour,
+  strftime({to_rome(_EFF)}, '%Y%m') AS ym
+FROM events
+"""
+
 ORACLE = {
     "site_digest": SITE_DIGEST,
     "canonical_first_seen": CANONICAL_FIRST_SEEN,
@@ -587,4 +604,6 @@ ORACLE = {
     "el_pais_feed_export": EL_PAIS_FEED_EXPORT,
     "stream_upsert": STREAM_UPSERT,
     "select_sources": SELECT_SOURCES,
+    "page_categories": PAGE_CATEGORIES,
+    "event_time_parts": EVENT_TIME_PARTS,
 }
