@@ -1,6 +1,5 @@
 """Multi-site plan: registry rules applied per site in one plan."""
 
-
 from pressroom.plans.sites import run_report, run_sites
 from pressroom.sources.registry import load_sites
 
