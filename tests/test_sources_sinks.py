@@ -153,3 +153,18 @@ def test_append_dialect_normalises(spark):
     df = spark.createDataFrame([("Café\r\n  hoy\x07", ["  Ana\tPérez "], "S")], "title string, authors array<string>, source string")
     r = export_frame(df, "2024-01-28 10:00:00", "append").first()
     assert (r.title, r.authors) == ("Café hoy", "Ana Pérez")
+
+
+def test_write_latest_html(spark, tmp_dir):
+    import datetime as dt
+
+    from pressroom.sinks.writers import write_latest_html
+    rows = [("2024", "01", "28", "09", "u", "<old>", dt.datetime(2024, 1, 28, 8), dt.datetime(2024, 1, 28, 9)),
+            ("2024", "01", "28", "10", "u", "<new>", dt.datetime(2024, 1, 28, 8), dt.datetime(2024, 1, 28, 10)),
+            ("2024", "01", "28", "07", "v", "<only-published>", dt.datetime(2024, 1, 28, 7), None)]
+    df = spark.createDataFrame(rows, "year string, month string, day string, hour string, og_url string, html string, "
+                                     "published_time_tz timestamp, modified_time_tz timestamp")
+    base = os.path.join(tmp_dir, "html")
+    write_latest_html(df, base)
+    got = {r.og_url: (r.html, r.hour) for r in spark.read.parquet(base).collect()}
+    assert got == {"u": ("<new>", "10"), "v": ("<only-published>", "07")}
