@@ -81,14 +81,19 @@ def path_pieces(c) -> Column:
 
 
 def absolute_url(base, href) -> Column:
-    """STR7: resolve an href against the site base URL (http(s), '//' and '/' forms)."""
+    """STR7: resolve an href against the page/site URL as ``urljoin`` does for the usual forms:
+    absolute, scheme-relative ('//'), root-relative ('/') and relative (replaces the last path
+    segment of the base; dot segments are not collapsed)."""
     b, h = _c(base), _c(href)
     scheme = F.regexp_extract(b, "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     root = F.regexp_extract(b, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    base_nq = F.substring_index(F.substring_index(b, "#", 1), "?", 1)
+    directory = F.when(base_nq.rlike(_SCHEME + "[^/]*/"), F.regexp_replace(base_nq, "[^/]*$", "")) \
+        .otherwise(F.concat(base_nq, F.lit("/")))
     return (F.when(h.rlike("^https?://"), h)
             .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
             .when(h.startswith("/"), F.concat(root, h))
-            .otherwise(F.concat(F.regexp_replace(b, "/+$", ""), F.lit("/"), h)))
+            .otherwise(F.concat(directory, h)))
 
 
 def is_article_link(c, marker: str = "/noticias/", suffix: str = ".html") -> Column:

@@ -102,7 +102,9 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, href,
   CASE WHEN regexp_matches(href, '^https?://') THEN href
        WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href
        WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href
-       ELSE regexp_replace(url, '/+$', '') || '/' || href END AS absolute_url,
+       WHEN regexp_matches(split_part(split_part(url, '#', 1), '?', 1), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/')
+         THEN regexp_replace(split_part(split_part(url, '#', 1), '?', 1), '[^/]*$', '') || href
+       ELSE split_part(split_part(url, '#', 1), '?', 1) || '/' || href END AS absolute_url,
   (contains(href, '/') AND ends_with(href, '.html')) AS is_article
 FROM x
 """

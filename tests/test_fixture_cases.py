@@ -153,3 +153,13 @@ def test_title_rules(spark):
              '<h1 class="ue-c-article__title"> </h1><h1>Fallback</h1>']
     assert one_col(spark, pages, lambda c: H.page_title(c, rule="okdiario")) == ["", "Dos", ""]   # first h1 found
     assert one_col(spark, pages, H.page_title) == [None, "Uno", None]     # only the first h1 is read
+
+
+def test_absolute_url_like_urljoin(spark):
+    from urllib.parse import urljoin
+    pairs = [("https://a.es/x/", "y.html"), ("https://a.es/x", "y.html"), ("https://a.es", "y.html"),
+             ("https://a.es/x/p?q=1#f", "z/w.html"), ("https://a.es/x/", "/root.html"), ("https://a.es/x", "//cdn.es/i"),
+             ("http://a.es/x", "https://b.es/")]
+    df = spark.createDataFrame(pairs, "b string, h string")
+    got = [r.a for r in df.select(U.absolute_url("b", "h").alias("a")).collect()]
+    assert got == [urljoin(b, h) for b, h in pairs]
