@@ -61,14 +61,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _local_master(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "").split("[")[0] == "local"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is read as is.
-    Only when it is unset (local runs, tests) a folder is created for it.
+    Only when it is unset on a local master (tests, bench) a folder is created
+    for it; elsewhere executors would not see that folder, so it is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not _local_master(spark):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="pressroom-chk-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:
@@ -90,20 +97,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _is_local_path(p: str) -> bool:
-    return "://" not in p or p.startswith("file:")
+def _hadoop(spark: SparkSession, path: str):
+    """(FileSystem, Path) of a location, for whatever store it names (a bare path means the default one)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop FileSystem, so it works for any store."""
-    if _is_local_path(path):
-        return os.path.exists(path.replace("file:", "", 1) if path.startswith("file:") else path)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _hadoop(spark, path)
     return bool(fs.exists(hpath))
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more."""
+    fs, hpath = _hadoop(spark, path)
+    fs.delete(hpath, True)
+
+
 def spread_if_undersplit(df: DataFrame) -> DataFrame:
     """Round-robin a CPU-heavy input only when its scan has fewer splits than the cluster has cores.
 
