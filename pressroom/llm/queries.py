@@ -4,20 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressroom.llm import simhash
+from pressroom.llm import bpe, simhash
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), size=4, bits=4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op10_simhash": op10_simhash,
 }
 
