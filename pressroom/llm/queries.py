@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressroom.llm import bpe, simhash
+from pressroom.llm import bpe, linededup, simhash
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,12 +21,17 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), size=4, bits=4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op7_lines": op7_lines,
     "op10_simhash": op10_simhash,
 }
 
