@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressroom.llm import bpe, linededup, simhash
+from pressroom.llm import bpe, linededup, mixing, simhash
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
     return bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -30,6 +34,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
     "op7_lines": op7_lines,
     "op10_simhash": op10_simhash,
