@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressroom.llm import bpe, langid, linededup, mixing, simhash
+from pressroom.llm import bpe, htmltext, langid, linededup, mixing, simhash
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -29,6 +29,10 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
     "op7_lines": op7_lines,
+    "op8_main_text": op8_main_text,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
 }
