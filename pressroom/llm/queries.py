@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressroom.llm import bpe, htmltext, langid, linededup, mixing, simhash
+from pressroom.llm import bpe, htmltext, langid, linededup, mixing, pii, simhash
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -25,6 +25,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
+    "op5_personal_data": op5_personal_data,
     "op7_lines": op7_lines,
     "op8_main_text": op8_main_text,
     "op9_language": op9_language,
