@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pressroom.llm import bpe, htmltext, langid, linededup, mixing, pii, simhash
+from pressroom.llm import bpe, hamming, htmltext, langid, linededup, mixing, pii, simhash
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -29,6 +30,14 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op6_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest sign codes of every 50th vector, among all vectors."""
+    codes = (_table(spark, sf_dir, "embeddings")
+             .select(F.col("vec_id").alias("id"), hamming.sign_code("embedding").alias("code")))
+    asked = codes.filter("id % 50 = 0").select(F.col("id").alias("query_id"), "code")
+    return hamming.top_k(codes, asked, k=10).withColumnRenamed("id", "vec_id")
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
     "op5_personal_data": op5_personal_data,
+    "op6_hamming": op6_hamming,
     "op7_lines": op7_lines,
     "op8_main_text": op8_main_text,
     "op9_language": op9_language,
@@ -56,4 +66,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that it can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_hamming": """
+        WITH c AS (SELECT vec_id, list_sum([CASE WHEN embedding[i] > 0 THEN 1::HUGEINT << (i - 1) ELSE 0::HUGEINT END
+                                            FOR i IN range(1, 65)])::HUGEINT AS code
+                   FROM embeddings WHERE len(embedding) >= 64),
+             p AS (SELECT q.vec_id AS query_id, c.vec_id, bit_count(xor(q.code, c.code))::INT AS distance
+                   FROM c AS q, c WHERE q.vec_id % 50 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INT AS rank, vec_id, distance
+        FROM p QUALIFY rank <= 10""",
+}
