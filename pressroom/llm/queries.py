@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressroom.llm import bpe, embed, hamming, htmltext, langid, linededup, mixing, pii, simhash
+from pressroom.llm import bpe, embed, hamming, htmltext, langid, linededup, mixing, pii, simhash, suffix
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -26,6 +26,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.98)
 
@@ -61,6 +65,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
+    "op3_suffix_array": op3_suffix_array,
     "op4_embeddings": op4_embeddings,
     "op5_personal_data": op5_personal_data,
     "op6_hamming": op6_hamming,
