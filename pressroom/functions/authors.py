@@ -295,7 +295,7 @@ def clean_rows(df, key: str, pos: str, name: str, rule: str = "strict"):
     x = F.col(name)
     if rule == "strip":
         parts = df.select(key, pos, F.posexplode(split_authors(x)).alias("_sub", "_n"))
-        cleaned = parts.select(key, (F.col(pos) * 1000 + F.col("_sub")).alias(pos), fn(F.col("_n")).alias("_a"))
+        cleaned = parts.select(key, F.struct(F.col(pos).alias("_p"), F.col("_sub").alias("_s")).alias(pos), fn(F.col("_n")).alias("_a"))
     else:
         cleaned = df.select(key, pos, fn(x).alias("_a"))
     cleaned = cleaned.filter(F.col("_a").isNotNull())

@@ -2,13 +2,15 @@
 HTM7, HTM9-HTM11, PRJ11).
 
 Markup in real pages is malformed, so XPath is not an option (it fails the job);
-flat markup is read with regular expressions, which stay inside codegen.  The
-tree-aware extractors (CSS classes, ancestors: HTM3, HTM4, HTM8) live in
-``operators.pages`` as one Arrow ``mapInPandas`` pass.
+flat markup is read with regular expressions, which stay inside codegen.  Rules
+that need the element tree (sibling and ancestor selectors) are left out.
 """
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,11 +27,29 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
             ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
 
 
+# The other named references, from the standard library's table (ASCII-named ones end in ';').
+_NAMED = {f"&{k}": v for k, v in html5.items() if k.endswith(";")}
+_REFERENCE = "&(?:#[0-9]{1,8}|#[xX][0-9A-Fa-f]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _referenced(ref: Column) -> Column:
+    """The character of one reference; unknown names stay as they are."""
+    body = F.regexp_extract(ref, "^&#[xX]?([0-9A-Fa-f]+);$", 1)
+    code = F.when(ref.rlike("^&#[xX]"), F.conv(body, 16, 10)).otherwise(body).cast("int")
+    fine = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(fine, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+    return F.when(ref.startswith("&#"), char).otherwise(F.coalesce(F.element_at(names, ref), ref))
+
+
 def unescape(c) -> Column:
     col = _c(c)
-    for k, v in ENTITIES:
+    for k, v in ENTITIES[:-1]:
         col = F.replace(col, F.lit(k), F.lit(v))
-    return col
+    refs = F.array_distinct(F.filter(F.regexp_extract_all(col, F.lit(_REFERENCE), 0), lambda r: r != "&amp;"))
+    # '&amp;' comes last, and '&amp;eacute;' holds no '&eacute;', so nothing is decoded twice
+    rest = F.aggregate(refs, col, lambda text, r: F.replace(text, r, _referenced(r)))
+    return F.replace(F.when(col.contains("&"), rest).otherwise(col), F.lit("&amp;"), F.lit("&"))
 
 
 def strip_tags(c) -> Column:
@@ -193,17 +213,47 @@ def jsonld_field(html, path: str) -> Column:
     return F.get(F.filter(vals, lambda x: x.isNotNull()), 0)
 
 
+def _unquoted(v: Column) -> Column:
+    """An attribute's value without its quotes."""
+    return F.regexp_replace(v, "^([\"'])(.*)\\1$", "$2")
+
+
 def time_datetime(html, meta: Column | None = None) -> Column:
     """HTM7: ``<time datetime=...>`` (itemprop=datePublished first), else the published meta.
     Pass an already computed ``meta_map`` column as ``meta`` to avoid parsing the tags again."""
-    dp = F.regexp_extract(_c(html), "(?is)<time\\b[^>]*itemprop=\"datePublished\"[^>]*datetime=\"([^\"]*)\"", 1)
-    anyt = F.regexp_extract(_c(html), "(?is)<time\\b[^>]*datetime=\"([^\"]*)\"", 1)
+    value = "datetime\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s>\"']+)"
+    own = "itemprop\\s*=\\s*[\"']?datePublished\\b"
+    dp = _unquoted(F.regexp_extract(_c(html), f"(?is)<time\\b(?=[^>]*{own})[^>]*?\\b{value}", 1))
+    anyt = _unquoted(F.regexp_extract(_c(html), f"(?is)<time\\b[^>]*?\\b{value}", 1))
     m = meta if meta is not None else meta_map(html)
     return F.coalesce(F.nullif(dp, F.lit("")), F.nullif(anyt, F.lit("")),
                       F.element_at(m, F.lit("article:published_time")),
                       F.element_at(m, F.lit("pubdate")))
 
 
+# Classes whose element holds an author name, per site rule.
+AUTHOR_CLASSES = {
+    "el_pais": ["a_hi", "a_ti", "author", "author-name", "author_link", "autor-nombre", "byline", "byline__name",
+                "c-byline__author", "entry-author", "firma", "firma-autor", "firma_apellidos", "firma_autor",
+                "firma_nombre", "firmas_articulo", "g-author", "nombre_autor", "signature", "vcard"],
+    "okdiario": ["article-author", "author", "author-name", "autor", "byline", "entry-author", "firma", "signature"],
+    "el_mundo": ["author-name", "ue-c-article__byline-name"],
+}
+
+
+def flat_authors(html, rule: str = "el_pais") -> Column:
+    """HTM3/HTM6 (flat form): distinct texts of elements with ``rel=author``, ``itemprop=author``
+    or one of the rule's author classes, in document order. An element inside such an element
+    belongs to its text; sibling and ancestor selectors are not read."""
+    classes = "|".join(AUTHOR_CLASSES[rule])
+    mark = (f"(?:(?:rel|itemprop)\\s*=\\s*[\"']?author\\b"
+            f"|class\\s*=\\s*(?:\"(?:[^\"]*\\s)?(?:{classes})(?:\\s[^\"]*)?\"|'(?:[^']*\\s)?(?:{classes})(?:\\s[^']*)?'"
+            f"|(?:{classes})(?=[\\s>])))")
+    whole = f"(?is)<(a|span|div|p|address|li|strong)\\b(?=[^>]*\\b{mark})[^>]*>(.*?)</\\1>"
+    texts = F.transform(F.regexp_extract_all(_c(html), F.lit(whole), 2), tag_text)
+    return F.array_distinct(F.filter(texts, lambda t: t != ""))
+
+
 def breadcrumb_second(html) -> Column:
     """HTM9: text of the second ``<li>`` of an ``<ol class="breadcrumb">``."""
     ol = first_tag_inner(html, "ol", 'class="[^"]*\\bbreadcrumb\\b[^"]*"')
@@ -211,12 +261,12 @@ def breadcrumb_second(html) -> Column:
     return F.nullif(tag_text(F.get(items, 1)), F.lit(""))
 
 
-_HREF = "(?is)<a\\b[^>]*?\\bhref\\s*=\\s*\"([^\"]*)\""
+_HREF = "(?is)<a\\b[^>]*?\\bhref\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s>\"']+)"
 
 
 def links(html) -> Column:
-    """HTM10: every ``<a href="...">`` value, in document order."""
-    return F.regexp_extract_all(_c(html), F.lit(_HREF), 1)
+    """HTM10: every ``<a href=...>`` value, however quoted, in document order."""
+    return F.transform(F.regexp_extract_all(_c(html), F.lit(_HREF), 1), _unquoted)
 
 
 def paywall_flag(html) -> Column:
@@ -226,13 +276,15 @@ def paywall_flag(html) -> Column:
 
 
 def article_paragraphs(html) -> Column:
-    """HTM8 (regex form): texts of ``<p>`` elements inside the first ``<article>``.
+    """HTM8: texts of ``<p>`` elements inside the ``<article>`` elements, without those in
+    navigation, asides, headers and footers.
 
     A ``<p>`` ends at ``</p>``, at the next ``<p>`` or at the end of the article,
     as an HTML parser closes an unclosed paragraph.
     """
-    art = first_tag_inner(html, "article")
-    pieces = F.slice(F.split(art, "(?i)<p\\b[^>]*>"), 2, 1 << 30)
+    body = F.regexp_replace(_c(html), "(?is)<(nav|aside|footer|header)\\b[^>]*>.*?</\\1>", "")
+    arts = F.regexp_extract_all(body, F.lit("(?is)<article\\b[^>]*>(.*?)</article>"), 1)
+    pieces = F.flatten(F.transform(arts, lambda a: F.slice(F.split(a, "(?i)<p\\b[^>]*>"), 2, 1 << 30)))
     return F.transform(pieces, lambda p: tag_text(F.split(p, "(?i)</p>", 2).getItem(0)))
 
 

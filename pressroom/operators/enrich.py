@@ -1,12 +1,9 @@
 """Enrichment joins (JON1-JON9).
 
-Join strategy: the right side is first reduced to one row per key (so a join
-never multiplies rows), then joined with a plain equi-join.  Spark/AQE choose
-broadcast only when the measured size is under the broadcast threshold; the
-only explicit ``broadcast`` hints are on tables whose size is bounded by
-construction (the site registry: one row per configured site; fixed lookup
-maps), and they are guarded by ``broadcast_if_small``.  A hot key on the big
-side is split by AQE's skew-join handling.
+Join strategy: the right side is first reduced to one row per key, by an order that makes the
+choice repeatable (so a join never multiplies rows), then joined with a plain equi-join. Spark
+and AQE broadcast a side when its measured size is under the broadcast threshold; a hot key on
+the big side is split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -16,23 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedupe import first_seen, latest_by
+from .dedupe import first_seen, full_order, latest_by
 
-# Row bound under which a side counts as "registry-sized" for an explicit hint.
-BROADCAST_MAX_ROWS = 100_000
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven to be at most ``max_rows``.
-
-    The check is a ``limit(max_rows + 1).count()``: it reads at most
-    ``max_rows + 1`` rows of a table, whatever its size (for a derived side the
-    plan up to the limit runs once more -- callers use it on registry-sized or
-    run-window data).  Bigger sides are left to the optimizer (sort-merge or
-    shuffled hash join, AQE at runtime).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def _one_per_key(right: DataFrame, key: str, order: Sequence | None) -> DataFrame:
+    """The first row per key: by ``order``, then (or without one) by the row's own values."""
+    return first_seen(right, key, full_order(right, list(order or ()), exclude=[key]))
 
 
 def enrich_from_feed(urls: DataFrame, entries: DataFrame, key: str = "url",
@@ -55,11 +41,8 @@ def overlay(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str],
     mode='all'     matched right values replace left ones, nulls included
     mode='nonnull' only non-null right values replace left ones
     """
-    if right_order:
-        extra = [o for o in right_order if isinstance(o, str) and o not in cols and o != key]
-        right = first_seen(right.select(key, *cols, *extra), key, list(right_order))
-    else:
-        right = right.dropDuplicates([key])
+    extra = [o for o in (right_order or ()) if o not in cols and o != key]
+    right = _one_per_key(right.select(key, *cols, *extra), key, right_order)
     r = right.select(F.col(key), *[F.col(c).alias(f"_r_{c}") for c in cols], F.lit(True).alias("_r_hit"))
     j = left.join(r, on=key, how="left")
 
@@ -76,9 +59,10 @@ def overlay(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str],
 
 
 def fill_missing(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str],
-                 list_sep: str = ", ") -> DataFrame:
+                 list_sep: str = ", ", right_order: Sequence | None = None) -> DataFrame:
     """JON3: fill only empty (null or '') left fields from the right side; lists joined."""
-    right = right.dropDuplicates([key])
+    extra = [o for o in (right_order or ()) if o not in cols and o != key]
+    right = _one_per_key(right.select(key, *cols, *extra), key, right_order)
     rsel = []
     for c in cols:
         dt = right.schema[c].dataType.simpleString()
@@ -96,12 +80,10 @@ def fill_missing(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str
 
 
 def pages_for(urls: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
-    """The pages whose URL is wanted, found without shuffling the page table when the
-    wanted set is small: a ``left_semi`` join against the distinct wanted URLs, broadcast
-    only behind ``broadcast_if_small``.  (A left outer join cannot broadcast its left
-    side, so joining small URL sets to a large page table directly would shuffle every page.)"""
-    keys = urls.select(url).distinct()
-    return pages.join(broadcast_if_small(keys), on=url, how="left_semi")
+    """The pages whose URL is wanted: a ``left_semi`` join against the distinct wanted URLs. Where
+    they are under the broadcast threshold the page table is filtered map-side and not shuffled
+    (a left outer join cannot broadcast its left side, so joining directly would shuffle it)."""
+    return pages.join(urls.select(url).distinct(), on=url, how="left_semi")
 
 
 def attach_pages(urls: DataFrame, pages: DataFrame, as_of=None, url: str = "url",
@@ -113,12 +95,19 @@ def attach_pages(urls: DataFrame, pages: DataFrame, as_of=None, url: str = "url"
     """
     from ..functions.dates import as_of_lit
     p = pages_for(urls, pages, url)
+    # the snapshot is picked by time and content hash, and its markup is joined afterwards, so no
+    # aggregation carries pages
+    ids = p.withColumn("_snap", F.xxhash64(*page_cols))
     if fetched_at in pages.columns:
         if as_of is not None:
-            p = p.filter(F.col(fetched_at) <= as_of_lit(as_of))
-        p = latest_by(p.select(url, fetched_at, *page_cols), url, [fetched_at])
+            ids = ids.filter(F.col(fetched_at) <= as_of_lit(as_of))
+        best = ids.groupBy(url).agg(F.max(F.struct(F.col(fetched_at), F.col("_snap"))).alias("_b"))
+        best = best.select(url, F.col(f"_b.{fetched_at}").alias(fetched_at), F.col("_b._snap").alias("_snap"))
+        on = [url, fetched_at, "_snap"]
     else:
-        p = p.select(url, *page_cols).dropDuplicates([url])
+        best, on = ids.groupBy(url).agg(F.min("_snap").alias("_snap")), [url, "_snap"]
+    # snapshots that agree in the key are equal rows: any of them
+    p = ids.select(*on, *page_cols).join(best, on).drop("_snap").dropDuplicates([url])
     p = p.withColumn("has_page", F.lit(True))
     j = urls.join(p, on=url, how="left")
     return j.withColumn("has_page", F.coalesce(F.col("has_page"), F.lit(False)))
@@ -129,7 +118,7 @@ def resolve_lastmod(article_modified: Column, article_present: Column, og_modifi
     return F.when(article_present, article_modified).otherwise(og_modified)
 
 
-def top_up(primary: DataFrame, fallback: DataFrame, key: str, part: str, n: int,
+def top_up(primary: DataFrame, fallback: DataFrame, key: str, part: str, n: int | None,
            order: Sequence) -> DataFrame:
     """JON6: primary rows first, then fallback rows whose key is not in primary, up to n per part."""
     from .limits import cap_per
@@ -150,5 +139,5 @@ def select_sites(sites: DataFrame, names: DataFrame, name_col: str = "name") ->
 
 def attach_site(df: DataFrame, sites: DataFrame, on: str = "site",
                 cols: Sequence[str] = ("source", "domain", "max_articles")) -> DataFrame:
-    """JON9: site attributes onto records; the registry is bounded, so it is broadcast."""
-    return df.join(broadcast_if_small(sites.select(on, *[c for c in cols if c != on])), on=on, how="left")
+    """JON9: site attributes onto records (the registry's size lets the planner broadcast it)."""
+    return df.join(sites.select(on, *[c for c in cols if c != on]), on=on, how="left")

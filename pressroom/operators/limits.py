@@ -20,15 +20,20 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def cap_per(df: DataFrame, part, n: int, order: Sequence, rank_col: str | None = None) -> DataFrame:
-    """LIM1/LIM5: the first ``n`` rows per ``part`` in ``order`` (ascending; add a tie-break)."""
+def cap_per(df: DataFrame, part, n: int | None, order: Sequence, rank_col: str | None = None) -> DataFrame:
+    """LIM1/LIM5: the first ``n`` rows per ``part`` in ``order`` (ascending; add a tie-break).
+
+    Without a cap (``n`` None) every row stays, and its rank, which would sort a whole part in one
+    task, is null."""
+    if n is None:
+        return df.withColumn(rank_col, F.lit(None).cast("bigint")) if rank_col else df
     w = Window.partitionBy(*_cols(part)).orderBy(*_cols(order))
     rn = rank_col or "_rn"
     out = df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= F.lit(int(n)))
     return out.withColumn(rn, F.col(rn).cast("bigint")) if rank_col else out.drop(rn)
 
 
-def cap_sequential(df: DataFrame, site: str, n: int, feed_ord: str = "feed_ord",
+def cap_sequential(df: DataFrame, site: str, n: int | None, feed_ord: str = "feed_ord",
                    item_ord: str = "item_ord", valid: Column | None = None,
                    rank_col: str | None = None) -> DataFrame:
     """LIM5: a quota of ``n`` consumed across ordered feeds (valid rows only)."""
@@ -42,7 +47,7 @@ def head_of_each(df: DataFrame, ordinal: str, n: int) -> DataFrame:
     return df.filter(F.col(ordinal) < F.lit(int(n)))
 
 
-def first_distinct(df: DataFrame, key: str, part, n: int, order: Sequence) -> DataFrame:
+def first_distinct(df: DataFrame, key: str, part, n: int | None, order: Sequence) -> DataFrame:
     """LIM6: distinct keys in first-seen order, then the first ``n`` per ``part``.
 
     The reference over-collects 2N from a set and cuts arbitrarily; here the

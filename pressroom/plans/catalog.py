@@ -35,18 +35,11 @@ MERGE_DELAY = 120
 META_PATHS = ["k", "k.x", "missing.path"]
 
 
-TEXT_TABLES = {"pages", "documents", "conversations"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; text tables (per-row regex/parse work) are spread when under-split."""
+    """A driver table."""
     from ..session import ensure_semantics
     ensure_semantics(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLES:
-        from ..session import spread_if_undersplit
-        df = spread_if_undersplit(df)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ts_text(c):
@@ -301,8 +294,7 @@ def fill_missing(spark, sf_dir):
 def section_lookup(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    # region is a fixed 5-row dimension; the hint is still behind a row-count check
-    j = nation.join(enrich.broadcast_if_small(region), nation.n_regionkey == region.r_regionkey)
+    j = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return j.select("n_nationkey", "n_name", "r_name",
                     U.section_name(F.lower("r_name")).alias("region_display"),
                     U.section_name(F.lower("n_name")).alias("nation_display"))
@@ -513,18 +505,6 @@ QUERIES.update({
 })
 
 
-def page_tree(spark, sf_dir):
-    """HTM3/HTM4/HTM8 tree pass over every page (rows-only check: tree semantics have no SQL form)."""
-    from ..operators.pages import extract_pages
-    out = extract_pages(table(spark, sf_dir, "pages"), "page_id", "html", rule="el_pais")
-    return out.select("page_id", F.size("paragraphs").cast("bigint").alias("n_paragraphs"),
-                      F.array_join("selector_authors", "|").alias("selector_authors"),
-                      F.array_join("header_authors", "|").alias("header_authors"), "main_text")
-
-
-QUERIES["page_tree"] = page_tree
-
-
 # ------------------------------------------------------------------ more operators over the tables
 FIRST_USERS = 20
 
@@ -823,15 +803,12 @@ QUERIES.update({
 
 
 # ------------------------------------------------------------------ site flow and streaming upsert
-EP_PER_FEED = 5
-
-
 def el_pais_feed_export(spark, sf_dir):
     """El País flow (LIM4, STR5, FLT10, DAT4, FLT5 + FLT2, AGG2, URL2/URL7, AUT4) over RSS
     documents built from the events (each document one feed)."""
     from .sites import el_pais_records
     docs = _rss_docs(spark, sf_dir).select(F.col("chunk").alias("feed_ord"), "content")
-    return el_pais_records(docs, AS_OF, DAYS, max_per_feed=EP_PER_FEED)
+    return el_pais_records(docs, AS_OF, DAYS)
 
 
 def stream_upsert(spark, sf_dir):
@@ -847,7 +824,7 @@ def stream_upsert(spark, sf_dir):
         F.lit(MERGE_AUDIT_NEW).alias("audit_time"), "event_id", "value")
     rows = records.hour_columns(rows, "modified_time_tz", "Europe/Rome")
     base, chk = scratch_path(spark, "stream-upsert"), scratch_path(spark, "stream-upsert-chk")
-    stream_published(rows, base, chk, HOUR_AS_OF, HOUR_DELAY)
+    stream_published(rows, base, chk)
     out = spark.read.parquet(base)
     return out.select("og_url", _ts_text("modified_time_tz").alias("modified_time"), "event_id", "value")
 

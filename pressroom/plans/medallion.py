@@ -53,11 +53,12 @@ def _stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(p)
 
 
-def _read_history(spark: SparkSession, base: str, schema: T.StructType, as_of, delay: int) -> DataFrame | None:
+def _read_history(spark: SparkSession, base: str, new: DataFrame) -> DataFrame | None:
+    """The history of the hours that ``new`` touches: those are the ones a dynamic overwrite replaces."""
     if not path_exists(spark, base):
         return None
-    old = spark.read.schema(schema).parquet(base)
-    return old.filter(recency.in_hour_window(as_of, delay))
+    old = spark.read.schema(new.schema).parquet(base)
+    return old.join(new.select(*HOUR_PARTS).distinct(), list(HOUR_PARTS), "left_semi").select(*new.columns)
 
 
 # ------------------------------------------------------------------ curated
@@ -94,10 +95,10 @@ def curated_sitemap_rows(sitemap_docs: DataFrame, as_of, delay: int, pages: Data
     return rows.filter(recency.in_hour_window(as_of, delay))
 
 
-def merge_curated_into(new: DataFrame, base: str, as_of, delay: int) -> DataFrame:
-    """WIN4/SET2: new ∪ history of the window, whole-row distinct, touched hours replaced."""
+def merge_curated_into(new: DataFrame, base: str) -> DataFrame:
+    """WIN4/SET2: new ∪ history of the touched hours, whole-row distinct, touched hours replaced."""
     spark = new.sparkSession
-    old = _read_history(spark, base, new.schema, as_of, delay)
+    old = _read_history(spark, base, new)
     if old is not None:
         records.assert_same_columns(new, old)
     merged = _stage(dedupe.merge_distinct(new, old), "curated")
@@ -106,15 +107,20 @@ def merge_curated_into(new: DataFrame, base: str, as_of, delay: int) -> DataFram
 
 
 # ------------------------------------------------------------------ published
+def _link_schema(name: str) -> T.StructType:
+    """Explicit, so that partition values stay the strings they were written as ("01", not 1)."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in (name, *HOUR_PARTS)])
+
+
 def candidate_links(feed_base: str, sitemap_base: str, spark: SparkSession, as_of, delay: int) -> DataFrame:
     """SET3: distinct links of the window from the feed and sitemap datasets, with their hour."""
     parts = [F.col(p) for p in HOUR_PARTS]
     out = []
     if path_exists(spark, feed_base):
-        f = spark.read.parquet(feed_base).filter(recency.in_hour_window(as_of, delay))
+        f = spark.read.schema(_link_schema("link")).parquet(feed_base).filter(recency.in_hour_window(as_of, delay))
         out.append(f.select(F.col("link"), *parts).distinct())
     if path_exists(spark, sitemap_base):
-        s = spark.read.parquet(sitemap_base).filter(recency.in_hour_window(as_of, delay))
+        s = spark.read.schema(_link_schema("loc")).parquet(sitemap_base).filter(recency.in_hour_window(as_of, delay))
         out.append(s.select(F.col("loc").alias("link"), *parts).distinct())
     if not out:
         return spark.createDataFrame([], "link string, year string, month string, day string, hour string")
@@ -146,7 +152,7 @@ def published_rows(payload: DataFrame, as_of, delay: int, run_ts) -> tuple[DataF
     Returns (published rows without html, slim html rows for the latest-html dataset).
     """
     flat = F.from_json(F.col("data"), "map<string,string>")
-    sel = [F.element_at(flat, F.lit(c.replace(".", ":"))).alias(c) for c in META_COLUMNS]
+    sel = [F.element_at(flat, F.lit(c.replace(".", ":").lower())).alias(c) for c in META_COLUMNS]
     df = payload.select(*HOUR_PARTS, *sel).dropDuplicates()
     df = df.filter(recency.has_identity_and_time())
     df = records.effective_times(df)
@@ -164,12 +170,12 @@ def published_rows(payload: DataFrame, as_of, delay: int, run_ts) -> tuple[DataF
     return df, html_rows
 
 
-def merge_published_into(new: DataFrame, base: str, as_of, delay: int) -> DataFrame:
-    """WIN3/SET4: history of the window ∪ new, latest audit per (modified_time_tz, og_url),
+def merge_published_into(new: DataFrame, base: str) -> DataFrame:
+    """WIN3/SET4: history of the touched hours ∪ new, latest audit per (modified_time_tz, og_url),
     touched hours replaced.  Ties on audit time are broken by the row's own columns."""
     spark = new.sparkSession
-    old = _read_history(spark, base, new.schema, as_of, delay)
-    both = new if old is None else old.select(*new.columns).unionByName(new)
+    old = _read_history(spark, base, new)
+    both = new if old is None else old.unionByName(new)
     keys = ["modified_time_tz", "og_url"]
     merged = _stage(dedupe.latest_by(both, keys, dedupe.full_order(both, ["audit_time"], exclude=keys)), "published")
     write_hours(merged, base)
@@ -185,14 +191,14 @@ def run_hour(spark: SparkSession, feed_docs: DataFrame | None, sitemap_docs: Dat
     paths = {k: f"{out_base.rstrip('/')}/{k}" for k in
              ("feed_rss", "sitemap", "published", "published_html", "errors")}
     if feed_docs is not None:
-        merge_curated_into(curated_feed_rows(feed_docs, as_of, delay), paths["feed_rss"], as_of, delay)
+        merge_curated_into(curated_feed_rows(feed_docs, as_of, delay), paths["feed_rss"])
     if sitemap_docs is not None:
-        merge_curated_into(curated_sitemap_rows(sitemap_docs, as_of, delay, pages), paths["sitemap"], as_of, delay)
+        merge_curated_into(curated_sitemap_rows(sitemap_docs, as_of, delay, pages), paths["sitemap"])
     links = candidate_links(paths["feed_rss"], paths["sitemap"], spark, as_of, delay)
-    payload = _stage(page_payload(links, pages), "payload")
+    payload = _stage(page_payload(links, pages, as_of), "payload")
     good, bad = recency.split_rejects(payload, "data")
     write_rejects(bad, paths["errors"])
     pub, html_rows = published_rows(good, as_of, delay, run_ts)
     write_latest_html(html_rows, paths["published_html"])
-    merge_published_into(pub, paths["published"], as_of, delay)
+    merge_published_into(pub, paths["published"])
     return paths

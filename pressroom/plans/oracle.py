@@ -513,7 +513,7 @@ SELECT url, event_type || ' & user ' || CAST(user_id AS VARCHAR) AS title,
   {slug_title(f"coalesce(({_EP_PIECES})[1], '')")} AS section,
   {slug_title(f"coalesce(({_EP_PIECES})[2], '')")} AS subsection
 FROM e
-WHERE item_ord < {C.EP_PER_FEED} AND t >= {AS_OF} - INTERVAL {C.DAYS} DAY
+WHERE t >= {AS_OF} - INTERVAL {C.DAYS} DAY
   AND floor((epoch_us({AS_OF}) - epoch_us(t)) / 86400000000.0) <= {C.DAYS}
 """
 

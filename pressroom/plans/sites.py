@@ -19,13 +19,12 @@ from ..operators import dedupe, enrich, recency
 from ..sources.feeds import parse_feed, parse_sitemap
 from ..sources.registry import feed_plan
 
-DEFAULT_CAP = 50
-SITEMAP_HEAD = 200          # LIM2: entries considered per sitemap, before the recency filter
-DEFAULT_FEED_CAP = 100      # LIM4 default when a site sets no per-feed cap
 
+def entries_for_sites(sites: DataFrame, docs: DataFrame, sitemap_head: int | None = None) -> DataFrame:
+    """SRC9 + SRC3/SRC4: the planned documents of every site parsed into one entry table.
 
-def entries_for_sites(sites: DataFrame, docs: DataFrame) -> DataFrame:
-    """SRC9 + SRC3/SRC4: the planned documents of every site parsed into one entry table."""
+    ``sitemap_head``: LIM2, entries considered per sitemap before the recency filter (none: all).
+    """
     plan = feed_plan(sites)
     d = docs.select("url", "content")
     planned = plan.join(d, "url", "inner")
@@ -34,7 +33,8 @@ def entries_for_sites(sites: DataFrame, docs: DataFrame) -> DataFrame:
                      F.coalesce("published", "updated", "created", "dc_date").alias("published"),
                      "summary", "authors", "categories")
     sm = parse_sitemap(planned.filter(F.col("kind") == "sitemap"), keep=["site", "kind", "feed_ord", "url"])
-    sm = sm.filter(F.col("item_ord") < SITEMAP_HEAD)                       # LIM2 before recency
+    if sitemap_head is not None:
+        sm = sm.filter(F.col("item_ord") < sitemap_head)                   # LIM2 before recency
     sm = sm.select("site", "kind", "feed_ord", "item_ord", F.col("loc").alias("entry_url"),
                    F.col("news_title").alias("title"),
                    F.coalesce("lastmod", "news_publication_date").alias("published"),
@@ -72,15 +72,18 @@ def _authors_by_rule(rule: Column, site: Column, authors: Column) -> Column:
 
 
 def run_sites(sites: DataFrame, docs: DataFrame, as_of, days: int = 1, pages: DataFrame | None = None,
-              default_cap: int = DEFAULT_CAP) -> tuple[DataFrame, DataFrame]:
-    """All sites in one plan -> (export records, ingest report per site and feed)."""
-    e = entries_for_sites(sites, docs)
+              default_cap: int | None = None, sitemap_head: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """All sites in one plan -> (export records, ingest report per site and feed).
+
+    Caps apply where they are given: per site ``max_articles`` of the registry or else
+    ``default_cap``, per feed ``max_articles_per_feed`` (LIM4). Without one nothing is cut and
+    ``rank`` is null. The report (AGG5) counts what the documents hold, before any cap.
+    """
+    e = entries_for_sites(sites, docs, sitemap_head)
     rules = sites.select(F.col("name").alias("site"), "recency_rule", "section_rule", "author_rule",
-                         "max_articles", "max_articles_per_feed",
+                         F.coalesce("max_articles", F.lit(default_cap).cast("int")).alias("cap"), "max_articles_per_feed",
                          F.regexp_extract("url", "^[a-z]+://([^/]*)", 1).alias("domain"))
-    e = e.join(enrich.broadcast_if_small(rules), "site", "left")          # registry: one row per site
-    feed_cap = F.coalesce(F.col("max_articles_per_feed"), F.lit(DEFAULT_FEED_CAP))
-    e = e.filter((F.col("kind") == "sitemap") | (F.col("item_ord") < feed_cap))     # LIM4 per feed
+    e = e.join(rules, "site", "left")
     e = e.withColumn("url", U.canonical_url("entry_url")).filter(recency.http_only("url"))
     # sitemap lastmods follow the 'midnight' rule's own formats; feed dates are RFC 822 / ISO
     ts = F.when((F.col("kind") == "sitemap") & (F.col("recency_rule") == "midnight"),
@@ -89,15 +92,18 @@ def run_sites(sites: DataFrame, docs: DataFrame, as_of, days: int = 1, pages: Da
     report = e.groupBy("site", "feed_ord").agg(F.count(F.lit(1)).alias("n_found"),
                                                F.count_if("recent").alias("n_recent"),
                                                F.count_if(~F.col("recent")).alias("n_skipped"))
-    kept = dedupe.first_seen(e.filter("recent"), ["site", "url"], ["feed_ord", "item_ord"])     # AGG2
-    cap = F.coalesce(F.col("max_articles"), F.lit(default_cap))
+    in_feed = (F.col("kind") == "sitemap") | F.col("max_articles_per_feed").isNull() \
+        | (F.col("item_ord") < F.col("max_articles_per_feed"))                                  # LIM4 per feed
+    kept = dedupe.first_seen(e.filter(F.col("recent") & in_feed), ["site", "url"], ["feed_ord", "item_ord"])  # AGG2
     # the largest cap of the registry (one row per site: a bounded, tiny read) as a literal bound,
     # so the window is planned with a WindowGroupLimit below the shuffle; the per-site cap follows
-    max_cap = sites.agg(F.max(F.coalesce("max_articles", F.lit(default_cap)))).first()[0] or default_cap
+    max_cap = rules.agg(F.max("cap")).first()[0]
     from pyspark.sql import Window
     w = Window.partitionBy("site").orderBy("feed_ord", "item_ord")
-    kept = kept.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(int(max_cap)))
-    kept = kept.filter(F.col("rank") <= cap)                                                  # LIM1/LIM5
+    free = kept.filter("cap is null").withColumn("rank", F.lit(None).cast("int"))
+    kept = free if max_cap is None else (
+        kept.filter("cap is not null").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(int(max_cap)))
+        .filter(F.col("rank") <= F.col("cap")).unionByName(free))                              # LIM1/LIM5
     if pages is not None:
         p = enrich.pages_for(kept, pages.select("url", "html")).select(
             F.col("url"), H.page_title("html").alias("page_title"), H.meta_authors("html").alias("meta_authors"))
@@ -113,7 +119,7 @@ def run_sites(sites: DataFrame, docs: DataFrame, as_of, days: int = 1, pages: Da
         title.alias("title"), "url",
         F.coalesce(iso_format(ts), iso_format(to_instant(F.lit(str(as_of))))).alias("publish_date"),
         F.array_join(auth, ", ").alias("authors"), F.col("site").alias("source"), "domain",
-        F.coalesce(F.substring("summary", 1, 500), F.lit("")).alias("summary"),
+        F.coalesce("summary", F.lit("")).alias("summary"),
         _section_by_rule(F.col("section_rule"), F.col("url"), F.col("categories")).alias("section"),
         F.lit("").alias("subsection"), "rank")
     return out, report
@@ -128,7 +134,7 @@ def run_report(sites: DataFrame, exported: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ site-specific flows
 def okdiario_urls(index_docs: DataFrame, docs: DataFrame, rss_entries: DataFrame, as_of, days: int = 1,
-                  max_articles: int = 10) -> DataFrame:
+                  max_articles: int | None = None) -> DataFrame:
     """OKDiario discovery (the intended flow of §2.15, B10 decided).
 
     Sitemap index -> children with 'google-news' ones first, a later one ahead of an earlier
@@ -138,7 +144,7 @@ def okdiario_urls(index_docs: DataFrame, docs: DataFrame, rss_entries: DataFrame
     there (JON6).  ``rss_entries``: site, feed_ord, item_ord, url, published.
     """
     from ..sources.feeds import index_children
-    ch = index_children(index_docs, keep=["site"], max_children=1 << 30, priority_marker="google-news")
+    ch = index_children(index_docs, keep=["site"], priority_marker="google-news")
     entries = parse_sitemap(ch.join(docs.select(F.col("url").alias("child_url"), "content"), "child_url"),
                             keep=["site", "child_ord"])
     t = parse_any(F.col("lastmod"))
@@ -154,19 +160,40 @@ def el_mundo_enrich(records: DataFrame, pages: DataFrame) -> DataFrame:
     """El Mundo export (JON3): only empty fields of the URL records are filled from the page --
     title (HTM1), authors from the byline selectors (HTM3, joined ', ', sorted: the reference
     keeps a set), publication date (HTM7) and mapped section/subsection (URL4)."""
-    from ..operators.pages import extract_pages
     wanted = enrich.pages_for(records, pages.select("url", "html"))
-    tree = extract_pages(wanted, key="url", html="html", rule="el_mundo", keep=["html"])
     sec = U.sections_mapped(F.col("url"))
-    meta = tree.select("url", H.page_title("html").alias("title"),
-                       F.array_sort("selector_authors").alias("authors"),
+    meta = wanted.select("url", H.page_title("html").alias("title"),
+                       F.array_sort(H.flat_authors("html", "el_mundo")).alias("authors"),
                        H.time_datetime("html").alias("publish_date"),
                        sec["section"].alias("section"), sec["subsection"].alias("subsection"))
     return enrich.fill_missing(records, meta, "url", ["title", "authors", "publish_date", "section", "subsection"])
 
 
+# Meta tags read for El País authors (HTM6), in order.
+EL_PAIS_AUTHOR_META = ["author", "byl", "sailthru.author", "article:author", "og:article:author",
+                       "twitter:creator", "parsely-author"]
+
+
+def el_pais_page_authors(html) -> Column:
+    """HTM6: JSON-LD authors when there are any; otherwise meta and element authors, cleaned
+    (AUT9 for meta values, AUT4 for every name) and sorted."""
+    html = F.col(html) if isinstance(html, str) else html
+    m = H.meta_map(html)
+    meta = F.filter(F.array(*[A.meta_author_value(F.element_at(m, F.lit(k))) for k in EL_PAIS_AUTHOR_META]),
+                    lambda v: v.isNotNull() & (v != ""))
+    ld = H.jsonld_authors(html)
+    names = F.when(F.size(ld) > 0, ld).otherwise(F.concat(meta, H.flat_authors(html, "el_pais")))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(names, A.clean_name_cut), lambda x: x != "")))
+
+
+def feed_or_page_authors(feed_authors, page_authors) -> Column:
+    """HTM6 precedence: authors given by the feed entry win; the page is the fallback."""
+    fa = F.coalesce(feed_authors, F.array().cast("array<string>"))
+    return F.when(F.size(fa) > 0, fa).otherwise(F.coalesce(page_authors, F.array().cast("array<string>")))
+
+
 def el_pais_records(feed_docs: DataFrame, as_of, days: int = 1, pages: DataFrame | None = None,
-                    max_per_feed: int = 50, source: str = "El País", domain: str = "elpais.com") -> DataFrame:
+                    max_per_feed: int | None = None, source: str = "El País", domain: str = "elpais.com") -> DataFrame:
     """El País (§2.15): 28 ordered MRSS feeds -> export records.
 
     LIM4 first ``max_per_feed`` entries of each feed; STR5 canonical URL, FLT10 http(s) only;
@@ -180,7 +207,8 @@ def el_pais_records(feed_docs: DataFrame, as_of, days: int = 1, pages: DataFrame
     from ..functions.text import collapse_ws
     from ..operators import limits
     items = parse_feed(feed_docs, keep=["feed_ord"])
-    items = limits.head_of_each(items, "item_ord", max_per_feed)
+    if max_per_feed is not None:
+        items = limits.head_of_each(items, "item_ord", max_per_feed)
     ts = feed_date("published", "updated", "created", "dc_date")
     e = items.select("feed_ord", "item_ord", U.canonical_url("link").alias("url"), "title", ts.alias("ts"),
                      "summary", "authors", "categories")
@@ -190,11 +218,8 @@ def el_pais_records(feed_docs: DataFrame, as_of, days: int = 1, pages: DataFrame
     e = dedupe.first_seen(e, "url", ["feed_ord", "item_ord"])
     feed_auth = clean_cut(F.col("authors"), default=None)
     if pages is not None:
-        from ..operators.pages import page_authors_el_pais
         wanted = enrich.pages_for(e, pages.select("url", "html"))
-        pa = page_authors_el_pais(wanted, key="url").withColumnRenamed("authors", "page_authors")
-        e = e.join(pa, "url", "left")
-        from ..operators.pages import feed_or_page_authors
+        e = e.join(wanted.select("url", el_pais_page_authors("html").alias("page_authors")), "url", "left")
         auth = feed_or_page_authors(feed_auth, F.col("page_authors"))
     else:
         auth = feed_auth
@@ -241,7 +266,7 @@ def sitemap_overlay_records(pages: DataFrame, sitemap_docs: DataFrame, as_of, mo
     return records.clean_record(out, as_of) if mode == "all" else out
 
 
-def capped_site_urls(sitemap_entries: DataFrame, front_links: DataFrame | None, n: int = 10) -> DataFrame:
+def capped_site_urls(sitemap_entries: DataFrame, front_links: DataFrame | None, n: int | None = None) -> DataFrame:
     """Infobae / Vozpópuli URL discovery (LIM6 + FLT14 + STR7).
 
     Sitemap locations, distinct, in first-seen order; when fewer than ``n``, article links of
@@ -284,7 +309,7 @@ def jsonld_site_records(pages: DataFrame, as_of, site: str) -> DataFrame:
 
 
 def feed_page_records(entries: DataFrame, pages: DataFrame, as_of, days: int = 1, rule: str = "el_confidencial",
-                      max_articles: int = 100, source: str = "") -> DataFrame:
+                      max_articles: int | None = None, source: str = "") -> DataFrame:
     """Feed entries -> page-assembled records.
 
     el_confidencial  FLT4 on the entry date (unknown = as_of, kept); entries of all feeds in
@@ -314,7 +339,7 @@ def feed_page_records(entries: DataFrame, pages: DataFrame, as_of, days: int = 1
     return records.reshape_20min(recs)
 
 
-def sitemap_then_rss_records(docs: DataFrame, pages: DataFrame, max_articles: int = 10,
+def sitemap_then_rss_records(docs: DataFrame, pages: DataFrame, max_articles: int | None = None,
                              source: str = "") -> DataFrame:
     """Libertad Digital / eldiario.es: sitemap documents first, then RSS feeds, consumed in
     order under one quota (LIM5); every <loc> of a sitemap (index locations included), every
@@ -328,7 +353,7 @@ def sitemap_then_rss_records(docs: DataFrame, pages: DataFrame, max_articles: in
     from ..sources.feeds import index_children
     sm = docs.filter(F.col("kind") == "sitemap")
     locs = parse_sitemap(sm, keep=["site", "src_ord"]).select("site", "src_ord", "item_ord", F.col("loc").alias("url"))
-    idx = index_children(sm, keep=["site", "src_ord"], max_children=1 << 30).select(
+    idx = index_children(sm, keep=["site", "src_ord"]).select(
         "site", "src_ord", F.col("child_ord").alias("item_ord"), F.col("child_url").alias("url"))
     rss = parse_feed(docs.filter(F.col("kind") == "rss"), keep=["site", "src_ord"]).select(
         "site", "src_ord", "item_ord", F.col("link").alias("url"))
@@ -345,21 +370,3 @@ def sitemap_then_rss_records(docs: DataFrame, pages: DataFrame, max_articles: in
     out = picked.join(recs, "url", "left")
     return out.select("site", "rank", "url", "title", "publish_date", "authors", first_piece.alias("section"),
                       F.lit(source).alias("source"), U.domain(F.col("url")).alias("domain"), "summary")
-
-
-# UDF2: the registry's sites mapped to their flow (a dict of DataFrame -> DataFrame builders).
-# Sites not listed use the generic one-plan export ``run_sites``.
-SITE_FLOWS = {
-    "El País": el_pais_records,
-    "OKDiario": okdiario_urls,
-    "El Mundo": el_mundo_enrich,
-    "Público": lambda pages, docs, as_of: sitemap_overlay_records(pages, docs, as_of, "all", "Público"),
-    "El Español": lambda pages, docs, as_of: sitemap_overlay_records(pages, docs, as_of, "nonnull", "El Español"),
-    "Infobae": lambda pages, as_of: jsonld_site_records(pages, as_of, "Infobae"),
-    "Vozpópuli": lambda pages, as_of: jsonld_site_records(pages, as_of, "Vozpópuli"),
-    "El Confidencial": lambda entries, pages, as_of, days=1: feed_page_records(
-        entries, pages, as_of, days, "el_confidencial", 100, "El Confidencial"),
-    "20minutos": lambda entries, pages, as_of, days=1: feed_page_records(entries, pages, as_of, days, "20minutos"),
-    "Libertad Digital": lambda docs, pages: sitemap_then_rss_records(docs, pages, 10, "Libertad Digital"),
-    "eldiario.es": lambda docs, pages: sitemap_then_rss_records(docs, pages, 10, "eldiario.es"),
-}

@@ -35,9 +35,8 @@ def _clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
 
 def write_hours(df: DataFrame, base: str, parts: Sequence[str] = HOUR_PARTS) -> None:
     """SNK1: Parquet partitioned by year/month/day/hour; replaces only the touched hours."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    _clustered(df, parts).write.mode("overwrite").partitionBy(*parts).parquet(base)
+    (_clustered(df, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(base))
 
 
 def write_rejects(df: DataFrame, base: str, parts: Sequence[str] = HOUR_PARTS) -> None:
@@ -48,11 +47,12 @@ def write_rejects(df: DataFrame, base: str, parts: Sequence[str] = HOUR_PARTS) -
 def write_latest_html(df: DataFrame, base: str, key: str = "og_url",
                       order: Sequence = ("modified_time_tz", "published_time_tz")) -> None:
     """SNK3: the latest HTML per URL (WIN1), hour-partitioned."""
-    from ..operators.dedupe import latest_by
+    from ..operators.dedupe import full_order, latest_by
     cols = [*HOUR_PARTS, key, "html", *order]
     slim = df.select(*cols)
     ordc = F.coalesce(*[F.col(o) for o in order])
-    latest = latest_by(slim.withColumn("_eff", ordc), key, ["_eff"]).drop("_eff", *order)
+    slim = slim.withColumn("_eff", ordc)
+    latest = latest_by(slim, key, full_order(slim, ["_eff"], exclude=[key])).drop("_eff", *order)
     write_hours(latest, base)
 
 

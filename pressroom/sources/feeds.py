@@ -22,9 +22,12 @@ from ..schemas import RSS_ITEM, SITEMAP_URL
 
 # One schema for RSS 2.0 / MRSS (channel.item), Atom (entry), sitemaps (url) and
 # sitemap indexes (sitemap); the document's root element name is not part of it.
-DOC_SCHEMA = """
-channel struct<item: array<struct<title:string, link:string, pubDate:string, `dc:date`:string,
-  description:string, author:string, `dc:creator`:string, category: array<string>, guid:string>>>,
+# Items lie in the channel (RSS 2.0) or beside it (RSS 1.0).
+_ITEMS = """array<struct<title:string, link:string, pubDate:string, `dc:date`:string, date:string,
+  description:string, summary:string, `content:encoded`:string, author:string, `dc:creator`:string,
+  category: array<string>, guid:string>>"""
+DOC_SCHEMA = f"""
+channel struct<item: {_ITEMS}>, item {_ITEMS},
 entry array<struct<title:string, link: array<struct<_href:string, _rel:string>>, published:string,
   updated:string, created:string, summary:string, content:string,
   author: array<struct<name:string, email:string>>, category: array<struct<_term:string>>, id:string>>,
@@ -64,15 +67,16 @@ def parse_feed(docs: DataFrame, content: str = "content", keep: Sequence[str] |
     """
     keep = [c for c in (keep if keep is not None else docs.columns) if c != content]
     x = _parsed(F.col(content))
-    rss = F.transform(x["channel"]["item"], lambda i: F.struct(
+    rss_items = F.concat(F.coalesce(x["channel"]["item"], F.array()), F.coalesce(x["item"], F.array()))
+    rss = F.transform(rss_items, lambda i: F.struct(
         F.lit("rss").alias("kind"),
         strip_cdata(i["title"]).alias("title"),
         F.trim(strip_cdata(i["link"])).alias("link"),
         i["pubDate"].alias("published"),
         F.lit(None).cast("string").alias("updated"),
         F.lit(None).cast("string").alias("created"),
-        i["dc:date"].alias("dc_date"),
-        strip_cdata(i["description"]).alias("summary"),
+        F.coalesce(i["dc:date"], i["date"]).alias("dc_date"),
+        strip_cdata(F.coalesce(i["description"], i["summary"], i["content:encoded"])).alias("summary"),
         F.filter(F.array(i["author"], i["dc:creator"]), lambda a: a.isNotNull() & (F.trim(a) != "")).alias("authors"),
         F.coalesce(i["category"], _empty()).alias("categories"),
         i["guid"].alias("guid"),
@@ -118,11 +122,11 @@ def parse_sitemap(docs: DataFrame, content: str = "content", keep: Sequence[str]
 
 
 def index_children(docs: DataFrame, content: str = "content", keep: Sequence[str] | None = None,
-                   max_children: int = 5, priority_marker: str | None = None) -> DataFrame:
+                   max_children: int | None = None, priority_marker: str | None = None) -> DataFrame:
     """SRC5/LIM3/LIM7: child sitemap locations of sitemap-index documents.
 
     With ``priority_marker`` (e.g. 'google-news') matching children go first, a later
-    match ahead of an earlier one; then the first ``max_children`` are kept.
+    match ahead of an earlier one; then the first ``max_children`` are kept (none: all).
     """
     keep = [c for c in (keep if keep is not None else docs.columns) if c != content]
     x = _parsed(F.col(content))
@@ -131,13 +135,14 @@ def index_children(docs: DataFrame, content: str = "content", keep: Sequence[str
     if priority_marker:
         # ranking happens inside the document's own array: no shuffle, no regrouping
         keyed = F.transform(locs, lambda u, i: F.struct(
-            F.when(u.contains(priority_marker), -i - 1_000_000_000).otherwise(i).alias("o"), u.alias("u")))
+            F.when(u.contains(priority_marker), 0).otherwise(1).alias("tier"),
+            F.when(u.contains(priority_marker), -i).otherwise(i).alias("o"), u.alias("u")))
         locs = F.transform(F.array_sort(keyed), lambda z: z["u"])
-    ch = docs.select(*keep, F.posexplode(F.slice(locs, 1, max_children)).alias("child_ord", "child_url"))
+    ch = docs.select(*keep, F.posexplode(locs if max_children is None else F.slice(locs, 1, max_children)).alias("child_ord", "child_url"))
     return ch
 
 
-def expand_sitemap_index(index_docs: DataFrame, docs: DataFrame, max_children: int = 5,
+def expand_sitemap_index(index_docs: DataFrame, docs: DataFrame, max_children: int | None = None,
                          url: str = "url", content: str = "content", keep: Sequence[str] = ("site",),
                          priority_marker: str | None = None) -> DataFrame:
     """SRC5: index -> first children -> their documents (equi-join on URL) -> sitemap entries.

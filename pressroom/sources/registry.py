@@ -20,10 +20,13 @@ SITES_FILE = os.path.join(os.path.dirname(__file__), "sites.jsonl")
 
 def load_sites(spark: SparkSession, path: str | None = None) -> DataFrame:
     """SRC8: the site registry (explicit schema, missing keys -> null)."""
-    p = path or SITES_FILE
-    if "://" not in p and not p.startswith("file:"):
-        p = "file://" + os.path.abspath(p)
-    df = spark.read.schema(SITE).json(p)
+    if path:
+        df = spark.read.schema(SITE).json(path)
+    else:
+        # the package's own file: read where the package is, executors need not have it
+        with open(SITES_FILE, encoding="utf-8") as f:
+            lines = [(line.strip(),) for line in f if line.strip()]
+        df = spark.createDataFrame(lines, "line string").select(F.from_json("line", SITE).alias("s")).select("s.*")
     return df.withColumns({
         "rss_feeds": F.coalesce("rss_feeds", F.array().cast("array<string>")),
         "sitemap": F.coalesce("sitemap", F.array().cast("array<string>")),

@@ -74,13 +74,13 @@ def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append
     q.awaitTermination()
 
 
-def stream_published(new_stream: DataFrame, base: str, checkpoint: str, as_of, delay_hours: int) -> None:
+def stream_published(new_stream: DataFrame, base: str, checkpoint: str) -> None:
     """STM3: streaming upsert of the latest version: each micro-batch runs the batch merge (WIN3),
     which is idempotent (dynamic partition overwrite), so a replayed batch does no harm."""
     from ..plans.medallion import merge_published_into
 
     def sink(batch: DataFrame, _epoch: int) -> None:
-        merge_published_into(batch, base, as_of, delay_hours)
+        merge_published_into(batch, base)
     q = (new_stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
          .foreachBatch(sink).start())
     q.awaitTermination()

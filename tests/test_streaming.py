@@ -39,10 +39,10 @@ def test_stream_published_upsert(spark, tmp_dir):
     first.write.parquet(src)
     stream = spark.readStream.schema(first.schema).parquet(src)
     chk = scratch_path(spark, "pub-chk")
-    S.stream_published(stream, base, chk, "2024-01-28 12:00:00", 6)
+    S.stream_published(stream, base, chk)
     newer = _published(spark, [("u1", m, "2024-01-28 11:00:00", "new", "2024", "01", "28", "10")])
     newer.write.mode("append").parquet(src)
-    S.stream_published(stream, base, chk, "2024-01-28 12:00:00", 6)
+    S.stream_published(stream, base, chk)
     rows = spark.read.parquet(base).collect()
     assert [(r.og_url, r.v) for r in rows] == [("u1", "new")]
     hist = read_hours(spark, base, "2024-01-28 12:00:00", 6, first.drop("year", "month", "day", "hour").schema)
