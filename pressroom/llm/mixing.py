@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pressroom.llm.names import unused
 from pressroom.llm.scratch import Scratch
 
 CAP = 2.0
@@ -211,6 +212,7 @@ def mix_report(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """docs with every row as often as the mix takes it (not at all, once, or up to ``cap`` times)."""
     c = copies(docs.select("doc_id", "source", "text"), weights, share, cap)
-    taken = c.filter("copies > 0").select(F.col("key").alias("_key"), F.col("copies").alias("_copies")).distinct()
-    return (docs.withColumn("_key", row_key()).join(taken, "_key")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns))
+    key, times = unused(docs, "_key", "_copies")
+    taken = c.filter("copies > 0").select(F.col("key").alias(key), F.col("copies").cast("int").alias(times)).distinct()
+    rows = docs.withColumn(key, row_key()).join(taken, key)
+    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(key)).select(*docs.columns)

@@ -27,8 +27,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pressroom.llm.components import components, forest
+from pressroom.llm.names import unused
 from pressroom.llm.scratch import Scratch
 
 BLOCK = 512
@@ -146,8 +148,14 @@ def simhash_groups(docs: DataFrame, size: int = 4, bits: int = 4) -> DataFrame:
     zero and link like any other. A null doc_id is returned as null and is in its group; a group
     of null ids only has a null component. Repeated rows each give a row. No rows: an empty table.
     """
+    rows = _grouped(docs.select("doc_id", "text"), size, bits)
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, size: int, bits: int) -> DataFrame:
+    """The columns of docs but text, fp and component_id."""
     scratch = Scratch(docs.sparkSession, "simhash")
-    fps = scratch.save(fingerprints(docs.select("doc_id", "text"), size))
+    fps = scratch.save(fingerprints(docs, size))
     classes = scratch.save(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     links = scratch.save(fingerprint_links(classes.select("fp"), bits, scratch))
     roots = components(links, scratch)
@@ -156,17 +164,20 @@ def simhash_groups(docs: DataFrame, size: int = 4, bits: int = 4) -> DataFrame:
     ids = scratch.save(rooted.groupBy("root").agg(F.min("rep").alias("component_id")))
     by_fp = scratch.save(rooted.join(ids, "root").select("fp", "component_id"))
     scratch.drop(classes, links, rooted, ids)
-    return (fps.join(by_fp, "fp")
-            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+    return fps.join(by_fp, "fp")
 
 
 def keep_first(docs: DataFrame, size: int = 4, bits: int = 4) -> DataFrame:
     """docs without the near-duplicates: of each group the document with the smallest doc_id stays.
 
-    All columns and their order stay. Repeated rows of the smallest doc_id stay one time;
-    documents with a null doc_id are in no position to be chosen and all stay.
+    All columns and their order stay. Of several rows with a group's smallest doc_id the one with the
+    smallest hash of its values stays; a null doc_id is in no position to be chosen, such rows all stay.
     """
-    groups = simhash_groups(docs, size, bits).select("doc_id", "component_id")
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    row, = unused(docs, "_row")
+    values = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, T.MapType)))
+    marked = docs.withColumn(row, values)
+    groups = _grouped(marked.select("doc_id", F.col(row).alias("row"), "text"), size, bits)
+    kept = (groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("row").alias(row)))
+    # rows that agree in both are equal
+    first = marked.join(kept, ["doc_id", row], "left_semi").dropDuplicates(["doc_id", row])
+    return first.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
