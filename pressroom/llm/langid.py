@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pressroom.llm.names import unused
+
 PER_LANG = 250
 BITS = 17
 GRAMS = 4
@@ -242,18 +244,18 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     return fit([r.text for r in rows], [r.lang for r in rows])
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred and score, from the text alone; existing columns of these names are replaced."""
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """docs with the columns ``lang`` and ``score``, from the text alone; existing ones are replaced."""
+    names, kept = [lang, score], [c for c in docs.columns if c not in (lang, score)]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lang, score = shared.value.predict(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(lang, pa.string()),
-                                              pa.array(score, pa.float64())], names=[*kept, "lang_pred", "score"])
+            langs, scores = shared.value.predict(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(langs, pa.string()),
+                                              pa.array(scores, pa.float64())], names=[*kept, *names])
 
-    schema = docs.select(*kept).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    schema = docs.select(*kept).withColumns({lang: F.lit(""), score: F.lit(0.0)}).schema
     return docs.select(*kept).mapInArrow(run, schema)
 
 
@@ -270,5 +272,6 @@ def language_report(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
 
 def keep_identified(docs: DataFrame, per_lang: int = PER_LANG, least: float = 0.5) -> DataFrame:
     """docs without those of no language: ``und``, or no language holds ``least`` of the words. Columns stay."""
-    extra = identify(docs.select(*docs.columns, F.col("text").alias("_text")), train(docs, per_lang))
-    return extra.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    lang, score = unused(docs, "_lang", "_score")
+    rows = identify(docs, train(docs, per_lang), lang, score)
+    return rows.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)

@@ -30,7 +30,7 @@ def rows():
            (4, base, "en", "b"), (5, base, "en", "b"), (6, base + " tail", "en", None), (7, base.upper(), "fr", "c"),
            (8, words(rng, 30000), "en", "b"), (9, "é" * 300, "fr", "c"), (10, "\x00" * 150 + "\U0001F600 z", None, "c"),
            (None, base, "en", "a"), (4, base, "en", "b"), (4, "another text of document four", "en", "b"),
-           (11, "mail bob.x@mail.example.com, 10.0.0.256, 10.1.2.3 +1 (555) 123-4567 4111 1111 1111 1111", "en", "a")]
+           (11, "mail bob.x@mail.example.com, 10.0.0.256, 10.1.2.3 x +1 (555) 123-4567 y 4111 1111 1111 1111", "en", "a")]
     lines = [words(rng, 9) for _ in range(40)]
     for i in range(20, 60):
         own = rng.choices(lines, k=3) + [words(rng, 8) for _ in range(3)]
