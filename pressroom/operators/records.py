@@ -80,6 +80,15 @@ def to_export(df: DataFrame, list_sep: str = ", ", as_of=None, default_authors:
     return df.select(*out, *[F.col(k) for k in keep])
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with an expensive column that is computed once per row.
+
+    The optimizer puts a projected expression into every later condition that names it; a
+    generator's output it leaves alone.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 # --------------------------------------------------------------------- PRJ3
 def required_defaults(as_of) -> dict[str, Column]:
     """Typed defaults of the required article fields."""

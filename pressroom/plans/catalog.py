@@ -354,25 +354,22 @@ QUERIES = {
 
 
 # ------------------------------------------------------------------ authors (rows-only: Unicode \b)
-def _line_candidate(line):
-    """An author-like string from a line's leading words: its first two whitespace tokens with
-    non-word characters removed, initcapped."""
-    toks = F.split(F.regexp_replace(line, "^[\\s\\x{A0}]+", ""), "(?U)\\s+", 3)
-
-    def word(i):
-        return F.nullif(F.regexp_replace(F.get(toks, i), "(?U)\\W", ""), F.lit(""))
-    return F.initcap(F.concat_ws(" ", word(0), word(1)))
+def _candidates(text):
+    """Author-like strings of a text: every sentence of every line, its words without other characters, initcapped."""
+    pieces = F.split(F.coalesce(text, F.lit("")), "[.\n]")
+    words = (lambda p: F.filter(F.transform(F.split(p, "(?U)\\s+"), lambda w: F.regexp_replace(w, "(?U)\\W", "")),
+                                lambda w: w != ""))
+    return F.transform(pieces, lambda p: F.initcap(F.array_join(words(p), " ")))
 
 
 def _authors(rule):
     def q(spark, sf_dir):
-        """Author rule over candidates from every line of every document.  A document's list
+        """Author rule over the candidates of every document's whole text.  A document's list
         is built and cleaned inside its own row (array functions; the ci-distinct is a fold),
-        so no shuffle is needed: the list is bounded by the document's lines."""
+        so no shuffle is needed: the list is bounded by the document's sentences."""
         from ..functions.authors import clean_authors
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-        cands = F.transform(F.coalesce(F.split(F.col("text"), "\n"), F.array().cast("array<string>")),
-                            _line_candidate)
+        cands = _candidates(F.col("text"))
         a = clean_authors(cands, rule=rule)
         if rule == "strip":
             a = F.when(F.size(a) > 0, a).otherwise(F.array(F.lit("20minutos")))

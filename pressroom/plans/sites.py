@@ -16,6 +16,7 @@ from ..functions import html as H
 from ..functions import urls as U
 from ..functions.dates import iso_format, parse_any, parse_sitemap_lastmod, to_instant
 from ..operators import dedupe, enrich, recency
+from ..operators.records import with_once
 from ..sources.feeds import parse_feed, parse_sitemap
 from ..sources.registry import feed_plan
 
@@ -88,7 +89,9 @@ def run_sites(sites: DataFrame, docs: DataFrame, as_of, days: int = 1, pages: Da
     # sitemap lastmods follow the 'midnight' rule's own formats; feed dates are RFC 822 / ISO
     ts = F.when((F.col("kind") == "sitemap") & (F.col("recency_rule") == "midnight"),
                 parse_sitemap_lastmod(F.col("published"))).otherwise(parse_any(F.col("published")))
-    e = e.withColumn("recent", _recent_by_rule(F.col("recency_rule"), ts, as_of, days, F.col("url")))
+    e = with_once(e, "_ts", ts)
+    ts = F.col("_ts")
+    e = with_once(e, "recent", _recent_by_rule(F.col("recency_rule"), ts, as_of, days, F.col("url")))
     report = e.groupBy("site", "feed_ord").agg(F.count(F.lit(1)).alias("n_found"),
                                                F.count_if("recent").alias("n_recent"),
                                                F.count_if(~F.col("recent")).alias("n_skipped"))
@@ -210,8 +213,8 @@ def el_pais_records(feed_docs: DataFrame, as_of, days: int = 1, pages: DataFrame
     if max_per_feed is not None:
         items = limits.head_of_each(items, "item_ord", max_per_feed)
     ts = feed_date("published", "updated", "created", "dc_date")
-    e = items.select("feed_ord", "item_ord", U.canonical_url("link").alias("url"), "title", ts.alias("ts"),
-                     "summary", "authors", "categories")
+    e = with_once(items, "ts", ts).select("feed_ord", "item_ord", U.canonical_url("link").alias("url"), "title", "ts",
+                                          "summary", "authors", "categories")
     e = e.filter(recency.http_only("url") & F.col("ts").isNotNull()
                  & recency.is_recent(F.col("ts"), as_of, days, "days_floor", keep_unknown=False)
                  & recency.is_recent(F.col("ts"), as_of, days, "age"))

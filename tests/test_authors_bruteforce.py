@@ -17,10 +17,8 @@ def _initcap(s):
 
 def candidates(text):
     out = []
-    for line in (text or "").split("\n"):
-        line = re.sub(r"^[ \t\n\x0b\f\r\xa0]+", "", line)
-        toks = re.split(r"\s+", line, maxsplit=2)
-        words = [re.sub(r"\W", "", t) for t in toks[:2]]
+    for piece in re.split(r"[.\n]", text or ""):
+        words = [re.sub(r"\W", "", w) for w in re.split(r"\s+", piece)]
         out.append(_initcap(" ".join(w for w in words if w)))
     return out
 
