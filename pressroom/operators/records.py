@@ -90,6 +90,7 @@ def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 # --------------------------------------------------------------------- PRJ3
+# Default texts of required fields and of the error record (PRJ3, PRJ4).
 def required_defaults(as_of) -> dict[str, Column]:
     """Typed defaults of the required article fields."""
     return {
@@ -190,7 +191,7 @@ def effective_times(df: DataFrame, published=("article.published_time", "og.publ
     """PRJ8: published_time_tz / modified_time_tz = first present of each pair, as instants."""
     pub = F.coalesce(*[F.col(f"`{c}`") for c in published])
     mod = F.coalesce(*[F.col(f"`{c}`") for c in modified])
-    return df.withColumns({"published_time_tz": parse_any(pub), "modified_time_tz": parse_any(mod)})
+    return with_once(with_once(df, "published_time_tz", parse_any(pub)), "modified_time_tz", parse_any(mod))
 
 
 # --------------------------------------------------------------------- PRJ9-14

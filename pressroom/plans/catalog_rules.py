@@ -14,7 +14,8 @@ from ..functions import html as H
 from ..functions import text as X
 from ..functions import urls as U
 from ..operators import dedupe, enrich, recency, records
-from .catalog import AS_OF, DAYS, RSS_CHUNK, _rss_docs, _ts_text, table
+from .catalog import AS_OF, DAYS, HOUR_AS_OF, RSS_CHUNK, _rss_docs, _ts_text, table
+from .oracle import _parts
 from .sqlparts import fmt_ts, q
 
 _AS_OF = f"TIMESTAMP {q(AS_OF)}"
@@ -254,17 +255,45 @@ def tag_section(spark, sf_dir):
     return e.select("event_id", U.section_or_tag(sec, tags).alias("section"))
 
 
+JOB_DELAY = 6
+
+
+def hourly_job(spark, sf_dir):
+    """STM1 end to end: feed documents and pages -> curated hours, links, payloads, rejects (a link in eleven
+    has no page), published rows of the run's window and the latest HTML; the published dataset read back."""
+    from ..session import scratch_path
+    from .medallion import run_hour
+    ev = table(spark, sf_dir, "events").filter("event_id % 11 <> 0")
+    url = F.concat(F.lit("https://news.example/"), "event_type", F.lit("/"), F.col("event_id").cast("string"), F.lit(".html"))
+    when = F.date_format(D.to_instant("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    meta = F.concat(F.lit('<meta property="og:url" content="'), url, F.lit('"><meta property="article:published_time" content="'), when,
+                    F.lit('"><meta property="article:modified_time" content="'), when, F.lit('"><meta name="msapplication-TileColor" content="c'),
+                    F.col("event_id").cast("string"), F.lit('">'))
+    pages = ev.select(url.alias("url"), _page(meta, F.lit("<article><p>x</p></article>")).alias("html"))
+    docs = _rss_docs(spark, sf_dir).select(F.col("event_type").alias("site"), "content")
+    paths = run_hour(spark, docs, None, pages, scratch_path(spark, "hourly-job"), HOUR_AS_OF, JOB_DELAY)
+    columns = ["og_url", "category", "isAccessibleForFree", "day_of_week", "msapplication-TileColor", "year", "month", "day", "hour"]
+    pub = spark.read.schema(", ".join(f"`{c}` string" for c in columns)).parquet(paths["published"])
+    return pub.withColumnRenamed("msapplication-TileColor", "color").withColumnRenamed("isAccessibleForFree", "access")
+
+
 RULE_QUERIES = {f.__name__: f for f in (
     site_plan, site_export, site_ingest_report, site_sitemap_head, registry_gaps, attach_site, rejects_split, identity_and_time,
     null_lastmod, url_dates, unknown_dates, page_meta, page_jsonld, page_references, rdf_feed, entry_records, required_fields,
-    superset_columns, distinct_authors, author_values, tag_section)}
+    superset_columns, distinct_authors, author_values, tag_section, hourly_job)}
 
 _CHUNK = f"floor(event_id / {RSS_CHUNK})"
 _FEEDS = f"""SELECT event_type, chunk, (row_number() OVER (PARTITION BY event_type ORDER BY chunk) - 1)::BIGINT AS feed_ord
              FROM (SELECT DISTINCT event_type, CAST({_CHUNK} AS BIGINT) AS chunk FROM events)"""
 _FRESH = f"date_trunc('second', ts) >= {_AS_OF} - INTERVAL {DAYS} DAY"
 
+_LO, _HI = recency.hour_bounds(HOUR_AS_OF, JOB_DELAY)
+
 RULE_ORACLE = {
+    "hourly_job": f"""WITH e AS (SELECT *, {_parts('ts')} FROM events WHERE event_id % 11 <> 0)
+        SELECT 'https://news.example/' || event_type || '/' || event_id || '.html' AS og_url, event_type AS category, 'FREE' AS access,
+               dayname(ts) AS day_of_week, 'c' || event_id AS color, year, month, day, hour
+        FROM e WHERE TRY_CAST(year || month || day || hour AS INTEGER) BETWEEN {_LO} AND {_HI}""",
     "site_plan": f"SELECT event_type AS site, 'rss' AS kind, feed_ord, '{FEED}' || event_type || '/' || chunk AS url FROM ({_FEEDS})",
     "site_export": f"""SELECT event_type || ' & user ' || user_id AS title, 'https://news.example/' || event_type || '/' || event_id || '.html' AS url,
         strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS publish_date, event_type AS source, 'news.example' AS domain,

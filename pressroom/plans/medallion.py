@@ -66,7 +66,7 @@ def curated_feed_rows(feed_docs: DataFrame, as_of, delay: int) -> DataFrame:
     """Feed items of the run with hour partitions from pubDate (RFC 822, else a plain cast)."""
     items = parse_feed(feed_docs, keep=["site"])
     t = parse_rfc822(F.col("published"))
-    items = items.select("site", "item_ord", "title", "link", "published", "summary", t.alias("_t"))
+    items = records.with_once(items.select("site", "item_ord", "title", "link", "published", "summary"), "_t", t)
     items = records.hour_columns(items, "_t", TZ).drop("_t")
     return items.filter(recency.in_hour_window(as_of, delay))
 
@@ -90,7 +90,7 @@ def curated_sitemap_rows(sitemap_docs: DataFrame, as_of, delay: int, pages: Data
         missing = missing.join(m, "loc", "left").withColumn("lastmod", resolved).drop("_m")
     rows = has.unionByName(missing)
     eff = F.coalesce(F.col("lastmod"), F.col("news_publication_date"))
-    rows = rows.withColumn("lastmod", eff).withColumn("_t", parse_any(eff))
+    rows = records.with_once(rows.withColumn("lastmod", eff), "_t", parse_any(F.col("lastmod")))
     rows = records.hour_columns(rows, "_t", TZ).drop("_t")
     return rows.filter(recency.in_hour_window(as_of, delay))
 

@@ -109,6 +109,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a glob pattern names, from the store's listing."""
+    fs, hpath = _hadoop(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(hpath) or [])
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a staged table that nothing reads any more."""
     fs, hpath = _hadoop(spark, path)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import as_of_lit
 from ..functions.urls import source_key
 from ..schemas import EXPORT_COLUMNS
+from ..session import list_paths
 
 HOUR_PARTS = ["year", "month", "day", "hour"]
 
@@ -127,9 +128,8 @@ def write_export(df: DataFrame, base: str, as_of, dialect: str = "default", site
     """SNK4: one '^'-separated export per (source_key, dt); a rerun replaces that day only."""
     d = DIALECTS[dialect]
     out = export_frame(df, as_of, dialect, site)
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (_clustered(out, ["source_key", "dt"]).write.mode("overwrite").partitionBy("source_key", "dt")
+    (_clustered(out, ["source_key", "dt"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source_key", "dt")
      .option("sep", "^").option("header", True).option("quote", d["quote"]).option("escape", d["escape"])
      .option("quoteAll", False).option("escapeQuotes", d["quote"] != "")
      .option("emptyValue", "").option("encoding", "UTF-8")
@@ -143,9 +143,10 @@ def retention_filter(dt_col: Column, as_of, days: int = 7) -> Column:
 
 def partitions_to_drop(spark: SparkSession, base: str, as_of, days: int = 7) -> DataFrame:
     """SNK6: the (source_key, dt) partitions older than the retention window (partition listing only)."""
-    df = spark.read.option("header", True).option("sep", "^").csv(base)
-    return df.select("source_key", F.col("dt").cast("date").alias("dt")).distinct() \
-        .filter(~retention_filter(F.col("dt"), as_of, days))
+    rows = [(p[-2].split("=", 1)[1], p[-1].split("=", 1)[1]) for p in
+            (path.split("/") for path in list_paths(spark, f"{base.rstrip('/')}/source_key=*/dt=*"))]
+    df = spark.createDataFrame(rows, "source_key string, dt string")
+    return df.select("source_key", F.col("dt").cast("date").alias("dt")).filter(~retention_filter(F.col("dt"), as_of, days))
 
 
 def outputs_on(spark: SparkSession, base: str, date: str) -> DataFrame:

@@ -74,6 +74,31 @@ def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append
     q.awaitTermination()
 
 
+def run_counts(df: DataFrame, out: str, checkpoint: str, by: str) -> None:
+    """Run a windowed count in update mode: a micro-batch carries only the counts that changed.
+
+    They replace their (window_start, ``by``) rows in the days they touch; other days are not read
+    or written. The watermark drops late rows and old state, so state is bounded by the delay.
+    """
+    from ..session import drop_path, path_exists, scratch_path
+
+    def sink(batch: DataFrame, _epoch: int) -> None:
+        spark = batch.sparkSession
+        new = batch.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+        both = new
+        if path_exists(spark, out):
+            old = spark.read.schema(new.schema).parquet(out).join(new.select("day").distinct(), "day", "left_semi")
+            both = new.unionByName(old.join(new.select("window_start", by), ["window_start", by], "left_anti"))
+        staged = scratch_path(spark, "counts")            # a dataset is not overwritten while it is read
+        both.write.parquet(staged)
+        (spark.read.schema(new.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day").parquet(out))
+        drop_path(spark, staged)
+    q = (df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("update")
+         .foreachBatch(sink).start())
+    q.awaitTermination()
+
+
 def stream_published(new_stream: DataFrame, base: str, checkpoint: str) -> None:
     """STM3: streaming upsert of the latest version: each micro-batch runs the batch merge (WIN3),
     which is idempotent (dynamic partition overwrite), so a replayed batch does no harm."""
