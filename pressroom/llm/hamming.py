@@ -8,7 +8,8 @@ query closes when its k-th distance is at most ``m * (r + 1) - 1``: no code it h
 
 Equal codes are one index entry: for a top k by (distance, id) the k smallest ids of a code are
 all that can appear, so a code that very many rows share costs k rows. Equal queries are one query.
-Segments have about log2(number of codes) bits, so a bucket holds a few codes at every size.
+Segments have at most log2(number of codes) bits, so a bucket holds a few codes at every size. What a
+query meets beyond its k-th distance so far is discarded in the join.
 """
 
 from __future__ import annotations
@@ -81,33 +82,38 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) ->
                        .filter(F.col("n") <= k).drop("n"))
     asked = scratch.save(queries.filter("code is not null").select("query_id", "code").distinct())
     index = scratch.save(ids.groupBy("code").agg(F.count("*").cast("int").alias("members"), F.min("id").alias("first")))
-    m = max(1, min(bits, round(bits / math.log2(max(2, index.count())))))
+    m = max(1, min(bits, math.ceil(bits / math.log2(max(2, index.count())))))
     cuts = _cuts(bits, m)
     buckets = scratch.save(index.select("code", "members", "first", F.explode(_segments("code", cuts)).alias("s"))
                            .select("s.seg", "s.val", "code", "members", "first"))
-    open_ = scratch.save(asked.select(F.col("code").alias("q")).distinct())
+    # bound: no code beyond this distance can still be among the k nearest
+    open_ = scratch.save(asked.select(F.col("code").alias("q"), F.lit(bits).alias("bound")).distinct())
     # best: the k nearest codes so far of each open query. By (distance, smallest id) a code behind
     # k others has no id among the k nearest, as each of the others has one before it.
     best, finished = None, []
     order = Window.partitionBy("q").orderBy("d", "first")
     for r in range(max(n for _, n in cuts) + 1):
         masks = spark.createDataFrame(_masks(cuts, r), "seg int, mask long")
-        own = open_.select("q", F.explode(_segments("q", cuts)).alias("s")).select("q", "s.seg", "s.val")
+        own = open_.select("q", "bound", F.explode(_segments("q", cuts)).alias("s")).select("q", "bound", "s.seg", "s.val")
         # the masks are a fixed list: binomial(segment bits, r) per segment
         probes = (own.join(F.broadcast(masks), "seg")
-                  .select("q", F.col("seg").alias("seg"), F.col("val").bitwiseXOR(F.col("mask")).alias("val")))
-        new = (probes.join(buckets, ["seg", "val"]).filter(_first_meeting(r, cuts))
-               .select("q", "code", "members", "first", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("d")))
+                  .select("q", "bound", F.col("seg").alias("seg"), F.col("val").bitwiseXOR(F.col("mask")).alias("val")))
+        distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
+        new = (probes.join(buckets, ["seg", "val"]).filter((distance <= F.col("bound")) & _first_meeting(r, cuts))
+               .select("q", "code", "members", "first", distance.alias("d")))
         met = scratch.save((new if best is None else best.unionByName(new))
                            .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k).drop("n"))
         near = F.sum(F.when(F.col("d") <= m * (r + 1) - 1, F.col("members")).otherwise(0))
-        closed = scratch.save(met.groupBy("q").agg(near.alias("n")).filter(F.col("n") >= k).select("q"))
+        far = F.when(F.count("*") >= k, F.max("d")).otherwise(bits)
+        now = scratch.save(met.groupBy("q").agg((near >= k).alias("done"), far.alias("far")))
+        closed = now.filter("done").select("q")
         finished.append(scratch.save(met.join(closed, "q", "left_semi")))
-        after = scratch.save(open_.join(closed, "q", "left_anti"))
+        after = scratch.save(open_.join(now, "q", "left").filter("done is null or not done")
+                             .select("q", F.coalesce("far", "bound").alias("bound")))
         if best is not None:
             scratch.drop(best)
         best = scratch.save(met.join(closed, "q", "left_anti"))
-        scratch.drop(open_, met, closed)
+        scratch.drop(open_, met, now)
         open_ = after
         if not open_.head(1):
             break
