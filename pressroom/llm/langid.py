@@ -8,7 +8,7 @@ likelihood; forward-backward gives each word's language probabilities. A documen
 the one with the largest mean probability over its words, the score is that mean.
 
 Training reads at most ``per_lang`` labelled documents of each language (the ones with the smallest
-hash of their doc_id), cuts their lines into chains and splices chains of different languages, so
+hash of their values), cuts their lines into chains and splices chains of different languages, so
 that the transitions see code-switching. The model is a few megabytes and is broadcast.
 Prediction runs over Arrow batches; the chains of a batch advance together, longest first, and
 every chain is whole.
@@ -25,9 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pressroom.llm.names import unused
+from pressroom.llm.sample import smallest
 
 PER_LANG = 250
 BITS = 17
@@ -236,10 +236,8 @@ def _held_out() -> F.Column:
 
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     """Fits on at most ``per_lang`` documents of each label; those whose crc32(doc_id) mod 5 is 0 are held out."""
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    rows = (docs.filter(~_held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-            .select("doc_id", "lang", "text").withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= per_lang)
-            .select("doc_id", "lang", "text").collect())
+    rows = smallest(docs.filter(~_held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+                    .select("doc_id", "lang", "text"), per_lang, per="lang").collect()
     rows.sort(key=lambda r: (r.lang, r.doc_id, r.text))
     return fit([r.text for r in rows], [r.lang for r in rows])
 
