@@ -19,7 +19,9 @@ keeps clear of base spans and of spans that failed their kind's check, and must
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressroom.llm.sample import smallest
+
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 1500
 TRAIN_WINDOWS = 3000
@@ -272,9 +276,9 @@ def _rewritten(text: str, span: tuple[str, int, int], rng: np.random.Generator)
     return text[:s] + new + text[e:], (kind, s, s + len(new))
 
 
-def training_windows(texts: list[str], most: int = TRAIN_WINDOWS, seed: int = 7) -> list:
+def training_windows(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """Windows with a base span, rewritten spans, and windows around other digits and at signs."""
-    rng = np.random.default_rng(seed)
+    rng = np.random.default_rng(zlib.crc32(text.encode()))
     out = []
 
     def window(text: str, spans: list, s: int, e: int) -> None:
@@ -282,18 +286,16 @@ def training_windows(texts: list[str], most: int = TRAIN_WINDOWS, seed: int = 7)
         cut = text[lo:lo + WINDOW]
         out.append((cut, [(k, a - lo, min(b - lo, len(cut))) for k, a, b in spans if b > lo and a < lo + len(cut)]))
 
-    for text in texts:
-        spans, failed = base_spans(text)
-        for span in spans:
-            window(text, spans, span[1], span[2])
-            new, moved = _rewritten(text[:span[2] + WINDOW], span, rng)
-            near = [x for x in spans if x[2] <= span[1] and x[2] > span[1] - WINDOW]
-            window(new, [*near, moved], moved[1], moved[2])
-        others = [m.start() for m in _TRIGGER.finditer(text) if all(not (s - 1 <= m.start() <= e) for _, s, e in spans)]
-        for at in others[::max(1, len(others) // 3)][:3]:
-            window(text, spans, at, at + 1)
-    rng.shuffle(out)
-    return out[:most]
+    spans, _ = base_spans(text)
+    for span in spans:
+        window(text, spans, span[1], span[2])
+        new, moved = _rewritten(text[:span[2] + WINDOW], span, rng)
+        near = [x for x in spans if x[2] <= span[1] and x[2] > span[1] - WINDOW]
+        window(new, [*near, moved], moved[1], moved[2])
+    others = [m.start() for m in _TRIGGER.finditer(text) if all(not (s - 1 <= m.start() <= e) for _, s, e in spans)]
+    for at in others[::max(1, len(others) // 3)][:3]:
+        window(text, spans, at, at + 1)
+    return out
 
 
 class Finder:
@@ -396,11 +398,19 @@ def _plausible(kind: str, s: str) -> bool:
     return 10 <= len(d) <= 15 and not re.search(r"[0-9]{8}|[A-Za-z]", s)
 
 
-def train(docs: DataFrame, most_docs: int = TRAIN_DOCS) -> dict | None:
-    """Parameters from at most ``most_docs`` documents with a digit or an at sign; None without a base span."""
-    rows = (docs.filter(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), "text")
-            .orderBy("h", "text").limit(most_docs).collect())
-    windows = training_windows([r.text for r in rows])
+def train(docs: DataFrame, most_docs: int = TRAIN_DOCS, most_windows: int = TRAIN_WINDOWS) -> dict | None:
+    """Parameters from at most ``most_docs`` texts with a digit or an at sign; None without a base span.
+
+    The windows are cut where the texts are; the driver gets windows only.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(w, json.dumps(s)) for t in b.column("text").to_pylist() for w, s in training_windows(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["w", "spans"])
+
+    texts = smallest(docs.filter(F.col("text").rlike("[0-9@]")).select("text"), most_docs)
+    rows = smallest(texts.mapInArrow(run, "w string, spans string"), most_windows).orderBy("w", "spans").collect()
+    windows = [(r.w, [tuple(x) for x in json.loads(r.spans)]) for r in rows]
     return fit(windows) if any(spans for _, spans in windows) else None
 
 

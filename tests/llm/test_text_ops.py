@@ -353,7 +353,7 @@ def test_network_learns_and_adds():
     def sentence():
         a, b, c = (rng.randint(100, 999), rng.randint(100, 999), rng.randint(1000, 9999))
         return f"{words(rng, 6)} +1 ({a}) {b}-{c} {words(rng, 6)} user.{a}@mail{b % 9}.example.com {words(rng, 4)}"
-    finder = pii.Finder(pii.fit(pii.training_windows([sentence() for _ in range(300)])))
+    finder = pii.Finder(pii.fit([w for _ in range(300) for w in pii.training_windows(sentence())]))
     texts = [f"{words(rng, 5)} ({rng.randint(100, 999)}) {rng.randint(100, 999)}-{rng.randint(1000, 9999)} {words(rng, 5)}" for _ in range(40)]
     found = [more for _, more in finder.find(texts)]
     assert sum(any(k == "phone" for k, _, _ in m) for m in found) >= 20
