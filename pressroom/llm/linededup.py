@@ -13,8 +13,8 @@ Everything is DataFrame work:
    threshold holds one of them unchanged near its place, so every line probes, for the lengths
    n - threshold .. n, the substrings that the multi-match-aware rule leaves. Keys are
    (segment, length, substring) as one hash;
-3. pairs that meet under a key are discarded in the join by four letter-class counts (an edit
-   changes a count by one at most), the rest are verified by a banded bit-parallel edit distance;
+3. pairs that meet under a key are discarded in the join by the counts of four letters (an
+   edit changes a count by one at most), the rest are verified by a banded bit-parallel edit distance;
 4. each distinct line takes the earliest position among itself and its links; occurrences after
    that position are the removed ones.
 
@@ -26,12 +26,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressroom.llm.names import unused
 from pressroom.llm.scratch import Scratch
 
 THRESHOLD = 1
 MIN_CHARS = 20
-#: Letter classes of about equal share in running text, for the counts that discard pairs early.
-_CLASSES = ("et", "an", "io", "rs")
+#: Four letters whose counts discard pairs early.
+_LETTERS = "eanr"
+#: Ids of candidate lines up to which they are broadcast (16 MB of longs); beyond, texts are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 
 
 def _trimmed(c: Column) -> Column:
@@ -74,19 +77,19 @@ def probe_keys(line: Column, n: Column, threshold: int) -> Column:
 
 
 def counts(line: Column) -> Column:
-    """Four letter-class counts of the line in one long, 16 bits each (modulo 65,536)."""
+    """Counts of four letters of the line in one long, 16 bits each (modulo 65,536)."""
     out = None
-    for i, letters in enumerate(_CLASSES):
-        c = F.shiftleft(F.regexp_count(line, F.lit(f"[{letters}]")).bitwiseAND(0xFFFF).cast("long"),
-                        16 * i)
+    for i, letter in enumerate(_LETTERS):
+        c = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+        c = F.shiftleft(c.bitwiseAND(0xFFFF).cast("long"), 16 * i)
         out = c if out is None else out.bitwiseOR(c)
     return out
 
 
 def counts_near(a: str, b: str, threshold: int) -> Column:
-    """Whether every class count differs by at most ``threshold`` (an edit changes a count by one at most)."""
+    """Whether every letter's count differs by at most ``threshold`` (an edit changes a count by one at most)."""
     on = None
-    for i in range(len(_CLASSES)):
+    for i in range(len(_LETTERS)):
         gap = (F.shiftrightunsigned(a, 16 * i) - F.shiftrightunsigned(b, 16 * i) + threshold).bitwiseAND(0xFFFF)
         on = gap <= 2 * threshold if on is None else on & (gap <= 2 * threshold)
     return on
@@ -101,44 +104,53 @@ def edit_distance(a: str, b: str, threshold: int) -> Column:
     """
     width = 2 * threshold + 1
     full = (1 << width) - 1
-    start = F.struct(*(F.lit((((1 << (d + 1)) - 1) << threshold) & full).alias(f"r{d}") for d in range(threshold + 1)))
+    words = [F.lit((((1 << (d + 1)) - 1) << threshold) & full).alias(f"r{d}") for d in range(threshold + 1)]
+    # the arrays are part of the state: a lambda would evaluate an outer expression at every step
+    start = F.struct(F.col(a).alias("a"), F.col(b).alias("b"), *words)
 
-    def step(state: Column, j: Column) -> Column:
-        c = F.get(F.col(a), j - 1)
+    def merge(state: Column, j: Column) -> Column:
+        c = F.get(state["a"], j - 1)
         match = None
         for e in range(width):
-            bit = F.when(F.get(F.col(b), j + (e - threshold - 1)) == c, 1 << e).otherwise(0)
+            bit = F.when(F.get(state["b"], j + (e - threshold - 1)) == c, 1 << e).otherwise(0)
             match = bit if match is None else match.bitwiseOR(bit)
-        return F.struct(state.alias("s"), match.alias("m"))
-
-    def merge(state: Column, j: Column) -> Column:
-        # the match word is made once per step and read by every error count
-        x = F.transform(F.array(step(state, j)), lambda p: _advance(p, threshold, full))
-        return F.get(x, 0)
+        return _advance(state, match, threshold, full)
 
     def finish(state: Column) -> Column:
-        at = F.size(b) - F.size(a) + threshold
+        at = F.size(state["b"]) - F.size(state["a"]) + threshold
         return F.coalesce(*(F.when(F.call_function("shiftright", state[f"r{d}"], at).bitwiseAND(1) == 1, d)
                             for d in range(threshold + 1)))
 
-    steps = F.when(F.size(a) > 0, F.sequence(F.lit(1), F.size(a))).otherwise(F.array().cast("array<int>"))
-    return F.when(F.abs(F.size(a) - F.size(b)) <= threshold, F.aggregate(steps, start, merge, finish))
+    steps = F.sequence(F.lit(1), F.size(a))
+    return F.when(F.abs(F.size(a) - F.size(b)) <= threshold,
+                  F.when(F.size(a) == 0, F.size(b)).otherwise(F.aggregate(steps, start, merge, finish)))
 
 
-def _advance(p: Column, threshold: int, full: int) -> Column:
-    old, match = p["s"], p["m"]
+def _advance(old: Column, match: Column, threshold: int, full: int) -> Column:
+    """The words after one more character. (No inner lambda: it would copy the state's arrays.)"""
     new = [old["r0"].bitwiseAND(match)]
     for d in range(1, threshold + 1):
         less = old[f"r{d - 1}"]
         word = old[f"r{d}"].bitwiseAND(match).bitwiseOR(less).bitwiseOR(F.shiftright(less, 1))
         new.append(word.bitwiseOR(F.shiftleft(new[d - 1], 1)).bitwiseAND(full))
-    return F.struct(*(w.alias(f"r{d}") for d, w in enumerate(new)))
+    return F.struct(old["a"].alias("a"), old["b"].alias("b"), *(w.alias(f"r{d}") for d, w in enumerate(new)))
 
 
 def _chars(c: str) -> Column:
     return F.filter(F.split(c, ""), lambda x: x != "")
 
 
+def _without_head(x: str, y: str, block: int = 32) -> Column:
+    """(x, y) without their common first blocks, reversed. Done twice it leaves what lies between the
+    common head and tail, in order; neither step changes the edit distance."""
+    blocks = F.floor(F.least(F.length(x), F.length(y)) / block).cast("int")
+    differs = F.transform(F.sequence(F.lit(0), blocks), lambda k: (k == blocks) | (
+        F.substring(F.col(x), k * block + 1, F.lit(block)) != F.substring(F.col(y), k * block + 1, F.lit(block))))
+    head = (F.array_position(differs, True) - 1).cast("int") * block
+    rest = [F.reverse(F.substring(F.col(c), head + 1, F.length(c))).alias(n) for c, n in ((x, "x"), (y, "y"))]
+    return F.struct(*rest)
+
+
 def line_links(lines: DataFrame, scratch: Scratch, threshold: int, min_chars: int) -> DataFrame:
     """(a, b) hashes (h1) of distinct lines within the threshold, both directions.
 
@@ -152,13 +164,19 @@ def line_links(lines: DataFrame, scratch: Scratch, threshold: int, min_chars: in
     near = counts_near("sig", "p_sig", threshold)
     pairs = scratch.save(probe.join(index, (probe.key == index.key) & (F.col("h1") != F.col("p1")) & near)
                          .select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct())
-    chars = lines.select(F.col("h1"), F.col("line"))
+    ids = scratch.save(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct())
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    chars = lines.join(wanted, "h1", "left_semi").select("h1", "line")
     both = (pairs.join(chars.select(F.col("h1").alias("a"), F.col("line").alias("x")), "a")
             .join(chars.select(F.col("h1").alias("b"), F.col("line").alias("y")), "b")
-            .select("a", "b", _chars("x").alias("x"), _chars("y").alias("y")))
+            .select("a", "b", "x", "y"))
+    # each step's strings are made once per pair: a generator's output is not substituted into later ones
+    for _ in ("heads", "tails"):
+        both = both.select("a", "b", F.inline(F.array(_without_head("x", "y"))))
+    both = both.select("a", "b", F.inline(F.array(F.struct(_chars("x").alias("x"), _chars("y").alias("y")))))
     links = both.filter(edit_distance("x", "y", threshold).isNotNull()).select("a", "b")
     out = scratch.save(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    scratch.drop(pairs)
+    scratch.drop(pairs, ids)
     return out
 
 
@@ -185,10 +203,11 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int =
     return out
 
 
-def _with_removed(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    r = removed.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), F.col("removed").alias("_removed"))
-    on = docs["doc_id"].eqNullSafe(r["_doc"]) & (F.xxhash64(docs["text"]) == r["_th"])
-    return docs.join(r, on, "left").drop("_doc", "_th")
+def _with_removed(docs: DataFrame, removed: DataFrame) -> tuple[DataFrame, str]:
+    doc, th, cut = unused(docs, "_doc", "_th", "_removed")
+    r = removed.select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("removed").alias(cut))
+    on = docs["doc_id"].eqNullSafe(r[doc]) & (F.xxhash64(docs["text"]) == r[th])
+    return docs.join(r, on, "left").drop(doc, th), cut
 
 
 def line_report(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -209,9 +228,9 @@ def drop_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars:
     A document that loses its last non-blank line goes (its lines are in earlier documents); null,
     empty and blank texts stay as they are. Texts that lose nothing stay unchanged.
     """
-    rows = _with_removed(docs, removed_lines(docs, threshold, min_chars))
+    rows, cut = _with_removed(docs, removed_lines(docs, threshold, min_chars))
     kept = F.array_join(F.filter(F.split("text", "\n", -1),
-                                 lambda x, i: ~F.array_contains(F.col("_removed"), i)), "\n")
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(kept)
-    return (rows.withColumn("text", text).filter(F.col("_removed").isNull() | (_trimmed(F.translate("text", "\n", " ")) != ""))
+                                 lambda x, i: ~F.array_contains(F.col(cut), i)), "\n")
+    text = F.when(F.col(cut).isNull(), F.col("text")).otherwise(kept)
+    return (rows.withColumn("text", text).filter(F.col(cut).isNull() | (_trimmed(F.translate("text", "\n", " ")) != ""))
             .select(*docs.columns))
