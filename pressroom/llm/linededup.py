@@ -13,8 +13,9 @@ Everything is DataFrame work:
    threshold holds one of them unchanged near its place, so every line probes, for the lengths
    n - threshold .. n, the substrings that the multi-match-aware rule leaves. Keys are
    (segment, length, substring) as one hash;
-3. pairs that meet under a key are discarded in the join by the counts of four letters (an
-   edit changes a count by one at most), the rest are verified by a banded bit-parallel edit distance;
+3. pairs that meet under a key are discarded in the join where their differences lie in more than one
+   eighth of the line (threshold 1), or by the counts of four letters (beyond; an edit changes a
+   count by one at most); the rest are verified by a banded bit-parallel edit distance;
 4. each distinct line takes the earliest position among itself and its links; occurrences after
    that position are the removed ones.
 
@@ -62,11 +63,12 @@ def index_keys(line: Column, n: Column, threshold: int) -> Column:
     return F.array(*out)
 
 
-def probe_keys(line: Column, n: Column, threshold: int) -> Column:
-    """Keys under which lines of n - threshold .. n characters within the threshold must lie."""
+def probe_keys(line: Column, n: Column, threshold: int, shorter: tuple[int, ...] | None = None) -> Column:
+    """Keys under which lines of n - threshold .. n characters within the threshold must lie
+    (``shorter``: only those of the lines that are so many characters shorter)."""
     parts = threshold + 1
     out = []
-    for delta in range(threshold + 1):
+    for delta in range(threshold + 1) if shorter is None else shorter:
         m = n - delta                                       # length of the indexed line
         for k in range(parts):
             lo, size = _cut(m, k, parts), _cut(m, k + 1, parts) - _cut(m, k, parts)
@@ -151,17 +153,58 @@ def _without_head(x: str, y: str, block: int = 32) -> Column:
     return F.struct(*rest)
 
 
+PIECES = 8
+
+
+def pieces(line: Column, m: Column, shift: int) -> Column:
+    """A hash byte of each of the line's PIECES pieces, cut as a line of m characters is, ``shift`` places on."""
+    out = None
+    for j in range(PIECES):
+        lo, hi = _cut(m, j, PIECES), _cut(m, j + 1, PIECES)
+        byte = F.shiftleft(F.xxhash64(F.substring(line, lo + 1 + shift, hi - lo)).bitwiseAND(0xFF), 8 * j)
+        out = byte if out is None else out.bitwiseOR(byte)
+    return out
+
+
+def one_place(own: str, left: str, right: str) -> Column:
+    """Whether all differences can lie in one piece: the pieces before it agree counted from the left
+    end, those after it counted from the right end. One edit never fails this."""
+    x, y = F.col(own).bitwiseXOR(F.col(left)), F.col(own).bitwiseXOR(F.col(right))
+    on = None
+    for j in range(PIECES):
+        before = x.bitwiseAND((1 << (8 * j)) - 1) == 0
+        after = F.shiftrightunsigned(y, 8 * (j + 1)) == 0 if j + 1 < PIECES else F.lit(True)
+        on = before & after if on is None else on | (before & after)
+    return on
+
+
+def _keyed(lines: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame, Column]:
+    """Index rows, probe rows, and the join's condition that discards pairs early.
+
+    Threshold 1: the pieces' bytes. Beyond: the letter counts (more edits may lie anywhere).
+    """
+    line, n = F.col("line"), F.col("n")
+    if threshold > 1:
+        base = lines.select("h1", "n", "line", counts(line).alias("sig"))
+        index = base.select("h1", "sig", F.explode(index_keys(line, n, threshold)).alias("key"))
+        probe = base.select(F.col("h1").alias("p1"), F.col("sig").alias("p_sig"),
+                            F.explode(F.array_distinct(probe_keys(line, n, threshold))).alias("key"))
+        return index, probe, counts_near("sig", "p_sig", threshold)
+    index = lines.select("h1", pieces(line, n, 0).alias("own"), F.explode(index_keys(line, n, threshold)).alias("key"))
+    same = F.struct(pieces(line, n, 0).alias("left"), pieces(line, n, 0).alias("right"), probe_keys(line, n, 1, (0,)).alias("keys"))
+    longer = F.struct(pieces(line, n - 1, 0).alias("left"), pieces(line, n - 1, 1).alias("right"), probe_keys(line, n, 1, (1,)).alias("keys"))
+    probe = (lines.select(F.col("h1").alias("p1"), F.inline(F.array(same, longer)))
+             .select("p1", "left", "right", F.explode(F.array_distinct("keys")).alias("key")))
+    return index, probe, one_place("own", "left", "right")
+
+
 def line_links(lines: DataFrame, scratch: Scratch, threshold: int, min_chars: int) -> DataFrame:
     """(a, b) hashes (h1) of distinct lines within the threshold, both directions.
 
     ``lines``: h1 and line, one row per distinct line.
     """
     long = lines.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars)
-    base = long.select("h1", "n", "line", counts(F.col("line")).alias("sig"))
-    index = base.select("h1", "sig", F.explode(index_keys(F.col("line"), F.col("n"), threshold)).alias("key"))
-    probe = base.select(F.col("h1").alias("p1"), F.col("sig").alias("p_sig"),
-                        F.explode(F.array_distinct(probe_keys(F.col("line"), F.col("n"), threshold))).alias("key"))
-    near = counts_near("sig", "p_sig", threshold)
+    index, probe, near = _keyed(long.select("h1", "n", "line"), threshold)
     pairs = scratch.save(probe.join(index, (probe.key == index.key) & (F.col("h1") != F.col("p1")) & near)
                          .select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct())
     ids = scratch.save(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct())
