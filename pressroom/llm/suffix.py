@@ -128,12 +128,18 @@ def _before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct keys with their earliest places, and the places that repeat an earlier one."""
+    """Sorted distinct keys with their earliest places, and the places that repeat an earlier one.
+
+    A row given twice gives each of its places twice: they are one place and repeat nothing.
+    """
     order = np.lexsort((places["l"], places["th"], places["did"], keys))
     keys, places = keys[order], places[order]
-    first = np.ones(len(keys), bool)
+    first, again = np.ones(len(keys), bool), np.zeros(len(keys), bool)
     first[1:] = keys[1:] != keys[:-1]
-    return keys[first], places[first], places[~first]
+    again[1:] = ~first[1:]
+    for f in ("did", "th", "l"):
+        again[1:] &= places[f][1:] == places[f][:-1]
+    return keys[first], places[first], places[~first & ~again]
 
 
 class Levels:

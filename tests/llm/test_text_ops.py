@@ -118,6 +118,17 @@ def test_suffix(spark, rows, docs):
     assert suffix.without_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_suffix_keeps_one_copy_of_a_repeated_row(spark, parts):
+    """A row given twice, its text in no earlier document, loses nothing, in whatever partitions its copies lie."""
+    rng = random.Random(12)
+    text, near = words(rng, 80), words(rng, 60)
+    rows = [(5, text, "en", "a")] * 3 + [(6, near + " x" + text[:50], "en", "a")] * 2 + [(9, text, "en", "b"), (8, near + " y", "en", "b")] * 2
+    got = suffix.without_repeats(make(spark, rows).repartition(parts)).collect()
+    assert sorted({(r.doc_id, r.n_removed) for r in got}) == [
+        (5, 0), (6, 0), (8, len(near) + 1), (9, len(text))] and len(got) == len(rows)
+
+
 def test_suffix_levels_merge():
     """Many batches through the levels give what one sort gives, and the family stays logarithmic."""
     rng = np.random.default_rng(3)
