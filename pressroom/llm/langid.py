@@ -147,8 +147,12 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each whole text; ``und`` and 0 without a letter or without a model."""
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Language, score and certainty: the mean over the words of the largest probability of each."""
         words = [[w for w in _WORD(t.lower()) if w.isalpha() or any(map(str.isalpha, w))] if t else [] for t in texts]
-        lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        lang, score, sure = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         todo = sorted((i for i, w in enumerate(words) if w), key=lambda i: len(words[i])) if self.langs else []
         while todo:
             group, n = [], 0
@@ -160,11 +164,12 @@ class Model:
             lengths = np.fromiter(map(len, own), np.int64, len(own))
             rows = np.fromiter(map(self.memo.__getitem__, flat_chain.from_iterable(own)), np.int64, int(lengths.sum()))
             gamma, _ = posteriors(self.table[rows].astype(np.float64), lengths, self.trans)
-            mean = np.add.reduceat(gamma, np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
+            at = np.cumsum(lengths) - lengths
+            mean = np.add.reduceat(gamma, at, axis=0) / lengths[:, None]
             best = mean.argmax(axis=1)
-            for i, b, m in zip(group, best, mean):
-                lang[i], score[i] = self.langs[b], min(1.0, float(m[b]))
-        return lang, score
+            for i, b, m, c in zip(group, best, mean, np.add.reduceat(gamma.max(axis=1), at) / lengths):
+                lang[i], score[i], sure[i] = self.langs[b], min(1.0, float(m[b])), min(1.0, float(c))
+        return lang, score, sure
 
 
 def fit(texts: list[str], labels: list[str], steps: int = STEPS, seed: int = 5) -> Model:
@@ -242,18 +247,18 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     return fit([r.text for r in rows], [r.lang for r in rows])
 
 
-def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """docs with the columns ``lang`` and ``score``, from the text alone; existing ones are replaced."""
-    names, kept = [lang, score], [c for c in docs.columns if c not in (lang, score)]
+def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score", sure: str = "certainty") -> DataFrame:
+    """docs with the columns ``lang``, ``score`` and ``sure``, from the text alone; existing ones are replaced."""
+    names, kept = [lang, score, sure], [c for c in docs.columns if c not in (lang, score, sure)]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            langs, scores = shared.value.predict(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(langs, pa.string()),
-                                              pa.array(scores, pa.float64())], names=[*kept, *names])
+            langs, scores, certain = shared.value.judge(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
+                                              pa.array(certain, pa.float64())], names=[*kept, *names])
 
-    schema = docs.select(*kept).withColumns({lang: F.lit(""), score: F.lit(0.0)}).schema
+    schema = docs.select(*kept).withColumns({lang: F.lit(""), score: F.lit(0.0), sure: F.lit(0.0)}).schema
     return docs.select(*kept).mapInArrow(run, schema)
 
 
@@ -269,7 +274,14 @@ def language_report(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, per_lang: int = PER_LANG, least: float = 0.5) -> DataFrame:
-    """docs without those of no language: ``und``, or no language holds ``least`` of the words. Columns stay."""
-    lang, score = unused(docs, "_lang", "_score")
-    rows = identify(docs, train(docs, per_lang), lang, score)
-    return rows.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)
+    """docs without those of no language: ``und``, or the words' languages are less certain than ``least``.
+
+    The certainty is the mean over the words of each word's largest probability, so a document in
+    several languages stays. Without a label to learn from nothing can be judged and all stay. Columns stay.
+    """
+    model = train(docs, per_lang)
+    if not model.langs:
+        return docs
+    lang, score, sure = unused(docs, "_lang", "_score", "_sure")
+    rows = identify(docs, model, lang, score, sure)
+    return rows.filter((F.col(lang) != UNKNOWN) & (F.col(sure) >= least)).select(*docs.columns)

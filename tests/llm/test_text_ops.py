@@ -300,6 +300,21 @@ def test_language_awkward_rows(spark, docs):
     assert langid.language_report(docs.limit(0)).count() == 0
 
 
+def test_language_keeps_mixed_documents_and_unlabelled_tables(spark):
+    """A document in three languages, each word of which is identified, stays; so does a table without labels."""
+    rng = random.Random(3)
+    sets = {"aa": "abcde", "bb": "fghij", "cc": "klmno", "dd": "pqrst"}
+    rows = [(100 * n + i, words(rng, 40, a), lang, "s") for n, (lang, a) in enumerate(sets.items(), 1) for i in range(25)]
+    mixed = " ".join(words(rng, k, a) for k, a in ((40, "abcde"), (30, "fghij"), (30, "klmno")))
+    table = make(spark, [*rows, (1, mixed, None, "s"), (2, "12 34", None, "s")])
+    model = langid.train(table)
+    assert model.predict([mixed])[1][0] < 0.5
+    left = {r.doc_id for r in langid.keep_identified(table).collect()}
+    assert left == {1, *(r[0] for r in rows)}
+    unlabelled = table.withColumn("lang", F.lit(None).cast("string"))
+    assert langid.keep_identified(unlabelled).count() == len(rows) + 2
+
+
 def test_forward_backward():
     """Marginals equal the sum over all label sequences."""
     from itertools import product
