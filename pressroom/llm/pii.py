@@ -9,8 +9,8 @@ Training data: windows around base spans and other digits of at most ``TRAIN_DOC
 ones with the smallest hash), with the base spans as labels; for each base span also a rewritten
 one (digits redrawn, separators changed), whose place is known. The model is some 50 KB and broadcast.
 
-Every one of these kinds holds a digit or an at sign, so the network reads the zones within
-``CONTEXT`` characters of one, over whole texts. A zone is cut in windows of ``WINDOW`` characters
+Every one of these kinds holds a digit, an at sign or a spelt-out one, so the network reads the zones
+within ``CONTEXT`` characters of one (or of a spelt-out dot), over whole texts. A zone is cut in windows of ``WINDOW`` characters
 that overlap by half; each window is decoded by forward-backward, the windows' tag probabilities
 are averaged per character and one Viterbi pass over the whole zone gives its spans. An added span
 keeps clear of base spans and of spans that failed their kind's check, and must itself pass the check.
@@ -48,6 +48,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
+#: Where added spans can be: also at the words ``at`` and ``dot``, in brackets or not.
+_SIGN = re.compile(r"[0-9@]|\b(?:at|dot)\b", re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -262,6 +264,7 @@ def _rewritten(text: str, span: tuple[str, int, int], rng: np.random.Generator)
         at = (" at ", "[at]", " [at] ", "(at)", "@")[rng.integers(5)]
         dot = (" dot ", "[dot]", ".", ".")[rng.integers(4)]
         local, _, domain = old.partition("@")
+        local = local.replace(".", dot) if rng.random() < 0.5 else local
         new = local + at + domain.replace(".", dot)
     elif kind == "ip":
         new = ".".join(str(x) for x in rng.integers(0, 256, 4)) + (":" + draw(4) if rng.random() < 0.3 else "")
@@ -277,7 +280,7 @@ def _rewritten(text: str, span: tuple[str, int, int], rng: np.random.Generator)
 
 
 def training_windows(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
-    """Windows with a base span, rewritten spans, and windows around other digits and at signs."""
+    """Windows with a base span, rewritten spans, and windows around other digits, at signs and spelt-out signs."""
     rng = np.random.default_rng(zlib.crc32(text.encode()))
     out = []
 
@@ -292,7 +295,7 @@ def training_windows(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
         new, moved = _rewritten(text[:span[2] + WINDOW], span, rng)
         near = [x for x in spans if x[2] <= span[1] and x[2] > span[1] - WINDOW]
         window(new, [*near, moved], moved[1], moved[2])
-    others = [m.start() for m in _TRIGGER.finditer(text) if all(not (s - 1 <= m.start() <= e) for _, s, e in spans)]
+    others = [m.start() for m in _SIGN.finditer(text) if all(not (s - 1 <= m.start() <= e) for _, s, e in spans)]
     for at in others[::max(1, len(others) // 3)][:3]:
         window(text, spans, at, at + 1)
     return out
@@ -306,7 +309,7 @@ class Finder:
 
     def zones(self, text: str) -> list[tuple[int, int]]:
         out: list[list[int]] = []
-        for m in _TRIGGER.finditer(text):
+        for m in _SIGN.finditer(text):
             lo, hi = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
             if out and lo <= out[-1][1]:
                 out[-1][1] = hi
@@ -389,13 +392,13 @@ class Finder:
 def _plausible(kind: str, s: str) -> bool:
     d = _digits(s)
     if kind == "email":
-        return bool(re.search(r"@|\bat\b", s)) and bool(re.search(r"\.|\bdot\b", s))
+        return bool(re.search(r"@|\bat\b", s, re.IGNORECASE)) and bool(re.search(r"\.|\bdot\b", s, re.IGNORECASE))
     if kind == "ip":
         m = re.match(r"[0-9]+(\.[0-9]+){3}(?![0-9.])", s)
         return bool(m) and _ip_ok(m[0])
     if kind == "card":
         return 13 <= len(d) <= 19 and luhn(d)
-    return 10 <= len(d) <= 15 and not re.search(r"[0-9]{8}|[A-Za-z]", s)
+    return _phone_ok(s) and not re.search(r"[A-Za-z]", s)
 
 
 def train(docs: DataFrame, most_docs: int = TRAIN_DOCS, most_windows: int = TRAIN_WINDOWS) -> dict | None:

@@ -384,3 +384,15 @@ def test_network_learns_and_adds():
     found = [more for _, more in finder.find(texts)]
     assert sum(any(k == "phone" for k, _, _ in m) for m in found) >= 20
     assert all(not more for _, more in finder.find([words(rng, 50) for _ in range(40)]))
+
+
+def test_spelt_out_signs_are_read():
+    """E-mails without a digit or an at sign are decoded; added phones have the kind's own bounds."""
+    assert pii.Finder(None).zones("jane dot doe at example dot com") == [(0, 31)]
+    rng = random.Random(9)
+    name = (lambda: "".join(rng.choices("abcdefgh", k=rng.randint(3, 6))))
+    text = (lambda: f"{words(rng, 6)} {name()}.{name()}@{name()}.example.com {words(rng, 6)}")
+    finder = pii.Finder(pii.fit([w for _ in range(400) for w in pii.training_windows(text())]))
+    texts = [f"{words(rng, 8)} {name()} dot {name()} at {name()} dot example dot com {words(rng, 8)}" for _ in range(40)]
+    assert sum(any(k == "email" for k, _, _ in more) for _, more in finder.find(texts)) >= 20
+    assert [pii._plausible("phone", x) for x in ("555-1234", "555-12345", "5551-23456", "55512345", "5" * 16)] == [False, True, True, True, False]
