@@ -6,7 +6,7 @@ separators, no plus sign, spelt-out signs). It is a bidirectional LSTM over char
 transitions between the tags O, B-kind and I-kind, trained in numpy.
 
 Training data: windows around base spans and other digits of at most ``TRAIN_DOCS`` documents (the
-ones with the smallest hash), with the base spans as labels; for each base span also a rewritten
+ones with the smallest hash of each kind, found over all texts, and of those without a span), with the base spans as labels; for each base span also a rewritten
 one (digits redrawn, separators changed), whose place is known. The model is some 50 KB and broadcast.
 
 Every one of these kinds holds a digit, an at sign or a spelt-out one, so the network reads the zones
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressroom.llm.sample import smallest
+from pressroom.llm.scratch import Scratch
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 1500
@@ -401,20 +401,46 @@ def _plausible(kind: str, s: str) -> bool:
     return _phone_ok(s) and not re.search(r"[A-Za-z]", s)
 
 
+def _in_turn(tagged: DataFrame, n: int) -> list[int]:
+    """At most ``n`` keys of (key, kinds): the kinds take turns, smallest key first; rows of no kind have every
+    second turn. Empty where no row is of a kind."""
+    held = [[r.key for r in tagged.filter(on).select("key").distinct().orderBy("key").limit(n).collect()]
+            for on in (*(F.array_contains("kinds", k) for k in KINDS), F.size("kinds") == 0)]
+    turns = sorted((i * (2 if k == len(KINDS) else 1), key) for k, keys in enumerate(held) for i, key in enumerate(keys))
+    return list(dict.fromkeys(key for _, key in turns))[:n] if any(held[:-1]) else []
+
+
 def train(docs: DataFrame, most_docs: int = TRAIN_DOCS, most_windows: int = TRAIN_WINDOWS) -> dict | None:
-    """Parameters from at most ``most_docs`` texts with a digit or an at sign; None without a base span.
+    """Parameters from at most ``most_docs`` texts, of every kind that any text holds; None without a base span.
 
-    The windows are cut where the texts are; the driver gets windows only.
+    One pass over all texts finds their kinds. The windows are cut where the texts are; the driver
+    gets hashes and the chosen windows only.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(w, json.dumps(s)) for t in b.column("text").to_pylist() for w, s in training_windows(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["w", "spans"])
+            kinds = [sorted({k for k, _, _ in base_spans(t)[0]}) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(kinds, pa.list_(pa.string()))], names=["key", "kinds"])
 
-    texts = smallest(docs.filter(F.col("text").rlike("[0-9@]")).select("text"), most_docs)
-    rows = smallest(texts.mapInArrow(run, "w string, spans string"), most_windows).orderBy("w", "spans").collect()
-    windows = [(r.w, [tuple(x) for x in json.loads(r.spans)]) for r in rows]
-    return fit(windows) if any(spans for _, spans in windows) else None
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(w, json.dumps(s), sorted({k for k, _, _ in s})) for t in b.column("text").to_pylist() for w, s in training_windows(t)]
+            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.list_(pa.string())))]
+            yield pa.RecordBatch.from_arrays(columns, names=["w", "spans", "kinds"])
+
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "personal")
+    texts = docs.filter(F.col("text").rlike(r"(?i)[0-9@]|\b(?:at|dot)\b")).select(F.xxhash64("text").alias("key"), "text")
+    chosen = (lambda keys: F.broadcast(spark.createDataFrame([(k,) for k in keys], "key long")))
+    tagged = scratch.save(texts.mapInArrow(tag, "key long, kinds array<string>"))
+    keys = _in_turn(tagged, most_docs)
+    scratch.drop(tagged)
+    if not keys:
+        return None
+    sample = texts.join(chosen(keys), "key", "left_semi").dropDuplicates(["key"]).select("text")
+    windows = scratch.save(sample.mapInArrow(cut, "w string, spans string, kinds array<string>")
+                           .withColumn("key", F.xxhash64("w", "spans")).dropDuplicates(["key"]))
+    rows = windows.join(chosen(_in_turn(windows, most_windows)), "key", "left_semi").orderBy("w", "spans").collect()
+    scratch.drop(windows)
+    return fit([(r.w, [tuple(x) for x in json.loads(r.spans)]) for r in rows])
 
 
 def personal_data(docs: DataFrame, most_docs: int = TRAIN_DOCS) -> DataFrame:

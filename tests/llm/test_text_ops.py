@@ -396,3 +396,16 @@ def test_spelt_out_signs_are_read():
     texts = [f"{words(rng, 8)} {name()} dot {name()} at {name()} dot example dot com {words(rng, 8)}" for _ in range(40)]
     assert sum(any(k == "email" for k, _, _ in more) for _, more in finder.find(texts)) >= 20
     assert [pii._plausible("phone", x) for x in ("555-1234", "555-12345", "5551-23456", "55512345", "5" * 16)] == [False, True, True, True, False]
+
+
+def test_every_kind_is_learned_however_rare(spark, monkeypatch):
+    """Four texts with a span among 2,000 with numbers: all kinds are in a sample of 20 texts, with negatives."""
+    rng = random.Random(10)
+    rows = [(i, f"{words(rng, 5)} {i} {words(rng, 5)}", "en", "a") for i in range(2000)]
+    rare = ["mail bob@mail.example.com", "host 10.1.2.3 up", "card 4111 1111 1111 1111", "call +1 (555) 123-4567"]
+    docs = make(spark, [*rows, *((3000 + i, t, "en", "a") for i, t in enumerate(rare * 30))])
+    monkeypatch.setattr(pii, "fit", lambda windows: windows)
+    windows = pii.train(docs, 20, 30)
+    assert {k for _, spans in windows for k, _, _ in spans} == set(pii.KINDS)
+    assert any(not spans for _, spans in windows) and len(windows) <= 30
+    assert pii.train(docs.filter("doc_id < 2000"), 20, 30) is None
