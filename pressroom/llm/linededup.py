@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pressroom.llm.names import unused
 from pressroom.llm.scratch import Scratch
 
-THRESHOLD = 1
+THRESHOLD = 3
 MIN_CHARS = 20
 #: Four letters whose counts discard pairs early.
 _LETTERS = "eanr"

@@ -209,6 +209,17 @@ def test_line_dedup(spark, rows, docs):
     assert linededup.line_report(docs.limit(0)).count() == 0 and linededup.drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_up_to_three_edits_go(spark):
+    """The query's and the stage's own threshold: lines two and three edits from an earlier one go, four stay."""
+    import corpus_pipeline
+    line = "the quick brown fox jumps over the lazy dog"
+    near = [line, line.replace("quick", "quack").replace("lazy", "lzy"), line.replace("fox", "fix").replace("dog", "dig") + "s",
+            line.replace("quick", "qXXXXk")]
+    docs = make(spark, [(i, t, "en", "a") for i, t in enumerate(near)])
+    assert [r.n_removed for r in linededup.line_report(docs).orderBy("doc_id").collect()] == [0, 1, 1, 0]
+    assert {r.doc_id for r in corpus_pipeline.line_dedup(spark, docs, "").collect()} == {0, 3}
+
+
 def test_mixing(spark, rows, docs):
     got = mixing.mix_report(docs).collect()
     assert len(got) == len(rows)
