@@ -240,7 +240,7 @@ def distinct_authors(spark, sf_dir):
 
 
 def author_values(spark, sf_dir):
-    """AUT9: author meta values without URL prefix and at sign. AUT6: the stop list of a site."""
+    """AUT9: author meta values without URL prefix and at sign."""
     c = table(spark, sf_dir, "customer").select("c_custkey", F.regexp_replace("c_name", "#", " ").alias("n"))
     k = F.col("c_custkey")
     raw = F.when(k % 3 == 0, F.concat(F.lit("https://x.es/autor/"), "n")).when(k % 3 == 1, F.concat(F.lit("@"), "n")).otherwise(F.col("n"))
