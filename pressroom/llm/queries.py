@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressroom.llm import bpe, embed, hamming, htmltext, langid, linededup, mixing, pii, simhash, suffix
+from pressroom.llm import (bpe, embed, hamming, htmltext, langid, linededup, merkle, mixing, pii, runs, simhash, suffix,
+                           tokens)
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+COUNTED = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +64,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), size=4, bits=4)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merges = tokens.Merges.load(public_tokenizers.path(COUNTED), public_tokenizers.PATTERN)
+    return tokens.count_report(_table(spark, sf_dir, "documents"), merges, limit=512)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
@@ -73,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
+    "op11_merkle": op11_merkle,
+    "op12_runs": op12_runs,
+    "op13_token_counts": op13_token_counts,
 }
 
 #: DuckDB SQL of the queries that it can express.
