@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pressroom.llm import (bpe, embed, hamming, htmltext, langid, linededup, merkle, mixing, pii, runs, simhash, suffix,
                            tokens)
+from pressroom.llm.merkle_sql import MANIFEST
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 COUNTED = "byte_bpe_50k.json"
@@ -103,4 +104,5 @@ ORACLE: dict[str, str] = {
                    FROM c AS q, c WHERE q.vec_id % 50 = 0)
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INT AS rank, vec_id, distance
         FROM p QUALIFY rank <= 10""",
+    "op11_merkle": MANIFEST,
 }
