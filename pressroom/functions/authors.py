@@ -18,48 +18,66 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed value: the characters of PY_WHITESPACE, for trimming without a regex.
+_BLANKS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def _py_strip(x: Column) -> Column:
     """Python ``str.strip()``: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(x, f"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$", "")
+    return F.btrim(x, F.lit(_BLANKS))
+
+
+# White space other than one blank between words: all that collapsing has to change.
+_NOT_ONE_BLANK = f" *{PY_WHITESPACE.replace(' ', '', 1)}{PY_WHITESPACE}*|  +"
 
 
 def _py_collapse(x: Column) -> Column:
     """``' '.join(s.split())``."""
-    return _py_strip(F.regexp_replace(x, PY_WHITESPACE + "+", " "))
+    return _py_strip(F.regexp_replace(x, _NOT_ONE_BLANK, " "))
 
 
-def _strip_chars(x: Column, chars: str) -> Column:
-    cls = "[" + "".join("\\" + ch if ch in "\\-]^[" else ch for ch in chars) + "]"
-    return F.regexp_replace(x, f"^{cls}+|{cls}+$", "")
+def _spaces(x: Column) -> Column:
+    """The number of single spaces (words less one, in a collapsed text)."""
+    return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
 
-def _words(x: Column) -> Column:
-    return F.size(F.filter(F.split(x, PY_WHITESPACE + "+"), lambda w: w != ""))
+def _cap_words(x: Column) -> Column:
+    """``' '.join(w.capitalize() for w in s.split())`` of a collapsed text."""
+    return F.array_join(F.transform(F.split(x, " "), capitalize), " ")
 
 
-def _cap_words(x: Column) -> Column:
-    """``' '.join(w.capitalize() for w in s.split())``."""
-    ws = F.filter(F.split(x, PY_WHITESPACE + "+"), lambda w: w != "")
-    return F.array_join(F.transform(ws, capitalize), " ")
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def ci_distinct(arr) -> Column:
     """AGG4: case-insensitive distinct, first spelling and order kept.
 
-    A fold over the list (the input array is evaluated once); membership tests
-    make it quadratic in the list length, which suits a record's author list --
-    long lists are cleaned row-wise with ``clean_rows`` instead."""
-    a = _c(arr)
-    init = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast("array<string>").alias("out"))
-    step = lambda acc, x: F.when(F.array_contains(acc["seen"], F.lower(x)), acc).otherwise(
-        F.struct(F.array_append(acc["seen"], F.lower(x)).alias("seen"), F.array_append(acc["out"], x).alias("out")))
-    return F.aggregate(a, init, step, lambda acc: acc["out"])
+    The list is sorted by lower-cased name and place, the first of each name stays, and the
+    names go back to their places: n log n in the list's length, in its row."""
+    keyed = F.transform(_c(arr), lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x")))
+
+    def firsts(s):
+        before = F.concat(F.slice(F.transform(s, lambda _: F.lit(None).cast("string")), 1, 1),
+                          F.slice(F.transform(s, lambda e: e.k), F.lit(1), F.greatest(F.size(s) - 1, F.lit(0))))
+        new = F.zip_with(s, before, lambda e, k: F.when((e.i == s.getItem(0).i) | ~e.k.eqNullSafe(k), F.struct(e.i.alias("i"), e.x.alias("x"))))
+        return F.filter(new, lambda e: e.isNotNull())
+    return F.transform(F.array_sort(_let(F.array_sort(keyed), firsts)), lambda e: e.x)
 
 
 def _nonblank(a: Column) -> Column:
     return F.filter(a, lambda x: x.isNotNull() & (x != ""))
 
 
+def _staged(names: Column, *stages) -> Column:
+    """Each stage applied to every name of a list. A stage's result is computed once per name, however
+    often the next stage names it; null is a rejected name and stays one."""
+    for stage in stages:
+        names = F.transform(names, stage)
+    return names
+
+
 # ----------------------------------------------------------------- AUT1 strict
 # Exclusion patterns of the strict rule (matched case-insensitively).
 STRICT_EXCLUDE = [
@@ -103,18 +121,21 @@ _EXCLUDE_RE = "(?iU)" + "|".join(f"(?:{p})" for p in STRICT_EXCLUDE)
 _INCLUDE_RE = "(?U)" + "|".join(f"(?:{p})" for p in STRICT_INCLUDE)
 
 
-def clean_name_strict(x: Column, max_len: int = STRICT_MAX_LEN) -> Column:
-    """AUT1 on one name: the cleaned name, or null when the name is rejected."""
-    y = _py_strip(x)
-    ok = (y != "") & (F.length(y) <= max_len) & y.rlike(_INCLUDE_RE) & ~y.rlike(_EXCLUDE_RE)
-    z = _strip_chars(F.regexp_replace(y, "(?U)\\s+", " "), " ,.-_|")
-    return F.when(x.isNotNull() & ok & (F.length(z) >= 3) & (_words(z) >= 2), z)
+def _strict_stages(max_len: int = STRICT_MAX_LEN) -> list:
+    """AUT1 on one name. The anchored name shapes go first: they refuse most names at the first word."""
+    return [_py_strip,
+            lambda y: F.when((F.length(y) <= max_len) & y.rlike(_INCLUDE_RE) & ~y.rlike(_EXCLUDE_RE),
+                             F.btrim(F.regexp_replace(y, PY_WHITESPACE + "+", " "), F.lit(" ,.-_|"))),
+            lambda z: F.when((F.length(z) >= 3) & (_spaces(z) >= 1), z)]
 
 
 def clean_strict(arr, max_len: int = STRICT_MAX_LEN) -> Column:
     """AUT1: length cap, exclusions, name shapes, edge clean-up, >=3 chars and >=2 words, ci-distinct."""
-    a = F.transform(_nonblank(_c(arr)), lambda x: clean_name_strict(x, max_len))
-    return ci_distinct(F.filter(a, lambda x: x.isNotNull()))
+    return _cleaned(_c(arr), _strict_stages(max_len))
+
+
+def _cleaned(arr: Column, stages) -> Column:
+    return ci_distinct(F.filter(_staged(_nonblank(arr), *stages), lambda x: x.isNotNull()))
 
 
 # ----------------------------------------------------------------- AUT2/AUT3 strip
@@ -136,28 +157,31 @@ STRIP_PATTERNS = [
 ]
 
 
-def _strip_phrases(x: Column) -> Column:
-    for p in STRIP_PATTERNS:
-        flags = "(?iU)" if p.startswith("(?i)") else "(?U)"
-        x = F.regexp_replace(x, flags + p.removeprefix("(?i)"), " ")
-    return x
+_PHRASES = [p for p in STRIP_PATTERNS if p.startswith("(?i)")]
+_ANY_PHRASE = "(?iU)" + "|".join(p.removeprefix("(?i)") for p in _PHRASES)
 
 
-def clean_name_strip(x: Column) -> Column:
-    """AUT2 on one name: phrases out, non-word characters out, <=5 words, >=3 chars, capitalised.
-    Returns null for a rejected name."""
-    y = _strip_phrases(_py_strip(x))
-    y = F.regexp_replace(y, "(?U)[^\\w\\sáéíóúÁÉÍÓÚñÑ-]", " ")
-    y = _py_collapse(y)
-    ok = (F.length(y) >= 3) & (_words(y) <= 5)
-    out = _cap_words(y)
-    return F.when(x.isNotNull() & ok & (F.length(out) > 2), out)
+def _strip_phrases(x: Column) -> Column:
+    """The phrases replaced by a space, one after the other; a text that holds none is left alone."""
+    y = x
+    for p in _PHRASES:
+        y = F.regexp_replace(y, "(?iU)" + p.removeprefix("(?i)"), " ")
+    return F.when(x.rlike(_ANY_PHRASE), y).otherwise(x)
+
 
+#: AUT2 on one name: phrases out, non-word characters out, <=5 words, >=3 chars, capitalised. The
+#: last two fixed patterns (white space, a final mark) are part of "non-word to one space".
+_STRIP_STAGES = [
+    _py_strip, _strip_phrases,
+    lambda y: F.btrim(F.regexp_replace(y, "(?U)[^\\wáéíóúÁÉÍÓÚñÑ-]+", " "), F.lit(" ")),
+    lambda y: F.when((F.length(y) >= 3) & (_spaces(y) <= 4), _cap_words(y)),
+    lambda z: F.when(F.length(z) > 2, z)]
 
-def clean_name_strip50(x: Column) -> Column:
-    """AUT3 on one name: phrases out, collapsed, kept when 3..50 characters; else null."""
-    y = _py_collapse(_strip_phrases(_py_strip(x)))
-    return F.when(x.isNotNull() & (F.length(y) >= 3) & (F.length(y) <= 50), y)
+#: AUT3 on one name: phrases out, a final mark out, collapsed, kept when 3..50 characters.
+_STRIP50_STAGES = [
+    _py_strip, _strip_phrases, lambda y: F.regexp_replace(y, _NOT_ONE_BLANK, " "),
+    lambda y: _py_collapse(F.regexp_replace(y, "[\\.,;]$", " ")),
+    lambda y: F.when(F.length(y).between(3, 50), y)]
 
 
 def split_authors(c) -> Column:
@@ -168,20 +192,21 @@ def split_authors(c) -> Column:
         .when(multi, F.split(s, "[,;]|(?U)\\s+y\\s+")).otherwise(F.array(s))
 
 
+def or_default(out: Column, default: str | None) -> Column:
+    if default is None:
+        return out
+    return _let(out, lambda a: F.when(F.size(a) > 0, a).otherwise(F.array(F.lit(default))))
+
+
 def clean_strip(arr, default: str | None = "20minutos") -> Column:
     """AUT2 + AUT7 over a list: split multi-name values, clean each, ci-distinct, default."""
     parts = F.flatten(F.transform(_nonblank(_c(arr)), split_authors))
-    cleaned = F.filter(F.transform(parts, clean_name_strip), lambda x: x.isNotNull())
-    out = ci_distinct(cleaned)
-    if default is None:
-        return out
-    return F.when(F.size(out) > 0, out).otherwise(F.array(F.lit(default)))
+    return or_default(_cleaned(parts, _STRIP_STAGES), default)
 
 
 def clean_strip50(arr) -> Column:
     """AUT3 over a list."""
-    cleaned = F.filter(F.transform(_nonblank(_c(arr)), clean_name_strip50), lambda x: x.isNotNull())
-    return ci_distinct(cleaned)
+    return _cleaned(_c(arr), _STRIP50_STAGES)
 
 
 # ----------------------------------------------------------------- AUT4 cut
@@ -191,24 +216,17 @@ CUT_NOISE = (r'\b(por|by|de|en|at|ver perfil|ver bi[oó]graf[ií]a|@[^\s]+|'
 CUT_REJECT = ['redacción', 'redaccion', 'elpais', 'el país', '']
 
 
-def clean_name_cut(x: Column) -> Column:
-    """AUT4 on one name: cut at comma/newline, drop noise words, special characters; capitalised.
-    Returns '' for a rejected name (as the reference does)."""
-    y = F.regexp_replace(x, "(?dU)\\s*[,\\n].*$", "")
-    y = F.regexp_replace(y, "(?U)\\s+", " ")
-    y = F.regexp_replace(y, "(?iU)" + CUT_NOISE, "")
-    y = F.regexp_replace(y, "(?U)[^\\w\\sáéíóúÁÉÍÓÚñÑ-]", "")
-    y = _strip_chars(y, " -")
-    bad = (F.length(y) < 2) | F.lower(y).isin(*CUT_REJECT)
-    return F.when(x.isNull(), F.lit("")).when(bad, F.lit("")).otherwise(_cap_words(y))
+#: AUT4 on one name: cut at comma/newline, drop noise words, special characters; capitalised.
+_CUT_STAGES = [
+    lambda x: F.regexp_replace(F.regexp_replace(x, "(?dU)\\s*[,\\n].*$", ""), _NOT_ONE_BLANK, " "),
+    lambda y: F.regexp_replace(F.regexp_replace(y, "(?iU)" + CUT_NOISE, ""), "(?U)[^\\w\\sáéíóúÁÉÍÓÚñÑ-]", ""),
+    lambda y: F.btrim(y, F.lit(" -")),
+    lambda y: F.when((F.length(y) >= 2) & ~F.lower(y).isin(*CUT_REJECT), _py_collapse(y)),
+    _cap_words]
 
 
 def clean_cut(arr, default: str | None = "Unknown") -> Column:
-    out = F.filter(F.transform(_nonblank(_c(arr)), clean_name_cut), lambda x: x != "")
-    out = ci_distinct(out)
-    if default is None:
-        return out
-    return F.when(F.size(out) > 0, out).otherwise(F.array(F.lit(default)))
+    return or_default(_cleaned(_c(arr), _CUT_STAGES), default)
 
 
 # ----------------------------------------------------------------- AUT5 okd
@@ -220,21 +238,17 @@ OKD_WORDS = (r'\b(?:por|de|la|el|los|las|en|a|y|e|o|u|del|al|un|una|unos|unas|es
 OKD_STAFF = ['redacción', 'redaccion', 'equipo', 'staff', 'okdiario']
 
 
-def clean_name_okd(x: Column) -> Column:
-    y = _py_strip(F.regexp_replace(x, "[\\n\\t•·]", " "))
-    y = F.regexp_replace(y, OKD_DATE, "")
-    y = F.regexp_replace(y, OKD_TIME, "")
-    y = F.regexp_replace(y, "(?iU)" + OKD_WORDS, "")
-    y = _py_strip(F.regexp_replace(y, PY_WHITESPACE + "+", " "))
-    low = F.lower(y)
-    staff = F.exists(F.array(*[F.lit(w) for w in OKD_STAFF]), lambda w: F.instr(low, w) > 0)
-    ok = (F.length(y) > 3) & ~staff & ~y.rlike("(?U)^[\\W\\d_]+$")
-    return F.when(x.isNotNull() & ok, y)
+#: AUT5 on one name: dates, times and function words out; no staff, not only symbols, four characters or more.
+_OKD_STAGES = [
+    lambda x: F.regexp_replace(x, "[\\n\\t•·]", " "),
+    lambda y: F.when(y.rlike("[0-9]"), F.regexp_replace(F.regexp_replace(_py_strip(y), OKD_DATE, ""), OKD_TIME, "")).otherwise(_py_strip(y)),
+    lambda y: _py_collapse(F.regexp_replace(y, "(?iU)" + OKD_WORDS, "")),
+    lambda y: F.when((F.length(y) > 3) & ~F.lower(y).rlike("|".join(OKD_STAFF)) & ~y.rlike("(?U)^[\\W\\d_]+$"), y)]
 
 
 def clean_okd(arr) -> Column:
     """AUT5 over a list, ci-distinct."""
-    return ci_distinct(F.filter(F.transform(_nonblank(_c(arr)), clean_name_okd), lambda x: x.isNotNull()))
+    return _cleaned(_c(arr), _OKD_STAGES)
 
 
 # ----------------------------------------------------------------- AUT6 stoplist
@@ -246,7 +260,7 @@ def clean_stoplist(arr, stop: list[str], default: str, strip_por: bool = False)
     else:
         a = F.transform(a, _py_strip)
     a = F.filter(a, lambda x: (x != "") & ~F.lower(x).isin(*stop))
-    return F.when(F.size(a) > 0, a).otherwise(F.array(F.lit(default)))
+    return or_default(a, default)
 
 
 # Per-site stop lists and defaults of the stoplist rule.
@@ -278,31 +292,36 @@ def byline_names(c) -> Column:
     return F.when(F.length(m) > 3, F.array(m)).otherwise(F.array().cast("array<string>"))
 
 
-ONE_NAME = {"strict": lambda x: clean_name_strict(x), "strip": lambda x: clean_name_strip(x),
-            "strip50": lambda x: clean_name_strip50(x),
-            "cut": lambda x: F.nullif(clean_name_cut(x), F.lit("")), "okd": lambda x: clean_name_okd(x)}
+ONE_NAME = {"strict": _strict_stages(), "strip": _STRIP_STAGES, "strip50": _STRIP50_STAGES, "cut": _CUT_STAGES, "okd": _OKD_STAGES}
+
+
+def clean_name(x, rule: str) -> Column:
+    """A rule on one name: the cleaned name, or null when the name is rejected."""
+    return F.get(_staged(F.array(_c(x)), *ONE_NAME[rule]), F.lit(0))
+
+
+def clean_name_cut(x) -> Column:
+    """AUT4 on one name; '' for a rejected name (as the reference does)."""
+    return F.coalesce(clean_name(x, "cut"), F.lit(""))
+
+
+def clean_each(arr, rule: str) -> Column:
+    """A rule on every name of a list, rejected names dropped, repeats kept."""
+    return F.filter(_staged(_nonblank(_c(arr)), *ONE_NAME[rule]), lambda x: x.isNotNull())
 
 
 def clean_rows(df, key: str, pos: str, name: str, rule: str = "strict"):
-    """Row-wise form of a rule for long lists: one (key, pos, name) row per candidate.
+    """Row-wise form of a rule for names spread over many rows: one (key, pos, name) row per candidate.
 
-    The per-name clean-up is a plain Column expression (whole-stage codegen);
-    the case-insensitive first-kept distinct is an aggregation (partial,
-    map-side) and the list is rebuilt in ``pos`` order per key.  Returns
-    (key, authors array) for keys with at least one accepted name.
+    Names are cleaned in their rows; the case-insensitive first-kept distinct is an aggregation
+    (partial, map-side) and the list is rebuilt in ``pos`` order per key. Returns (key, authors array) for
+    keys with at least one accepted name.
     """
-    fn = ONE_NAME[rule]
-    x = F.col(name)
-    if rule == "strip":
-        parts = df.select(key, pos, F.posexplode(split_authors(x)).alias("_sub", "_n"))
-        cleaned = parts.select(key, F.struct(F.col(pos).alias("_p"), F.col("_sub").alias("_s")).alias(pos), fn(F.col("_n")).alias("_a"))
-    else:
-        cleaned = df.select(key, pos, fn(x).alias("_a"))
-    cleaned = cleaned.filter(F.col("_a").isNotNull())
-    firsts = cleaned.groupBy(key, F.lower("_a").alias("_k")).agg(F.min_by("_a", F.col(pos)).alias("_a"),
-                                                                  F.min(pos).alias(pos))
-    return firsts.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(pos, "_a"))),
-                                               lambda s: s["_a"]).alias("authors"))
+    parts = split_authors(F.col(name)) if rule == "strip" else F.array(name)
+    cleaned = df.filter(F.col(name) != "").select(key, pos, F.posexplode(_staged(parts, *ONE_NAME[rule])).alias("_s", "_a"))
+    cleaned = cleaned.filter(F.col("_a").isNotNull()).withColumn("_p", F.struct(F.col(pos).alias("p"), F.col("_s").alias("s")))
+    firsts = cleaned.groupBy(key, F.lower("_a").alias("_k")).agg(F.min(F.struct("_p", "_a")).alias("_f"))
+    return firsts.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("_f")), lambda s: s["_a"]).alias("authors"))
 
 
 def clean_authors(arr, rule: str = "strict", site: str | None = None) -> Column:
@@ -329,6 +348,6 @@ def author_precedence(extracted, meta, byline, rule: str = "strict", default: st
 
     def cl(a):
         c = clean_authors(F.coalesce(_c(a), empty), rule)
-        return F.when(F.size(c) > 0, c)
+        return _let(c, lambda a: F.when(F.size(a) > 0, a))
     byl = F.when(_c(byline).isNotNull(), F.array(_c(byline)))
     return F.coalesce(cl(extracted), cl(meta), cl(byl), F.array(F.lit(default)))

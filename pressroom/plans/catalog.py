@@ -353,27 +353,26 @@ QUERIES = {
 }
 
 
-# ------------------------------------------------------------------ authors (rows-only: Unicode \b)
+# ------------------------------------------------------------------ authors
 def _candidates(text):
-    """Author-like strings of a text: every sentence of every line, its words without other characters, initcapped."""
-    pieces = F.split(F.coalesce(text, F.lit("")), "[.\n]")
-    words = (lambda p: F.filter(F.transform(F.split(p, "(?U)\\s+"), lambda w: F.regexp_replace(w, "(?U)\\W", "")),
-                                lambda w: w != ""))
-    return F.transform(pieces, lambda p: F.initcap(F.array_join(words(p), " ")))
+    """Author-like strings of a text: every sentence of every line, initcapped, with its punctuation and its
+    lower-case ' y ' between names."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\\. |\n"),
+                       lambda p: F.replace(F.initcap(p), F.lit(" Y "), F.lit(" y ")))
 
 
 def _authors(rule):
     def q(spark, sf_dir):
-        """Author rule over the candidates of every document's whole text.  A document's list
-        is built and cleaned inside its own row (array functions; the ci-distinct is a fold),
-        so no shuffle is needed: the list is bounded by the document's sentences."""
-        from ..functions.authors import clean_authors
+        """Author rule over the candidates of every document's whole text. A document's list is built,
+        cleaned and made distinct inside its own row, so no shuffle is needed: the document's
+        sentences bound it."""
+        from ..functions.authors import clean_authors, or_default
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-        cands = _candidates(F.col("text"))
-        a = clean_authors(cands, rule=rule)
+        a = clean_authors(_candidates(F.col("text")), rule=rule)
         if rule == "strip":
-            a = F.when(F.size(a) > 0, a).otherwise(F.array(F.lit("20minutos")))
-        return docs.select("doc_id", F.array_join(a, "|").alias("authors"), F.size(a).cast("bigint").alias("n_authors"))
+            a = or_default(a, "20minutos")
+        rows = records.with_once(docs, "authors", a)
+        return rows.select("doc_id", F.array_join("authors", "|").alias("authors"), F.size("authors").cast("bigint").alias("n_authors"))
     q.__name__ = f"authors_{rule}"
     return q
 

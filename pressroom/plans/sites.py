@@ -186,7 +186,7 @@ def el_pais_page_authors(html) -> Column:
                     lambda v: v.isNotNull() & (v != ""))
     ld = H.jsonld_authors(html)
     names = F.when(F.size(ld) > 0, ld).otherwise(F.concat(meta, H.flat_authors(html, "el_pais")))
-    return F.array_sort(F.array_distinct(F.filter(F.transform(names, A.clean_name_cut), lambda x: x != "")))
+    return F.array_sort(F.array_distinct(A.clean_each(names, "cut")))
 
 
 def feed_or_page_authors(feed_authors, page_authors) -> Column:

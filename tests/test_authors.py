@@ -116,6 +116,23 @@ def test_rows_form_equals_array_form(spark):
         assert got == arr, rule
 
 
+def test_distinct_keeps_first_spelling_and_order(spark):
+    names = ["b", "A", "a", "B", "c", "C", "É", "é", "b"] + [f"n{i % 700}" for i in range(3000)]
+    got = _run(spark, A.ci_distinct, names)
+    assert got == ["b", "A", "c", "É"] + [f"n{i}" for i in range(700)]
+    assert _run(spark, A.ci_distinct, []) == [] and _run(spark, A.ci_distinct, ["x"]) == ["x"]
+    assert _run(spark, A.ci_distinct, None) is None
+
+
+def test_a_rule_is_planned_once(spark):
+    """Each chain stands once in the plan, so it runs once per name."""
+    df = spark.createDataFrame([(["x"],)], "a array<string>").select(A.clean_okd("a").alias("o"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") <= 6
+    df = spark.createDataFrame([(["x"],)], "a array<string>").select(A.clean_strip("a").alias("o"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 14
+
+
 def test_small_helpers(spark):
     df = spark.createDataFrame([("juan.perez@x.es", "https://x.com/@ana", "Texto. Por Ana Pérez Gil | hoy")],
                                "e string, m string, b string")

@@ -16,11 +16,7 @@ def _initcap(s):
 
 
 def candidates(text):
-    out = []
-    for piece in re.split(r"[.\n]", text or ""):
-        words = [re.sub(r"\W", "", w) for w in re.split(r"\s+", piece)]
-        out.append(_initcap(" ".join(w for w in words if w)))
-    return out
+    return [_initcap(piece).replace(" Y ", " y ") for piece in re.split(r"\. |\n", text or "")]
 
 
 def ref_strip50_one(a):
