@@ -147,6 +147,23 @@ def relative_bound(as_of, days: int) -> Column:
     return as_of_lit(as_of) - F.make_dt_interval(F.lit(days))
 
 
+# Units of a relative bound.
+BOUND_UNITS = {"d": 86_400, "h": 3_600, "m": 60}
+
+
+def relative_instant(c, as_of) -> Column:
+    """DAT9: the instant that a bound like ``now``, ``now-1d`` or ``now-6h`` names (d, h, m; case and blanks around it
+    don't matter); anything else is null."""
+    s = F.lower(F.trim(_c(c)))
+    pattern = "^now(?:([+-])([0-9]{1,6})([dhm]))?$"
+    size = F.regexp_extract(s, pattern, 2).try_cast("bigint")
+    unit = F.regexp_extract(s, pattern, 3)
+    seconds = F.coalesce(size * F.coalesce(*(F.when(unit == u, F.lit(n)) for u, n in BOUND_UNITS.items())), F.lit(0))
+    signed = F.when(F.regexp_extract(s, pattern, 1) == "-", -seconds).otherwise(seconds)
+    now = as_of_lit(as_of)
+    return F.when(s.rlike(pattern), F.timestamp_micros(F.unix_micros(now) + signed * 1_000_000))
+
+
 def parse_sitemap_lastmod(c, keep_zone: bool = True) -> Column:
     """The lastmod parse of the 'midnight' rule (FLT1).
 

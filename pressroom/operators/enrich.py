@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedupe import first_seen, full_order, latest_by
@@ -113,6 +113,44 @@ def attach_pages(urls: DataFrame, pages: DataFrame, as_of=None, url: str = "url"
     return j.withColumn("has_page", F.coalesce(F.col("has_page"), F.lit(False)))
 
 
+def attach_pages_as_of(links: DataFrame, pages: DataFrame, at: str, url: str = "url", fetched_at: str = "fetched_at",
+                       page_cols: Sequence[str] = ("html",), bucket: str = "day") -> DataFrame:
+    """JON4: to each link the newest page snapshot of its URL not after the link's own time ``at``.
+
+    Links and snapshots of a URL are laid on one time line and each link takes the last snapshot
+    before it: a window, no range join. A time line is cut in ``bucket``s (day, hour), so a URL with a
+    third of all links is many windows; the snapshot with which a bucket opens comes from a window
+    over the URL's buckets. Windows carry the snapshot's time and content hash, never its markup.
+
+    Adds ``fetched_at``, ``page_cols`` (null without a snapshot) and ``has_page``. Of snapshots with equal time
+    the one with the larger hash counts. A link without a URL or time keeps its row and has no page; no link is
+    repeated. Columns of ``links`` must not be named like the added ones.
+    """
+    line = Window.partitionBy("_u", "_b")
+    cut = (lambda t: F.date_trunc(bucket, t))
+    content = F.xxhash64(*page_cols)
+    snaps = (pages_for(links, pages, url).select(F.col(url).alias("_u"), F.col(fetched_at).alias("_t"), content.alias("_h"))
+             .filter("_t is not null").groupBy("_u", "_t").agg(F.max("_h").alias("_h")))
+    both = (links.select(F.col(url).alias("_u"), F.col(at).alias("_t"), F.lit(None).cast("struct<t:timestamp,h:bigint>").alias("_s"),
+                         F.struct(*links.columns).alias("_link"))
+            .unionByName(snaps.select("_u", "_t", F.struct(F.col("_t").cast("timestamp").alias("t"), F.col("_h").alias("h")).alias("_s")),
+                         allowMissingColumns=True)
+            .withColumn("_b", cut(F.col("_t"))))
+    buckets = both.groupBy("_u", "_b").agg(F.max("_s").alias("_m"))
+    opens = buckets.select("_u", "_b", F.last("_m", ignorenulls=True).over(
+        Window.partitionBy("_u").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_open"))
+    # at equal times the snapshot comes first
+    so_far = line.orderBy("_t", F.col("_s").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (both.withColumn("_last", F.last("_s", ignorenulls=True).over(so_far)).filter("_link is not null")
+             .join(opens.filter("_open is not null"), ["_u", "_b"], "left")
+             .select("_link.*", F.coalesce("_last", "_open").alias("_s")))
+    markup = pages.select(F.col(url).alias("_pu"), F.col(fetched_at).cast("timestamp").alias("_pt"), content.alias("_ph"), *page_cols) \
+        .dropDuplicates(["_pu", "_pt", "_ph"])
+    on = (F.col(f"`{url}`") == F.col("_pu")) & (F.col("_s.t") == F.col("_pt")) & (F.col("_s.h") == F.col("_ph"))
+    return (found.join(markup, on, "left").withColumn(fetched_at, F.col("_s.t")).withColumn("has_page", F.col("_s").isNotNull())
+            .select(*links.columns, fetched_at, *page_cols, "has_page"))
+
+
 def resolve_lastmod(article_modified: Column, article_present: Column, og_modified: Column) -> Column:
     """JON5: article.modified_time when an article object exists, else og.modified_time."""
     return F.when(article_present, article_modified).otherwise(og_modified)

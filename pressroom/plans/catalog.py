@@ -113,7 +113,8 @@ def page_links(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     ex = pages.select("page_id", "url", F.posexplode(H.links("html")).alias("pos", "href"))
     return ex.select("page_id", "pos", "href", U.absolute_url("url", "href").alias("absolute_url"),
-                     U.is_article_link("href", "/", ".html").alias("is_article"))
+                     U.is_article_link("href").alias("is_article"),
+                     U.is_article_link("href", "/", ".html").alias("is_html"))
 
 
 def page_paragraphs(spark, sf_dir):
@@ -429,27 +430,40 @@ def sitemap_round_trip(spark, sf_dir):
                       .alias("recent"))
 
 
-def csv_round_trip(spark, sf_dir):
-    """documents -> export records -> SNK4 '^' CSV per (source, day) -> SRC12 read back."""
-    from ..session import scratch_path
-    from ..sinks.writers import write_export
-    from ..sources.tables import read_export
-    docs = table(spark, sf_dir, "documents")
-    first_line = X.clean_text(F.split(F.col("text"), "\n").getItem(0))
-    recs = docs.select(
-        first_line.alias("title"),
-        F.concat(F.lit("https://docs.example/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
-        F.lit(AS_OF).alias("publish_date"),
-        F.array(F.col("source"), F.lit(""), F.concat(F.lit("Autor "), F.col("lang"))).alias("authors"),
-        "source", F.lit("docs.example").alias("domain"),
-        F.substring(X.clean_text("text"), 1, 200).alias("summary"),
+def _export_records(docs):
+    """documents -> export records: whole texts with their line breaks, titles with quotes and the separator, some
+    without authors or date."""
+    k = F.col("doc_id")
+    return docs.select(
+        F.concat(F.lit('"Doc" ^ '), k.cast("string"), F.lit(", "), "lang").alias("title"),
+        F.concat(F.lit("https://docs.example/"), F.col("source"), F.lit("/"), k.cast("string")).alias("url"),
+        F.when(k % 2 == 0, F.lit(AS_OF)).alias("publish_date"),
+        F.when(k % 3 != 0, F.array(F.col("source"), F.lit(""), F.concat(F.lit("Autor "), F.col("lang")))).alias("authors"),
+        "source", F.lit("docs.example").alias("domain"), F.col("text").alias("summary"), F.col("text"),
         F.col("lang").alias("section"), F.lit("").alias("subsection"))
-    out = scratch_path(spark, "export")
-    write_export(recs, out, AS_OF, dialect="default", site="source")
-    back = read_export(spark, out)
-    return back.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in
-                         ["title", "url", "publish_date", "authors", "source", "domain", "summary",
-                          "section", "subsection"]], "source_key", F.col("dt").cast("string").alias("dt"))
+
+
+def _export_round_trip(dialect, columns=None):
+    def q(spark, sf_dir):
+        """SNK4, SNK5, SRC12: documents -> export records -> one '^' dialect per (source, day) -> read back."""
+        from ..session import scratch_path
+        from ..sinks.writers import DIALECTS, write_export
+        from ..sources.tables import read_export
+        out = scratch_path(spark, "export")
+        recs = _export_records(table(spark, sf_dir, "documents"))
+        write_export(recs.select(*columns, "source") if columns else recs, out, AS_OF, dialect=dialect)
+        back = read_export(spark, out, dialect, [*columns, "source"] if columns else None)
+        names = [*columns, "source"] if columns else DIALECTS[dialect]["columns"]
+        return back.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in names], "source_key", F.col("dt").cast("string").alias("dt"))
+    q.__name__ = f"csv_{dialect}"
+    return q
+
+
+csv_round_trip = _export_round_trip("default")
+csv_bom = _export_round_trip("bom")
+csv_append = _export_round_trip("append")
+csv_semicolon = _export_round_trip("semicolon")
+csv_flat = _export_round_trip("flat", ["title", "url", "publish_date", "authors", "summary"])
 
 
 # ------------------------------------------------------------------ streaming
@@ -463,16 +477,42 @@ def _event_stream(spark, sf_dir):
     return with_event_time(s, "ts")
 
 
+# Where the month of events is cut into the files that land one after the other.
+STREAM_CUTS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-23 00:00:00"]
+
+
+def _quarter():
+    """The file (0 to 3) of an event."""
+    t = F.col("ts").cast("timestamp")
+    return sum((F.when(t >= F.lit(c).cast("timestamp"), 1).otherwise(0) for c in STREAM_CUTS), F.lit(0))
+
+
+def _land(df, folder, file):
+    """One more file of a stream's folder, newer than those before it."""
+    df.coalesce(1).write.mode("append").parquet(f"{folder}/file={file}")
+
+
 def stream_dedupe(spark, sf_dir):
-    """STM2: links of events deduplicated within the watermark (one micro-batch: exact distinct)."""
+    """STM2: links per hour deduplicated over five files, one a micro-batch, with RocksDB state. A seventh of each
+    file comes again in the next; a thirteenth of the first week comes only in the fourth file, too late, and is
+    dropped. The stream stops after two files and goes on from its checkpoint."""
     from ..session import scratch_path
-    from ..streaming.streams import run_to_parquet, stream_curated
-    s = _event_stream(spark, sf_dir).select(
-        F.concat(F.lit("https://news.example/"), F.col("event_type"), F.lit("/"),
-                 F.col("user_id").cast("string")).alias("link"), "event_time")
-    out, chk = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "stream-dedupe-chk")
-    run_to_parquet(stream_curated(s, "link", "event_time", STREAM_DELAY).select("link"), out, chk, "append")
-    return spark.read.parquet(out)
+    from ..streaming.streams import read_stream_files, rocksdb_state, run_to_parquet, stream_hours
+    ev = table(spark, sf_dir, "events").withColumn("q", _quarter())
+    link = F.concat(F.lit("https://news.example/"), F.col("event_type"), F.lit("/"), F.col("user_id").cast("string"))
+    rows = ev.select(link.alias("link"), D.to_instant("ts").alias("event_time"), "event_id", "q")
+    late = (F.col("q") == 0) & (F.col("event_id") % 13 == 0)
+    out, chk, src = (scratch_path(spark, f"stream-dedupe{x}") for x in ("", "-chk", "-src"))
+    schema = rows.drop("q", "event_id").schema
+    with rocksdb_state(spark):
+        for files in ([0, 1], [2, 3, 4]):
+            for k in files:
+                again = (F.col("q") == k - 1) & (F.col("event_id") % 7 == 0) & ~late
+                wanted = ((F.col("q") == k) & ~late) | again | (late if k == 3 else F.lit(False))
+                _land(rows.filter(wanted).drop("q", "event_id"), src, k)
+            s = read_stream_files(spark, f"{src}/*", schema, max_files=1)
+            run_to_parquet(stream_hours(s, ["link"], "event_time", STREAM_DELAY).select("link", "hour"), out, chk, "append")
+    return spark.read.parquet(out).select("link", _ts_text("hour").alias("hour"))
 
 
 def stream_hourly(spark, sf_dir):
@@ -496,6 +536,10 @@ QUERIES.update({
     "rss_round_trip": rss_round_trip,
     "sitemap_round_trip": sitemap_round_trip,
     "csv_round_trip": csv_round_trip,
+    "csv_bom": csv_bom,
+    "csv_append": csv_append,
+    "csv_semicolon": csv_semicolon,
+    "csv_flat": csv_flat,
     "stream_dedupe": stream_dedupe,
     "stream_hourly": stream_hourly,
 })
@@ -621,22 +665,31 @@ _URLSET_ROOT = 'urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
 
 
 def sitemap_file_scan(spark, sf_dir):
-    """SRC2: pages written as gzip-compressed news sitemaps with Spark's XML sink and scanned
-    back with rowTag=url (.gz decoded by extension)."""
+    """SRC2: pages written as news sitemaps of at most SITEMAP_CHUNK URLs, half of them gzip-compressed, and
+    scanned back: locations, dates, and the news:* title, date and language."""
     from ..session import scratch_path
     from ..sources.feeds import read_sitemap
     pages = table(spark, sf_dir, "pages")
-    lastmod = F.date_format(F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(
-        F.lit(0), F.col("page_id").cast("int")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    # Spark's XML writer cannot emit prefixed names, so these are plain sitemaps (loc, lastmod);
-    # news:* fields are read by parse_sitemap (sitemap_round_trip) and the file reader's schema
-    urls = pages.select(F.col("url").alias("loc"), lastmod.alias("lastmod"))
+    k = F.col("page_id")
+    lastmod = F.date_format(F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(F.lit(0), k.cast("int")),
+                            "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    news = F.when(k % 4 != 0, F.concat(
+        F.lit("<news:news><news:publication><news:name>Diario</news:name><news:language>es</news:language></news:publication>"
+              "<news:publication_date>"), F.substring(lastmod, 1, 10), F.lit("</news:publication_date><news:title>"),
+        X.xml_escape(F.concat(F.lit("T & <b> "), "url")), F.lit("</news:title></news:news>"))).otherwise("")
+    entry = F.concat(F.lit("<url>\n <loc> "), X.xml_escape(F.col("url")), F.lit(" </loc><lastmod>"), lastmod, F.lit("</lastmod>"),
+                     news, F.lit("</url>"))
+    docs = (pages.groupBy(F.floor(k / SITEMAP_CHUNK).alias("chunk"))
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", entry.alias("e")))), lambda s: s["e"]), "\n").alias("e"))
+            .select("chunk", F.concat(
+                F.lit('<?xml version="1.0"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" '
+                      'xmlns:news="http://www.google.com/schemas/sitemap-news/0.9">\n'), "e", F.lit("\n</urlset>")).alias("value")))
     out = scratch_path(spark, "sitemap-files")
-    urls.write.format("xml").option("rootTag", _URLSET_ROOT).option("rowTag", "url") \
-        .option("compression", "gzip").save(out)
-    sm = read_sitemap(spark, out)
-    return sm.select("loc", _ts_text(D.parse_iso_any("lastmod")).alias("lastmod"),
-                     F.col("`news:news`").isNull().alias("no_news"))
+    for half, packed in ((0, "none"), (1, "gzip")):
+        docs.filter(F.col("chunk") % 2 == half).select("value").write.option("compression", packed).text(f"{out}/{packed}")
+    sm = read_sitemap(spark, f"{out}/*")
+    return sm.select("loc", _ts_text(D.parse_iso_any("lastmod")).alias("lastmod"), "news_title",
+                     F.col("news_publication_date").alias("news_day"), "news_language")
 
 
 ATOM_CHUNK = 8
@@ -808,19 +861,27 @@ def el_pais_feed_export(spark, sf_dir):
 
 
 def stream_upsert(spark, sf_dir):
-    """STM3: events streamed through foreachBatch into the hour-partitioned latest-version
-    merge (WIN3; deterministic tie-break), then the merged dataset read back."""
+    """STM3: five files, one a micro-batch, through foreachBatch into the hour-partitioned latest-version merge
+    (WIN3). A fifth of each file is corrected in the next (a later audit, another value). Then the first file
+    is replayed from an empty checkpoint: the ledger knows the batch. The merged dataset is read back."""
     from ..session import scratch_path
-    from ..streaming.streams import stream_published
-    s = _event_stream(spark, sf_dir)
-    rows = s.select(
-        F.concat(F.lit("https://news.example/"), F.col("event_type"), F.lit("/"),
-                 F.col("user_id").cast("string")).alias("og_url"),
-        F.date_trunc("hour", F.col("event_time")).alias("modified_time_tz"),
-        F.lit(MERGE_AUDIT_NEW).alias("audit_time"), "event_id", "value")
+    from ..streaming.streams import BatchLedger, read_stream_files, stream_published
+    ev = table(spark, sf_dir, "events").withColumn("q", _quarter())
+    rows = ev.select(
+        F.concat(F.lit("https://news.example/"), F.col("event_type"), F.lit("/"), F.col("user_id").cast("string")).alias("og_url"),
+        F.date_trunc("day", D.to_instant("ts")).alias("modified_time_tz"), F.lit(MERGE_AUDIT_OLD).alias("audit_time"),
+        "event_id", "value", "q")
     rows = records.hour_columns(rows, "modified_time_tz", "Europe/Rome")
-    base, chk = scratch_path(spark, "stream-upsert"), scratch_path(spark, "stream-upsert-chk")
-    stream_published(rows, base, chk)
+    corrected = rows.filter("event_id % 5 = 0").withColumns(
+        {"q": F.col("q") + 1, "audit_time": F.lit(MERGE_AUDIT_NEW), "value": F.col("value") + 1})
+    both = rows.unionByName(corrected)
+    base, src, ledger = (scratch_path(spark, f"stream-upsert{x}") for x in ("", "-src", "-ledger"))
+    schema = rows.drop("q").schema
+    for k in range(5):                                       # the fifth has corrections only
+        _land(both.filter(F.col("q") == k).drop("q"), src, k)
+    merged = BatchLedger(spark, ledger, "events")
+    stream_published(read_stream_files(spark, f"{src}/*", schema, max_files=1), base, scratch_path(spark, "stream-upsert-chk"), merged)
+    stream_published(read_stream_files(spark, f"{src}/file=0", schema, max_files=1), base, scratch_path(spark, "stream-upsert-chk"), merged)
     out = spark.read.parquet(base)
     return out.select("og_url", _ts_text("modified_time_tz").alias("modified_time"), "event_id", "value")
 

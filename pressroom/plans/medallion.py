@@ -26,6 +26,7 @@ from ..operators import dedupe, enrich, recency, records
 from ..session import path_exists, scratch_path
 from ..sinks.writers import HOUR_PARTS, write_hours, write_latest_html, write_rejects
 from ..sources.feeds import parse_feed, parse_sitemap
+from ..sources.tables import read_touched_hours
 
 TZ = "Europe/Rome"
 
@@ -53,12 +54,16 @@ def _stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(p)
 
 
-def _read_history(spark: SparkSession, base: str, new: DataFrame) -> DataFrame | None:
-    """The history of the hours that ``new`` touches: those are the ones a dynamic overwrite replaces."""
+def _read_history(spark: SparkSession, base: str, new: DataFrame, drift: str = "refuse") -> DataFrame | None:
+    """The history of the hours that ``new`` touches: those are the ones a dynamic overwrite replaces.
+
+    PRJ16: the schemas in the files of these hours are compared with ``new``'s before anything is written
+    (``read_touched_hours``)."""
     if not path_exists(spark, base):
         return None
-    old = spark.read.schema(new.schema).parquet(base)
-    return old.join(new.select(*HOUR_PARTS).distinct(), list(HOUR_PARTS), "left_semi").select(*new.columns)
+    hours = [tuple(r) for r in new.select(*HOUR_PARTS).distinct().collect()]     # as many as hours are touched
+    old = read_touched_hours(spark, base, hours, [c for c in new.columns if c not in HOUR_PARTS], drift)
+    return None if old is None else old.select(*(F.col(f"`{c}`").cast(new.schema[c].dataType) for c in new.columns))
 
 
 # ------------------------------------------------------------------ curated
@@ -99,8 +104,6 @@ def merge_curated_into(new: DataFrame, base: str) -> DataFrame:
     """WIN4/SET2: new ∪ history of the touched hours, whole-row distinct, touched hours replaced."""
     spark = new.sparkSession
     old = _read_history(spark, base, new)
-    if old is not None:
-        records.assert_same_columns(new, old)
     merged = _stage(dedupe.merge_distinct(new, old), "curated")
     write_hours(merged, base)
     return merged

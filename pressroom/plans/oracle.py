@@ -10,6 +10,8 @@ from ..functions.text import CONTROL_CHARS, WS_AFTER_CONTROL
 from ..operators.recency import hour_bounds
 from ..sources.feeds import COMMON_SITEMAP_PATHS
 from ..operators.records import WEEKDAY_IT
+from ..schemas import EXPORT_COLUMNS
+from ..sinks.writers import SEMICOLON_COLUMNS
 from . import catalog as C
 from .sqlparts import (canonical, capitalize, clean_ws, domain, fmt_ts, q, section_name, sections_base,
                        slug_title, tag_text, title, to_rome, unescape, url_path)
@@ -105,7 +107,8 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, href,
        WHEN regexp_matches(split_part(split_part(url, '#', 1), '?', 1), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/')
          THEN regexp_replace(split_part(split_part(url, '#', 1), '?', 1), '[^/]*$', '') || href
        ELSE split_part(split_part(url, '#', 1), '?', 1) || '/' || href END AS absolute_url,
-  (contains(href, '/') AND ends_with(href, '.html')) AS is_article
+  (contains(href, '/noticias/') AND ends_with(href, '.html')) AS is_article,
+  (contains(href, '/') AND ends_with(href, '.html')) AS is_html
 FROM x
 """
 
@@ -295,17 +298,38 @@ SELECT {domain('url')} AS domain,
 FROM pages
 """
 
-CSV_ROUND_TRIP = f"""
-SELECT coalesce({clean_ws("split_part(text, chr(10), 1)")}, '') AS title,
-  'https://docs.example/' || source || '/' || CAST(doc_id AS VARCHAR) AS url,
-  {q(C.AS_OF)} AS publish_date, source || ', Autor ' || lang AS authors, source,
-  'docs.example' AS domain, substr(coalesce({clean_ws('text')}, ''), 1, 200) AS summary,
-  lang AS section, '' AS subsection,
-  regexp_replace(lower(source), '[^\\p{{L}}\\p{{N}}]', '_', 'g') AS source_key, {q(C.AS_OF[:10])} AS dt
-FROM documents
-"""
+def _normalized(e: str) -> str:
+    return (f"trim(regexp_replace(regexp_replace(regexp_replace(nfc_normalize({e}), {q(CONTROL_CHARS)}, '', 'g'), '\\r\\n?', chr(10), 'g'), "
+            f"{q(WS_AFTER_CONTROL + '+')}, ' ', 'g'))")
+
+
+def _export_sql(columns, **how) -> str:
+    """The export records in SQL: ``how`` gives a column's expression over the plain value {0}."""
+    plain = {
+        "title": "'\"Doc\" ^ ' || doc_id || ', ' || lang", "url": "'https://docs.example/' || source || '/' || doc_id",
+        "publish_date": f"CASE WHEN doc_id % 2 = 0 THEN {q(C.AS_OF)} END",
+        "authors": "CASE WHEN doc_id % 3 <> 0 THEN source || ', Autor ' || lang END", "source": "source",
+        "domain": "'docs.example'", "summary": "text", "text": "text", "section": "lang", "subsection": "''"}
+    cols = ", ".join(f"coalesce({how.get(c, '{0}').replace('{0}', '(' + plain[c] + ')')}, '') AS {c}" for c in columns)
+    return (f"SELECT {cols}, regexp_replace(lower(source), '[^\\p{{L}}\\p{{N}}]', '_', 'g') AS source_key, {q(C.AS_OF[:10])} AS dt "
+            "FROM documents")
 
-STREAM_DEDUPE = f"SELECT DISTINCT {_OG} AS link FROM events"
+
+_RUN_ISO = q(C.AS_OF.replace(" ", "T") + "+00:00")
+_TIDY = {c: _normalized("{0}") for c in ("title", "url", "publish_date", "source", "domain", "summary", "section", "subsection")}
+_FLAT = {c: f"replace(replace({clean_ws('{0}')}, '\"', '\"\"'), '^', ' ')" for c in ("title", "url", "publish_date", "summary", "source")}
+CSV_ROUND_TRIP = _export_sql(EXPORT_COLUMNS)
+CSV_BOM = _export_sql(EXPORT_COLUMNS, authors="coalesce({0}, 'Redacción')", publish_date=f"coalesce({{0}}, {_RUN_ISO})")
+CSV_APPEND = _export_sql(EXPORT_COLUMNS, **_TIDY)
+CSV_SEMICOLON = _export_sql(SEMICOLON_COLUMNS, authors="CASE WHEN doc_id % 3 <> 0 THEN source || '; ; Autor ' || lang END",
+                            **{c: clean_ws("{0}") for c in SEMICOLON_COLUMNS if c != "authors"})
+CSV_FLAT = _export_sql(["title", "url", "publish_date", "authors", "summary", "source"],
+                       authors="CASE WHEN doc_id % 3 <> 0 THEN source || ', , Autor ' || lang END", **_FLAT)
+
+STREAM_DEDUPE = f"""
+SELECT DISTINCT {_OG} AS link, {fmt_ts("date_trunc('hour', ts)")} AS hour FROM events
+WHERE NOT (ts < TIMESTAMP {q(C.STREAM_CUTS[0])} AND event_id % 13 = 0)
+"""
 
 STREAM_HOURLY = f"""
 SELECT {fmt_ts("date_trunc('hour', ts)")} AS window_start, event_type, count(*) AS n
@@ -415,7 +439,8 @@ FROM events
 """
 
 SITEMAP_FILE_SCAN = f"""
-SELECT trim(url) AS loc, {fmt_ts(_LASTMOD)} AS lastmod, true AS no_news
+SELECT trim(url) AS loc, {fmt_ts(_LASTMOD)} AS lastmod, CASE WHEN page_id % 4 <> 0 THEN 'T & <b> ' || url END AS news_title,
+       CASE WHEN page_id % 4 <> 0 THEN strftime({_LASTMOD}, '%Y-%m-%d') END AS news_day, CASE WHEN page_id % 4 <> 0 THEN 'es' END AS news_language
 FROM pages
 """
 
@@ -519,9 +544,9 @@ WHERE t >= {AS_OF} - INTERVAL {C.DAYS} DAY
 
 STREAM_UPSERT = f"""
 SELECT og_url, {fmt_ts('m')} AS modified_time, event_id, value FROM (
-  SELECT {_OG} AS og_url, date_trunc('hour', ts) AS m, event_id, value,
-         row_number() OVER (PARTITION BY {_OG}, date_trunc('hour', ts) ORDER BY event_id DESC, value DESC) AS rn
-  FROM events) WHERE rn = 1
+  SELECT *, row_number() OVER (PARTITION BY og_url, m ORDER BY audit DESC, event_id DESC, value DESC) AS rn
+  FROM (SELECT {_OG} AS og_url, date_trunc('day', ts) AS m, event_id, value, 0 AS audit FROM events
+        UNION ALL SELECT {_OG}, date_trunc('day', ts), event_id, value + 1, 1 FROM events WHERE event_id % 5 = 0)) WHERE rn = 1
 """
 
 SELECT_SOURCES = """
@@ -586,6 +611,10 @@ ORACLE = {
     "sitemap_round_trip": SITEMAP_ROUND_TRIP,
     "csv_round_trip": CSV_ROUND_TRIP,
     "stream_dedupe": STREAM_DEDUPE,
+    "csv_bom": CSV_BOM,
+    "csv_append": CSV_APPEND,
+    "csv_semicolon": CSV_SEMICOLON,
+    "csv_flat": CSV_FLAT,
     "stream_hourly": STREAM_HOURLY,
     "feed_enrich": FEED_ENRICH,
     "first_distinct_users": FIRST_DISTINCT_USERS,

@@ -115,6 +115,12 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.globStatus(hpath) or [])
 
 
+def touch_path(spark: SparkSession, path: str) -> None:
+    """Create an empty file (and its folder); an existing one stays."""
+    fs, hpath = _hadoop(spark, path)
+    fs.createNewFile(hpath)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a staged table that nothing reads any more."""
     fs, hpath = _hadoop(spark, path)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import as_of_lit
 from ..functions.urls import source_key
 from ..schemas import EXPORT_COLUMNS
-from ..session import list_paths
+from ..session import drop_path, list_paths
 
 HOUR_PARTS = ["year", "month", "day", "hour"]
 
@@ -62,7 +62,7 @@ FLAT_PREFERRED = ["title", "url", "publish_date", "authors", "summary", "text",
 SEMICOLON_COLUMNS = ["title", "url", "publish_date", "authors", "section", "subsection", "text"]
 DIALECTS = {
     "default": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape='"', quote='"'),
-    "bom": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape='"', quote='"', defaults=True),  # no BOM written
+    "bom": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape='"', quote='"', defaults=True, bom=True),
     "append": dict(columns=EXPORT_COLUMNS, list_sep=", ", escape="\\", quote='"', normalize=True),  # B13
     "flat": dict(columns=None, list_sep=", ", escape="\\", quote="", html_cut=1000),
     "semicolon": dict(columns=SEMICOLON_COLUMNS, list_sep="; ", escape='"', quote='"'),
@@ -124,16 +124,31 @@ def export_frame(df: DataFrame, as_of, dialect: str = "default", site: str = "so
     return out.withColumns({"source_key": source_key(F.col("_site")), "dt": keys["dt"]}).drop("_site")
 
 
+BOM = "\ufeff"
+#: Rows of each (dt, source_key) of an export, written beside it; readers of the export skip the folder.
+COUNTS = "_counts"
+
+
 def write_export(df: DataFrame, base: str, as_of, dialect: str = "default", site: str = "source") -> None:
-    """SNK4: one '^'-separated export per (source_key, dt); a rerun replaces that day only."""
+    """SNK4: one '^'-separated export per (source_key, dt); a rerun replaces that day only.
+
+    Every file starts with the header. The ``bom`` dialect puts the byte-order mark before the header's first name,
+    so it is the first thing in each file. The rows of each part are counted into ``COUNTS``, from the
+    key columns alone.
+    """
     d = DIALECTS[dialect]
     out = export_frame(df, as_of, dialect, site)
+    counts = out.groupBy("dt", "source_key").agg(F.count(F.lit(1)).alias("n_rows"))
+    if d.get("bom"):
+        out = out.withColumnRenamed(out.columns[0], BOM + out.columns[0])
     (_clustered(out, ["source_key", "dt"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("source_key", "dt")
      .option("sep", "^").option("header", True).option("quote", d["quote"]).option("escape", d["escape"])
      .option("quoteAll", False).option("escapeQuotes", d["quote"] != "")
      .option("emptyValue", "").option("encoding", "UTF-8")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(base))
+    (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "source_key")
+     .parquet(f"{base.rstrip('/')}/{COUNTS}"))
 
 
 def retention_filter(dt_col: Column, as_of, days: int = 7) -> Column:
@@ -149,11 +164,31 @@ def partitions_to_drop(spark: SparkSession, base: str, as_of, days: int = 7) ->
     return df.select("source_key", F.col("dt").cast("date").alias("dt")).filter(~retention_filter(F.col("dt"), as_of, days))
 
 
+def apply_retention(spark: SparkSession, base: str, as_of, days: int = 7, dry_run: bool = False) -> list[tuple[str, str]]:
+    """SNK6: drop the (source_key, dt) partitions older than the retention window, their counts too.
+
+    Returns the dropped partitions; with ``dry_run`` the list alone. Partitions are folders, so nothing
+    is read or rewritten; a rerun finds nothing left to drop.
+    """
+    old = sorted((r.source_key, str(r.dt)) for r in partitions_to_drop(spark, base, as_of, days).collect())
+    if not dry_run:
+        root = base.rstrip("/")
+        for key, dt in old:
+            drop_path(spark, f"{root}/source_key={key}/dt={dt}")
+            drop_path(spark, f"{root}/{COUNTS}/dt={dt}/source_key={key}")
+    return old
+
+
 def outputs_on(spark: SparkSession, base: str, date: str) -> DataFrame:
-    """SNK7: rows and files written per source on a day (partition filter on ``dt``)."""
-    df = spark.read.option("header", True).option("sep", "^").option("quote", '"').option("escape", '"') \
-        .option("multiLine", True).csv(base)
-    day = df.filter(F.col("dt").cast("string") == F.lit(date)) \
-        .select("source_key", F.col("_metadata.file_path").alias("_file"))
-    return day.groupBy("source_key").agg(F.count(F.lit(1)).alias("n_rows"),
-                                         F.count_distinct("_file").alias("n_files"))
+    """SNK7: rows, files and bytes written per source on a day.
+
+    Rows come from the counts beside the export, files and bytes from the listing of the day's
+    folders: no export file is opened.
+    """
+    root = base.rstrip("/")
+    files = spark.read.format("binaryFile").load(f"{root}/source_key=*/dt={date}").select("path", "length")
+    by_source = files.groupBy(F.regexp_extract("path", "/source_key=([^/]*)/", 1).alias("folder")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+    rows = spark.read.schema("n_rows long, dt string, source_key string").parquet(f"{root}/{COUNTS}").filter(F.col("dt") == date)
+    return rows.join(by_source.withColumn("source_key", F.url_decode(F.replace("folder", F.lit("+"), F.lit("%2B")))), "source_key") \
+        .select("source_key", "n_rows", "n_files", "n_bytes")

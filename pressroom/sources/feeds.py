@@ -53,9 +53,22 @@ def read_rss_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
-    """SRC2: every ``<url>`` of the sitemap files under ``path``; ``.gz`` files are decoded by extension."""
-    return (spark.read.format("xml").option("rowTag", "url").schema(SITEMAP_URL).load(path)
-            .withColumn("loc", F.trim("loc")).withColumn("source_file", F.input_file_name()))
+    """SRC2: every ``<url>`` of the sitemap files under ``path`` with its ``news:*`` fields; ``.gz`` files are decoded
+    by extension.
+
+    The files are text whose records end at ``</url>``, so a plain file of any size is read in splits and no
+    file is held whole; each record's entry is parsed by ``from_xml``. Adds ``news_title``,
+    ``news_publication_date``, ``news_name``, ``news_language`` and ``source_file``. A broken entry has null fields.
+    """
+    records = spark.read.option("lineSep", "</url>").text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    inner = F.regexp_extract("value", "(?s)^.*<url(?:\\s[^>]*)?>(.*)$", 1)
+    entry = F.from_xml(F.concat(F.lit("<url>"), inner, F.lit("</url>")), SITEMAP_URL, {"mode": "PERMISSIVE"})
+    out = records.filter(F.col("value").rlike("<url[\\s>]")).select(F.explode(F.array(entry)).alias("u"), "source_file")
+    news = F.col("u")["news:news"]
+    return out.select(F.trim("u.loc").alias("loc"), F.trim("u.lastmod").alias("lastmod"), news.alias("news:news"),
+                      news["news:title"].alias("news_title"), news["news:publication_date"].alias("news_publication_date"),
+                      news["news:publication"]["news:name"].alias("news_name"),
+                      news["news:publication"]["news:language"].alias("news_language"), "source_file")
 
 
 # ---------------------------------------------------------------- SRC3
