@@ -231,27 +231,50 @@ def time_datetime(html, meta: Column | None = None) -> Column:
                       F.element_at(m, F.lit("pubdate")))
 
 
-# Classes whose element holds an author name, per site rule.
+# Classes whose element holds an author name, per site rule, in the reference's order. Left out, as
+# flat markup can't tell them: selectors of an element inside another, beside another, of a part of
+# a class name, and of an element name with a class besides ``rel`` and ``itemprop`` of an author.
 AUTHOR_CLASSES = {
-    "el_pais": ["a_hi", "a_ti", "author", "author-name", "author_link", "autor-nombre", "byline", "byline__name",
-                "c-byline__author", "entry-author", "firma", "firma-autor", "firma_apellidos", "firma_autor",
-                "firma_nombre", "firmas_articulo", "g-author", "nombre_autor", "signature", "vcard"],
-    "okdiario": ["article-author", "author", "author-name", "autor", "byline", "entry-author", "firma", "signature"],
-    "el_mundo": ["author-name", "ue-c-article__byline-name"],
+    "el_pais": ["a_hi", "a_ti", "autor-nombre", "author", "author-name", "author_link", "byline", "byline__name",
+                "c-byline__author", "entry-author", "firma", "firma-autor", "firma_apellidos", "firma_nombre",
+                "firmas_articulo", "firma_autor", "g-author", "nombre_autor", "signature", "vcard"],
+    "okdiario": ["author-name", "author", "entry-author", "article-author", "byline", "autor", "firma", "signature"],
+    "el_mundo": ["ue-c-article__byline-name", "author-name"],
 }
+# Words that no author element's text holds, per site rule.
+AUTHOR_TEXT_STOP = {
+    "el_pais": ["redacción", "redaccion", "elpais.com", "comentar", "comentarios", "seguir"],
+    "okdiario": ["por", "publicado", "actualizado", "compartir", "redacción", "equipo", "staff", "redaccion"],
+    "el_mundo": [],
+}
+
+
+def _author_text(t: Column, rule: str) -> Column:
+    """The name in an author element's text, or null where the text isn't one."""
+    clean = F.length(t) > 0
+    if AUTHOR_TEXT_STOP[rule]:
+        clean = clean & ~F.lower(t).rlike("|".join(w.replace(".", "\\.") for w in AUTHOR_TEXT_STOP[rule]))
+    if rule == "el_pais":
+        name = F.trim(F.regexp_replace(t, "^[bB]y\\s+", ""))
+        return F.when(clean & (F.length(t) <= 100) & (F.length(name) > 1), name)
+    if rule == "okdiario":
+        name = F.trim(F.regexp_replace(t, "\\s*[|@].*$", ""))
+        return F.when(clean & (F.length(t) > 3) & (F.length(name) > 3), name)
+    return F.when(clean & (F.length(t) < 100), t)
 
 
 def flat_authors(html, rule: str = "el_pais") -> Column:
     """HTM3/HTM6 (flat form): distinct texts of elements with ``rel=author``, ``itemprop=author``
-    or one of the rule's author classes, in document order. An element inside such an element
-    belongs to its text; sibling and ancestor selectors are not read."""
-    classes = "|".join(AUTHOR_CLASSES[rule])
+    or one of the rule's author classes, in document order, without those that the rule's length and
+    stop words refuse. An element inside such an element belongs to its text; sibling and ancestor
+    selectors are not read."""
+    classes = "|".join(sorted(AUTHOR_CLASSES[rule], key=len, reverse=True))
     mark = (f"(?:(?:rel|itemprop)\\s*=\\s*[\"']?author\\b"
             f"|class\\s*=\\s*(?:\"(?:[^\"]*\\s)?(?:{classes})(?:\\s[^\"]*)?\"|'(?:[^']*\\s)?(?:{classes})(?:\\s[^']*)?'"
             f"|(?:{classes})(?=[\\s>])))")
     whole = f"(?is)<(a|span|div|p|address|li|strong)\\b(?=[^>]*\\b{mark})[^>]*>(.*?)</\\1>"
-    texts = F.transform(F.regexp_extract_all(_c(html), F.lit(whole), 2), tag_text)
-    return F.array_distinct(F.filter(texts, lambda t: t != ""))
+    texts = F.transform(F.transform(F.regexp_extract_all(_c(html), F.lit(whole), 2), tag_text), lambda t: _author_text(t, rule))
+    return F.array_distinct(F.filter(texts, lambda t: t.isNotNull()))
 
 
 def breadcrumb_second(html) -> Column:

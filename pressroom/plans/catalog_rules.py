@@ -15,8 +15,8 @@ from ..functions import text as X
 from ..functions import urls as U
 from ..operators import dedupe, enrich, recency, records
 from .catalog import AS_OF, DAYS, HOUR_AS_OF, RSS_CHUNK, _rss_docs, _ts_text, table
-from .oracle import _parts
-from .sqlparts import fmt_ts, q
+from .oracle import _SLUG, _parts
+from .sqlparts import canonical, fmt_ts, q
 
 _AS_OF = f"TIMESTAMP {q(AS_OF)}"
 FEED = "https://feeds.example/"
@@ -134,10 +134,10 @@ def url_dates(spark, sf_dir):
 
 
 def unknown_dates(spark, sf_dir):
-    """FLT1-FLT5, FLT7: what each rule does with an unknown date (a third of the rows)."""
+    """FLT1-FLT5, FLT7: each rule over dated rows and rows of unknown date (a third of them)."""
     e = table(spark, sf_dir, "events")
     ts = F.when(F.col("event_id") % 3 != 0, D.to_instant("ts"))
-    rows = e.select("event_id", ts.alias("t")).filter("event_id % 3 = 0")
+    rows = e.select("event_id", ts.alias("t"))
     return rows.select("event_id", *(recency.is_recent(F.col("t"), AS_OF, DAYS, r).alias(r)
                                      for r in ("midnight", "age", "calendar", "age_or_now", "days_floor", "min_date")))
 
@@ -180,12 +180,12 @@ def page_jsonld(spark, sf_dir):
 
 def page_references(spark, sf_dir):
     """Character references (named, decimal, hexadecimal, twice-escaped) and links in every quoting."""
-    n = table(spark, sf_dir, "nation")
-    text = F.concat(F.lit("Espa&ntilde;a &#8217;&#x20AC; &amp;lt; &bogus; "), F.col("n_name"))
-    html = F.concat(F.lit("<p>"), text, F.lit("</p><a href='/a/"), "n_name", F.lit("'>x</a><a class=b href=/b/"), "n_nationkey",
+    c = table(spark, sf_dir, "customer")
+    text = F.concat(F.lit("Espa&ntilde;a &#8217;&#x20AC; &amp;lt; &bogus; "), F.col("c_name"))
+    html = F.concat(F.lit("<p>"), text, F.lit("</p><a href='/a/"), "c_name", F.lit("'>x</a><a class=b href=/b/"), "c_custkey",
                     F.lit(' >y</a><a href="/c">z</a>'))
-    p = n.select("n_nationkey", html.alias("html"))
-    return p.select("n_nationkey", H.tag_text(H.first_tag_inner("html", "p")).alias("text"), F.array_join(H.links("html"), " ").alias("links"))
+    p = c.select("c_custkey", html.alias("html"))
+    return p.select("c_custkey", H.tag_text(H.first_tag_inner("html", "p")).alias("text"), F.array_join(H.links("html"), " ").alias("links"))
 
 
 def rdf_feed(spark, sf_dir):
@@ -209,7 +209,7 @@ def entry_records(spark, sf_dir):
     e = p.select("page_id", U.canonical_url("url").alias("url"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("News "), F.col("page_id").cast("string"))).alias("news_title"),
                  F.when(F.col("page_id") % 3 == 0, F.lit("2024-01-02T03:04:05Z")).otherwise(F.lit("bad")).alias("published"))
     r = records.record_from_entry(e, AS_OF)
-    return r.filter("page_id % 2 = 0").select("page_id", "title", "publish_date", "summary")
+    return r.select("page_id", "title", "publish_date", "summary")
 
 
 def required_fields(spark, sf_dir):
@@ -224,9 +224,9 @@ def required_fields(spark, sf_dir):
 
 def superset_columns(spark, sf_dir):
     """PRJ15, PRJ17: union of records with different columns, preferred ones first."""
-    n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("title"), F.col("n_nationkey").cast("long").alias("key"))
-    r = table(spark, sf_dir, "region").select(F.col("r_name").alias("url"), F.col("r_regionkey").cast("long").alias("key"))
-    both = records.superset([n, r], ["title", "url"])
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("title"), F.col("doc_id").alias("key"), "text")
+    p = table(spark, sf_dir, "pages").select("url", F.col("page_id").alias("key"))
+    both = records.superset([d, p], ["title", "url"])
     return records.reshape_20min(both.withColumn("key2", F.col("key"))).select("url", "title", "section", "text")
 
 
@@ -317,23 +317,29 @@ RULE_ORACLE = {
     "url_dates": f"""SELECT event_id, CASE WHEN event_id % 3 <> 2 THEN strftime(ts, '%Y-%m-%d') END AS url_day,
         CASE WHEN event_id % 5 = 0 THEN date_trunc('second', ts) >= {_AS_OF} - INTERVAL {DAYS} DAY WHEN event_id % 5 = 1 THEN FALSE
              WHEN event_id % 3 <> 2 THEN CAST(ts AS DATE) >= {_AS_OF} - INTERVAL {DAYS} DAY ELSE FALSE END AS recent FROM events""",
-    "unknown_dates": """SELECT event_id, TRUE AS midnight, FALSE AS age, FALSE AS calendar, TRUE AS age_or_now, TRUE AS days_floor, TRUE AS min_date
-        FROM events WHERE event_id % 3 = 0""",
+    "unknown_dates": f"""WITH e AS (SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN ts END AS t FROM events)
+        SELECT event_id, coalesce(t >= date_trunc('day', {_AS_OF}) - INTERVAL {DAYS} DAY, TRUE) AS midnight,
+               coalesce(t >= {_AS_OF} - INTERVAL {DAYS} DAY, FALSE) AS age,
+               coalesce(CAST({_AS_OF} AS DATE) - CAST(t AS DATE) <= {DAYS}, FALSE) AS calendar,
+               coalesce(t >= {_AS_OF} - INTERVAL {DAYS} DAY, TRUE) AS age_or_now,
+               coalesce(floor((epoch_us({_AS_OF}) - epoch_us(t)) / 86400000000.0) <= {DAYS}, TRUE) AS days_floor,
+               coalesce(t >= {_AS_OF} - INTERVAL {DAYS} DAY, TRUE) AS min_date FROM e""",
     "page_meta": """SELECT c_custkey, c_mktsegment AS section, c_name AS author, '2024-01-' || lpad((c_custkey % 28 + 1)::VARCHAR, 2, '0') AS day,
         c_mktsegment AS crumb, CASE WHEN c_custkey % 4 = 0 THEN 'LOCKED' ELSE 'FREE' END AS flag FROM customer""",
     "page_jsonld": """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name || '|' || c_mktsegment ELSE c_name END AS authors,
         'H' || c_custkey AS headline FROM customer""",
-    "page_references": """SELECT n_nationkey, 'España ’€ &lt; &bogus; ' || n_name AS text, '/a/' || n_name || ' /b/' || n_nationkey || ' /c' AS links
-        FROM nation""",
+    "page_references": """SELECT c_custkey, 'España ’€ &lt; &bogus; ' || c_name AS text, '/a/' || c_name || ' /b/' || c_custkey || ' /c' AS links
+        FROM customer""",
     "rdf_feed": f"""SELECT CAST({_CHUNK} AS BIGINT) AS chunk, (row_number() OVER (PARTITION BY {_CHUNK} ORDER BY event_id) - 1)::BIGINT AS item_ord,
         event_type || ' <b>' AS title, 'https://x/' || event_id AS link, {fmt_ts("date_trunc('second', ts)")} AS published, 'c' || event_id AS summary FROM events""",
-    "entry_records": f"""SELECT page_id, 'News ' || page_id AS title, CASE WHEN page_id % 3 = 0 THEN '2024-01-02T03:04:05+00:00'
-        ELSE strftime({_AS_OF}, '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS publish_date, '' AS summary FROM pages WHERE page_id % 2 = 0""",
+    "entry_records": f"""SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'News ' || page_id ELSE {_SLUG} END AS title,
+        CASE WHEN page_id % 3 = 0 THEN '2024-01-02T03:04:05+00:00'
+        ELSE strftime({_AS_OF}, '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS publish_date, '' AS summary FROM (SELECT page_id, {canonical("url")} AS url FROM pages)""",
     "required_fields": """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'Error al extraer el artículo' WHEN doc_id % 2 = 0 THEN 'T' ELSE 'Sin título' END AS title,
         CASE WHEN doc_id % 5 = 0 THEN 'error' ELSE 'general' END AS section, CASE WHEN doc_id % 5 = 0 THEN 'Error' ELSE 'Redacción' END AS authors,
         CASE WHEN doc_id % 5 = 0 THEN 'Error al procesar el artículo: boom' ELSE '' END AS summary, doc_id % 5 = 0 AS is_error FROM documents""",
-    "superset_columns": """SELECT NULL::VARCHAR AS url, n_name AS title, '' AS section, '' AS text FROM nation
-        UNION ALL SELECT r_name, NULL, '', '' FROM region""",
+    "superset_columns": """SELECT NULL::VARCHAR AS url, source AS title, '' AS section, text FROM documents
+        UNION ALL SELECT url, NULL, '', NULL FROM pages""",
     "distinct_authors": """SELECT c_custkey, array_to_string(list_sort(list_distinct([c_name, upper(c_name), c_mktsegment])), '|') AS merged,
         c_name || '|' || c_mktsegment AS ci FROM customer""",
     "author_values": """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'autor/' ELSE '' END || replace(c_name, '#', ' ') AS author
