@@ -6,21 +6,28 @@ starts earlier (smaller doc_id, or the same document and an earlier start). Byte
 1. Sampling. Each window elects an anchor: the position, among its ``GRAM``-byte strings, of the one
    with the smallest hash. The election sees nothing but the window's bytes, so equal windows
    elect the same place. Consecutive windows mostly share their anchor; the bytes that an anchor's
-   windows cover are its chunk. A text of n bytes has about n / 31 anchors.
-2. Batches. A task sorts the anchored suffixes of a batch of documents by the fingerprint of
-   their first ``GRAM`` bytes, then of their chunk: the batch's suffix array. Equal chunks inside the
-   batch are settled there (all but the earliest repeat), so copies don't travel.
-3. Levels. The arrays are dealt out by fingerprint. A bucket's task holds a family of sorted levels:
-   a new batch is merge-scanned against every level; of two equal chunks the later one repeats;
-   then the batch becomes a level, and levels of about equal size merge, so that a suffix
-   is merged a logarithmic number of times.
+   windows cover are its chunk. A text of n bytes has about n / 31 anchors. A long text is
+   read in slices that overlap by a window less a byte.
+2. Batches. A task sorts the anchored strings of a batch of documents by the fingerprint of
+   their first ``GRAM`` bytes, then of their chunk. Equal chunks inside the batch are settled there
+   (all but the earliest repeat), so copies don't travel. Of the chunks that share an anchor two go
+   on; they tell every other batch that the anchor is open, and the rest are open at once, so
+   an anchor in a third of all texts costs two entries per batch.
+3. Levels. The arrays are dealt out by the anchor's fingerprint. A bucket's task holds a family of sorted
+   levels: a new batch is merge-scanned against every level; of two equal chunks the later one
+   repeats; then the batch becomes a level, and levels of about equal size merge, so that an
+   entry is merged a logarithmic number of times.
 4. Chunks with equal anchors but different ends are open: parts of them may be equal. Their single
    windows go through the same levels, by the windows' fingerprints.
-5. The repeats meet their documents again and the kept bytes are cut out.
-
-Fingerprints are 128 bits (step 3: 64 of the anchor, 64 of the chunk). Nothing is kept by key in one
-place but sorted arrays of earliest positions; a passage in very many documents costs one entry
-per batch.
+5. What buckets found leaves them packed by parts of the documents; a part's task makes one row per
+   document. The repeats meet their documents again and the kept bytes are cut out.
+
+This departs from suffix arrays in the strict sense: entries are ordered by 128-bit fingerprints of
+elected strings (64 of the anchor, 64 of the chunk; windows: two of 64) and compared for equality, where a
+suffix array orders by bytes and measures common prefixes. The matches asked for have a fixed
+length, for which equality is enough, and an entry of 40 bytes for 31 bytes of text stands where the
+suffixes themselves would need the texts in every task. The index family, the batches, the merge
+scans and the geometric merging are as named.
 """
 
 from __future__ import annotations
@@ -30,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +48,7 @@ WINDOW = 100
 GRAM = 40
 BUFFER = 1 << 20                                            # bytes that are hashed together
 BATCH = 1 << 20                                             # suffixes of a batch
+BUCKET = 64 << 20                                           # bytes of text for each bucket
 _NO_ID = -(1 << 63)
 
 _PLACE = np.dtype([("did", "<i8"), ("th", "<i8"), ("l", "<i4"), ("r", "<i4")])
@@ -184,67 +193,109 @@ class Levels:
         return np.concatenate(self.repeats) if self.repeats else np.zeros(0, _PLACE)
 
 
+def without_common_anchors(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct (anchor, chunk) keys with at most two chunks of an anchor, and the places of the other chunks."""
+    gram = np.frombuffer(keys.tobytes(), ">u8")[::2]
+    third = np.zeros(len(keys), bool)
+    third[2:] = gram[2:] == gram[:-2]
+    return keys[~third], places[~third], places[third]
+
+
 # ---- what travels --------------------------------------------------------------------------------
 
-def _pack(keys: np.ndarray, places: np.ndarray, repeats: np.ndarray) -> bytes:
-    head = np.array([len(keys), len(repeats)], "<i8").tobytes()
-    columns = [x[f].tobytes() for x in (places, repeats) for f in _PLACE.names]
+def _pack(keys: np.ndarray, *places: np.ndarray) -> bytes:
+    head = np.array([len(keys), *map(len, places)], "<i8").tobytes()
+    columns = [x[f].tobytes() for x in places for f in _PLACE.names]
     return zstandard.compress(b"".join([head, keys.tobytes(), *columns]), 1)
 
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(blob: bytes, lists: int) -> list[np.ndarray]:
     raw = zstandard.decompress(blob)
-    n, m = np.frombuffer(raw, "<i8", 2)
-    at = 16 + 16 * n
-    keys = np.frombuffer(raw, "S16", n, 16)
-    out = []
-    for size in (n, m):
+    n, *sizes = np.frombuffer(raw, "<i8", 1 + lists).tolist()
+    at = 8 * (1 + lists)
+    out = [np.frombuffer(raw, "S16", n, at)]
+    at += 16 * n
+    for size in sizes:
         places = np.empty(size, _PLACE)
         for f in _PLACE.names:
             t = _PLACE[f]
             places[f] = np.frombuffer(raw, t, size, at)
             at += size * t.itemsize
         out.append(places)
-    return keys, *out
+    return out
 
 
 _DEALT = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
 
 
-def _deal(keys: np.ndarray, places: np.ndarray, repeats: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """A batch's suffix array, cut by bucket. Settled repeats go along, spread evenly."""
+def _deal(keys: np.ndarray, places: np.ndarray, settled: np.ndarray, opened: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A batch's array, cut by bucket. What the batch settled or opened itself goes along, spread evenly."""
     own = (np.frombuffer(keys.tobytes(), ">u8")[::2] % np.uint64(buckets)).astype(np.int64) if len(keys) else np.zeros(0, np.int64)
-    order = np.argsort(own, kind="stable")                   # keeps the suffix order inside a bucket
+    order = np.argsort(own, kind="stable")                   # keeps the order inside a bucket
     keys, places = keys[order], places[order]
-    cut = np.searchsorted(own[order], np.arange(buckets + 1))
-    share = np.linspace(0, len(repeats), buckets + 1).astype(np.int64)
-    rows = [(b, _pack(keys[cut[b]:cut[b + 1]], places[cut[b]:cut[b + 1]], repeats[share[b]:share[b + 1]]))
-            for b in range(buckets) if cut[b] < cut[b + 1] or share[b] < share[b + 1]]
+    cuts = [np.searchsorted(own[order], np.arange(buckets + 1)),
+            *(np.linspace(0, len(x), buckets + 1).astype(np.int64) for x in (settled, opened))]
+    rows = []
+    for b in range(buckets):
+        k, s, o = (slice(c[b], c[b + 1]) for c in cuts)
+        if any(x.start < x.stop for x in (k, s, o)):
+            rows.append((b, _pack(keys[k], places[k], settled[s], opened[o])))
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
                                       schema=_DEALT)
 
 
-_SPANS = pa.schema([("did", pa.int64()), ("th", pa.int64()), ("bucket", pa.int32()), ("spans", pa.binary())])
+_PARTS = "part int, open boolean, blob binary"
+_SPANS = "did long, th long, open boolean, spans binary"
+
+
+def _by_part(places: np.ndarray, parts: int, open_: bool) -> pa.Table:
+    """Places packed by the part of the documents that they lie in: at most ``parts`` rows."""
+    own = (_mix(places["did"].astype(np.uint64) ^ _mix(places["th"].astype(np.uint64))) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(own, kind="stable")
+    own, places = own[order], places[order]
+    cut = np.append(np.nonzero(np.diff(own, prepend=-1))[0], len(own))
+    blobs = [_pack(np.zeros(0, "S16"), places[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+    return pa.table([pa.array(own[cut[:-1]], pa.int32()), pa.array([open_] * len(blobs), pa.bool_()), pa.array(blobs, pa.binary())],
+                    names=["part", "open", "blob"])
+
 
+def _by_document(table: pa.Table) -> pa.Table:
+    """Of a part: one row per document and kind (repeats, open chunks) with its (first window, last window) pairs."""
+    out = []
+    for open_ in (False, True):
+        blobs = table.filter(pa.compute.equal(table.column("open"), open_)).column("blob")
+        if not len(blobs):
+            continue
+        places = np.concatenate([_unpack(x.as_py(), 1)[1] for x in blobs])
+        places = places[np.lexsort((places["l"], places["th"], places["did"]))]
+        new = np.ones(len(places), bool)
+        new[1:] = (places["did"][1:] != places["did"][:-1]) | (places["th"][1:] != places["th"][:-1])
+        start = np.nonzero(new)[0]
+        spans = np.stack([places["l"], places["r"]], axis=1).astype("<i4")
+        offsets = pa.py_buffer(np.append(start, len(places)).astype("<i4") * 8)
+        packed = pa.BinaryArray.from_buffers(pa.binary(), len(start), [None, offsets, pa.py_buffer(spans.tobytes())])
+        out.append(pa.table([pa.array(places["did"][start]), pa.array(places["th"][start]),
+                             pa.array(np.full(len(start), open_)), packed], names=["did", "th", "open", "spans"]))
+    return pa.concat_tables(out)
+
+
+def _found(dealt: DataFrame, chunks: bool, parts: int) -> DataFrame:
+    """(did, th, open, spans) of dealt arrays: the buckets' levels, then one row per document and kind."""
+    return (dealt.groupBy("bucket").applyInArrow(lambda t: _scan_levels(t, chunks, parts), _PARTS)
+            .groupBy("part").applyInArrow(_by_document, _SPANS))
 
-def _by_document(places: np.ndarray, bucket: int) -> pa.Table:
-    """One row per document: its (first window, last window) pairs. bucket -1: repeats, else open chunks."""
-    places = places[np.lexsort((places["l"], places["th"], places["did"]))]
-    new = np.ones(len(places), bool)
-    new[1:] = (places["did"][1:] != places["did"][:-1]) | (places["th"][1:] != places["th"][:-1])
-    start = np.nonzero(new)[0]
-    spans = np.stack([places["l"], places["r"]], axis=1).astype("<i4")
-    offsets = pa.py_buffer(np.append(start, len(places)).astype("<i4") * 8)
-    blobs = pa.BinaryArray.from_buffers(pa.binary(), len(start), [None, offsets, pa.py_buffer(spans.tobytes())])
-    return pa.Table.from_arrays([pa.array(places["did"][start]), pa.array(places["th"][start]),
-                                 pa.array(np.full(len(start), bucket, np.int32)), blobs], schema=_SPANS)
+
+def _slices(raw: bytes) -> Iterator[tuple[int, bytes]]:
+    """(first window, bytes) of slices of a text; each window lies in one of them."""
+    for at in range(0, max(1, len(raw) - WINDOW + 1), BUFFER):
+        yield at, raw[at:at + BUFFER + WINDOW - 1]
 
 
 def _batches(docs: DataFrame, buckets: int) -> DataFrame:
     """(bucket, blob): the suffix arrays of batches of documents, dealt by fingerprint."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: list[bytes] = []
-        ids: list[tuple[int, int]] = []
+        ids: list[tuple[int, int, int]] = []
         held: list[tuple] = []
         size = n = 0
 
@@ -254,31 +305,34 @@ def _batches(docs: DataFrame, buckets: int) -> DataFrame:
             ends = np.cumsum(lens)
             doc, l, r, gram, chunk = anchors(np.frombuffer(b"".join(texts), np.uint8), ends - lens, ends)
             places = np.empty(len(l), _PLACE)
-            own = np.array(ids, np.int64).reshape(-1, 2)
+            own = np.array(ids, np.int64).reshape(-1, 3)
             places["did"], places["th"] = own[doc, 0], own[doc, 1]
-            places["l"], places["r"] = l - (ends - lens)[doc], r - (ends - lens)[doc]
+            shift = own[doc, 2] - (ends - lens)[doc]
+            places["l"], places["r"] = l + shift, r + shift
             held.append((_keys(gram, chunk), places))
             texts, ids, size, n = [], [], 0, n + len(l)
 
         def array() -> pa.RecordBatch:
             nonlocal n
-            out = suffix_array(np.concatenate([k for k, _ in held]), np.concatenate([p for _, p in held]))
+            keys, places, settled = suffix_array(np.concatenate([k for k, _ in held]), np.concatenate([p for _, p in held]))
             held.clear()
             n = 0
-            return _deal(*out, buckets)
+            keys, places, opened = without_common_anchors(keys, places)
+            return _deal(keys, places, settled, opened, buckets)
 
         for b in batches:
             for did, th, text in zip(b.column("did").to_pylist(), b.column("th").to_pylist(), b.column("text").to_pylist()):
                 raw = text.encode()
                 if len(raw) < WINDOW:
                     continue
-                texts.append(raw)
-                ids.append((did, th))
-                size += len(raw)
-                if size >= BUFFER:
-                    hashed()
-                if n >= BATCH:
-                    yield array()
+                for at, piece in _slices(raw):
+                    texts.append(piece)
+                    ids.append((did, th, at))
+                    size += len(piece)
+                    if size >= BUFFER:
+                        hashed()
+                    if n >= BATCH:
+                        yield array()
         if texts:
             hashed()
         if n:
@@ -287,14 +341,15 @@ def _batches(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("did", "th", "text").mapInArrow(run, "bucket int, blob binary")
 
 
-def _scan_levels(key: tuple, table: pa.Table, chunks: bool) -> pa.Table:
-    """One bucket's batches through its levels: repeats (bucket -1) and, of chunks, the open ones."""
-    family, repeats = Levels(), []
+def _scan_levels(table: pa.Table, chunks: bool, parts: int) -> pa.Table:
+    """One bucket's batches through its levels: repeats and, of chunks, the open ones."""
+    family, repeats, opened = Levels(), [], []
     for blob in table.column("blob"):
-        keys, places, settled = _unpack(blob.as_py())
+        keys, places, settled, direct = _unpack(blob.as_py(), 3)
         repeats.append(settled)
+        opened.append(direct)
         family.add(keys, places)
-    out = [_by_document(np.concatenate([family.repeated(), *repeats]), -1)]
+    out = [_by_part(np.concatenate([family.repeated(), *repeats]), parts, False)]
     if chunks:
         keys, places = family.all()
         gram = np.frombuffer(keys.tobytes(), ">u8")[::2]
@@ -302,12 +357,12 @@ def _scan_levels(key: tuple, table: pa.Table, chunks: bool) -> pa.Table:
         open_ = np.zeros(len(keys), bool)
         open_[1:] |= same
         open_[:-1] |= same
-        out.append(_by_document(places[open_], int(key[0].as_py())))
+        out.append(_by_part(np.concatenate([places[open_], *opened]), parts, True))
     return pa.concat_tables(out)
 
 
 def _open_windows(joined: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, blob): suffix arrays of the single windows of open chunks."""
+    """(bucket, blob): arrays of the single windows of open chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         n = 0
@@ -315,20 +370,25 @@ def _open_windows(joined: DataFrame, buckets: int) -> DataFrame:
         def array() -> pa.RecordBatch:
             out = suffix_array(np.concatenate([k for k, _ in held]), np.concatenate([p for _, p in held]))
             held.clear()
-            return _deal(*out, buckets)
+            return _deal(*out, np.zeros(0, _PLACE), buckets)
 
         for b in batches:
             for did, th, z, spans in zip(*(b.column(c).to_pylist() for c in ("did", "th", "z", "spans"))):
-                buf = np.frombuffer(zstandard.decompress(z), np.uint8)
-                pairs = np.frombuffer(b"".join(spans), "<i4").reshape(-1, 2)
-                p = np.concatenate([np.arange(l, r + 1) for l, r in pairs])
-                places = np.empty(len(p), _PLACE)
-                places["did"], places["th"], places["l"], places["r"] = did, th, p, p
-                held.append((_keys(Rolling(buf).of(p, p + WINDOW), Rolling(buf, 1).of(p, p + WINDOW)), places))
-                n += len(p)
-                if n >= BATCH:
-                    yield array()
-                    n = 0
+                raw = zstandard.decompress(z)
+                pairs = np.frombuffer(spans, "<i4").reshape(-1, 2)
+                for at, piece in _slices(raw):
+                    own = pairs[(pairs[:, 1] >= at) & (pairs[:, 0] < at + BUFFER)]
+                    if not len(own):
+                        continue
+                    buf = np.frombuffer(piece, np.uint8)
+                    p = np.concatenate([np.arange(max(l - at, 0), min(r - at, BUFFER - 1) + 1) for l, r in own.tolist()])
+                    places = np.empty(len(p), _PLACE)
+                    places["did"], places["th"], places["l"], places["r"] = did, th, p + at, p + at
+                    held.append((_keys(Rolling(buf).of(p, p + WINDOW), Rolling(buf, 1).of(p, p + WINDOW)), places))
+                    n += len(p)
+                    if n >= BATCH:
+                        yield array()
+                        n = 0
         if n:
             yield array()
 
@@ -364,18 +424,17 @@ def without_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     rows equal in both are one document, and each gets its result. No rows: an empty table.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "suffix")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("did"), F.coalesce("text", F.lit("")).alias("text"))
+    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0        # one number: what the buckets are to hold
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET)
     base = base.withColumn("th", F.xxhash64("text"))
-    spans = "did long, th long, bucket int, spans binary"
-    found = scratch.save(_batches(base, buckets).groupBy("bucket")
-                         .applyInArrow(lambda k, t: _scan_levels(k, t, True), spans))
+    found = scratch.save(_found(_batches(base, buckets), True, buckets))
     texts = _zipped(base)
-    grouped = (lambda df: df.groupBy("did", "th").agg(F.collect_list("spans").alias("spans")))
-    open_ = grouped(found.filter("bucket >= 0"))
+    open_ = found.filter("open").select("did", "th", "spans")
     windows = _open_windows(texts.select("did", "th", "z").join(open_, ["did", "th"]), buckets)
-    more = scratch.save(windows.groupBy("bucket").applyInArrow(lambda k, t: _scan_levels(k, t, False), spans))
-    repeats = grouped(found.filter("bucket < 0").unionByName(more).select("did", "th", "spans"))
+    more = scratch.save(_found(windows, False, buckets))
+    repeats = (found.filter("not open").unionByName(more).groupBy("did", "th")
+               .agg(F.collect_list("spans").alias("spans")))          # two lists at most
     joined = texts.join(repeats, ["did", "th"], "left").select("doc_id", "z", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -262,3 +262,65 @@ def test_unknown_tokenizer_settings_are_refused(merges):
     spec = {"model": {"type": "Unigram"}, "pre_tokenizer": None, "normalizer": None, "added_tokens": []}
     with pytest.raises(ValueError):
         tokens.Merges(spec, "x")
+
+
+# ---- operator 3: what its buckets hand on
+
+def plain_removed(texts, window=100):
+    first, out = {}, {}
+    for i, t in texts:
+        for p in range(len(t) - window + 1):
+            first.setdefault(t[p:p + window], (i, p))
+    for i, t in texts:
+        gone = set()
+        for p in range(len(t) - window + 1):
+            if first[t[p:p + window]] != (i, p):
+                gone.update(range(p, p + window))
+        out[i] = len(gone)
+    return out
+
+
+def removed(df):
+    return {r.doc_id: r.n_removed for r in df.collect()}
+
+
+def test_repeats_do_not_depend_on_slices_or_batches(spark, monkeypatch):
+    from pressroom.llm import suffix
+    rng = random.Random(6)
+    passage = [words(rng, 60) for _ in range(4)]
+    texts = [(i, (words(rng, rng.randint(0, 80)) + rng.choice(passage) + words(rng, rng.randint(0, 80)) + rng.choice(passage)).encode())
+             for i in range(40)]
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in texts], "doc_id long, text string").repartition(3)
+    want = plain_removed(texts)
+    assert sum(want.values()) > 5000 and removed(suffix.without_repeats(docs)) == want
+    monkeypatch.setattr(suffix, "BUFFER", 150)               # each window lies in one slice
+    for _, t in texts[:5]:
+        cut = [(at + k, x[k:k + 100]) for at, x in suffix._slices(t) for k in range(len(x) - 99)]
+        assert cut == [(k, t[k:k + 100]) for k in range(len(t) - 99)]
+
+
+def test_a_passage_across_slices_of_a_long_text(spark):
+    from pressroom.llm import suffix
+    rng = random.Random(9)
+    long = "".join(rng.choices("abcdefghijklmnop", k=2 * suffix.BUFFER + 5000))
+    at = suffix.BUFFER
+    docs = spark.createDataFrame([(1, long), (2, "x" + long[at - 300:at + 333] + "y"), (3, long[2 * at - 50:2 * at + 150])], "doc_id long, text string")
+    assert removed(suffix.without_repeats(docs)) == {1: 0, 2: 633, 3: 200}
+
+
+def test_a_common_anchor_costs_two_entries_a_batch(spark):
+    from pressroom.llm import suffix
+    rng = random.Random(7)
+    phrase = words(rng, 30)[:84]
+    texts = [(i, (words(rng, 40) + phrase + words(rng, 40)).encode()) for i in range(400)]
+    raw = b"".join(t for _, t in texts)
+    ends = np.cumsum([len(t) for _, t in texts])
+    doc, l, r, gram, chunk = suffix.anchors(np.frombuffer(raw, np.uint8), ends - [len(t) for _, t in texts], ends)
+    places = np.empty(len(l), suffix._PLACE)
+    places["did"], places["th"], places["l"], places["r"] = doc, 0, l, r
+    keys, where, _ = suffix.suffix_array(suffix._keys(gram, chunk), places)
+    few, _, opened = suffix.without_common_anchors(keys, where)
+    per_anchor = np.unique(np.frombuffer(few.tobytes(), ">u8")[::2], return_counts=True)[1]
+    assert per_anchor.max() == 2 and len(opened) > 300 and len(few) + len(opened) == len(keys)
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in texts], "doc_id long, text string").repartition(3)
+    assert removed(suffix.without_repeats(docs)) == plain_removed(texts)
