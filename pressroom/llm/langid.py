@@ -10,8 +10,9 @@ the one with the largest mean probability over its words, the score is that mean
 Training reads at most ``per_lang`` labelled documents of each language (the ones with the smallest
 hash of their values), cuts their lines into chains and splices chains of different languages, so
 that the transitions see code-switching. The model is a few megabytes and is broadcast.
-Prediction runs over Arrow batches; the chains of a batch advance together, longest first, and
-every chain is whole.
+Prediction sees texts alone: the other columns stay in Spark. The words of some megabytes of text
+become numbers of a word table at a time; chains of about the same length advance together, and
+every chain is whole. The word table is bounded in words and characters and only saves time.
 """
 
 from __future__ import annotations
@@ -34,8 +35,12 @@ BITS = 17
 GRAMS = 4
 STEPS = 30
 CHAIN = 64
-WORDS_AT_ONCE = 400_000
-MEMO = 400_000
+#: Words whose probabilities are held together, words that wait as numbers, characters that are split at once.
+WORDS_AT_ONCE = 150_000
+WORDS_WAITING = 4_000_000
+CHARS_AT_ONCE = 1 << 20
+#: Words and characters of the word table, beyond which it is emptied.
+MEMO, MEMO_CHARS = 200_000, 8 << 20
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+").findall
 
@@ -127,22 +132,23 @@ class Model:
         self.langs, self.features, self.weights, self.trans = langs, features, weights, trans
         self.memo: dict[str, int] = {}
         self.table = np.zeros((0, len(langs)), np.float32)
+        self.chars = 0
 
     def __getstate__(self):
-        return {**self.__dict__, "memo": {}, "table": self.table[:0]}
+        return {**self.__dict__, "memo": {}, "table": self.table[:0], "chars": 0}
 
     def scores(self, words: list[str]) -> np.ndarray:
         feat, start = self.features.rows(words)
         return np.add.reduceat(self.weights[feat], start, axis=0)
 
     def _index(self, docs: list[list[str]]) -> None:
-        if len(self.memo) > MEMO:
-            self.memo, self.table = {}, self.table[:0]
+        """Take the documents' new words into the word table."""
         new = list(set(flat_chain.from_iterable(docs)).difference(self.memo))
         parts = [self.table]
         for i in range(0, len(new), 20_000):
             parts.append(self.scores(new[i:i + 20_000]).astype(np.float32))
         self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new))))
+        self.chars += sum(map(len, new))
         self.table = np.concatenate(parts)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -151,24 +157,49 @@ class Model:
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
         """Language, score and certainty: the mean over the words of the largest probability of each."""
-        words = [[w for w in _WORD(t.lower()) if w.isalpha() or any(map(str.isalpha, w))] if t else [] for t in texts]
         lang, score, sure = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
-        todo = sorted((i for i, w in enumerate(words) if w), key=lambda i: len(words[i])) if self.langs else []
-        while todo:
-            group, n = [], 0
-            while todo and (not group or n + len(words[todo[0]]) <= WORDS_AT_ONCE):
-                group.append(todo.pop(0))
-                n += len(words[group[-1]])
-            own = [words[i] for i in group]
-            self._index(own)
-            lengths = np.fromiter(map(len, own), np.int64, len(own))
-            rows = np.fromiter(map(self.memo.__getitem__, flat_chain.from_iterable(own)), np.int64, int(lengths.sum()))
-            gamma, _ = posteriors(self.table[rows].astype(np.float64), lengths, self.trans)
-            at = np.cumsum(lengths) - lengths
-            mean = np.add.reduceat(gamma, at, axis=0) / lengths[:, None]
-            best = mean.argmax(axis=1)
-            for i, b, m, c in zip(group, best, mean, np.add.reduceat(gamma.max(axis=1), at) / lengths):
-                lang[i], score[i], sure[i] = self.langs[b], min(1.0, float(m[b])), min(1.0, float(c))
+        waiting: list[tuple[int, np.ndarray]] = []              # a text's place and the numbers of its words
+
+        def decide() -> None:
+            waiting.sort(key=lambda x: len(x[1]))
+            at = 0
+            while at < len(waiting):
+                end, n = at + 1, len(waiting[at][1])
+                while end < len(waiting) and n + len(waiting[end][1]) <= WORDS_AT_ONCE:
+                    n += len(waiting[end][1])
+                    end += 1
+                own = [x for _, x in waiting[at:end]]
+                lengths = np.fromiter(map(len, own), np.int64, len(own))
+                gamma, _ = posteriors(self.table[np.concatenate(own)].astype(np.float64), lengths, self.trans)
+                first = np.cumsum(lengths) - lengths
+                mean = np.add.reduceat(gamma, first, axis=0) / lengths[:, None]
+                best = mean.argmax(axis=1)
+                for (i, _), b, m, c in zip(waiting[at:end], best, mean, np.add.reduceat(gamma.max(axis=1), first) / lengths):
+                    lang[i], score[i], sure[i] = self.langs[b], min(1.0, float(m[b])), min(1.0, float(c))
+                at = end
+            waiting.clear()
+
+        start = held = 0
+        while start < len(texts) and self.langs:
+            end, size = start, 0
+            while end < len(texts) and size < CHARS_AT_ONCE:
+                size += len(texts[end] or "")
+                end += 1
+            words = [[w for w in _WORD(t.lower()) if w.isalpha() or any(map(str.isalpha, w))] if t else [] for t in texts[start:end]]
+            if len(self.memo) > MEMO or self.chars > MEMO_CHARS:
+                decide()                                        # the numbers are of the table that goes
+                held = 0
+                self.memo, self.table, self.chars = {}, self.table[:0], 0
+            self._index(words)
+            for i, w in enumerate(words, start):
+                if w:
+                    waiting.append((i, np.fromiter(map(self.memo.__getitem__, w), np.int32, len(w))))
+                    held += len(w)
+            if held >= WORDS_WAITING:
+                decide()
+                held = 0
+            start = end
+        decide()
         return lang, score, sure
 
 
@@ -249,17 +280,19 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
 
 def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score", sure: str = "certainty") -> DataFrame:
     """docs with the columns ``lang``, ``score`` and ``sure``, from the text alone; existing ones are replaced."""
-    names, kept = [lang, score, sure], [c for c in docs.columns if c not in (lang, score, sure)]
+    (judged,), names = unused(docs, "_judged"), [lang, score, sure]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<lang:string,score:double,sure:double>")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for b in batches:
-            langs, scores, certain = shared.value.judge(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
-                                              pa.array(certain, pa.float64())], names=[*kept, *names])
+            langs, scores, certain = shared.value.judge(b.to_pylist())
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(certain, pa.float64())],
+                                             names=["lang", "score", "sure"])
 
-    schema = docs.select(*kept).withColumns({lang: F.lit(""), score: F.lit(0.0), sure: F.lit(0.0)}).schema
-    return docs.select(*kept).mapInArrow(run, schema)
+    kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+    return docs.withColumn(judged, judge("text")).select(
+        *(F.col(f"`{c}`") for c in kept), *(F.col(f"{judged}.{f}").alias(n) for f, n in zip(("lang", "score", "sure"), names)))
 
 
 def language_report(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:

@@ -16,6 +16,60 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 SF = "/root/testdata/sf0.001"
 
 
+def edits(a, b, most):
+    """Edit distance of two strings, or more than ``most``."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        if min(new) > most:
+            return most + 1
+        row = new
+    return row[-1]
+
+
+def plain_links(lines, most):
+    """Lines at most ``most`` edits apart, among all pairs; letter counts (at most 2 * most apart) spare the distances."""
+    count = np.zeros((len(lines), 256), np.int16)
+    for k, x in enumerate(lines):
+        np.add.at(count[k], [ord(c) % 256 for c in x], 1)
+    size = np.array([len(x) for x in lines])
+    out = {}
+    for k, x in enumerate(lines):
+        near = np.nonzero(np.abs(size[k + 1:] - size[k]) <= most)[0] + k + 1
+        near = near[np.abs(count[near] - count[k]).sum(axis=1) <= 2 * most]
+        for j in near:
+            if edits(x, lines[j], most) <= most:
+                out.setdefault(x, []).append(lines[j])
+                out.setdefault(lines[j], []).append(x)
+    return out
+
+
+def test_links_at_the_threshold_against_brute_force(spark):
+    """op7_lines' own threshold, on lines with zero to five random edits, templates and ties in length."""
+    import random
+    from pressroom.llm.scratch import Scratch
+    rng = random.Random(12)
+    base = ["".join(rng.choices("abcdef ", k=rng.randint(20, 70))) for _ in range(60)]
+    base += [f"the number of this line is {k} and that is all" for k in range(40)]
+    lines = set(base)
+    for x in base * 6:
+        y = list(x)
+        for _ in range(rng.randint(1, 5)):
+            p = rng.randrange(len(y))
+            y[p:p + 1] = rng.choice([[], [y[p], rng.choice("abcx")], [rng.choice("abcx")]])
+        if len(y) >= 20:
+            lines.add("".join(y))
+    lines = sorted(lines)
+    frame = spark.createDataFrame([(x,) for x in lines], "line string").select(F.xxhash64("line").alias("h1"), "line")
+    text = {r.h1: r.line for r in frame.collect()}
+    found = linededup.line_links(frame, Scratch(spark, "t"), linededup.THRESHOLD, linededup.MIN_CHARS)
+    got = {(text[r.a], text[r.b]) for r in found.collect()}
+    want = {(x, y) for x, ys in plain_links(lines, linededup.THRESHOLD).items() for y in ys}
+    assert linededup.THRESHOLD == 3 and len(want) > 500 and got == want
+
+
 def test_stages_against_plain_versions(spark, tmp_dir):
     import public_tokenizers as P
     import tiktoken
@@ -25,26 +79,18 @@ def test_stages_against_plain_versions(spark, tmp_dir):
     model = langid.train(docs)
     kept = {}
     for i, r in rows.items():
-        (lang,), (score,) = model.predict([r.text])
-        if lang != "und" and score >= 0.5:
+        (lang,), _, (sure,) = model.judge([r.text])
+        if lang != "und" and sure >= 0.5:
             kept[i] = r.text
     one = corpus_pipeline.language_id(spark, docs, SF)
     assert one.columns == docs.columns and {r.doc_id: r.text for r in one.collect()} == kept
-    # 2: earlier lines, exact or one edit away
+    # 2: earlier lines, exact or at most three edits away
     first, gone = {}, {}
     lines = [(i, p, x.strip(" \t\r")) for i in sorted(kept) for p, x in enumerate(kept[i].split("\n")) if x.strip(" \t\r")]
     for i, p, x in lines:
         first.setdefault(x, (i, p))
-    by_size = {}
-    for x in first:
-        by_size.setdefault(len(x), []).append(x)
-
-    def one_edit(a, b):
-        p = next((k for k, (u, v) in enumerate(zip(a, b)) if u != v), min(len(a), len(b)))
-        return a[p + 1:] == b[p + 1:] or a[p + 1:] == b[p:] or a[p:] == b[p + 1:]
-    early = {x: min([at] + [first[y] for n in (-1, 0, 1) for y in by_size.get(len(x) + n, ())
-                            if min(len(x), len(y)) >= 20 and y != x and (y[:3] == x[:3] or y[-3:] == x[-3:]) and one_edit(x, y)])
-             for x, at in first.items()}
+    links = plain_links([x for x in first if len(x) >= 20], 3)
+    early = {x: min([at, *(first[y] for y in links.get(x, ()))]) for x, at in first.items()}
     for i, p, x in lines:
         if (i, p) > early[x]:
             gone.setdefault(i, set()).add(p)
