@@ -12,14 +12,16 @@ Everything is DataFrame work:
 2. a distinct line of n characters is cut in ``threshold + 1`` segments. A line within the
    threshold holds one of them unchanged near its place, so every line probes, for the lengths
    n - threshold .. n, the substrings that the multi-match-aware rule leaves. Keys are
-   (segment, length, substring) as one hash;
-3. pairs that meet under a key are discarded in the join where their differences lie in more than one
-   eighth of the line (threshold 1), or by the counts of four letters (beyond; an edit changes a
-   count by one at most); the rest are verified by a banded bit-parallel edit distance;
+   (segment, length, substring) as one hash; the segments go round by round, so that the disks hold
+   the keys of one;
+3. pairs that meet under a key are discarded in the join by their counts of sixteen groups of
+   characters: an edit changes these counts by two in sum at most. The rest are verified by a banded
+   bit-parallel edit distance;
 4. each distinct line takes the earliest position among itself and its links; occurrences after
    that position are the removed ones.
 
-Lines are told apart by 128-bit hashes; candidates travel by 64 bits of it and are verified on texts.
+Lines are told apart by 128-bit hashes; candidates travel by 64 bits of it, are verified on texts, and
+leave the verification with all 128.
 """
 
 from __future__ import annotations
@@ -32,69 +34,68 @@ from pressroom.llm.scratch import Scratch
 
 THRESHOLD = 3
 MIN_CHARS = 20
-#: Four letters whose counts discard pairs early.
-_LETTERS = "eanr"
-#: Ids of candidate lines up to which they are broadcast (16 MB of longs); beyond, texts are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+#: Groups of characters whose counts discard pairs early; any grouping is right, an even one discards most.
+GROUPS = ["e", "a", "n", "r", "t", "i", "o", "s", "hz", "dcx", "umq", "lk", "pfgbwvyj", "0369", "1478", "25 .,-"]
 
 
 def _trimmed(c: Column) -> Column:
     return F.btrim(c, F.lit(" \t\r"))
 
 
+def _second(line: str) -> Column:
+    """The second 64 bits that tell lines apart."""
+    return F.xxhash64(F.lit(7), line)
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per non-blank line: doc_id, th (the text's hash), pos, h1, h2, line."""
     t = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
     t = t.select("doc_id", "th", "pos", _trimmed(F.col("raw")).alias("line")).filter("line <> ''")
-    return t.select("doc_id", "th", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), "line")
+    return t.select("doc_id", "th", "pos", F.xxhash64("line").alias("h1"), _second("line").alias("h2"), "line")
 
 
 def _cut(n: Column, k: int, parts: int) -> Column:
     return F.floor(n * k / parts).cast("int")
 
 
-def index_keys(line: Column, n: Column, threshold: int) -> Column:
-    """Keys of the line's own segments."""
-    parts = threshold + 1
-    out = []
-    for k in range(parts):
-        lo, hi = _cut(n, k, parts), _cut(n, k + 1, parts)
-        out.append(F.xxhash64(F.lit(k), n, F.substring(line, lo + 1, hi - lo)))
-    return F.array(*out)
+def index_key(line: Column, n: Column, k: int, threshold: int) -> Column:
+    """Key of the line's own segment k."""
+    lo, hi = _cut(n, k, threshold + 1), _cut(n, k + 1, threshold + 1)
+    return F.xxhash64(F.lit(k), n, F.substring(line, lo + 1, hi - lo))
 
 
-def probe_keys(line: Column, n: Column, threshold: int, shorter: tuple[int, ...] | None = None) -> Column:
-    """Keys under which lines of n - threshold .. n characters within the threshold must lie
-    (``shorter``: only those of the lines that are so many characters shorter)."""
-    parts = threshold + 1
-    out = []
-    for delta in range(threshold + 1) if shorter is None else shorter:
+def probe_keys(line: Column, n: Column, k: int, threshold: int) -> Column:
+    """Keys of segment k under which lines of n - threshold .. n characters within the threshold must lie; null
+    where there is no such substring."""
+    out, parts = [], threshold + 1
+    for delta in range(threshold + 1):
         m = n - delta                                       # length of the indexed line
-        for k in range(parts):
-            lo, size = _cut(m, k, parts), _cut(m, k + 1, parts) - _cut(m, k, parts)
-            for shift in range(max(-k, delta - (threshold - k)), min(k, delta + threshold - k) + 1):
-                at = lo + shift
-                out.append(F.when((at >= 0) & (at + size <= n), F.xxhash64(F.lit(k), m, F.substring(line, at + 1, size))))
-    return F.array_compact(F.array(*out))
+        lo, size = _cut(m, k, parts), _cut(m, k + 1, parts) - _cut(m, k, parts)
+        for shift in range(max(-k, delta - (threshold - k)), min(k, delta + threshold - k) + 1):
+            at = lo + shift
+            out.append(F.when((at >= 0) & (at + size <= n), F.xxhash64(F.lit(k), m, F.substring(line, at + 1, size))))
+    return F.array(*out)
 
 
 def counts(line: Column) -> Column:
-    """Counts of four letters of the line in one long, 16 bits each (modulo 65,536)."""
+    """Counts of the groups of characters in one long, 4 bits each (modulo 16)."""
     out = None
-    for i, letter in enumerate(_LETTERS):
-        c = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
-        c = F.shiftleft(c.bitwiseAND(0xFFFF).cast("long"), 16 * i)
+    for i, group in enumerate(GROUPS):
+        c = (F.length(line) - F.length(F.translate(line, group, ""))).bitwiseAND(15).cast("long")
+        c = F.shiftleft(c, 4 * i)
         out = c if out is None else out.bitwiseOR(c)
     return out
 
 
 def counts_near(a: str, b: str, threshold: int) -> Column:
-    """Whether every letter's count differs by at most ``threshold`` (an edit changes a count by one at most)."""
-    on = None
-    for i in range(len(_LETTERS)):
-        gap = (F.shiftrightunsigned(a, 16 * i) - F.shiftrightunsigned(b, 16 * i) + threshold).bitwiseAND(0xFFFF)
-        on = gap <= 2 * threshold if on is None else on & (gap <= 2 * threshold)
-    return on
+    """Whether the groups' counts differ by at most ``2 * threshold`` in sum. A difference modulo 16 is never more than
+    the difference, so no pair within the threshold is lost."""
+    total = None
+    for i in range(len(GROUPS)):
+        x, y = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(15) for c in (a, b))
+        gap = (x - y + 8).bitwiseAND(15) - 8
+        total = F.abs(gap) if total is None else total + F.abs(gap)
+    return total <= 2 * threshold
 
 
 def edit_distance(a: str, b: str, threshold: int) -> Column:
@@ -153,73 +154,37 @@ def _without_head(x: str, y: str, block: int = 32) -> Column:
     return F.struct(*rest)
 
 
-PIECES = 8
-
-
-def pieces(line: Column, m: Column, shift: int) -> Column:
-    """A hash byte of each of the line's PIECES pieces, cut as a line of m characters is, ``shift`` places on."""
-    out = None
-    for j in range(PIECES):
-        lo, hi = _cut(m, j, PIECES), _cut(m, j + 1, PIECES)
-        byte = F.shiftleft(F.xxhash64(F.substring(line, lo + 1 + shift, hi - lo)).bitwiseAND(0xFF), 8 * j)
-        out = byte if out is None else out.bitwiseOR(byte)
-    return out
-
-
-def one_place(own: str, left: str, right: str) -> Column:
-    """Whether all differences can lie in one piece: the pieces before it agree counted from the left
-    end, those after it counted from the right end. One edit never fails this."""
-    x, y = F.col(own).bitwiseXOR(F.col(left)), F.col(own).bitwiseXOR(F.col(right))
-    on = None
-    for j in range(PIECES):
-        before = x.bitwiseAND((1 << (8 * j)) - 1) == 0
-        after = F.shiftrightunsigned(y, 8 * (j + 1)) == 0 if j + 1 < PIECES else F.lit(True)
-        on = before & after if on is None else on | (before & after)
-    return on
-
-
-def _keyed(lines: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame, Column]:
-    """Index rows, probe rows, and the join's condition that discards pairs early.
-
-    Threshold 1: the pieces' bytes. Beyond: the letter counts (more edits may lie anywhere).
-    """
-    line, n = F.col("line"), F.col("n")
-    if threshold > 1:
-        base = lines.select("h1", "n", "line", counts(line).alias("sig"))
-        index = base.select("h1", "sig", F.explode(index_keys(line, n, threshold)).alias("key"))
-        probe = base.select(F.col("h1").alias("p1"), F.col("sig").alias("p_sig"),
-                            F.explode(F.array_distinct(probe_keys(line, n, threshold))).alias("key"))
-        return index, probe, counts_near("sig", "p_sig", threshold)
-    index = lines.select("h1", pieces(line, n, 0).alias("own"), F.explode(index_keys(line, n, threshold)).alias("key"))
-    same = F.struct(pieces(line, n, 0).alias("left"), pieces(line, n, 0).alias("right"), probe_keys(line, n, 1, (0,)).alias("keys"))
-    longer = F.struct(pieces(line, n - 1, 0).alias("left"), pieces(line, n - 1, 1).alias("right"), probe_keys(line, n, 1, (1,)).alias("keys"))
-    probe = (lines.select(F.col("h1").alias("p1"), F.inline(F.array(same, longer)))
-             .select("p1", "left", "right", F.explode(F.array_distinct("keys")).alias("key")))
-    return index, probe, one_place("own", "left", "right")
-
-
 def line_links(lines: DataFrame, scratch: Scratch, threshold: int, min_chars: int) -> DataFrame:
-    """(a, b) hashes (h1) of distinct lines within the threshold, both directions.
+    """(a, a2, b, b2) hashes of distinct lines within the threshold, both directions.
 
-    ``lines``: h1 and line, one row per distinct line.
+    ``lines``: h1 and line, one row per distinct line; a2 and b2 are the second hashes.
     """
-    long = lines.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars)
-    index, probe, near = _keyed(long.select("h1", "n", "line"), threshold)
-    pairs = scratch.save(probe.join(index, (probe.key == index.key) & (F.col("h1") != F.col("p1")) & near)
-                         .select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct())
-    ids = scratch.save(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct())
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    chars = lines.join(wanted, "h1", "left_semi").select("h1", "line")
-    both = (pairs.join(chars.select(F.col("h1").alias("a"), F.col("line").alias("x")), "a")
-            .join(chars.select(F.col("h1").alias("b"), F.col("line").alias("y")), "b")
-            .select("a", "b", "x", "y"))
+    line, n = F.col("line"), F.col("n")
+    long = lines.withColumn("n", F.length("line")).filter(n >= min_chars)
+    long = scratch.save(long.select("h1", "n", "line", counts(line).alias("sig")))
+    rounds = []
+    for k in range(threshold + 1):
+        index = long.select("h1", "sig", index_key(line, n, k, threshold).alias("key"))
+        probe = long.select(F.col("h1").alias("p1"), F.col("sig").alias("p_sig"), F.explode(probe_keys(line, n, k, threshold)).alias("key"))
+        near = (probe.key == index.key) & (F.col("h1") != F.col("p1")) & counts_near("sig", "p_sig", threshold)
+        rounds.append(scratch.save(probe.filter("key is not null").join(index, near)
+                                   .select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct(), free=True))
+    pairs = rounds[0]
+    for more in rounds[1:]:
+        pairs = pairs.union(more)
+    pairs = scratch.save(pairs.distinct(), free=True)
+    ids = scratch.save(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), free=True)
+    chars = lines.join(ids, "h1", "left_semi").select("h1", _second("line").alias("h2"), "line")
+    both = (pairs.join(chars.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("line").alias("x")), "a")
+            .join(chars.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("line").alias("y")), "b"))
     # each step's strings are made once per pair: a generator's output is not substituted into later ones
     for _ in ("heads", "tails"):
-        both = both.select("a", "b", F.inline(F.array(_without_head("x", "y"))))
-    both = both.select("a", "b", F.inline(F.array(F.struct(_chars("x").alias("x"), _chars("y").alias("y")))))
-    links = both.filter(edit_distance("x", "y", threshold).isNotNull()).select("a", "b")
-    out = scratch.save(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    scratch.drop(pairs, ids)
+        both = both.select("a", "a2", "b", "b2", F.inline(F.array(_without_head("x", "y"))))
+    both = both.select("a", "a2", "b", "b2", F.inline(F.array(F.struct(_chars("x").alias("x"), _chars("y").alias("y")))))
+    links = both.filter(edit_distance("x", "y", threshold).isNotNull()).select("a", "a2", "b", "b2")
+    back = links.select(F.col("b").alias("a"), F.col("b2").alias("a2"), F.col("a").alias("b"), F.col("a2").alias("b2"))
+    out = scratch.save(links.unionByName(back), free=True)
+    scratch.drop(long, pairs, ids, *rounds)
     return out
 
 
@@ -233,15 +198,15 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int =
     lines = _lines(docs.select("doc_id", "text"))
     at = F.struct("doc_id", "th", "pos")
     occurrences = scratch.save(lines.select("doc_id", "th", "pos", "h1", "h2"))
-    distinct = scratch.save(lines.groupBy("h1", "h2").agg(F.first("line").alias("line")))
-    firsts = scratch.save(occurrences.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n")))
+    distinct = scratch.save(lines.groupBy("h1", "h2").agg(F.first("line").alias("line")), free=True)
+    firsts = scratch.save(occurrences.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n")), free=True)
     links = line_links(distinct.select("h1", "line"), scratch, threshold, min_chars)
-    via = (links.join(firsts.select(F.col("h1").alias("b"), "first"), "b")
-           .groupBy(F.col("a").alias("h1")).agg(F.min("first").alias("via")))
-    earliest = scratch.save(firsts.join(via, "h1", "left").filter("n > 1 or via < first")
-                            .select("h1", "h2", F.least("first", F.coalesce("via", "first")).alias("earliest")))
+    via = (links.join(firsts.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), "first"), ["b", "b2"])
+           .groupBy(F.col("a").alias("h1"), F.col("a2").alias("h2")).agg(F.min("first").alias("via")))
+    earliest = scratch.save(firsts.join(via, ["h1", "h2"], "left").filter("n > 1 or via < first")
+                            .select("h1", "h2", F.least("first", F.coalesce("via", "first")).alias("earliest")), free=True)
     out = scratch.save(occurrences.join(earliest, ["h1", "h2"]).filter(at > F.col("earliest"))
-                       .groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("pos")).alias("removed")))
+                       .groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("pos")).alias("removed")), free=True)
     scratch.drop(occurrences, distinct, firsts, links, earliest)
     return out
 

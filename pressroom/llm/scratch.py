@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pressroom.session import drop_path, scratch_path
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _open: list[tuple[SparkSession, str]] = []
 
 
@@ -34,11 +35,19 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base, self.n, self.paths = spark, scratch_path(spark, name), 0, {}
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, free: bool = False) -> DataFrame:
+        """``free``: the job's shuffle files go when it ends, so disks hold one step's at a time."""
         self.n += 1
         path = f"{self.base}-{self.n}"
         _open.append((self.spark, path))
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        try:
+            if free:
+                self.spark.conf.set(_CLEANUP, "true")
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            if free:
+                self.spark.conf.set(_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
         return out
