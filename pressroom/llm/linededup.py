@@ -14,8 +14,8 @@ Everything is DataFrame work:
    n - threshold .. n, the substrings that the multi-match-aware rule leaves. Keys are
    (segment, length, substring) as one hash; the segments go round by round, so that the disks hold
    the keys of one;
-3. pairs that meet under a key are discarded in the join by their counts of sixteen groups of
-   characters: an edit changes these counts by two in sum at most. The rest are verified by a banded
+3. pairs that meet under a key are discarded in the join by their counts of sixteen letters:
+   an edit changes these counts by two in sum at most. The rest are verified by a banded
    bit-parallel edit distance;
 4. each distinct line takes the earliest position among itself and its links; occurrences after
    that position are the removed ones.
@@ -34,8 +34,8 @@ from pressroom.llm.scratch import Scratch
 
 THRESHOLD = 3
 MIN_CHARS = 20
-#: Groups of characters whose counts discard pairs early; any grouping is right, an even one discards most.
-GROUPS = ["e", "a", "n", "r", "t", "i", "o", "s", "hz", "dcx", "umq", "lk", "pfgbwvyj", "0369", "1478", "25 .,-"]
+#: Sixteen letters whose counts discard pairs early; any choice is right, frequent ones discard most.
+LETTERS = "eanrtioshdulcmpg"
 
 
 def _trimmed(c: Column) -> Column:
@@ -78,20 +78,20 @@ def probe_keys(line: Column, n: Column, k: int, threshold: int) -> Column:
 
 
 def counts(line: Column) -> Column:
-    """Counts of the groups of characters in one long, 4 bits each (modulo 16)."""
+    """Counts of the letters in one long, 4 bits each (modulo 16)."""
     out = None
-    for i, group in enumerate(GROUPS):
-        c = (F.length(line) - F.length(F.translate(line, group, ""))).bitwiseAND(15).cast("long")
-        c = F.shiftleft(c, 4 * i)
+    for i, letter in enumerate(LETTERS):
+        c = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+        c = F.shiftleft(c.bitwiseAND(15).cast("long"), 4 * i)
         out = c if out is None else out.bitwiseOR(c)
     return out
 
 
 def counts_near(a: str, b: str, threshold: int) -> Column:
-    """Whether the groups' counts differ by at most ``2 * threshold`` in sum. A difference modulo 16 is never more than
+    """Whether the letters' counts differ by at most ``2 * threshold`` in sum. A difference modulo 16 is never more than
     the difference, so no pair within the threshold is lost."""
     total = None
-    for i in range(len(GROUPS)):
+    for i in range(len(LETTERS)):
         x, y = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(15) for c in (a, b))
         gap = (x - y + 8).bitwiseAND(15) - 8
         total = F.abs(gap) if total is None else total + F.abs(gap)
