@@ -55,7 +55,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _cut(n: Column, k: int, parts: int) -> Column:
-    return F.floor(n * k / parts).cast("int")
+    return F.call_function("div", n * k, F.lit(parts)).cast("int")
 
 
 def index_key(line: Column, n: Column, k: int, threshold: int) -> Column:
@@ -64,24 +64,24 @@ def index_key(line: Column, n: Column, k: int, threshold: int) -> Column:
     return F.xxhash64(F.lit(k), n, F.substring(line, lo + 1, hi - lo))
 
 
-def probe_keys(line: Column, n: Column, k: int, threshold: int) -> Column:
-    """Keys of segment k under which lines of n - threshold .. n characters within the threshold must lie; null
-    where there is no such substring."""
-    out, parts = [], threshold + 1
-    for delta in range(threshold + 1):
-        m = n - delta                                       # length of the indexed line
-        lo, size = _cut(m, k, parts), _cut(m, k + 1, parts) - _cut(m, k, parts)
-        for shift in range(max(-k, delta - (threshold - k)), min(k, delta + threshold - k) + 1):
-            at = lo + shift
-            out.append(F.when((at >= 0) & (at + size <= n), F.xxhash64(F.lit(k), m, F.substring(line, at + 1, size))))
-    return F.array(*out)
+def probes(lines: DataFrame, k: int, threshold: int) -> DataFrame:
+    """(p1, p_sig, key): the keys of segment k under which lines of n - threshold .. n characters within the threshold
+    must lie. The places are rows before their keys are made: one small expression a key, which the JVM compiles."""
+    places = F.array(*(F.struct(F.lit(less).alias("less"), F.lit(shift).alias("shift")) for less in range(threshold + 1)
+                       for shift in range(max(-k, less - (threshold - k)), min(k, less + threshold - k) + 1)))
+    at = lines.select(F.col("h1").alias("p1"), F.col("sig").alias("p_sig"), "line", "n", F.explode(places).alias("place"))
+    m = F.col("n") - F.col("place.less")                    # length of the indexed line
+    lo, hi = _cut(m, k, threshold + 1), _cut(m, k + 1, threshold + 1)
+    start, shift = lo + F.col("place.shift"), F.col("place.shift")
+    return (at.filter((start >= 0) & (hi + shift <= F.col("n")))
+            .select("p1", "p_sig", F.xxhash64(F.lit(k), m, F.substring(F.col("line"), start + 1, hi - lo)).alias("key")))
 
 
 def counts(line: Column) -> Column:
     """Counts of the letters in one long, 4 bits each (modulo 16)."""
     out = None
     for i, letter in enumerate(LETTERS):
-        c = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+        c = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))    # a letter is one byte
         c = F.shiftleft(c.bitwiseAND(15).cast("long"), 4 * i)
         out = c if out is None else out.bitwiseOR(c)
     return out
@@ -165,9 +165,9 @@ def line_links(lines: DataFrame, scratch: Scratch, threshold: int, min_chars: in
     rounds = []
     for k in range(threshold + 1):
         index = long.select("h1", "sig", index_key(line, n, k, threshold).alias("key"))
-        probe = long.select(F.col("h1").alias("p1"), F.col("sig").alias("p_sig"), F.explode(probe_keys(line, n, k, threshold)).alias("key"))
+        probe = probes(long, k, threshold)
         near = (probe.key == index.key) & (F.col("h1") != F.col("p1")) & counts_near("sig", "p_sig", threshold)
-        rounds.append(scratch.save(probe.filter("key is not null").join(index, near)
+        rounds.append(scratch.save(probe.join(index, near)
                                    .select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct(), free=True))
     pairs = rounds[0]
     for more in rounds[1:]:
