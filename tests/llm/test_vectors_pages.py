@@ -115,6 +115,33 @@ PAGES = [
 ]
 
 
+_LONG = ("long text " * 20).strip()
+#: Wrappers whose names hold a part's word, elements left open, closing blocks behind many tags, menus inside an article.
+STRUCTURES = [
+    (f"<nav>Menu</nav><div class='content has-sidebar'><p>{_LONG}</p><p>End.</p></div>", f"{_LONG}\n\nEnd."),
+    (f"<div class='elementor-widget elementor-widget-text'><p>{_LONG}</p></div><div class='widget widget_text'>{_LONG}</div>", _LONG),
+    (f"<article><h1>Head</h1><section class='search-results'><p>{_LONG}</p></section><div class='search-form'>Find</div></article>",
+     f"Head\n\n{_LONG}"),
+    (f"<article><p>One<p class='notice'>We use cookies<p>{_LONG}<ul><li class='ad'>Buy<li>item</ul></article><p>after</p>",
+     f"One\n\n{_LONG}\n\nitem"),
+    (f"<article><p>{_LONG}</p><p class='notice'>Note</article><p>after</p>", _LONG),
+    (f"<article><p>{_LONG}</p><div class='notice'>Open<div>deep</div></article><footer>f</footer>", _LONG),
+    (f"<div><div><div><p>{_LONG}</p></div></div></div><div><div><p>short end.</p></div></div>", f"{_LONG}\n\nshort end."),
+    (f"<div><p>{_LONG}</p>" + "<p><a href='/x'>Read this too</a></p>" * 3 + "</div><div>Imprint</div>", _LONG),
+    (f"<article><p>{_LONG}</p>" + "<p><a href='/x'>Read this too</a></p>" * 3 + "<p>short end.</p></article>", f"{_LONG}\n\nshort end."),
+    (f"<article><p>{_LONG}</p><p><a href='/x'>A source</a></p></article>", f"{_LONG}\n\nA source"),
+    (f"<article><p>{_LONG}</p></article><section id='comments'><article><p>{_LONG}</p></article></section>", _LONG),
+    (f"<ul class='menu'><li>Home<article><p>{_LONG}</p></article>", _LONG),
+    ("<article><ul><li><a href='/a'>a</a><li><a href='/b'>b</a><li><a href='/c'>c</a></ul></article>", "a\n\nb\n\nc"),
+]
+
+
+@pytest.mark.parametrize("i", range(len(STRUCTURES)))
+def test_main_text_structures(i):
+    page, want = STRUCTURES[i]
+    assert htmltext.main_text(page) == want
+
+
 def test_main_text(spark):
     rows = [(i, f"u{i}", h, "old", 5) for i, (h, _) in enumerate(PAGES)]
     table = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
