@@ -12,11 +12,12 @@ Everything is DataFrame work:
 2. a distinct line of n characters is cut in ``threshold + 1`` segments. A line within the
    threshold holds one of them unchanged near its place, so every line probes, for the lengths
    n - threshold .. n, the substrings that the multi-match-aware rule leaves. Keys are
-   (segment, length, substring) as one hash; the segments go round by round, so that the disks hold
-   the keys of one;
-3. pairs that meet under a key are discarded in the join by their counts of sixteen letters:
-   an edit changes these counts by two in sum at most. The rest are verified by a banded
-   bit-parallel edit distance;
+   (segment, substring) as one hash, the substring's length being the segment's; the segments go
+   round by round, so that the disks hold the keys of one;
+3. pairs that meet under a key are discarded in the join by their lengths and their counts of
+   fifteen letters: an edit changes these counts by two in sum at most. Then go pairs of which
+   more than ``threshold`` of sixteen pieces aren't found near their place. The rest are verified
+   by a banded bit-parallel edit distance;
 4. each distinct line takes the earliest position among itself and its links; occurrences after
    that position are the removed ones.
 
@@ -34,8 +35,10 @@ from pressroom.llm.scratch import Scratch
 
 THRESHOLD = 3
 MIN_CHARS = 20
-#: Sixteen letters whose counts discard pairs early; any choice is right, frequent ones discard most.
-LETTERS = "eanrtioshdulcmpg"
+#: Fifteen letters whose counts discard pairs early; any choice is right, frequent ones discard most.
+LETTERS = "eanrtioshdulcmp"
+#: Pieces of a line that are looked up in the other one before the edit distance.
+PIECES = 16
 
 
 def _trimmed(c: Column) -> Column:
@@ -61,82 +64,101 @@ def _cut(n: Column, k: int, parts: int) -> Column:
 def index_key(line: Column, n: Column, k: int, threshold: int) -> Column:
     """Key of the line's own segment k."""
     lo, hi = _cut(n, k, threshold + 1), _cut(n, k + 1, threshold + 1)
-    return F.xxhash64(F.lit(k), n, F.substring(line, lo + 1, hi - lo))
+    return F.xxhash64(F.lit(k), F.substring(line, lo + 1, hi - lo))
 
 
 def probes(lines: DataFrame, k: int, threshold: int) -> DataFrame:
     """(p1, p_sig, key): the keys of segment k under which lines of n - threshold .. n characters within the threshold
-    must lie. The places are rows before their keys are made: one small expression a key, which the JVM compiles."""
-    places = F.array(*(F.struct(F.lit(less).alias("less"), F.lit(shift).alias("shift")) for less in range(threshold + 1)
-                       for shift in range(max(-k, less - (threshold - k)), min(k, less + threshold - k) + 1)))
-    at = lines.select(F.col("h1").alias("p1"), F.col("sig").alias("p_sig"), "line", "n", F.explode(places).alias("place"))
-    m = F.col("n") - F.col("place.less")                    # length of the indexed line
-    lo, hi = _cut(m, k, threshold + 1), _cut(m, k + 1, threshold + 1)
-    start, shift = lo + F.col("place.shift"), F.col("place.shift")
-    return (at.filter((start >= 0) & (hi + shift <= F.col("n")))
-            .select("p1", "p_sig", F.xxhash64(F.lit(k), m, F.substring(F.col("line"), start + 1, hi - lo)).alias("key")))
-
-
-def counts(line: Column) -> Column:
-    """Counts of the letters in one long, 4 bits each (modulo 16)."""
-    out = None
-    for i, letter in enumerate(LETTERS):
+    must lie. Lines of neighbouring lengths share most places (start, size), so each place is probed once for all; the
+    places are rows before their keys are made: one small expression a key, which the JVM compiles."""
+    n, places = F.col("n"), []
+    for less in range(threshold + 1):
+        m = n - less                                        # length of the indexed line
+        lo, hi = _cut(m, k, threshold + 1), _cut(m, k + 1, threshold + 1)
+        for shift in range(max(-k, less - (threshold - k)), min(k, less + threshold - k) + 1):
+            # lo + threshold keeps the start positive; places that stick out of the line are left out below
+            places.append(F.shiftleft((lo + (shift + threshold)).cast("long"), 32).bitwiseOR((hi - lo).cast("long")))
+    at = lines.select(F.col("h1").alias("p1"), F.col("sig").alias("p_sig"), "line", "n",
+                      F.explode(F.array_distinct(F.array(*places))).alias("place"))
+    start, size = F.shiftright("place", 32).cast("int") - threshold, F.col("place").bitwiseAND((1 << 32) - 1).cast("int")
+    return (at.filter((start >= 0) & (start + size <= n))
+            .select("p1", "p_sig", F.xxhash64(F.lit(k), F.substring(F.col("line"), start + 1, size)).alias("key")))
+
+
+def counts(line: Column, n: Column) -> Column:
+    """The length and the counts of the letters in one long, 4 bits each (modulo 16), the length first."""
+    out = n.bitwiseAND(15).cast("long")
+    for i, letter in enumerate(LETTERS, 1):
         c = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))    # a letter is one byte
-        c = F.shiftleft(c.bitwiseAND(15).cast("long"), 4 * i)
-        out = c if out is None else out.bitwiseOR(c)
+        out = out.bitwiseOR(F.shiftleft(c.bitwiseAND(15).cast("long"), 4 * i))
     return out
 
 
+def longer_by(a: str, b: str) -> Column:
+    """By how many characters, modulo 16, the line of signature a is longer than that of b."""
+    return (F.col(a).bitwiseAND(15) - F.col(b).bitwiseAND(15)).bitwiseAND(15)
+
+
 def counts_near(a: str, b: str, threshold: int) -> Column:
     """Whether the letters' counts differ by at most ``2 * threshold`` in sum. A difference modulo 16 is never more than
     the difference, so no pair within the threshold is lost."""
     total = None
-    for i in range(len(LETTERS)):
+    for i in range(1, len(LETTERS) + 1):
         x, y = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(15) for c in (a, b))
         gap = (x - y + 8).bitwiseAND(15) - 8
         total = F.abs(gap) if total is None else total + F.abs(gap)
     return total <= 2 * threshold
 
 
+def pieces_near(x: Column, y: Column, threshold: int) -> Column:
+    """Whether all but ``threshold`` of the PIECES equal pieces of x occur in y within ``threshold`` characters of their
+    place. An edit changes one piece at most and moves the others by one, so no pair within the threshold is lost."""
+    n, found = F.length(x), None
+    for i in range(PIECES):
+        lo, hi = _cut(n, i, PIECES), _cut(n, i + 1, PIECES)
+        from_ = F.greatest(lo - threshold, F.lit(0))
+        around = F.substring(y, from_ + 1, hi + threshold - from_)
+        hit = F.contains(around, F.substring(x, lo + 1, hi - lo)).cast("int")
+        found = hit if found is None else found + hit
+    return found >= PIECES - threshold
+
+
 def edit_distance(a: str, b: str, threshold: int) -> Column:
     """Edit distance of two array-of-character columns, or null beyond ``threshold``.
 
     One machine word per error count d holds a bit for each diagonal of the band: bit e is 1 if
     the first j characters of ``a`` and the first j + e - threshold of ``b`` are within d edits.
-    A step of j shifts and ORs these words (match, substitution, insertion, deletion).
+    A step of j shifts and ORs these words (match, substitution, insertion, deletion). The match
+    words come first, one a character: inside the fold they would be made anew at every mention.
     """
     width = 2 * threshold + 1
     full = (1 << width) - 1
-    words = [F.lit((((1 << (d + 1)) - 1) << threshold) & full).alias(f"r{d}") for d in range(threshold + 1)]
-    # the arrays are part of the state: a lambda would evaluate an outer expression at every step
-    start = F.struct(F.col(a).alias("a"), F.col(b).alias("b"), *words)
 
-    def merge(state: Column, j: Column) -> Column:
-        c = F.get(state["a"], j - 1)
-        match = None
+    def match(c: Column, i: Column) -> Column:
+        word = None
         for e in range(width):
-            bit = F.when(F.get(state["b"], j + (e - threshold - 1)) == c, 1 << e).otherwise(0)
-            match = bit if match is None else match.bitwiseOR(bit)
-        return _advance(state, match, threshold, full)
+            bit = F.when(F.get(F.col(b), i + (e - threshold)) == c, 1 << e).otherwise(0)
+            word = bit if word is None else word.bitwiseOR(bit)
+        return word
 
     def finish(state: Column) -> Column:
-        at = F.size(state["b"]) - F.size(state["a"]) + threshold
+        at = F.size(b) - F.size(a) + threshold
         return F.coalesce(*(F.when(F.call_function("shiftright", state[f"r{d}"], at).bitwiseAND(1) == 1, d)
                             for d in range(threshold + 1)))
 
-    steps = F.sequence(F.lit(1), F.size(a))
-    return F.when(F.abs(F.size(a) - F.size(b)) <= threshold,
-                  F.when(F.size(a) == 0, F.size(b)).otherwise(F.aggregate(steps, start, merge, finish)))
+    start = F.struct(*(F.lit((((1 << (d + 1)) - 1) << threshold) & full).alias(f"r{d}") for d in range(threshold + 1)))
+    steps = F.aggregate(F.transform(a, match), start, lambda state, word: _advance(state, word, threshold, full), finish)
+    return F.when(F.abs(F.size(a) - F.size(b)) <= threshold, F.when(F.size(a) == 0, F.size(b)).otherwise(steps))
 
 
 def _advance(old: Column, match: Column, threshold: int, full: int) -> Column:
-    """The words after one more character. (No inner lambda: it would copy the state's arrays.)"""
+    """The words after one more character."""
     new = [old["r0"].bitwiseAND(match)]
     for d in range(1, threshold + 1):
         less = old[f"r{d - 1}"]
         word = old[f"r{d}"].bitwiseAND(match).bitwiseOR(less).bitwiseOR(F.shiftright(less, 1))
         new.append(word.bitwiseOR(F.shiftleft(new[d - 1], 1)).bitwiseAND(full))
-    return F.struct(old["a"].alias("a"), old["b"].alias("b"), *(w.alias(f"r{d}") for d, w in enumerate(new)))
+    return F.struct(*(w.alias(f"r{d}") for d, w in enumerate(new)))
 
 
 def _chars(c: str) -> Column:
@@ -161,12 +183,14 @@ def line_links(lines: DataFrame, scratch: Scratch, threshold: int, min_chars: in
     """
     line, n = F.col("line"), F.col("n")
     long = lines.withColumn("n", F.length("line")).filter(n >= min_chars)
-    long = scratch.save(long.select("h1", "n", "line", counts(line).alias("sig")))
+    long = scratch.save(long.select("h1", "n", "line", counts(line, n).alias("sig")))
     rounds = []
     for k in range(threshold + 1):
         index = long.select("h1", "sig", index_key(line, n, k, threshold).alias("key"))
         probe = probes(long, k, threshold)
-        near = (probe.key == index.key) & (F.col("h1") != F.col("p1")) & counts_near("sig", "p_sig", threshold)
+        more = longer_by("p_sig", "sig")                    # lines of one length probe each other; one of the two counts
+        ahead = ((more > 0) & (more <= threshold)) | ((more == 0) & (F.col("p1") < F.col("h1")))
+        near = (probe.key == index.key) & ahead & counts_near("sig", "p_sig", threshold)
         rounds.append(scratch.save(probe.join(index, near)
                                    .select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct(), free=True))
     pairs = rounds[0]
@@ -177,6 +201,7 @@ def line_links(lines: DataFrame, scratch: Scratch, threshold: int, min_chars: in
     chars = lines.join(ids, "h1", "left_semi").select("h1", _second("line").alias("h2"), "line")
     both = (pairs.join(chars.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("line").alias("x")), "a")
             .join(chars.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("line").alias("y")), "b"))
+    both = both.filter(pieces_near(F.col("x"), F.col("y"), threshold))
     # each step's strings are made once per pair: a generator's output is not substituted into later ones
     for _ in ("heads", "tails"):
         both = both.select("a", "a2", "b", "b2", F.inline(F.array(_without_head("x", "y"))))

@@ -159,7 +159,7 @@ def lev(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("threshold", [1, 2])
+@pytest.mark.parametrize("threshold", [1, 2, 3])
 def test_edit_join(spark, threshold):
     from pressroom.llm.scratch import Scratch
     rng = random.Random(threshold)
@@ -178,6 +178,33 @@ def test_edit_join(spark, threshold):
     assert got == {(a, b) for a in lines for b in lines if a != b and min(len(a), len(b)) >= 8 and lev(a, b) <= threshold}
 
 
+def test_pairs_within_the_threshold_keep_their_pieces(spark):
+    """The piece filter loses no pair: lines of 20 to 400 characters and copies with three edits or fewer."""
+    rng = random.Random(5)
+    pairs = []
+    for _ in range(300):
+        a = "".join(rng.choice("abcdé ñ") for _ in range(rng.randint(20, 400)))
+        b = list(a)
+        for _ in range(rng.randint(0, 3)):
+            i = rng.randrange(len(b))
+            b[i:i + rng.randint(0, 1)] = rng.choice(["", "x", "ü"])
+        pairs.append((a, "".join(b)))
+    table = spark.createDataFrame(pairs, "x string, y string")
+    near = table.select(linededup.pieces_near(F.col("x"), F.col("y"), 3).alias("xy"), linededup.pieces_near(F.col("y"), F.col("x"), 3).alias("yx"))
+    assert near.filter("not xy or not yx").count() == 0
+    far = spark.createDataFrame([("a b c d e f g h i j k l m n o p " * 3, "z y x w v u t s r q p o n m l k " * 3)], "x string, y string")
+    assert far.filter(linededup.pieces_near(F.col("x"), F.col("y"), 3)).count() == 0
+
+
+def test_template_lines_meet_their_own_kind_only(spark):
+    """A thousand lines of one template that differ in a long word link with nothing; two near ones among them do."""
+    rng = random.Random(7)
+    lines = ["the same opening of every line here " + "".join(rng.choice("abcdefghij") for _ in range(24)) + " and the same end of it too" for _ in range(1000)]
+    lines.append(lines[500].replace("opening", "openings"))
+    docs = make(spark, [(i, t, "en", "a") for i, t in enumerate(lines)])
+    assert [r.doc_id for r in linededup.line_report(docs).filter("n_removed > 0").collect()] == [1000]
+
+
 def test_line_dedup(spark, rows, docs):
     th = {r.t: r.h for r in docs.select(F.col("text").alias("t"), F.xxhash64("text").alias("h")).collect()}
     low = -(1 << 70)
