@@ -49,7 +49,8 @@ def unescape(c) -> Column:
     refs = F.array_distinct(F.filter(F.regexp_extract_all(col, F.lit(_REFERENCE), 0), lambda r: r != "&amp;"))
     # '&amp;' comes last, and '&amp;eacute;' holds no '&eacute;', so nothing is decoded twice
     rest = F.aggregate(refs, col, lambda text, r: F.replace(text, r, _referenced(r)))
-    return F.replace(F.when(col.contains("&"), rest).otherwise(col), F.lit("&amp;"), F.lit("&"))
+    full = F.replace(F.when(col.contains("&"), rest).otherwise(col), F.lit("&amp;"), F.lit("&"))
+    return F.when(_c(c).contains("&"), full).otherwise(_c(c))      # every reference starts with '&'
 
 
 def strip_tags(c) -> Column:
@@ -107,9 +108,10 @@ _META_VAL = "(?is)\\bcontent\\s*=\\s*[\"']([^\"']*)[\"']"
 def meta_map(html) -> Column:
     """HTM2: ``<meta name|property=... content=...>`` as a map (attribute order free, first wins)."""
     tags = F.regexp_extract_all(_c(html), F.lit(_META), 0)
-    entries = F.transform(tags, lambda t: F.struct(
-        F.lower(F.regexp_extract(t, _META_KEY, 1)).alias("k"),
-        unescape(F.regexp_extract(t, _META_VAL, 1)).alias("v")))
+    found = F.transform(tags, lambda t: F.struct(F.lower(F.regexp_extract(t, _META_KEY, 1)).alias("k"),
+                                                 F.regexp_extract(t, _META_VAL, 1).alias("v")))
+    # the value is extracted once, however often ``unescape`` names it
+    entries = F.transform(found, lambda e: F.struct(e["k"].alias("k"), unescape(e["v"]).alias("v")))
     good = F.filter(entries, lambda e: (e["k"] != "") & (e["v"] != ""))
     # first occurrence of a key wins; folded with ``aggregate`` so the tag list is computed once
     # (an outer array referenced inside a lambda would be re-evaluated for every element)

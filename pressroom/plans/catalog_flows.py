@@ -177,7 +177,7 @@ def hourly_runs(spark, sf_dir):
     page's time), pages, rejects appended by each run (SNK2), the latest HTML (SNK3) and the published rows, whose audit
     time is the last run's (PRJ12). Links of every eleventh event and no sitemap entry lack a page."""
     from ..session import scratch_path
-    from .medallion import run_hour
+    from .medallion import _stage, run_hour
     ev = table(spark, sf_dir, "events")
     k = F.col("event_id").cast("string")
     when = F.date_format(D.to_instant("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -197,6 +197,7 @@ def hourly_runs(spark, sf_dir):
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "e"))), lambda s: s["e"]), "").alias("e"))
             .select(F.lit("mapa").alias("site"), F.concat(F.lit('<urlset xmlns:news="n">'), "e", F.lit("</urlset>")).alias("content")))
     feeds = _rss_docs(spark, sf_dir).select(F.col("event_type").alias("site"), "content")
+    feeds, maps, pages = _stage(feeds, "feeds"), _stage(maps, "maps"), _stage(pages, "pages")     # landed once, read by both runs
     out = scratch_path(spark, "hourly-runs")
     for run in (1, 2):
         paths = run_hour(spark, feeds, maps, pages, out, HOUR_AS_OF, JOB_DELAY, run_ts=f"2024-01-28 13:0{run}:00")

@@ -67,12 +67,17 @@ def _read_history(spark: SparkSession, base: str, new: DataFrame, drift: str = "
 
 
 # ------------------------------------------------------------------ curated
+def _near_window(t, as_of, delay: int):
+    """A cheap superset of the run's hours on the instant itself, tested before the hour's texts are made."""
+    return recency.instant_bounds(F.col(t).cast("timestamp_ntz"), as_of, delay)
+
+
 def curated_feed_rows(feed_docs: DataFrame, as_of, delay: int) -> DataFrame:
     """Feed items of the run with hour partitions from pubDate (RFC 822, else a plain cast)."""
     items = parse_feed(feed_docs, keep=["site"])
     t = parse_rfc822(F.col("published"))
     items = records.with_once(items.select("site", "item_ord", "title", "link", "published", "summary"), "_t", t)
-    items = records.hour_columns(items, "_t", TZ).drop("_t")
+    items = records.hour_columns(items.filter(_near_window("_t", as_of, delay)), "_t", TZ).drop("_t")
     return items.filter(recency.in_hour_window(as_of, delay))
 
 
@@ -84,7 +89,7 @@ def curated_sitemap_rows(sitemap_docs: DataFrame, as_of, delay: int, pages: Data
     page metadata (JON5: article:modified_time when the page has article
     metadata, else og:modified_time); then lastmod = lastmod or publication date.
     """
-    e = parse_sitemap(sitemap_docs, keep=["site"])
+    e = _stage(parse_sitemap(sitemap_docs, keep=["site"]), "sitemap-entries")     # read three times below
     has, missing = recency.split_null_lastmod(e, as_of, "lastmod", "news_publication_date")
     if pages is not None:
         wanted = enrich.pages_for(missing.select(F.col("loc").alias("url")), pages.select("url", "html"))
@@ -96,13 +101,14 @@ def curated_sitemap_rows(sitemap_docs: DataFrame, as_of, delay: int, pages: Data
     rows = has.unionByName(missing)
     eff = F.coalesce(F.col("lastmod"), F.col("news_publication_date"))
     rows = records.with_once(rows.withColumn("lastmod", eff), "_t", parse_any(F.col("lastmod")))
-    rows = records.hour_columns(rows, "_t", TZ).drop("_t")
+    rows = records.hour_columns(rows.filter(_near_window("_t", as_of, delay)), "_t", TZ).drop("_t")
     return rows.filter(recency.in_hour_window(as_of, delay))
 
 
 def merge_curated_into(new: DataFrame, base: str) -> DataFrame:
     """WIN4/SET2: new ∪ history of the touched hours, whole-row distinct, touched hours replaced."""
     spark = new.sparkSession
+    new = _stage(new, "curated-new")      # its hours are read first, then its rows: the run is parsed once
     old = _read_history(spark, base, new)
     merged = _stage(dedupe.merge_distinct(new, old), "curated")
     write_hours(merged, base)
@@ -177,6 +183,7 @@ def merge_published_into(new: DataFrame, base: str) -> DataFrame:
     """WIN3/SET4: history of the touched hours ∪ new, latest audit per (modified_time_tz, og_url),
     touched hours replaced.  Ties on audit time are broken by the row's own columns."""
     spark = new.sparkSession
+    new = _stage(new, "published-new")
     old = _read_history(spark, base, new)
     both = new if old is None else old.unionByName(new)
     keys = ["modified_time_tz", "og_url"]

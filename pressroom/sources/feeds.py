@@ -41,8 +41,14 @@ def _empty():
     return F.array().cast("array<string>")
 
 
-def _parsed(content: Column) -> Column:
-    return F.from_xml(content, DOC_SCHEMA, {"mode": "PERMISSIVE"})
+def _parsed(docs: DataFrame, content: str, keep: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``keep`` and the parsed document, and that column. The document is a generator's row: as a plain expression it
+    would be parsed anew at every mention, in the optimizer's filters too."""
+    x = "_doc"
+    while x in keep:
+        x = f"_{x}"
+    tree = F.from_xml(F.col(content), DOC_SCHEMA, {"mode": "PERMISSIVE"})
+    return docs.select(*keep, F.explode(F.array(tree)).alias(x)), F.col(x)
 
 
 # ---------------------------------------------------------------- SRC1 / SRC2
@@ -79,7 +85,7 @@ def parse_feed(docs: DataFrame, content: str = "content", keep: Sequence[str] |
     published, updated, created, dc_date, summary, authors (array), categories (array), guid.
     """
     keep = [c for c in (keep if keep is not None else docs.columns) if c != content]
-    x = _parsed(F.col(content))
+    docs, x = _parsed(docs, content, keep)
     rss_items = F.concat(F.coalesce(x["channel"]["item"], F.array()), F.coalesce(x["item"], F.array()))
     rss = F.transform(rss_items, lambda i: F.struct(
         F.lit("rss").alias("kind"),
@@ -119,7 +125,7 @@ def parse_feed(docs: DataFrame, content: str = "content", keep: Sequence[str] |
 def parse_sitemap(docs: DataFrame, content: str = "content", keep: Sequence[str] | None = None) -> DataFrame:
     """SRC4: sitemap documents in a column -> one row per ``<url>``, order kept, with ``news:*`` fields."""
     keep = [c for c in (keep if keep is not None else docs.columns) if c != content]
-    x = _parsed(F.col(content))
+    docs, x = _parsed(docs, content, keep)
     out = docs.select(*keep, F.posexplode(x["url"]).alias("item_ord", "u"))
     news = F.col("u")["news:news"]
     return out.select(
@@ -142,7 +148,7 @@ def index_children(docs: DataFrame, content: str = "content", keep: Sequence[str
     match ahead of an earlier one; then the first ``max_children`` are kept (none: all).
     """
     keep = [c for c in (keep if keep is not None else docs.columns) if c != content]
-    x = _parsed(F.col(content))
+    docs, x = _parsed(docs, content, keep)
     locs = F.filter(F.transform(x["sitemap"], lambda s: F.trim(s["loc"])),
                     lambda u: u.isNotNull() & (u != ""))
     if priority_marker:
