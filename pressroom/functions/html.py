@@ -49,8 +49,8 @@ def unescape(c) -> Column:
     refs = F.array_distinct(F.filter(F.regexp_extract_all(col, F.lit(_REFERENCE), 0), lambda r: r != "&amp;"))
     # '&amp;' comes last, and '&amp;eacute;' holds no '&eacute;', so nothing is decoded twice
     rest = F.aggregate(refs, col, lambda text, r: F.replace(text, r, _referenced(r)))
-    full = F.replace(F.when(col.contains("&"), rest).otherwise(col), F.lit("&amp;"), F.lit("&"))
-    return F.when(_c(c).contains("&"), full).otherwise(_c(c))      # every reference starts with '&'
+    # every reference starts with '&'
+    return F.when(_c(c).contains("&"), F.replace(rest, F.lit("&amp;"), F.lit("&"))).otherwise(_c(c))
 
 
 def strip_tags(c) -> Column:
