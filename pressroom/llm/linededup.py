@@ -13,16 +13,19 @@ Everything is DataFrame work:
    threshold holds one of them unchanged near its place, so every line probes, for the lengths
    n - threshold .. n, the substrings that the multi-match-aware rule leaves. Keys are
    (segment, substring) as one hash, the substring's length being the segment's; the segments go
-   round by round, so that the disks hold the keys of one;
-3. pairs that meet under a key are discarded in the join by their lengths and their counts of
-   fifteen letters: an edit changes these counts by two in sum at most. Then go pairs of which
-   more than ``threshold`` of sixteen pieces aren't found near their place. The rest are verified
-   by a banded bit-parallel edit distance;
+   two a round, so that the disks hold the keys of one round. Rows are (id, key): an id is 60 bits
+   of the line's hash and 4 of its length;
+3. a key that more than ``CROWD`` lines hold is left out of that join, which hands on the lines that
+   probe it. They meet the lines that hold it under (key, length), and pairs whose counts of fifteen
+   letters and the rest, in the whole line or in one of its beginnings, differ too much are discarded in the join:
+   an edit changes these counts by two in sum at most. Of all pairs then go those whose counts in the
+   whole line differ too much and those of which more than ``threshold`` of sixteen pieces aren't
+   found near their place. The rest are verified by a banded bit-parallel edit distance;
 4. each distinct line takes the earliest position among itself and its links; occurrences after
    that position are the removed ones.
 
-Lines are told apart by 128-bit hashes; candidates travel by 64 bits of it, are verified on texts, and
-leave the verification with all 128.
+Lines are told apart by 128-bit hashes; candidates travel by their ids, are verified on texts, and
+leave the verification with all 128 bits.
 """
 
 from __future__ import annotations
@@ -39,6 +42,12 @@ MIN_CHARS = 20
 LETTERS = "eanrtioshdulcmp"
 #: Pieces of a line that are looked up in the other one before the edit distance.
 PIECES = 16
+#: Lines that may hold a key before it counts as crowded.
+CROWD = 16
+#: Beginnings of a line, in characters, whose letters are counted for crowded keys; any choice is right.
+HEADS = (64, 128, 192, 256, 320, 384, 448, 512)
+#: Segments whose keys are joined in one round (two at most: a place has one bit for them).
+A_ROUND = 2
 
 
 def _trimmed(c: Column) -> Column:
@@ -61,53 +70,68 @@ def _cut(n: Column, k: int, parts: int) -> Column:
     return F.call_function("div", n * k, F.lit(parts)).cast("int")
 
 
+def _part(line: Column, n: Column, start: Column, size: Column) -> Column:
+    """The UTF-8 bytes of size characters from start. Where a character is a byte, none has to be walked over."""
+    return (F.when(F.octet_length(line) == n, F.substring(line.cast("binary"), start + 1, size))
+            .otherwise(F.substring(line, start + 1, size).cast("binary")))
+
+
 def index_key(line: Column, n: Column, k: int, threshold: int) -> Column:
     """Key of the line's own segment k."""
     lo, hi = _cut(n, k, threshold + 1), _cut(n, k + 1, threshold + 1)
-    return F.xxhash64(F.lit(k), F.substring(line, lo + 1, hi - lo))
+    return F.xxhash64(F.lit(k), _part(line, n, lo, hi - lo))
+
 
+def line_id(h1: str, n: str) -> Column:
+    """A line's id: its hash, the last 4 bits replaced by its length modulo 16."""
+    return F.col(h1).bitwiseAND(~15).bitwiseOR(F.col(n).bitwiseAND(15).cast("long"))
 
-def probes(lines: DataFrame, k: int, threshold: int) -> DataFrame:
-    """(p1, p_sig, key): the keys of segment k under which lines of n - threshold .. n characters within the threshold
+
+def probes(lines: DataFrame, segments: list[int], threshold: int) -> DataFrame:
+    """(p1, key): the keys of the segments under which lines of n - threshold .. n characters within the threshold
     must lie. Lines of neighbouring lengths share most places (start, size), so each place is probed once for all; the
     places are rows before their keys are made: one small expression a key, which the JVM compiles."""
     n, places = F.col("n"), []
-    for less in range(threshold + 1):
-        m = n - less                                        # length of the indexed line
-        lo, hi = _cut(m, k, threshold + 1), _cut(m, k + 1, threshold + 1)
-        for shift in range(max(-k, less - (threshold - k)), min(k, less + threshold - k) + 1):
-            # lo + threshold keeps the start positive; places that stick out of the line are left out below
-            places.append(F.shiftleft((lo + (shift + threshold)).cast("long"), 32).bitwiseOR((hi - lo).cast("long")))
-    at = lines.select(F.col("h1").alias("p1"), F.col("sig").alias("p_sig"), "line", "n",
-                      F.explode(F.array_distinct(F.array(*places))).alias("place"))
-    start, size = F.shiftright("place", 32).cast("int") - threshold, F.col("place").bitwiseAND((1 << 32) - 1).cast("int")
-    return (at.filter((start >= 0) & (start + size <= n))
-            .select("p1", "p_sig", F.xxhash64(F.lit(k), F.substring(F.col("line"), start + 1, size)).alias("key")))
+    for at, k in enumerate(segments):
+        for less in range(threshold + 1):
+            m = n - less                                    # length of the indexed line
+            lo, hi = _cut(m, k, threshold + 1), _cut(m, k + 1, threshold + 1)
+            for shift in range(max(-k, less - (threshold - k)), min(k, less + threshold - k) + 1):
+                # lo + threshold keeps the start positive; places that stick out of the line are left out below
+                start, size = (lo + (shift + threshold)).cast("long"), (hi - lo).cast("long")
+                places.append(F.shiftleft(start, 31).bitwiseOR(size).bitwiseOR(F.lit(at << 62)))
+    rows = lines.select(F.col("id").alias("p1"), "line", "n", F.explode(F.array_distinct(F.array(*places))).alias("place"))
+    low = (1 << 31) - 1
+    start = F.shiftright("place", 31).bitwiseAND(low).cast("int") - threshold
+    size, k = F.col("place").bitwiseAND(low).cast("int"), F.shiftright("place", 62).cast("int") + segments[0]
+    return (rows.filter((start >= 0) & (start + size <= n))
+            .select("p1", F.xxhash64(k, _part(F.col("line"), n, start, size)).alias("key")))
 
 
 def counts(line: Column, n: Column) -> Column:
-    """The length and the counts of the letters in one long, 4 bits each (modulo 16), the length first."""
-    out = n.bitwiseAND(15).cast("long")
-    for i, letter in enumerate(LETTERS, 1):
-        c = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))    # a letter is one byte
-        out = out.bitwiseOR(F.shiftleft(c.bitwiseAND(15).cast("long"), 4 * i))
+    """The counts, modulo 8, of the letters and of all other characters in one long, 4 bits each. The bits of a count are
+    a circle on which the next count has one bit changed, so two counts differ in as many bits as they are apart."""
+    rest, out = n, None
+    for i, letter in enumerate([*LETTERS, None]):
+        c = rest if letter is None else F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        rest = rest - c                                     # a letter is one byte
+        circle = F.call_function("shiftright", F.lit(0x8CEF7310), c.bitwiseAND(7) * 4)
+        bits = F.shiftleft(circle.bitwiseAND(15), 4 * i)
+        out = bits if out is None else out.bitwiseOR(bits)
     return out
 
 
-def longer_by(a: str, b: str) -> Column:
-    """By how many characters, modulo 16, the line of signature a is longer than that of b."""
-    return (F.col(a).bitwiseAND(15) - F.col(b).bitwiseAND(15)).bitwiseAND(15)
+def ahead(a: str, b: str, threshold: int) -> Column:
+    """Whether the line of id a is longer than that of b by ``threshold`` characters at most (modulo 16); lines of one
+    length probe each other, and one of the two counts."""
+    more = (F.col(a).bitwiseAND(15) - F.col(b).bitwiseAND(15)).bitwiseAND(15)
+    return ((more > 0) & (more <= threshold)) | ((more == 0) & (F.col(b) < F.col(a)))
 
 
 def counts_near(a: str, b: str, threshold: int) -> Column:
-    """Whether the letters' counts differ by at most ``2 * threshold`` in sum. A difference modulo 16 is never more than
-    the difference, so no pair within the threshold is lost."""
-    total = None
-    for i in range(1, len(LETTERS) + 1):
-        x, y = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(15) for c in (a, b))
-        gap = (x - y + 8).bitwiseAND(15) - 8
-        total = F.abs(gap) if total is None else total + F.abs(gap)
-    return total <= 2 * threshold
+    """Whether the counts differ by at most ``2 * threshold`` in sum. A difference modulo 8 is never more than the
+    difference, so no pair within the threshold is lost."""
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 2 * threshold
 
 
 def pieces_near(x: Column, y: Column, threshold: int) -> Column:
@@ -176,32 +200,71 @@ def _without_head(x: str, y: str, block: int = 32) -> Column:
     return F.struct(*rest)
 
 
+def _crowded_pairs(chars: DataFrame, asks: DataFrame, holds: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) ids that meet under a crowded key, once, at lengths that fit, counts of letters near in the whole line and in every
+    beginning. A beginning has the same number of characters in both lines, so an edit changes its counts by two at most."""
+    line, sigs = F.col("line"), ["sig", *(f"s{h}" for h in HEADS)]
+
+    def signed(rows: DataFrame) -> DataFrame:
+        t = chars.join(rows.select("id").distinct(), "id", "left_semi")
+        heads = ((h, F.substring(line, 1, h)) for h in HEADS)
+        return t.select("id", "n", "sig", *(counts(x, F.length(x)).alias(f"s{h}") for h, x in heads))
+
+    # a line holds each key once at most, a key a segment; two lines meet under the first one that both have
+    held = (holds.groupBy("id").agg(F.collect_list("key").alias("keys")).join(signed(holds), "id")
+            .select("id", "n", "keys", *sigs, F.explode("keys").alias("key"))
+            .withColumn("before", F.filter("keys", lambda x: x < F.col("key"))).drop("keys"))
+    asks = asks.withColumnRenamed("p1", "id")
+    ask = (asks.groupBy("id").agg(F.collect_list("key").alias("p_keys")).join(signed(asks), "id")
+           .select(F.col("id").alias("p1"), "p_keys", "n", *(F.col(x).alias("p_" + x) for x in sigs), F.explode("p_keys").alias("key"))
+           .withColumn("n", F.explode(F.array(*(F.col("n") - less for less in range(threshold + 1))))))
+    near = ahead("p1", "id", threshold)
+    for x in sigs:
+        near = near & counts_near(x, "p_" + x, threshold)
+    return (ask.join(held, ["key", "n"]).filter(near & ~F.arrays_overlap("before", "p_keys"))
+            .select(F.least("id", "p1").alias("a"), F.greatest("id", "p1").alias("b")))
+
+
 def line_links(lines: DataFrame, scratch: Scratch, threshold: int, min_chars: int) -> DataFrame:
     """(a, a2, b, b2) hashes of distinct lines within the threshold, both directions.
 
     ``lines``: h1 and line, one row per distinct line; a2 and b2 are the second hashes.
     """
-    line, n = F.col("line"), F.col("n")
-    long = lines.withColumn("n", F.length("line")).filter(n >= min_chars)
-    long = scratch.save(long.select("h1", "n", "line", counts(line, n).alias("sig")))
+    line, n, segments = F.col("line"), F.col("n"), list(range(threshold + 1))
+    long = lines.withColumn("n", F.length("line")).filter(n >= min_chars).withColumn("id", line_id("h1", "n"))
+
+    def index(of: list[int]) -> DataFrame:
+        return long.select("id", F.explode(F.array(*(index_key(line, n, k, threshold) for k in of))).alias("key"))
+
+    crowded = scratch.save(index(segments).groupBy("key").count().filter(F.col("count") > CROWD).select("key"), free=True)
     rounds = []
-    for k in range(threshold + 1):
-        index = long.select("h1", "sig", index_key(line, n, k, threshold).alias("key"))
-        probe = probes(long, k, threshold)
-        more = longer_by("p_sig", "sig")                    # lines of one length probe each other; one of the two counts
-        ahead = ((more > 0) & (more <= threshold)) | ((more == 0) & (F.col("p1") < F.col("h1")))
-        near = (probe.key == index.key) & ahead & counts_near("sig", "p_sig", threshold)
-        rounds.append(scratch.save(probe.join(index, near)
-                                   .select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct(), free=True))
-    pairs = rounds[0]
+    for of in (segments[k:k + A_ROUND] for k in range(0, threshold + 1, A_ROUND)):
+        # a crowded key is one row without an id: it makes one row of each line that probes it
+        held = index(of).join(crowded, "key", "left_anti").select("id", "key").union(crowded.select(F.lit(None).cast("long"), "key"))
+        # no key has many rows in held, so the held rows of a partition are a small table and the probes needn't be sorted
+        met = probes(long, of, threshold).join(held.hint("shuffle_hash"), "key").filter(F.isnull("id") | ahead("p1", "id", threshold))
+        rounds.append(scratch.save(met.select("p1", "id", F.when(F.isnull("id"), F.col("key")).alias("key")), free=True))
+    met = rounds[0]
     for more in rounds[1:]:
-        pairs = pairs.union(more)
-    pairs = scratch.save(pairs.distinct(), free=True)
-    ids = scratch.save(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), free=True)
-    chars = lines.join(ids, "h1", "left_semi").select("h1", _second("line").alias("h2"), "line")
-    both = (pairs.join(chars.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("line").alias("x")), "a")
-            .join(chars.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("line").alias("y")), "b"))
-    both = both.filter(pieces_near(F.col("x"), F.col("y"), threshold))
+        met = met.union(more)
+    holds = scratch.save(index(segments).join(crowded, "key", "left_semi").select("id", "key"), free=True)
+    asks = scratch.save(met.filter("key is not null").select("p1", "key").distinct(), free=True)
+    found = met.filter("id is not null").select(F.least("id", "p1").alias("a"), F.greatest("id", "p1").alias("b")).distinct()
+    found = scratch.save(found, free=True)
+    ids = scratch.save(found.select(F.col("a").alias("id")).union(found.select("b")).union(asks.select("p1"))
+                       .union(holds.select("id")).distinct(), free=True)
+    # the texts are shuffled once, unsorted: the ids of a partition are a small table beside them
+    chars = scratch.save(long.join(ids.hint("shuffle_hash"), "id", "left_semi")
+                         .select("id", "h1", _second("line").alias("h2"), "n", "line", counts(line, n).alias("sig")), free=True)
+    crowd = _crowded_pairs(chars, asks, holds, threshold)
+    pairs = scratch.save(found.union(crowd).distinct(), free=True)
+
+    def side(a: str, x: str) -> DataFrame:
+        return chars.select(F.col("id").alias(a + "_id"), F.col("h1").alias(a), F.col("h2").alias(a + "2"), F.col("line").alias(x),
+                            F.col("sig").alias(a + "_sig"))
+
+    both = (pairs.withColumnsRenamed({"a": "a_id", "b": "b_id"}).join(side("a", "x"), "a_id").join(side("b", "y"), "b_id"))
+    both = both.filter(counts_near("a_sig", "b_sig", threshold) & pieces_near(F.col("x"), F.col("y"), threshold))
     # each step's strings are made once per pair: a generator's output is not substituted into later ones
     for _ in ("heads", "tails"):
         both = both.select("a", "a2", "b", "b2", F.inline(F.array(_without_head("x", "y"))))
@@ -209,7 +272,7 @@ def line_links(lines: DataFrame, scratch: Scratch, threshold: int, min_chars: in
     links = both.filter(edit_distance("x", "y", threshold).isNotNull()).select("a", "a2", "b", "b2")
     back = links.select(F.col("b").alias("a"), F.col("b2").alias("a2"), F.col("a").alias("b"), F.col("a2").alias("b2"))
     out = scratch.save(links.unionByName(back), free=True)
-    scratch.drop(long, pairs, ids, *rounds)
+    scratch.drop(crowded, holds, asks, found, ids, chars, pairs, *rounds)
     return out
 
 
